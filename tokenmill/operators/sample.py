@@ -31,18 +31,24 @@ def shuffle(df: DataFrame, seed: int | str, id_col: str) -> DataFrame:
 
 
 # ORD-2 ---------------------------------------------------------------
-def head(df: DataFrame, n: int, order_by: list[ColumnOrName]) -> DataFrame:
-    """First ``n`` rows in ``order_by`` order."""
+def head(df: DataFrame, n: int, order_by: list[ColumnOrName], method: str = "auto") -> DataFrame:
+    """First ``n`` rows in ``order_by`` order.
+
+    ``method="heap"``: ``orderBy().limit(n)`` (a top-n heap per task, then
+    one merge — bounded by ``n``); ``"rank"``: bucketed positions, any n;
+    ``"auto"`` picks the heap up to ``TAKE_ORDERED_MAX`` rows.
+    """
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    if n <= TAKE_ORDERED_MAX:
+    if method == "heap" or (method == "auto" and n <= TAKE_ORDERED_MAX):
         return df.orderBy(*cols).limit(n)
     return with_positions(df, cols, pos_col="_tm_pos").where(F.col("_tm_pos") < n).drop("_tm_pos")
 
 
 # ORD-3 / ORD-4 -------------------------------------------------------
-def sample_n(df: DataFrame, n: int, seed: int | str, id_col: str) -> DataFrame:
+def sample_n(df: DataFrame, n: int, seed: int | str, id_col: str,
+             method: str = "auto") -> DataFrame:
     """Shuffle, then take ``n`` rows (exactly ``min(n, count)``)."""
-    return head(df, n, [shuffle_key(id_col, seed), F.col(id_col)])
+    return head(df, n, [shuffle_key(id_col, seed), F.col(id_col)], method=method)
 
 
 def random_rows(df: DataFrame, n: int, seed: int | str, id_col: str) -> DataFrame:

@@ -170,7 +170,10 @@ def pack_blocks(df: DataFrame, order: list[ColumnOrName], cols: list[str], block
     ).alias("_tm_piece"))
     blocks = pieces.groupBy("block_id").agg(F.array_sort(F.collect_list("_tm_piece")).alias("_tm_ps"))
     flat = blocks.select("block_id", F.flatten(F.transform("_tm_ps", lambda x: x["p"])).alias("_tm_f"))
-    outs = [F.transform("_tm_f", lambda e, c=c: e[c]).alias(c) for c in cols]
+    def field(name):
+        return lambda e: e[name]
+
+    outs = [F.transform("_tm_f", field(c)).alias(c) for c in cols]
     res = flat.select("block_id", *outs)
     return res.withColumn("labels", F.col(labels_from or first))
 

@@ -27,11 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- candidates: several completions per prompt ------------------------
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """prompt = order, candidate = line; the truth is the order's price in
+    """prompt = order, candidate = line (ordered by line number); the truth is the order's price in
     thousands, a line's text states it off by -1/0/+1, says nothing, or is
     empty."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_discount", "l_tax")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_tax",
+        "l_extendedprice")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     k = F.floor(F.col("o_totalprice") / 1000).cast("bigint")
@@ -40,9 +41,15 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(F.col("l_discount") == 0.0, F.lit("I cannot tell."))
            .otherwise(F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"),
                                F.lit(" costs about "), guess, F.lit(" thousand."))))
+    # lines of an order may repeat a line number: the index is the line
+    # number, made unique by a 28-bit md5 of the line's other fields
+    tb = F.conv(F.substring(F.md5(F.concat_ws(
+        "-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").cast("string"))), 1, 7), 16, 10)
+    idx = F.col("l_linenumber").cast("bigint") * F.lit(1_000_000_000) + tb.cast("bigint")
     return j.select(
         F.col("o_orderkey").alias("prompt_id"),
-        F.col("l_linenumber").alias("cand_idx"),
+        idx.alias("cand_idx"),
         F.concat(F.lit("What is the total price of order "), F.col("o_orderkey").cast("string"),
                  F.lit(" for customer "), F.col("o_custkey").cast("string"),
                  F.lit(", in thousands?")).alias("prompt"),
@@ -51,7 +58,10 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CANDIDATES_SQL = """
-SELECT o_orderkey AS prompt_id, l_linenumber AS cand_idx,
+SELECT o_orderkey AS prompt_id,
+       CAST(l_linenumber AS BIGINT) * 1000000000 + ('0x' || substr(md5(CAST(l_partkey AS VARCHAR) || '-'
+         || CAST(l_suppkey AS VARCHAR) || '-' || CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR)), 1, 7))::BIGINT
+         AS cand_idx,
        'What is the total price of order ' || CAST(o_orderkey AS VARCHAR) || ' for customer '
          || CAST(o_custkey AS VARCHAR) || ', in thousands?' AS prompt,
        CASE WHEN l_tax = 0.0 THEN ''
