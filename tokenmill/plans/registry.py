@@ -28,7 +28,15 @@ def query(name: str, sql: str | None = None, views: bool = False):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = (views_sql() + sql) if views else sql
+            if views:
+                body = sql.lstrip()
+                if body[:4].upper() == "WITH":
+                    body = "," + body[4:]
+                else:
+                    body = "\n" + body
+                ORACLE[name] = views_sql().rstrip().rstrip("\n") + body
+            else:
+                ORACLE[name] = sql
         return fn
     return deco
 

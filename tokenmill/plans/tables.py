@@ -174,4 +174,4 @@ FROM events
 def views_sql() -> str:
     """CTE prefix defining the derived shapes for oracle SQL."""
     return ("WITH candidates AS (" + CANDIDATES_SQL + "), countdown AS (" + COUNTDOWN_SQL +
-            "), load_samples AS (" + LOAD_SQL + "), judgements AS (" + JUDGEMENTS_SQL + ")\n")
+            "), load_samples AS (" + LOAD_SQL + "), judgements AS (" + JUDGEMENTS_SQL + ")")
