@@ -1 +1,72 @@
-"""Registered queries."""
+"""Registered queries: the streaming operators, run to completion with an
+``availableNow`` trigger over the driver's Parquet files; the result is
+the sink they wrote."""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+
+
+from pyspark.sql import functions as F
+
+from tokenmill.operators import rewards as W
+from tokenmill.plans import tables
+from tokenmill.plans.q_rewards import EQ_SQL, RAW_PAIRS
+from tokenmill.plans.registry import query, r6
+from tokenmill.session import scratch_path
+from tokenmill.streaming import streams as S
+
+
+def _run_dir(spark, name):
+    return scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _schema(spark, sf, name):
+    return tables.table(spark, sf, name).schema
+
+
+@query("str1_score_stream", f"WITH {EQ_SQL} SELECT task_id, gen_idx, format_reward, equation_reward FROM r",
+       views=True)
+def str1(spark, sf):
+    base = _run_dir(spark, "score")
+    li = S.file_stream(spark, sf, "lineitem.parquet", _schema(spark, sf, "lineitem"))
+    q = S.score_stream(tables.countdown_from(li), os.path.join(base, "out"), os.path.join(base, "ckpt"),
+                       log_path=os.path.join(base, "log"))
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "out")).select(
+        "task_id", "gen_idx", "format_reward", "equation_reward")
+
+
+@query("str2_pairs_stream", f"WITH {RAW_PAIRS} SELECT prompt_id, prompt, ground_truth, chosen, rejected FROM pairs",
+       views=True)
+def str2(spark, sf):
+    base = _run_dir(spark, "pairs")
+    li = S.file_stream(spark, sf, "lineitem.parquet", _schema(spark, sf, "lineitem"))
+    c = tables.candidates_from(li, tables.table(spark, sf, "orders"))
+    c = c.withColumn("correct", W.score_last_int("text", "ground_truth"))
+    q = S.pairs_stream(c, os.path.join(base, "out"), os.path.join(base, "ckpt"))
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(base, "out")).select(
+        "prompt_id", "prompt", "ground_truth", "chosen", "rejected")
+
+
+@query("str3_latency_windows", """
+, w AS (SELECT time_bucket(INTERVAL 60 SECOND, ts) AS window_start, * FROM load_samples),
+mx AS (SELECT max(ts) - INTERVAL 5 MINUTE AS wm FROM load_samples)
+SELECT window_start, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(failed AS INTEGER)) AS BIGINT) AS failures,
+       round(avg(total_time), 6) AS avg, max(total_time) AS max, quantile_disc(total_time, 0.95) AS p95
+FROM w, mx GROUP BY window_start, wm HAVING window_start + INTERVAL 60 SECOND <= wm""", views=True)
+def str3(spark, sf):
+    base = _run_dir(spark, "latency")
+    ev = S.file_stream(spark, sf, "events.parquet", _schema(spark, sf, "events"))
+    q = S.latency_windows(tables.load_samples_from(ev), os.path.join(base, "out"),
+                          os.path.join(base, "ckpt"), "60 seconds", "5 minutes")
+    q.awaitTermination()
+    out = spark.read.parquet(os.path.join(base, "out"))
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n", "failures",
+                      r6("avg").alias("avg"), "max", "p95")
+
+
+

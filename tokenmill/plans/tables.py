@@ -27,13 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- candidates: several completions per prompt ------------------------
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """prompt = order, candidate = line (ordered by line number); the truth is the order's price in
-    thousands, a line's text states it off by -1/0/+1, says nothing, or is
-    empty."""
-    li = table(spark, sf_dir, "lineitem").select(
+    return candidates_from(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
+
+
+def candidates_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """prompt = order, candidate = line (ordered by line number); the truth
+    is the order's price in thousands, a line's text states it off by
+    -1/0/+1, says nothing, or is empty."""
+    li = lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_discount", "l_tax",
         "l_extendedprice")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    o = orders.select("o_orderkey", "o_custkey", "o_totalprice")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     k = F.floor(F.col("o_totalprice") / 1000).cast("bigint")
     guess = (k + F.pmod(F.col("l_partkey"), F.lit(3)) - 1).cast("string")
@@ -76,7 +80,12 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 
 # --- countdown tasks with one completion each ---------------------------
 def countdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    return countdown_from(table(spark, sf_dir, "lineitem"))
+
+
+def countdown_from(lineitem: DataFrame) -> DataFrame:
+    """Countdown tasks from lineitem rows (batch or streaming frame)."""
+    li = lineitem.select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey")
     a = F.col("l_linenumber").cast("bigint")
     b = F.col("l_quantity").cast("bigint")
@@ -129,9 +138,12 @@ FROM lineitem
 
 # --- load-test samples ----------------------------------------------------
 def load_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_samples_from(table(spark, sf_dir, "events"))
+
+
+def load_samples_from(ev: DataFrame) -> DataFrame:
     """One row per request: ``value`` is the latency (ms), ``error`` events
     failed, ``props.k`` the generated tokens; virtual users from user id."""
-    ev = table(spark, sf_dir, "events")
     tokens = F.get_json_object("props", "$.k").try_cast("bigint")
     return ev.select(
         "event_id", "ts",
