@@ -1,0 +1,168 @@
+"""Operators against small pure-Python models of their semantics."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tokenmill.operators import metrics as M
+from tokenmill.operators import retrieval as V
+from tokenmill.operators import rewards as W
+from tokenmill.operators import tokens as T
+from tokenmill.operators.offsets import with_positions
+
+FORMAT_RE = r"^<think>([^<]*(?:<(?!/?think>)[^<]*)*)<\/think>\n<answer>([\s\S]*?)<\/answer>$"
+
+
+def test_with_positions_matches_enumerate(spark):
+    rnd = random.Random(1)
+    rows = [(rnd.randint(0, 50), i, rnd.randint(0, 9)) for i in range(800)]
+    df = spark.createDataFrame(rows, "k int, id int, size int")
+    got = with_positions(df, ["k", "id"], size="size", n_buckets=7).select("id", "row_id", "start").collect()
+    order = sorted(rows, key=lambda r: (r[0], r[1]))
+    start, want = 0, {}
+    for pos, (k, i, s) in enumerate(order):
+        want[i] = (pos, start)
+        start += s
+    assert {r.id: (r.row_id, r.start) for r in got} == want
+
+
+def _pack_model(lists, block):
+    flat = [t for lst in lists for t in lst]
+    n = len(flat) // block
+    return [flat[i * block:(i + 1) * block] for i in range(n)]
+
+
+@pytest.mark.parametrize("block", [1, 5, 64])
+def test_pack_blocks_matches_sequential(spark, block):
+    rnd = random.Random(block)
+    lists = [[f"t{i}_{j}" for j in range(rnd.choice([0, 1, 3, 17, 90]))] for i in range(120)]
+    df = spark.createDataFrame([(i, lst) for i, lst in enumerate(lists)], "id int, ids array<string>")
+    got = T.pack_blocks(df, ["id"], ["ids"], block).orderBy("block_id").collect()
+    want = _pack_model(lists, block)
+    assert [r.ids for r in got] == want
+    assert all(r.labels == r.ids for r in got)
+
+
+def test_pack_blocks_shorter_than_block_gives_nothing(spark):
+    df = spark.createDataFrame([(1, ["a", "b"])], "id int, ids array<string>")
+    assert T.pack_blocks(df, ["id"], ["ids"], 8).count() == 0
+
+
+def test_pack_parallel_columns_cut_identically(spark):
+    rows = [(i, list(range(i * 10, i * 10 + n)), [1] * n) for i, n in enumerate([3, 7, 2, 9, 4])]
+    df = spark.createDataFrame(rows, "id int, ids array<int>, mask array<int>")
+    got = T.pack_blocks(df, ["id"], ["ids", "mask"], 4).orderBy("block_id").collect()
+    want = _pack_model([r[1] for r in rows], 4)
+    assert [r.ids for r in got] == want
+    assert all(len(r.mask) == 4 and set(r.mask) == {1} for r in got)
+
+
+def test_format_reward_matches_python_regex(spark):
+    rnd = random.Random(7)
+    pieces = ["<think>", "</think>", "\n", "<answer>", "</answer>", "<", ">", "x", " ", "think", "/"]
+    texts = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 12))) for _ in range(3000)]
+    texts += [" a</think>\n<answer>1</answer>", " a</think>\n<answer>1</answer>\n",
+              " a</think>\n<answer>1</answer>\n\n", " <think></think>\n<answer>1</answer>"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, completion string")
+    got = {r.i: r.r for r in df.select("i", W.format_reward("completion").alias("r")).collect()}
+    for i, t in enumerate(texts):
+        m = re.search(FORMAT_RE, "<think>" + t, re.DOTALL)
+        assert got[i] == (1.0 if m else 0.0), repr(t)
+
+
+def _lcs(a, b):
+    dp = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a)):
+        for j in range(len(b)):
+            dp[i + 1][j + 1] = dp[i][j] + 1 if a[i] == b[j] else max(dp[i][j + 1], dp[i + 1][j])
+    return dp[-1][-1]
+
+
+def test_rouge_l_matches_dynamic_program(spark):
+    rnd = random.Random(3)
+    words = ["a", "b", "c", "d", "e", "The", "cat!"]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 30))),
+             " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 30)))) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, pred string, ref string")
+    got = {r.id: r.fmeasure for r in M.rouge_l(df, "id", "pred", "ref").collect()}
+
+    def tok(s):
+        return re.sub(r"[^a-z0-9]+", " ", s.lower()).split()
+
+    for i, p, r in rows:
+        a, b = tok(p), tok(r)
+        lcs = _lcs(a, b)
+        f = 0.0 if lcs == 0 else 2 * (lcs / len(a)) * (lcs / len(b)) / (lcs / len(a) + lcs / len(b))
+        assert got[i] == pytest.approx(f)
+
+
+def test_exact_percentiles_match_numpy(spark):
+    rnd = np.random.default_rng(5)
+    vals = rnd.exponential(30, size=3000)
+    groups = rnd.integers(0, 3, size=3000)
+    groups[:1500] = 0  # one hot group
+    df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(groups, vals)], "g int, v double")
+    got = {r.g: r for r in M.exact_percentiles(df, "v", (0.5, 0.9, 0.95), ["g"], sub_ranges=8).collect()}
+    for g in range(3):
+        x = vals[groups == g]
+        assert got[g].p50 == pytest.approx(np.percentile(x, 50))
+        assert got[g].p90 == pytest.approx(np.percentile(x, 90))
+        assert got[g].p95 == pytest.approx(np.percentile(x, 95))
+
+
+def test_no_duplicate_batches(spark):
+    rnd = random.Random(2)
+    texts = [rnd.choice(["x", "y", "z"]) if i % 3 == 0 else f"u{i}" for i in range(400)]
+    texts[:120] = ["hot"] * 120
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    out = V.no_duplicate_batches(df, "text", "id", 16).collect()
+    assert len(out) == len(texts)
+    seen = {}
+    for r in out:
+        key = (r.occ, r.batch_idx)
+        assert r.text not in seen.setdefault(key, set())
+        seen[key].add(r.text)
+        assert len(seen[key]) <= 16
+
+
+@pytest.mark.parametrize("blocked", [False, True])
+def test_top_k_matches_numpy(spark, blocked):
+    rnd = np.random.default_rng(11)
+    q = rnd.normal(size=(23, 16))
+    c = rnd.normal(size=(300, 16))
+    c[5] = c[6]  # an exact tie
+    qdf = spark.createDataFrame([(i, q[i].tolist()) for i in range(len(q))], "qid long, embedding array<double>")
+    cdf = spark.createDataFrame([(i, c[i].tolist()) for i in range(len(c))], "cid long, embedding array<double>")
+    kw = dict(broadcast_limit=0, query_block=5, corpus_buckets=3) if blocked else {}
+    got = V.score_top_k(qdf, cdf, [16, 4], 7, **kw).collect()
+    res = {}
+    for r in got:
+        res.setdefault((r.dim, r.qid), []).append((r.rank, r.cid))
+    for d in (16, 4):
+        qu = q[:, :d] / np.linalg.norm(q[:, :d], axis=1, keepdims=True)
+        cu = c[:, :d] / np.linalg.norm(c[:, :d], axis=1, keepdims=True)
+        s = np.round(qu @ cu.T, 12)
+        for i in range(len(q)):
+            want = sorted(range(len(c)), key=lambda j: (-s[i, j], j))[:7]
+            assert [cid for _, cid in sorted(res[(d, i)])] == want
+
+
+def test_encode_round_trip(spark):
+    df = spark.createDataFrame([(1, "a b a c"), (2, ""), (3, "b z")], "id int, text string")
+    t = T.tokenize(df, "text")
+    vocab = T.build_vocab(t, "tokens", 2)
+    enc = {r.id: r.input_ids for r in T.encode(t, "id", "tokens", vocab).collect()}
+    # specials 0..2, then a (2 uses), b (2 uses; ties by token) -> 3, 4; c, z unknown -> 2
+    assert enc == {1: [3, 4, 3, 2], 2: [], 3: [4, 2]}
+
+
+def test_ngram_overlap(spark):
+    df = spark.createDataFrame([(1, "the cat the cat", "the cat sat")], "id int, p string, r string")
+    r1 = M.rouge_n(df, "id", "p", "r", 1).first()
+    assert r1.precision == pytest.approx(2 / 4) and r1.recall == pytest.approx(2 / 3)
+    r2 = M.rouge_n(df, "id", "p", "r", 2).first()
+    assert r2.precision == pytest.approx(1 / 3) and r2.recall == pytest.approx(1 / 2)
+    assert F is not None

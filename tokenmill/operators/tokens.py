@@ -63,10 +63,11 @@ def encode(df: DataFrame, key: str, tokens: str, vocab: DataFrame, out: str = "i
     vocabulary's size estimate is small, else a shuffle join) and put back
     in order per ``key``. Rows with no tokens keep an empty list.
     """
-    exploded = df.select(key, F.posexplode(tokens).alias("pos", "token"))
-    joined = exploded.join(maybe_broadcast(vocab), "token", "left")
+    exploded = df.select(key, F.posexplode(tokens).alias("_tm_pos", "_tm_token"))
+    v = vocab.select(F.col("token").alias("_tm_token"), F.col("id").alias("_tm_vid"))
+    joined = exploded.join(maybe_broadcast(v), "_tm_token", "left")
     packed = joined.groupBy(key).agg(F.array_sort(F.collect_list(
-        F.struct("pos", F.coalesce("id", F.lit(unk_id)).alias("id")))).alias("_tm_p"))
+        F.struct("_tm_pos", F.coalesce("_tm_vid", F.lit(unk_id)).alias("id")))).alias("_tm_p"))
     ids = packed.select(key, F.transform("_tm_p", lambda s: s["id"]).alias(out))
     return df.join(ids, key, "left").withColumn(
         out, F.coalesce(F.col(out), F.array().cast("array<int>")))
