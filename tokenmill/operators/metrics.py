@@ -247,10 +247,16 @@ def rouge_tokens(x: ColumnOrName) -> Column:
 
 
 def ngrams(tokens: ColumnOrName, n: int) -> Column:
+    """Space-joined n-grams, built from ``n`` shifted slices zipped
+    together. (A lambda that indexes the token array per element would
+    let the optimizer inline the whole tokenisation into every element.)"""
     t = _c(tokens)
-    return F.when(F.size(t) >= n, F.transform(
-        F.sequence(F.lit(0), F.size(t) - n),
-        lambda i: F.array_join(F.slice(t, i + 1, n), " "))).otherwise(F.array().cast("array<string>"))
+    if n == 1:
+        return t
+    m = F.greatest(F.size(t) - (n - 1), F.lit(0))
+    shifted = [F.slice(t, i + 1, m).alias(f"g{i}") for i in range(n)]
+    zipped = F.arrays_zip(*shifted)
+    return F.transform(zipped, lambda s: F.concat_ws(" ", *[s[f"g{i}"] for i in range(n)]))
 
 
 def rouge_n(df: DataFrame, key: str, pred: str, ref: str, n: int = 1) -> DataFrame:
