@@ -238,6 +238,12 @@ def win_rates(df: DataFrame, a: str = "model_a", b: str = "model_b",
                     ((F.col("win") + F.col("tie") / 2) / F.col("n")).alias("win_rate_adjusted"))
 
 
+# UDF-6 ---------------------------------------------------------------
+def compute_metrics(df: DataFrame, fns: dict, by: Sequence[str] | str | None = None) -> DataFrame:
+    """``compute_metrics``: named aggregate builders -> one row (per group)."""
+    return _group(df, by).agg(*[f().alias(name) for name, f in fns.items()])
+
+
 # MET-6 ---------------------------------------------------------------
 def rouge_tokens(x: ColumnOrName) -> Column:
     """Lower-case, non-alphanumerics to blanks, split (ROUGE's default

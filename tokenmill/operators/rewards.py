@@ -207,6 +207,17 @@ def rewards(df: DataFrame, fns: dict[str, Callable[[DataFrame], Column]],
     return out
 
 
+# UDF-5 ---------------------------------------------------------------
+def reward_udf(fn: Callable[[pd.Series], pd.Series]):
+    """Wrap a user reward over a batch of completions (pandas Series ->
+    Series of floats) as an Arrow-batched Column function."""
+    @F.pandas_udf(DoubleType())
+    def run(completions: pd.Series) -> pd.Series:
+        return pd.Series(fn(completions), dtype="float64")
+
+    return run
+
+
 # WIN-3 ---------------------------------------------------------------
 def group_advantage(df: DataFrame, key: str, reward: str, eps: float = 1e-4,
                     out: str = "advantage") -> DataFrame:

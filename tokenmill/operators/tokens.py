@@ -55,6 +55,16 @@ def build_vocab(df: DataFrame, tokens: str, max_size: int,
     return spec.unionByName(ranked)
 
 
+def vocab_lookup(df: DataFrame, key: str, tokens: str, vocab: DataFrame,
+                 unk_id: int = UNK_ID) -> DataFrame:
+    """JON-8: one row per token occurrence ``key, pos, token, id`` (left
+    join with the vocabulary; broadcast when its estimate is small)."""
+    exploded = df.select(key, F.posexplode(tokens).alias("pos", "token"))
+    v = vocab.select(F.col("token"), F.col("id").alias("_tm_vid"))
+    return exploded.join(maybe_broadcast(v), "token", "left") \
+        .withColumn("id", F.coalesce("_tm_vid", F.lit(unk_id))).drop("_tm_vid")
+
+
 def encode(df: DataFrame, key: str, tokens: str, vocab: DataFrame, out: str = "input_ids",
            unk_id: int = UNK_ID) -> DataFrame:
     """Token list -> id list through a join with the vocabulary.
