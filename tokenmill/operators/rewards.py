@@ -158,6 +158,9 @@ def _eval_batch(exprs: pd.Series) -> pd.Series:
     cache: dict[str, float | None] = {}
     out = []
     for e in exprs:
+        if e is None:
+            out.append(None)
+            continue
         if e not in cache:
             cache[e] = evaluate_arithmetic(e)
         out.append(cache[e])
@@ -168,7 +171,10 @@ def answer_equation(completion: ColumnOrName) -> Column:
     """Stripped text of the first ``<answer>…</answer>`` on one line
     (after prefixing the think tag), NULL when there is none."""
     s = F.concat(F.lit(THINK_OPEN), _c(completion))
-    return X.strip(X.search_group(s, r"<answer>(.*?)</answer>", 1))
+    # one regex pass: the first whole match (NULL when none), tags cut off
+    m = F.regexp_substr(s, F.lit(X.py_regex(r"<answer>.*?</answer>")))
+    inner = F.substring(m, len(ANSWER_OPEN) + 1, F.length(m) - len(ANSWER_OPEN) - len(ANSWER_CLOSE))
+    return X.strip(inner)
 
 
 def equation_gates(equation: ColumnOrName, nums: ColumnOrName) -> Column:
@@ -189,12 +195,12 @@ def equation_reward(df: DataFrame, completion: str, target: str, nums: str,
     target within ``tol``; else 0.0. Only gated rows reach Python."""
     eq = answer_equation(completion)
     staged = df.withColumn("_tm_eq", eq).withColumn("_tm_gate", equation_gates("_tm_eq", nums))
-    passed = staged.where("_tm_gate").withColumn("_tm_v", _eval_batch(F.col("_tm_eq")))
-    passed = passed.withColumn(out, F.when(
-        F.coalesce(F.abs(F.col("_tm_v") - F.col(target).cast("double")) < tol, F.lit(False)),
-        1.0).otherwise(0.0)).drop("_tm_v")
-    failed = staged.where(~F.col("_tm_gate")).withColumn(out, F.lit(0.0))
-    return passed.unionByName(failed).drop("_tm_eq", "_tm_gate")
+    # rows failing a gate send NULL: the Python side evaluates only the
+    # distinct equations that passed every native check
+    v = _eval_batch(F.when(F.col("_tm_gate"), F.col("_tm_eq")))
+    hit = F.coalesce(F.abs(v - F.col(target).cast("double")) < tol, F.lit(False))
+    return staged.withColumn(out, F.when(F.col("_tm_gate") & hit, 1.0).otherwise(0.0)) \
+        .drop("_tm_eq", "_tm_gate")
 
 
 # RWD-7 ---------------------------------------------------------------
