@@ -10,8 +10,10 @@ block length.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from tokenmill.operators.offsets import hash_key, with_positions
 from tokenmill.session import maybe_broadcast
@@ -66,13 +68,22 @@ def vocab_lookup(df: DataFrame, key: str, tokens: str, vocab: DataFrame,
 
 
 def encode(df: DataFrame, key: str, tokens: str, vocab: DataFrame, out: str = "input_ids",
-           unk_id: int = UNK_ID) -> DataFrame:
-    """Token list -> id list through a join with the vocabulary.
-
-    Tokens are exploded with their position, joined (broadcast when the
-    vocabulary's size estimate is small, else a shuffle join) and put back
-    in order per ``key``. Rows with no tokens keep an empty list.
+           unk_id: int = UNK_ID, method: str = "auto", max_entries: int = 1_000_000) -> DataFrame:
+    """Token list -> id list.
+
+    ``"broadcast"`` (default when the vocabulary has at most
+    ``max_entries`` rows — checked by a bounded ``limit``): the table is
+    broadcast once and every row is mapped in Arrow batches; no shuffle,
+    other columns untouched.
+    ``"join"``: tokens are exploded with their position, joined with the
+    vocabulary and put back in order per ``key`` (shuffles, any size).
     """
+    if method in ("auto", "broadcast"):
+        entries = vocab.select("token", "id").limit(max_entries + 1).collect()
+        if len(entries) <= max_entries:
+            return _encode_broadcast(df, tokens, entries, out, unk_id)
+        if method == "broadcast":
+            raise ValueError(f"vocabulary larger than {max_entries} entries")
     exploded = df.select(key, F.posexplode(tokens).alias("_tm_pos", "_tm_token"))
     v = vocab.select(F.col("token").alias("_tm_token"), F.col("id").alias("_tm_vid"))
     joined = exploded.join(maybe_broadcast(v), "_tm_token", "left")
@@ -83,6 +94,17 @@ def encode(df: DataFrame, key: str, tokens: str, vocab: DataFrame, out: str = "i
         out, F.coalesce(F.col(out), F.array().cast("array<int>")))
 
 
+def _encode_broadcast(df: DataFrame, tokens: str, entries, out: str, unk_id: int) -> DataFrame:
+    table = df.sparkSession.sparkContext.broadcast({r["token"]: int(r["id"]) for r in entries})
+
+    @F.pandas_udf(ArrayType(IntegerType()))
+    def lookup(lists: pd.Series) -> pd.Series:
+        d = table.value
+        return pd.Series([None if t is None else [d.get(x, unk_id) for x in t] for t in lists])
+
+    return df.withColumn(out, lookup(F.col(tokens)))
+
+
 # TOK-3 ---------------------------------------------------------------
 def truncate(ids: ColumnOrName, n: int, side: str = "right") -> Column:
     a = _c(ids)
@@ -273,7 +295,9 @@ def random_windows(pieces: DataFrame, n: int, length: int, seed: int = 0) -> Dat
     j = ps.join(F.broadcast(crops.drop("total_tokens")), "bin")
     j = j.where((F.col("token_start") < F.col("crop_start") + length) &
                 (F.col("token_start") + F.col("n_tokens") > F.col("crop_start")))
-    j = j.dropDuplicates(["window_id", "token_start"])
+    # a (crop, piece) pair can share two bins: keep it on the first shared one
+    j = j.where(F.col("bin") == F.greatest(F.floor(F.col("crop_start") / length),
+                                           F.floor(F.col("token_start") / length)))
     lo = F.greatest(F.col("crop_start"), F.col("token_start"))
     hi = F.least(F.col("crop_start") + length, F.col("token_start") + F.col("n_tokens"))
     piece = F.struct(F.col("token_start").alias("s"),
