@@ -26,9 +26,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.operators.offsets import with_positions
-from tokenmill.session import BROADCAST_LIMIT_BYTES, plan_size_bytes
+from tokenmill.session import BROADCAST_LIMIT_BYTES, materialize, plan_size_bytes
 
 HITS_SCHEMA = "dim INT, qid BIGINT, cid BIGINT, score DOUBLE"
+KEYED_SCHEMA = HITS_SCHEMA + ", q_key STRING, c_key STRING"
 
 
 def _unit_prefix(mat: np.ndarray, dim: int) -> np.ndarray:
@@ -40,7 +41,8 @@ def _unit_prefix(mat: np.ndarray, dim: int) -> np.ndarray:
 
 class _RunningTopK:
     """Per query the best ``k`` (score desc, cid asc) seen so far, fed with
-    corpus batches; memory is ``queries x k`` plus one score block."""
+    corpus batches; memory is ``queries x k`` plus one score block. An
+    optional key per corpus row travels with its id."""
 
     Q_CHUNK = 1024
 
@@ -52,47 +54,48 @@ class _RunningTopK:
         self.best_s = {d: np.full((nq, k), -np.inf) for d in self.dims}
         self.best_c = {d: np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
                        for d in self.dims}
+        self.best_k = {d: np.full((nq, k), None, dtype=object) for d in self.dims}
 
-    def feed(self, c_ids: np.ndarray, c_mat: np.ndarray) -> None:
+    def feed(self, c_ids: np.ndarray, c_mat: np.ndarray, c_keys=None) -> None:
         if len(c_ids) == 0 or len(self.q_ids) == 0:
             return
+        keys = np.asarray(c_keys if c_keys is not None else [None] * len(c_ids), dtype=object)
         for d in self.dims:
             cu = _unit_prefix(c_mat, d)
             for lo in range(0, len(self.q_ids), self.Q_CHUNK):
                 hi = min(lo + self.Q_CHUNK, len(self.q_ids))
                 s = np.round(self.q_unit[d][lo:hi] @ cu.T, 12)
-                self._merge(d, lo, hi, s, c_ids)
+                self._merge(d, lo, hi, s, c_ids, keys)
 
-    def _merge(self, d, lo, hi, s, c_ids):
+    def _merge(self, d, lo, hi, s, c_ids, keys):
         k = self.k
         if s.shape[1] > k:
             # keep every column tied with the k-th best so ties resolve by cid
             part = np.argpartition(-s, k - 1, axis=1)[:, :k]
             thr = np.take_along_axis(s, part, 1).min(axis=1, keepdims=True)
             width = int((s >= thr).sum(axis=1).max())
-            order = np.argsort(-s, axis=1, kind="stable")[:, :width] if width > k else part
-            cand_s = np.take_along_axis(s, order, 1)
-            cand_c = c_ids[order]
+            cols = np.argsort(-s, axis=1, kind="stable")[:, :width] if width > k else part
         else:
-            cand_s = s
-            cand_c = np.broadcast_to(c_ids, s.shape)
-        all_s = np.concatenate([self.best_s[d][lo:hi], cand_s], axis=1)
-        all_c = np.concatenate([self.best_c[d][lo:hi], cand_c], axis=1)
+            cols = np.broadcast_to(np.arange(s.shape[1]), s.shape)
+        all_s = np.concatenate([self.best_s[d][lo:hi], np.take_along_axis(s, cols, 1)], axis=1)
+        all_c = np.concatenate([self.best_c[d][lo:hi], c_ids[cols]], axis=1)
+        all_k = np.concatenate([self.best_k[d][lo:hi], keys[cols]], axis=1)
         order = np.lexsort((all_c, -all_s), axis=1)[:, :k]
         self.best_s[d][lo:hi] = np.take_along_axis(all_s, order, 1)
         self.best_c[d][lo:hi] = np.take_along_axis(all_c, order, 1)
+        self.best_k[d][lo:hi] = np.take_along_axis(all_k, order, 1)
 
     def result(self) -> dict:
-        dim, qid, cid, score = [], [], [], []
+        dim, qid, cid, score, ckey = [], [], [], [], []
         for d in self.dims:
-            bs, bc = self.best_s[d], self.best_c[d]
-            valid = np.isfinite(bs)
-            rows, cols = np.nonzero(valid)
+            bs, bc, bk = self.best_s[d], self.best_c[d], self.best_k[d]
+            rows, cols = np.nonzero(np.isfinite(bs))
             dim.extend([d] * len(rows))
             qid.extend(self.q_ids[rows].tolist())
             cid.extend(bc[rows, cols].tolist())
             score.extend(bs[rows, cols].tolist())
-        return {"dim": dim, "qid": qid, "cid": cid, "score": score}
+            ckey.extend(bk[rows, cols].tolist())
+        return {"dim": dim, "qid": qid, "cid": cid, "score": score, "c_key": ckey}
 
 
 def _stack(vectors) -> np.ndarray:
@@ -104,67 +107,82 @@ def _stack(vectors) -> np.ndarray:
 def score_top_k(queries: DataFrame, corpus: DataFrame, dims: Sequence[int], k: int = 10,
                 q_id: str = "qid", c_id: str = "cid", vec: str = "embedding",
                 broadcast_limit: int = BROADCAST_LIMIT_BYTES, query_block: int = 2048,
-                corpus_buckets: int | None = None) -> DataFrame:
+                corpus_buckets: int | None = None, rel_key: str | None = None) -> DataFrame:
     """Exact top-``k`` corpus rows per query by cosine similarity, for every
-    truncation width in ``dims``. Returns ``dim, qid, cid, score, rank``."""
+    truncation width in ``dims``. Returns ``dim, qid, cid, score, rank``
+    (+ ``q_key, c_key`` as strings when ``rel_key`` names a relevance key
+    column on both sides: it travels with the vectors, so marking hits
+    relevant needs no join back to either table)."""
     dims = [int(d) for d in dims]
-    q = queries.select(F.col(q_id).cast("bigint").alias("qid"), F.col(vec).alias("v"))
-    c = corpus.select(F.col(c_id).cast("bigint").alias("cid"), F.col(vec).alias("v"))
+    kq = [F.col(rel_key).cast("string").alias("key")] if rel_key else []
+    q = queries.select(F.col(q_id).cast("bigint").alias("qid"), F.col(vec).alias("v"), *kq)
+    c = corpus.select(F.col(c_id).cast("bigint").alias("cid"), F.col(vec).alias("v"), *kq)
     size = plan_size_bytes(q)
     if size is not None and size <= broadcast_limit:
-        partial = _broadcast_path(q, c, dims, k)
+        partial = _broadcast_path(q, c, dims, k, bool(rel_key))
     else:
-        partial = _blocked_path(q, c, dims, k, query_block, corpus_buckets)
+        partial = _blocked_path(q, c, dims, k, query_block, corpus_buckets, bool(rel_key))
     return top_k_per_key(partial, ["dim", "qid"], "score", k, tiebreak="cid")
 
 
-def _broadcast_path(q: DataFrame, c: DataFrame, dims, k) -> DataFrame:
+def _emit(r: dict, q_ids: np.ndarray, q_keys, keyed: bool) -> dict:
+    cols = {"dim": pa.array(r["dim"], pa.int32()), "qid": pa.array(r["qid"], pa.int64()),
+            "cid": pa.array(r["cid"], pa.int64()), "score": pa.array(r["score"], pa.float64())}
+    if keyed:
+        qk = dict(zip(q_ids.tolist(), q_keys))
+        cols["q_key"] = pa.array([qk.get(q) for q in r["qid"]], pa.string())
+        cols["c_key"] = pa.array(r.get("c_key", [None] * len(r["cid"])), pa.string())
+    return cols
+
+
+def _broadcast_path(q: DataFrame, c: DataFrame, dims, k, keyed: bool) -> DataFrame:
     spark = q.sparkSession
     # size-checked above; the query block travels once per executor
     rows = q.toArrow() if hasattr(q, "toArrow") else pa.Table.from_pandas(q.toPandas())
     q_ids = np.asarray(rows.column("qid").to_pylist(), dtype=np.int64)
     q_mat = _stack(rows.column("v").to_pylist())
-    bq = spark.sparkContext.broadcast((q_ids, q_mat))
+    q_keys = rows.column("key").to_pylist() if keyed else None
+    bq = spark.sparkContext.broadcast((q_ids, q_mat, q_keys))
 
     def run(batches):
-        qi, qm = bq.value
+        qi, qm, qk = bq.value
         top = _RunningTopK(qi, qm, dims, k)
         for b in batches:
             if b.num_rows:
                 top.feed(np.asarray(b.column("cid").to_pylist(), dtype=np.int64),
-                         _stack(b.column("v").to_pylist()))
-        r = top.result()
-        yield pa.RecordBatch.from_pydict(
-            {"dim": pa.array(r["dim"], pa.int32()), "qid": pa.array(r["qid"], pa.int64()),
-             "cid": pa.array(r["cid"], pa.int64()), "score": pa.array(r["score"], pa.float64())})
+                         _stack(b.column("v").to_pylist()),
+                         b.column("key").to_pylist() if keyed else None)
+        yield pa.RecordBatch.from_pydict(_emit(top.result(), qi, qk, keyed))
 
-    return c.mapInArrow(run, HITS_SCHEMA)
+    return c.mapInArrow(run, KEYED_SCHEMA if keyed else HITS_SCHEMA)
 
 
-def _blocked_path(q: DataFrame, c: DataFrame, dims, k, query_block, corpus_buckets) -> DataFrame:
+def _blocked_path(q: DataFrame, c: DataFrame, dims, k, query_block, corpus_buckets,
+                  keyed: bool) -> DataFrame:
     nb = corpus_buckets or max(1, int(q.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
     qpos = with_positions(q, ["qid"], pos_col="_pos")
-    qb = qpos.select("qid", "v", F.floor(F.col("_pos") / query_block).alias("qblock"))
+    qb = qpos.select("qid", "v", *(["key"] if keyed else []),
+                     F.floor(F.col("_pos") / query_block).alias("qblock"))
     n_blocks = qb.agg(F.max("qblock")).first()[0]
     n_blocks = 0 if n_blocks is None else int(n_blocks) + 1
     q_rep = qb.withColumn("cbucket", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
     c_rep = c.withColumn("cbucket", F.pmod(F.xxhash64("cid"), F.lit(nb))) \
         .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks - 1, 0)))))
+    schema = KEYED_SCHEMA if keyed else HITS_SCHEMA
 
     def run(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        top = _RunningTopK(qpdf["qid"].to_numpy(np.int64), _stack(list(qpdf["v"])), dims, k)
+        qi = qpdf["qid"].to_numpy(np.int64)
+        top = _RunningTopK(qi, _stack(list(qpdf["v"])), dims, k)
         cids = cpdf["cid"].to_numpy(np.int64)
         for lo in range(0, len(cids), 8192):
-            top.feed(cids[lo:lo + 8192], _stack(list(cpdf["v"].iloc[lo:lo + 8192])))
-        r = top.result()
-        return pd.DataFrame({"dim": pd.Series(r["dim"], dtype="int32"),
-                             "qid": pd.Series(r["qid"], dtype="int64"),
-                             "cid": pd.Series(r["cid"], dtype="int64"),
-                             "score": pd.Series(r["score"], dtype="float64")})
+            top.feed(cids[lo:lo + 8192], _stack(list(cpdf["v"].iloc[lo:lo + 8192])),
+                     list(cpdf["key"].iloc[lo:lo + 8192]) if keyed else None)
+        cols = _emit(top.result(), qi, list(qpdf["key"]) if keyed else None, keyed)
+        return pa.Table.from_pydict(cols).to_pandas()
 
     return (q_rep.groupBy("qblock", "cbucket")
             .cogroup(c_rep.groupBy("qblock", "cbucket"))
-            .applyInPandas(run, HITS_SCHEMA))
+            .applyInPandas(run, schema))
 
 
 # WIN-2 ---------------------------------------------------------------
@@ -227,13 +245,15 @@ def matryoshka_eval(queries: DataFrame, corpus: DataFrame, dims: Sequence[int],
                     q_id: str = "qid", c_id: str = "cid", vec: str = "embedding",
                     rel_key: str = "rel_key", **kw) -> DataFrame:
     """All metrics at every truncation width in one pass over the corpus;
-    ``key`` is the result name ``dim_{d}_cosine_ndcg@{k}``."""
-    hits = score_top_k(queries, corpus, dims, k, q_id, c_id, vec, **kw)
-    c_keys = corpus.select(F.col(c_id).cast("bigint").alias("cid"), F.col(rel_key).alias("c_key"))
-    q_keys = queries.select(F.col(q_id).cast("bigint").alias("qid"), F.col(rel_key).alias("q_key"))
-    marked = hits.join(c_keys, "cid").join(q_keys, "qid") \
-        .withColumn("relevant", (F.col("c_key") == F.col("q_key")).cast("int"))
-    per_key = corpus.groupBy(F.col(rel_key).alias("q_key")).agg(F.count(F.lit(1)).alias("n_rel"))
+    ``key`` is the result name ``dim_{d}_cosine_ndcg@{k}``. Relevant =
+    same ``rel_key``; a query's number of relevant rows comes from one
+    count per key on the corpus."""
+    hits = score_top_k(queries, corpus, dims, k, q_id, c_id, vec, rel_key=rel_key, **kw)
+    marked = hits.withColumn("relevant", (F.col("c_key") == F.col("q_key")).cast("int"))
+    per_key = corpus.groupBy(F.col(rel_key).cast("string").alias("q_key")) \
+        .agg(F.count(F.lit(1)).alias("n_rel"))
+    q_keys = queries.select(F.col(q_id).cast("bigint").alias("qid"),
+                            F.col(rel_key).cast("string").alias("q_key"))
     n_rel = q_keys.join(per_key, "q_key", "left").fillna(0, subset=["n_rel"]).select("qid", "n_rel")
     m = ir_metrics(marked, n_rel, k)
     return m.withColumn("key", F.concat(F.lit("dim_"), F.col("dim").cast("string"),
@@ -274,6 +294,7 @@ def no_duplicate_batches(df: DataFrame, text: str, order: str, size: int) -> Dat
     first = pos.groupBy("_tm_th", text).agg(F.min("_tm_p").alias("_tm_p0"))
     occ = pos.join(first, ["_tm_th", text]).withColumn("occ", F.col("_tm_p") - F.col("_tm_p0")) \
         .drop("_tm_p", "_tm_p0", "_tm_th")
+    occ = materialize(occ)  # read three times below
     laid = with_positions(occ, ["occ", order], pos_col="_tm_g")
     stripe0 = laid.groupBy("occ").agg(F.min("_tm_g").alias("_tm_g0"))
     out = laid.join(F.broadcast(stripe0), "occ")

@@ -11,6 +11,7 @@ from tokenmill.operators import records as R
 from tokenmill.operators.sample import split_fraction
 from tokenmill.plans import tables
 from tokenmill.plans.registry import arr_text, query, r6
+from tokenmill.session import materialize
 
 DIMS = (64, 32, 16, 8)
 K = 10
@@ -45,7 +46,8 @@ agg AS (SELECT dim, avg(ndcg) AS ndcg_at_10, avg(mrr) AS mrr_at_10, avg(map) AS
 
 def split_vectors(spark, sf):
     e = tables.table(spark, sf, "embeddings")
-    s = split_fraction(e, 0.1, 42, "vec_id")
+    # the split feeds the query block, the scoring and the relevance counts
+    s = materialize(split_fraction(e, 0.1, 42, "vec_id"))
     q = s.where(F.col("split") == "test").select(F.col("vec_id").alias("qid"), "embedding",
                                                   F.col("label").alias("rel_key"))
     c = s.where(F.col("split") == "train").select(F.col("vec_id").alias("cid"), "embedding",

@@ -85,3 +85,12 @@ def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFr
     if size is not None and size <= limit:
         return F.broadcast(df)
     return df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder: cuts the
+    lineage of an intermediate that later steps read more than once
+    (recomputation would repeat its shuffles; a lost executor re-reads
+    the files instead of recomputing)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
