@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -558,3 +560,52 @@ def fmt24(spark, sf):
     d = tables.table(spark, sf, "documents").withColumn(
         "q", F.concat(F.lit("Which text comes from "), "source", F.lit(" in "), "lang", F.lit("?")))
     return R.pair_records(d, "pair", "q", "text")
+
+
+# SRC-3/4/5/8 round trips over files written from the driver tables ---------------
+PAGES_SCHEMA = "page_id BIGINT, url STRING, html STRING"
+
+
+@query("src3_read_jsonl", "SELECT page_id, url, length(html) AS html_chars FROM pages")
+def src3(spark, sf):
+    path = scratch_path(spark, "pages-jsonl-" + sf.strip("/").replace("/", "_"))
+    io.write_jsonl(tables.table(spark, sf, "pages"), path, ascii=True)
+    back = io.read_jsonl(spark, path, PAGES_SCHEMA)
+    return back.select("page_id", "url", F.length("html").alias("html_chars"))
+
+
+@query("src4_resolve_source", """
+SELECT 'json' AS kind, CAST(count(*) AS BIGINT) AS n FROM pages
+UNION ALL SELECT 'table', CAST(count(*) AS BIGINT) FROM documents""")
+def src4(spark, sf):
+    path = scratch_path(spark, "pages-json-" + sf.strip("/").replace("/", "_")) + ".json"
+    tables.table(spark, sf, "pages").write.mode("overwrite").json(path)
+    a = io.resolve_source(spark, path, schema=PAGES_SCHEMA).agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("kind", F.lit("json"))
+    b = io.resolve_source(spark, "documents", root=sf).agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("kind", F.lit("table"))
+    return a.unionByName(b).select("kind", "n")
+
+
+@query("src5_read_gzip_shards", "SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(length(html)) AS BIGINT) AS chars FROM pages")
+def src5(spark, sf):
+    path = scratch_path(spark, "pages-gz-" + sf.strip("/").replace("/", "_"))
+    io.write_jsonl(tables.table(spark, sf, "pages"), path, compression="gzip")
+    back = io.read_jsonl(spark, os.path.join(path, "part-*.json.gz"), PAGES_SCHEMA, min_partitions=8)
+    return back.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("html")).alias("chars"))
+
+
+@query("src8_read_list_file", r"""
+SELECT doc_id FROM documents
+WHERE EXISTS (SELECT 1 FROM region WHERE regexp_matches(source, '^(?:src' || CAST(r_regionkey AS VARCHAR) || ')'))""")
+def src8(spark, sf):
+    """A list file (comment + ``- pattern`` lines) written from ``region``,
+    read back and used as layer-style name patterns."""
+    path = scratch_path(spark, "patterns-" + sf.strip("/").replace("/", "_"))
+    lines = tables.table(spark, sf, "region").select(
+        F.concat(F.lit("- src"), F.col("r_regionkey").cast("string")).alias("value"))
+    header = spark.range(1).select(F.lit("# source patterns").alias("value"))
+    header.unionByName(lines).coalesce(1).write.mode("overwrite").text(path)
+    pats = io.read_list_file(spark, path)
+    d = tables.table(spark, sf, "documents").select("doc_id", "source")
+    return R.match_any_pattern(d, pats, "source").select("doc_id")

@@ -111,3 +111,13 @@ def set1(spark, sf):
     b = tables.table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text",
                                                      F.lit("benchmark").alias("origin"))
     return S.concat(d, b)
+
+
+@query("win4_running_offset", r"""
+SELECT doc_id, CAST(coalesce(sum(len(regexp_extract_all(text, '\S+'))) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS token_offset
+FROM documents""")
+def win4(spark, sf):
+    from tokenmill.operators.offsets import running_offset
+    from tokenmill.operators.tokens import tokenize_col
+    d = tables.table(spark, sf, "documents").select("doc_id", F.size(tokenize_col("text")).alias("n"))
+    return running_offset(d, ["doc_id"], "n", col="token_offset").select("doc_id", "token_offset")
