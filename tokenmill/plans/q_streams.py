@@ -46,7 +46,8 @@ def str2(spark, sf):
     li = S.file_stream(spark, sf, "lineitem.parquet", _schema(spark, sf, "lineitem"))
     c = tables.candidates_from(li, tables.table(spark, sf, "orders"))
     c = c.withColumn("correct", W.score_last_int("text", "ground_truth"))
-    q = S.pairs_stream(c, os.path.join(base, "out"), os.path.join(base, "ckpt"))
+    q = S.pairs_stream(c, os.path.join(base, "out"), os.path.join(base, "ckpt"),
+                       state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return spark.read.parquet(os.path.join(base, "out")).select(
         "prompt_id", "prompt", "ground_truth", "chosen", "rejected")
@@ -62,7 +63,8 @@ def str3(spark, sf):
     base = _run_dir(spark, "latency")
     ev = S.file_stream(spark, sf, "events.parquet", _schema(spark, sf, "events"))
     q = S.latency_windows(tables.load_samples_from(ev), os.path.join(base, "out"),
-                          os.path.join(base, "ckpt"), "60 seconds", "5 minutes")
+                          os.path.join(base, "ckpt"), "60 seconds", "5 minutes",
+                          state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     out = spark.read.parquet(os.path.join(base, "out"))
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "n", "failures",

@@ -22,6 +22,21 @@ from tokenmill.operators import rewards as W
 from tokenmill.sources import io
 
 
+def _start(writer, spark: SparkSession, state_partitions: int | None):
+    """Start a stream; ``state_partitions`` fixes the number of state-store
+    partitions of a stateful query (captured at start and kept in its
+    checkpoint), without changing the session for other queries."""
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
 def file_stream(spark: SparkSession, folder: str, pattern: str, schema,
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Parquet files of ``folder`` matching ``pattern`` as a stream."""
@@ -57,7 +72,8 @@ def score_stream(completions: DataFrame, out_path: str, checkpoint: str, log_pat
 # STR-2 ---------------------------------------------------------------
 def pairs_stream(candidates: DataFrame, out_path: str, checkpoint: str, key: str = "prompt_id",
                  idx: str = "cand_idx", text: str = "text", correct: str = "correct",
-                 carry: tuple[str, ...] = ("prompt", "ground_truth"), available_now: bool = True):
+                 carry: tuple[str, ...] = ("prompt", "ground_truth"), available_now: bool = True,
+                 state_partitions: int | None = None):
     """Running first-correct / first-wrong candidate per prompt; each
     trigger rewrites the complete pair table (complete mode)."""
     agg = candidates.groupBy(key).agg(
@@ -71,13 +87,14 @@ def pairs_stream(candidates: DataFrame, out_path: str, checkpoint: str, key: str
     w = agg.writeStream.outputMode("complete").foreachBatch(write) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    return _start(w, candidates.sparkSession, state_partitions)
 
 
 # STR-3 ---------------------------------------------------------------
 def latency_windows(samples: DataFrame, out_path: str, checkpoint: str, window: str = "60 seconds",
                     delay: str = "0 seconds", ts: str = "ts", value: str = "total_time",
-                    failed: str = "failed", by: tuple[str, ...] = (), available_now: bool = True):
+                    failed: str = "failed", by: tuple[str, ...] = (), available_now: bool = True,
+                    state_partitions: int | None = None):
     """Per event-time window: requests, failures, mean/max latency and an
     approximate p95 (a bounded sketch per window). Append mode: a window
     is written once the watermark passes its end."""
@@ -94,4 +111,4 @@ def latency_windows(samples: DataFrame, out_path: str, checkpoint: str, window:
     w = agg.writeStream.outputMode("append").format("parquet").option("path", out_path) \
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()
+    return _start(w, samples.sparkSession, state_partitions)
