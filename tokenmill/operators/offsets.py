@@ -44,17 +44,46 @@ def hash_key(*cols: Column | str, seed: str = "") -> Column:
     return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
 
 
-def _bucketize(df: DataFrame, key: Column, n_buckets: int) -> DataFrame:
-    with_key = df.withColumn(_KEYD, F.coalesce(key.cast("double"), F.lit(-1.0e308)))
+def _is_numeric(df: DataFrame, c: Column) -> bool:
+    t = df.select(c).schema.fields[0].dataType.typeName()
+    return t in ("byte", "short", "integer", "long", "float", "double") or t.startswith("decimal")
+
+
+def _bucketize(df: DataFrame, keys: list[Column], n_buckets: int) -> DataFrame:
+    """Bucket id per row, monotone in the (k1, k2) order.
+
+    Level 1: quantile cut points of k1 and a ``Bucketizer``. A k1 value
+    that fills several quantile slots (a hot value) would put a large
+    share of the rows into one bucket, so level 2 splits the rows holding
+    a hot value by quantile cut points of k2 (one small aggregate).
+    """
+    with_key = df.withColumn(_KEYD, F.coalesce(keys[0].cast("double"), F.lit(-1.0e308)))
     cuts: list[float] = []
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]
         cuts = with_key.approxQuantile(_KEYD, probs, 1.0 / (4 * n_buckets))
-    splits = [-math.inf] + sorted({c for c in cuts if math.isfinite(c)}) + [math.inf]
+    finite = [c for c in cuts if math.isfinite(c)]
+    splits = [-math.inf] + sorted(set(finite)) + [math.inf]
     if len(splits) < 3:
-        return with_key.withColumn(_BUCKET, F.lit(0.0)).drop(_KEYD)
-    bz = Bucketizer(splits=splits, inputCol=_KEYD, outputCol=_BUCKET, handleInvalid="keep")
-    return bz.transform(with_key).drop(_KEYD)
+        out = with_key.withColumn(_BUCKET, F.lit(0.0))
+    else:
+        bz = Bucketizer(splits=splits, inputCol=_KEYD, outputCol=_BUCKET, handleInvalid="keep")
+        out = bz.transform(with_key)
+    hot = sorted({c for c in finite if finite.count(c) >= 2})
+    if not hot or len(keys) < 2 or not _is_numeric(df, keys[1]):
+        return out.drop(_KEYD)
+    k2 = keys[1].cast("double")
+    sub_n = n_buckets
+    probs2 = [i / sub_n for i in range(1, sub_n)]
+    sub_cuts = (out.where(F.col(_KEYD).isin(hot))
+                .groupBy(_KEYD).agg(F.percentile_approx(k2, probs2, 4 * sub_n).alias("c"))
+                .collect())  # one row per hot value (at most n_buckets / 2)
+    sub = F.lit(sub_n)  # rows after the hot value inside its bucket
+    for r in sub_cuts:
+        arr = F.array(*[F.lit(float(x)) for x in sorted(set(r["c"]))])
+        sub = F.when(F.col(_KEYD) == F.lit(r[_KEYD]), F.size(F.filter(arr, lambda c: c < k2))) \
+            .otherwise(sub)
+    return out.withColumn(_BUCKET, F.col(_BUCKET) * (sub_n + 1) + sub).drop(_KEYD)
 
 
 def with_positions(df: DataFrame, order: list[Column | str], *,
@@ -72,7 +101,7 @@ def with_positions(df: DataFrame, order: list[Column | str], *,
     """
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     n_buckets = n_buckets or default_buckets(df)
-    b = _bucketize(df, order_cols[0], n_buckets)
+    b = _bucketize(df, order_cols, n_buckets)
     size_c = None if size is None else (F.col(size) if isinstance(size, str) else size)
 
     aggs = [F.count(F.lit(1)).alias("_tm_n")]

@@ -289,10 +289,14 @@ def no_duplicate_batches(df: DataFrame, text: str, order: str, size: int) -> Dat
     (text hash, order) minus the first position of the text: a hot text is
     spread over many buckets instead of one window partition.
     """
+    # rows are numbered in (text hash, order): copies of a text are
+    # consecutive; a hot text is split across buckets by its order values.
+    # (A hash collision only merges two texts' numbering: copies of one
+    # text still get distinct occurrence numbers.)
     th = F.xxhash64(text)
-    pos = with_positions(df.withColumn("_tm_th", th), ["_tm_th", text, order], pos_col="_tm_p")
-    first = pos.groupBy("_tm_th", text).agg(F.min("_tm_p").alias("_tm_p0"))
-    occ = pos.join(first, ["_tm_th", text]).withColumn("occ", F.col("_tm_p") - F.col("_tm_p0")) \
+    pos = with_positions(df.withColumn("_tm_th", th), ["_tm_th", order], pos_col="_tm_p")
+    first = pos.groupBy("_tm_th").agg(F.min("_tm_p").alias("_tm_p0"))
+    occ = pos.join(first, ["_tm_th"]).withColumn("occ", F.col("_tm_p") - F.col("_tm_p0")) \
         .drop("_tm_p", "_tm_p0", "_tm_th")
     occ = materialize(occ)  # read three times below
     laid = with_positions(occ, ["occ", order], pos_col="_tm_g")
