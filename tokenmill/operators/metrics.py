@@ -51,7 +51,7 @@ def length_percentile(df: DataFrame, lengths: ColumnOrName, p: float,
 
 
 def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], by: Sequence[str] = (),
-                      sub_ranges: int = 32) -> DataFrame:
+                      sub_ranges: int | None = None, rows_per_task: int = 2_000_000) -> DataFrame:
     """Exact percentiles (linear interpolation, as numpy's default) of a
     continuous column per group, by rank.
 
@@ -62,10 +62,15 @@ def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], by: Sequen
     4. only the rows at ranks ``floor/ceil(p * (n - 1))`` are kept and
        interpolated.
     Output: ``by`` columns + one ``p{100p}`` column per p (double).
+    Without ``sub_ranges`` the count is sized from the largest group
+    (one small aggregate): about ``rows_per_task`` rows per value range.
     """
     keys = list(by) or ["_tm_all"]
     base = df.select(*(list(by) or [F.lit(0).alias("_tm_all")]),
                      F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    if sub_ranges is None:
+        largest = base.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        sub_ranges = int(min(4096, max(8, -(-largest // rows_per_task))))
     probs = [i / sub_ranges for i in range(1, sub_ranges)]
     # cut points: one small row per group -> joined on the group key
     cuts = base.groupBy(*keys).agg(F.percentile_approx("_v", probs, 10000).alias("_cuts"))

@@ -27,9 +27,15 @@ _BUCKET = "_tm_bucket"
 _KEYD = "_tm_keyd"
 
 
+MAX_BUCKETS = 16384
+MAX_SUB_BUCKETS = 256
+
+
 def default_buckets(df: DataFrame) -> int:
+    """Four buckets per shuffle partition (the session's partition count is
+    sized for the data volume), capped."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    return max(4, parts * 4)
+    return min(MAX_BUCKETS, max(4, parts * 4))
 
 
 def hash_key(*cols: Column | str, seed: str = "") -> Column:
@@ -73,7 +79,7 @@ def _bucketize(df: DataFrame, keys: list[Column], n_buckets: int) -> DataFrame:
     if not hot or len(keys) < 2 or not _is_numeric(df, keys[1]):
         return out.drop(_KEYD)
     k2 = keys[1].cast("double")
-    sub_n = n_buckets
+    sub_n = min(n_buckets, MAX_SUB_BUCKETS)
     probs2 = [i / sub_n for i in range(1, sub_n)]
     sub_cuts = (out.where(F.col(_KEYD).isin(hot))
                 .groupBy(_KEYD).agg(F.percentile_approx(k2, probs2, 4 * sub_n).alias("c"))
