@@ -136,12 +136,6 @@ def with_positions(df: DataFrame, order: list[Column | str], *,
     return out.drop(_BUCKET, "_tm_n0", "_tm_sz0")
 
 
-def total(df: DataFrame, size: Column | str) -> DataFrame:
-    """One-row frame with the grand total of ``size`` (tiny)."""
-    s = F.col(size) if isinstance(size, str) else size
-    return df.agg(F.coalesce(F.sum(s), F.lit(0)).cast("bigint").alias("_tm_total"))
-
-
 def running_offset(df: DataFrame, order: list[Column | str], size: Column | str,
                    col: str = "offset") -> DataFrame:
     """WIN-4: the sum of ``size`` over all rows before this one in

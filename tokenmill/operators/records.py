@@ -116,15 +116,23 @@ def filter_min_tokens(df: DataFrame, tokens: str, n: int) -> DataFrame:
 
 # FLT-6 ---------------------------------------------------------------
 def match_any_pattern(df: DataFrame, patterns: DataFrame, col: str,
-                      pattern_col: str = "entry") -> DataFrame:
+                      pattern_col: str = "entry", max_patterns: int = 10_000) -> DataFrame:
     """Rows whose ``col`` matches any regex of ``patterns`` at its start.
 
-    Patterns are a small list file (one row per layer rule); a broadcast
-    left-semi join keeps each row at most once.
+    The pattern list is a small file (layer rules): it is read once
+    (bounded by ``max_patterns``, checked) and folded into one anchored
+    alternation, so the filter is one regex per row and no join. A longer
+    list falls back to a broadcast left-semi join on ``rlike``.
     """
-    pats = patterns.select(F.concat(F.lit("(?d)^(?:"), F.col(pattern_col), F.lit(")"))
-                           .alias("_tm_pat"))
-    return df.join(F.broadcast(pats), F.expr(f"`{col}` rlike _tm_pat"), "left_semi")
+    pats = [r[0] for r in patterns.select(pattern_col).limit(max_patterns + 1).collect()
+            if r[0] is not None]
+    if len(pats) <= max_patterns:
+        if not pats:
+            return df.limit(0)
+        combined = "(?d)^(?:" + "|".join(f"(?:{p})" for p in pats) + ")"
+        return df.where(F.col(col).rlike(combined))
+    p = patterns.select(F.concat(F.lit("(?d)^(?:"), F.col(pattern_col), F.lit(")")).alias("_tm_pat"))
+    return df.join(F.broadcast(p), F.expr(f"`{col}` rlike _tm_pat"), "left_semi")
 
 
 # FLT-7 ---------------------------------------------------------------

@@ -6,8 +6,6 @@ same rows come out on every recomputation and in any SQL engine with md5.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,7 +109,3 @@ def concat(*dfs: DataFrame) -> DataFrame:
     for d in dfs[1:]:
         out = out.unionByName(d, allowMissingColumns=True)
     return out
-
-
-def exact_count_fraction(n: int, frac: float) -> int:
-    return int(math.ceil(n * frac))
