@@ -230,14 +230,21 @@ R1_USER = ("Using the numbers {nums}, create an equation that equals {target}. Y
            "used once. Show your work in <think> </think> tags. And return the final equation "
            "in <answer> </answer> tags, for example <answer> (1 + 2) / 3 </answer>. Think step "
            "by step inside <think> tags.")
+# The notebook's shorter task wording.
+R1_USER_NOTEBOOK = ("Using the numbers {nums}, create an equation that equals {target}. You can use "
+                    "basic arithmetic operations (+, -, *, /) and each number can only be used once. "
+                    "Show your work in <think> </think> tags. And return the final equation and answer "
+                    "in <answer> </answer> tags, for example <answer> (1 + 2) / 3 = 1 </answer>.")
 R1_PREFILL = "Let me solve this step by step.\n<think>"
 
 
-def r1_prompt(nums: ColumnOrName, target: ColumnOrName) -> Column:
-    """System + task + assistant prefill, the last message left open."""
+def r1_prompt(nums: ColumnOrName, target: ColumnOrName, wording: str = "script") -> Column:
+    """System + task + assistant prefill, the last message left open;
+    ``wording`` is ``"script"`` or ``"notebook"``."""
+    task = {"script": R1_USER, "notebook": R1_USER_NOTEBOOK}[wording]
     msgs = F.array(
         chat.message("system", F.lit(R1_SYSTEM)),
-        chat.message("user", template(R1_USER, nums=list_text(nums), target=target)),
+        chat.message("user", template(task, nums=list_text(nums), target=target)),
         chat.message("assistant", F.lit(R1_PREFILL)))
     return chat.chatml(msgs, continue_final=True)
 

@@ -51,7 +51,8 @@ def score_stream(completions: DataFrame, out_path: str, checkpoint: str, log_pat
                  log_fraction: float = 0.1, key: tuple[str, ...] = ("task_id", "gen_idx"),
                  available_now: bool = True):
     """Score arriving completions (format + equation reward) and append
-    them; ``log_fraction`` of the successes go to a text log."""
+    them; ``log_fraction`` of all completions and, separately, of the
+    successes go to two text logs."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         scored = batch.withColumn("format_reward", W.format_reward("completion"))
@@ -59,10 +60,13 @@ def score_stream(completions: DataFrame, out_path: str, checkpoint: str, log_pat
         scored = scored.withColumn("batch_id", F.lit(batch_id))
         scored.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
         if log_path:
+            text = F.concat(F.lit("\n\n==============\n<think>"), F.col("completion")).alias("value")
+            io.sample_fraction(scored, log_fraction, "completion", *key).select(text) \
+                .write.mode("overwrite").text(os.path.join(log_path, "completion_samples", f"batch_id={batch_id}"))
             good = scored.where(F.col("equation_reward") >= 1.0)
-            io.sample_fraction(good, log_fraction, "success", *key) \
-                .select(F.concat(F.lit("\n\n==============\n<think>"), F.col("completion")).alias("value")) \
-                .write.mode("overwrite").text(os.path.join(log_path, f"batch_id={batch_id}"))
+            io.sample_fraction(good, log_fraction, "success", *key).select(text) \
+                .write.mode("overwrite").text(os.path.join(log_path, "success_completion_samples",
+                                                           f"batch_id={batch_id}"))
 
     w = completions.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
