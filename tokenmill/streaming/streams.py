@@ -58,6 +58,9 @@ def score_stream(completions: DataFrame, out_path: str, checkpoint: str, log_pat
         scored = batch.withColumn("format_reward", W.format_reward("completion"))
         scored = W.equation_reward(scored, "completion", "target", "nums")
         scored = scored.withColumn("batch_id", F.lit(batch_id))
+        # three sinks read the micro-batch: score it once (a lost block is
+        # recomputed from the batch's own input)
+        scored = scored.persist()
         scored.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
         if log_path:
             text = F.concat(F.lit("\n\n==============\n<think>"), F.col("completion")).alias("value")
@@ -67,6 +70,7 @@ def score_stream(completions: DataFrame, out_path: str, checkpoint: str, log_pat
             io.sample_fraction(good, log_fraction, "success", *key).select(text) \
                 .write.mode("overwrite").text(os.path.join(log_path, "success_completion_samples",
                                                            f"batch_id={batch_id}"))
+        scored.unpersist()
 
     w = completions.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
