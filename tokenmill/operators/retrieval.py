@@ -117,14 +117,26 @@ def score_top_k(queries: DataFrame, corpus: DataFrame, dims: Sequence[int], k: i
     kq = [F.col(rel_key).cast("string").alias("key")] if rel_key else []
     q = queries.select(F.col(q_id).cast("bigint").alias("qid"), F.col(vec).alias("v"), *kq)
     c = corpus.select(F.col(c_id).cast("bigint").alias("cid"), F.col(vec).alias("v"), *kq)
-    size = plan_size_bytes(q)
-    if size is not None and size <= broadcast_limit:
+    if _fits_broadcast(q, max(dims), broadcast_limit):
         partial = _broadcast_path(q, c, dims, k, bool(rel_key))
     else:
         partial = _blocked_path(q, c, dims, k, query_block, corpus_buckets, bool(rel_key))
     return top_k_per_key(partial, ["dim", "qid"], "score", k, tiebreak="cid")
 
 
+def _fits_broadcast(q: DataFrame, width: int, limit: int) -> bool:
+    """Proven bound for the query block: the optimizer's estimate when it
+    is already under ``limit``, else a bounded row count (``limit + 1``
+    rows at most) times the bytes of one vector."""
+    if limit <= 0:
+        return False
+    est = plan_size_bytes(q)
+    if est is not None and est <= limit:
+        return True
+    max_rows = max(1, limit // (width * 8 + 64))
+    return q.limit(max_rows + 1).count() <= max_rows
+
+
 def _emit(r: dict, q_ids: np.ndarray, q_keys, keyed: bool) -> dict:
     cols = {"dim": pa.array(r["dim"], pa.int32()), "qid": pa.array(r["qid"], pa.int64()),
             "cid": pa.array(r["cid"], pa.int64()), "score": pa.array(r["score"], pa.float64())}
