@@ -13,9 +13,10 @@ from tokenmill.operators.offsets import hash_key, with_positions
 
 ColumnOrName = Column | str
 
-# Largest n for which ``orderBy().limit(n)`` (a bounded top-n heap per
-# task) is used; beyond it rows are ranked with bucketed positions.
-TAKE_ORDERED_MAX = 100_000
+# Largest n for which ``orderBy().limit(n)`` (a top-n heap per task) is
+# used: its final merge takes up to n rows from every input partition into
+# one task. Beyond it rows are ranked with bucketed positions.
+TAKE_ORDERED_MAX = 10_000
 
 
 def shuffle_key(id_col: ColumnOrName, seed: int | str) -> Column:
