@@ -211,12 +211,17 @@ def failure_rate(df: DataFrame, failed: str, by: Sequence[str] | str | None = No
 
 
 # AGG-13 --------------------------------------------------------------
-def peak_by(df: DataFrame, metric: str, arg: str, by: Sequence[str] | str) -> DataFrame:
-    """Maximum of ``metric`` and the ``arg`` where it occurs (ties: the
-    smallest ``arg``) per group."""
-    return _group(df, by).agg(F.max(metric).alias(f"peak_{metric}"),
-                              F.max_by(F.col(arg), F.struct(F.col(metric), -F.col(arg)))
-                              .alias(f"peak_{arg}"))
+def peak_by(df: DataFrame, metric: str | Sequence[str], arg: str, by: Sequence[str] | str) -> DataFrame:
+    """Maximum of each metric and the ``arg`` where it occurs (ties: the
+    smallest ``arg``) per group — e.g. peak requests/s and peak tokens/s
+    with their request rates."""
+    metrics = [metric] if isinstance(metric, str) else list(metric)
+    aggs = []
+    for m in metrics:
+        aggs.append(F.max(m).alias(f"peak_{m}"))
+        name = f"peak_{arg}" if len(metrics) == 1 else f"{m}_peak_{arg}"
+        aggs.append(F.max_by(F.col(arg), F.struct(F.col(m), -F.col(arg))).alias(name))
+    return _group(df, by).agg(*aggs)
 
 
 # AGG-15 --------------------------------------------------------------

@@ -185,11 +185,13 @@ def rates(spark, sf):
 
 @query("agg13_peak_by", f"""
 WITH {RATES}
-SELECT variant, round(max(rps), 6) AS peak_rps, first(vus ORDER BY rps DESC, vus) AS peak_vus FROM r GROUP BY variant""",
+SELECT variant, round(max(rps), 6) AS peak_rps, first(vus ORDER BY rps DESC, vus) AS rps_peak_vus,
+       round(max(tps), 6) AS peak_tps, first(vus ORDER BY tps DESC, vus) AS tps_peak_vus FROM r GROUP BY variant""",
        views=True)
 def agg13(spark, sf):
-    p = M.peak_by(rates(spark, sf), "rps", "vus", "variant")
-    return p.select("variant", r6("peak_rps").alias("peak_rps"), "peak_vus")
+    p = M.peak_by(rates(spark, sf), ["rps", "tps"], "vus", "variant")
+    return p.select("variant", r6("peak_rps").alias("peak_rps"), "rps_peak_vus",
+                    r6("peak_tps").alias("peak_tps"), "tps_peak_vus")
 
 
 @query("agg16_win_rates", """
