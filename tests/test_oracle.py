@@ -13,6 +13,9 @@ import __spark_entry__ as entry  # noqa: E402
 from compare import TABLES, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
+# Spark simple type names -> DuckDB type names of equal values
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
 
@@ -35,6 +38,11 @@ def test_query_matches_oracle(spark, con, name):
     if name not in ORACLE:
         assert srows is not None
         return
+    rel = con.sql(ORACLE[name])
+    dtypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    stypes = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    assert stypes == dtypes
     res = con.execute(ORACLE[name])
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)

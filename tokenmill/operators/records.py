@@ -215,6 +215,31 @@ def assemble_turns(df: DataFrame, conv: str = "conv_id", turn: str = "turn",
                 s["role"].alias("role"), s["content"].alias("content"))).alias(out)))
 
 
+def chatml_token_counts(turns: DataFrame, system_text: str, conv: str = "conv_id",
+                        turn: str = "turn", role: str = "role", text_col: str = "text") -> DataFrame:
+    """Per conversation: number of messages and whitespace tokens of its
+    ChatML rendering after ``ensure_system`` — without assembling it.
+
+    Every ChatML message ends in a newline, so no token spans two
+    messages: the count is a sum over turns (a partial aggregate). A
+    conversation with very many turns is never collected into one row.
+    """
+    from tokenmill.operators.tokens import tokenize_col
+    rendered = turns.select(
+        conv, turn, role,
+        F.size(tokenize_col(F.concat(F.lit(chat.IM_START), F.col(role), F.lit("\n"),
+                                     F.col(text_col), F.lit(chat.IM_END + "\n")))).alias("_tm_tok"))
+    sys_tokens = F.size(tokenize_col(F.lit(f"{chat.IM_START}system\n{system_text}{chat.IM_END}\n")))
+    per_conv = rendered.groupBy(conv).agg(
+        F.count(F.lit(1)).alias("_tm_n"), F.min_by(role, turn).alias("_tm_first"),
+        F.sum("_tm_tok").alias("_tm_sum"))
+    has_sys = F.col("_tm_first") == "system"
+    return per_conv.select(
+        conv,
+        (F.col("_tm_n") + F.when(has_sys, 0).otherwise(1)).alias("n_messages"),
+        (F.col("_tm_sum") + F.when(has_sys, 0).otherwise(sys_tokens)).alias("tokens"))
+
+
 # FMT-13 --------------------------------------------------------------
 def list_text(nums: ColumnOrName) -> Column:
     """Python-style list text ``[a, b, c]``."""

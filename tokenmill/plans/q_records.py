@@ -41,27 +41,9 @@ def conv(spark: SparkSession, sf: str) -> DataFrame:
 # Flagship: chat token profile ---------------------------------------------
 def chat_token_profile_df(turns: DataFrame, system_text: str = DEFAULT_SYSTEM) -> DataFrame:
     """conversations -> ensure system -> even turns -> ChatML -> whitespace
-    tokens -> p95 length per number of messages.
-
-    Computed per message and summed per conversation (ChatML messages end
-    in a newline, so tokens never span two messages): a partial aggregate,
-    no conversation is ever collected into one row.
-    """
-    rendered = turns.select(
-        "conv_id", "turn", "role",
-        F.size(T.tokenize_col(F.concat(F.lit(chat.IM_START), F.col("role"), F.lit("\n"),
-                                       F.col("text"), F.lit(chat.IM_END + "\n")))).alias("n_tok"))
-    sys_tokens = F.size(T.tokenize_col(F.lit(f"{chat.IM_START}system\n{system_text}"
-                                             f"{chat.IM_END}\n")))
-    per_conv = rendered.groupBy("conv_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min_by("role", "turn").alias("first_role"),
-        F.sum("n_tok").alias("tok"))
-    has_sys = F.col("first_role") == "system"
-    with_sys = per_conv.select(
-        (F.col("n") + F.when(has_sys, 0).otherwise(1)).alias("n_messages"),
-        (F.col("tok") + F.when(has_sys, 0).otherwise(sys_tokens)).alias("tokens"))
-    even = with_sys.where((F.col("n_messages") - 1) % 2 == 0)
+    tokens -> p95 length per number of messages."""
+    counts = R.chatml_token_counts(turns, system_text)
+    even = counts.where((F.col("n_messages") - 1) % 2 == 0)
     return even.groupBy("n_messages").agg(
         F.count(F.lit(1)).alias("n_conversations"),
         F.percentile("tokens", 0.95).cast("int").alias("p95_tokens"))
@@ -76,7 +58,7 @@ WITH {CONV},
 s AS (SELECT conv_id, {ENSURE.format(sys=DEFAULT_SYSTEM)} AS m FROM conv),
 e AS (SELECT * FROM s WHERE (len(m) - 1) % 2 = 0),
 r AS (SELECT len(m) AS n_messages, {CHATML.format(m='m')} AS chat FROM e)
-SELECT CAST(n_messages AS INTEGER) AS n_messages, CAST(count(*) AS BIGINT) AS n_conversations,
+SELECT CAST(n_messages AS BIGINT) AS n_messages, CAST(count(*) AS BIGINT) AS n_conversations,
        CAST(trunc(quantile_cont(len(regexp_extract_all(chat, '\S+')), 0.95)) AS INTEGER) AS p95_tokens
 FROM r GROUP BY n_messages
 """
@@ -566,7 +548,7 @@ def fmt24(spark, sf):
 PAGES_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 
 
-@query("src3_read_jsonl", "SELECT page_id, url, length(html) AS html_chars FROM pages")
+@query("src3_read_jsonl", "SELECT page_id, url, CAST(length(html) AS INTEGER) AS html_chars FROM pages")
 def src3(spark, sf):
     path = scratch_path(spark, "pages-jsonl-" + sf.strip("/").replace("/", "_"))
     io.write_jsonl(tables.table(spark, sf, "pages"), path, ascii=True)

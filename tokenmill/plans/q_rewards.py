@@ -26,7 +26,7 @@ FORMAT_SQL = """CASE WHEN instr(completion, '</think>') > 0
   AND (CASE WHEN ends_with(completion, '</answer>' || chr(10)) THEN length(completion) - 10
             WHEN ends_with(completion, '</answer>') THEN length(completion) - 9 END)
       >= instr(completion, '</think>') - 1 + 17
-  THEN 1.0 ELSE 0.0 END"""
+  THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END"""
 
 EQ_SQL = r"""e AS (SELECT *, regexp_replace(regexp_extract('<think>' || completion, '<answer>(.*?)</answer>', 1), '^\s+|\s+$', '', 'g') AS eq,
                  regexp_matches('<think>' || completion, '<answer>(.*?)</answer>') AS has FROM countdown),
@@ -37,7 +37,7 @@ v AS (SELECT *, CASE WHEN gate AND regexp_full_match(eq, '\s*\d+\s*[+-]\s*\d+\s*
                                THEN CAST(regexp_extract(eq, '(\d+)', 1) AS BIGINT) + CAST(regexp_extract(eq, '\d+\s*[+-]\s*(\d+)', 1) AS BIGINT)
                                ELSE CAST(regexp_extract(eq, '(\d+)', 1) AS BIGINT) - CAST(regexp_extract(eq, '\d+\s*[+-]\s*(\d+)', 1) AS BIGINT) END
                 END AS val FROM g),
-r AS (SELECT task_id, gen_idx, CASE WHEN abs(val - target) < 1e-5 THEN 1.0 ELSE 0.0 END AS equation_reward,
+r AS (SELECT task_id, gen_idx, CASE WHEN abs(val - target) < 1e-5 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS equation_reward,
              """ + FORMAT_SQL + """ AS format_reward FROM v)"""
 
 

@@ -230,7 +230,8 @@ SELECT CAST(window_id AS BIGINT) AS window_id, CAST(crop_start AS BIGINT) AS cro
 FROM w JOIN x ON x.gpos >= w.crop_start AND x.gpos < w.crop_start + 128 GROUP BY window_id, crop_start""")
 def cal2(spark, sf):
     w = T.random_windows(cal_corpus(spark, sf), 16, 128, seed=0)
-    return w.select("window_id", "crop_start", F.array_join("input_ids", " ").alias("input_ids"),
+    return w.select(F.col("window_id").cast("bigint").alias("window_id"), "crop_start",
+                    F.array_join("input_ids", " ").alias("input_ids"),
                     F.size("attention_mask").alias("n"))
 
 
