@@ -71,13 +71,13 @@ def _bucketize(df: DataFrame, keys: list[Column], n_buckets: int) -> DataFrame:
     finite = [c for c in cuts if math.isfinite(c)]
     splits = [-math.inf] + sorted(set(finite)) + [math.inf]
     if len(splits) < 3:
-        out = with_key.withColumn(_BUCKET, F.lit(0.0))
+        out = with_key.withColumn(_BUCKET, F.lit(0).cast("double"))
     else:
         bz = Bucketizer(splits=splits, inputCol=_KEYD, outputCol=_BUCKET, handleInvalid="keep")
         out = bz.transform(with_key)
     hot = sorted({c for c in finite if finite.count(c) >= 2})
     if not hot or len(keys) < 2 or not _is_numeric(df, keys[1]):
-        return out.drop(_KEYD)
+        return out.withColumn(_BUCKET, F.col(_BUCKET).cast("bigint")).drop(_KEYD)
     k2 = keys[1].cast("double")
     sub_n = min(n_buckets, MAX_SUB_BUCKETS)
     probs2 = [i / sub_n for i in range(1, sub_n)]
@@ -89,7 +89,7 @@ def _bucketize(df: DataFrame, keys: list[Column], n_buckets: int) -> DataFrame:
         arr = F.array(*[F.lit(float(x)) for x in sorted(set(r["c"]))])
         sub = F.when(F.col(_KEYD) == F.lit(r[_KEYD]), F.size(F.filter(arr, lambda c: c < k2))) \
             .otherwise(sub)
-    return out.withColumn(_BUCKET, F.col(_BUCKET) * (sub_n + 1) + sub).drop(_KEYD)
+    return out.withColumn(_BUCKET, (F.col(_BUCKET) * (sub_n + 1) + sub).cast("bigint")).drop(_KEYD)
 
 
 def with_positions(df: DataFrame, order: list[Column | str], *,

@@ -230,10 +230,12 @@ def chatml_token_counts(turns: DataFrame, system_text: str, conv: str = "conv_id
         F.size(tokenize_col(F.concat(F.lit(chat.IM_START), F.col(role), F.lit("\n"),
                                      F.col(text_col), F.lit(chat.IM_END + "\n")))).alias("_tm_tok"))
     sys_tokens = F.size(tokenize_col(F.lit(f"{chat.IM_START}system\n{system_text}{chat.IM_END}\n")))
+    # fixed-width aggregate buffers (no string in min_by): hash aggregation
     per_conv = rendered.groupBy(conv).agg(
-        F.count(F.lit(1)).alias("_tm_n"), F.min_by(role, turn).alias("_tm_first"),
+        F.count(F.lit(1)).alias("_tm_n"),
+        F.min_by((F.col(role) == "system"), turn).alias("_tm_first_sys"),
         F.sum("_tm_tok").alias("_tm_sum"))
-    has_sys = F.col("_tm_first") == "system"
+    has_sys = F.coalesce(F.col("_tm_first_sys"), F.lit(False))
     return per_conv.select(
         conv,
         (F.col("_tm_n") + F.when(has_sys, 0).otherwise(1)).alias("n_messages"),
