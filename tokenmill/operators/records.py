@@ -276,23 +276,28 @@ def r1_prompt(nums: ColumnOrName, target: ColumnOrName, wording: str = "script")
     return chat.chatml(msgs, continue_final=True)
 
 
-# FMT-14 --------------------------------------------------------------
+# FMT-14 / FMT-15 -----------------------------------------------------
+# Instruction-record formats.
+INSTRUCTION_BLOCK = ("### Instruction:\nUse the Input below to create an instruction, which could "
+                     "have been used to generate the input using an LLM. \n\n### Input:\n{response}"
+                     "\n\n### Response:\n{instruction}\n")
+INSTRUCTION_HEADER = "### Instruction\n"
+CONTEXT_HEADER = "### Context\n"
+ANSWER_HEADER = "### Answer\n"
+
+
 def instruction_block(instruction: ColumnOrName, response: ColumnOrName) -> Column:
     """``### Instruction / ### Input / ### Response``; the instruction is
     to be generated back from the response."""
-    return F.concat(
-        F.lit("### Instruction:\nUse the Input below to create an instruction, which could have "
-              "been used to generate the input using an LLM. \n\n### Input:\n"),
-        _c(response), F.lit("\n\n### Response:\n"), _c(instruction), F.lit("\n"))
+    return template(INSTRUCTION_BLOCK, instruction=instruction, response=response)
 
 
-# FMT-15 --------------------------------------------------------------
 def instruction_context_answer(instruction: ColumnOrName, context: ColumnOrName,
                                response: ColumnOrName) -> Column:
     """Context block omitted when empty; parts joined by a blank line."""
-    ctx = F.when(F.length(_c(context)) > 0, F.concat(F.lit("### Context\n"), _c(context)))
-    return F.concat_ws("\n\n", F.concat(F.lit("### Instruction\n"), _c(instruction)), ctx,
-                       F.concat(F.lit("### Answer\n"), _c(response)))
+    ctx = F.when(F.length(_c(context)) > 0, F.concat(F.lit(CONTEXT_HEADER), _c(context)))
+    return F.concat_ws("\n\n", F.concat(F.lit(INSTRUCTION_HEADER), _c(instruction)), ctx,
+                       F.concat(F.lit(ANSWER_HEADER), _c(response)))
 
 
 # FMT-16 --------------------------------------------------------------
