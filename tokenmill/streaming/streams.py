@@ -81,19 +81,39 @@ def score_stream(completions: DataFrame, out_path: str, checkpoint: str, log_pat
 def pairs_stream(candidates: DataFrame, out_path: str, checkpoint: str, key: str = "prompt_id",
                  idx: str = "cand_idx", text: str = "text", correct: str = "correct",
                  carry: tuple[str, ...] = ("prompt", "ground_truth"), available_now: bool = True,
-                 state_partitions: int | None = None):
-    """Running first-correct / first-wrong candidate per prompt; each
-    trigger rewrites the complete pair table (complete mode)."""
-    agg = candidates.groupBy(key).agg(
-        W.first_by(text, idx, correct).alias("chosen"),
-        W.first_by(text, idx, f"NOT {correct}").alias("rejected"),
-        *[F.any_value(c).alias(c) for c in carry])
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        W.filter_complete(batch).write.mode("overwrite").parquet(out_path)
-
-    w = agg.writeStream.outputMode("complete").foreachBatch(write) \
-        .option("checkpointLocation", checkpoint)
+                 state_partitions: int | None = None, arrival: str | None = None,
+                 window: str = "10 minutes", delay: str = "10 minutes"):
+    """Running first-correct / first-wrong candidate per prompt.
+
+    Without ``arrival`` each trigger rewrites the complete pair table
+    (complete mode; one state row per prompt, kept forever). With an
+    ``arrival`` time column, candidates are grouped per prompt and
+    event-time ``window`` under a watermark: a prompt's pair is appended
+    once its window closes and its state is dropped (bounded state)."""
+    aggs = [W.first_by(text, idx, correct).alias("chosen"),
+            W.first_by(text, idx, f"NOT {correct}").alias("rejected"),
+            *[F.any_value(c).alias(c) for c in carry]]
+    if arrival is None:
+        agg = candidates.groupBy(key).agg(*aggs)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            W.filter_complete(batch).write.mode("overwrite").parquet(out_path)
+
+        w = agg.writeStream.outputMode("complete").foreachBatch(write)
+    else:
+        c = candidates
+        if c.schema[arrival].dataType.typeName() == "timestamp_ntz":
+            c = c.withColumn(arrival, F.col(arrival).cast("timestamp"))
+        agg = (c.withWatermark(arrival, delay)
+               .groupBy(key, F.window(arrival, window).alias("w")).agg(*aggs)
+               .select(key, F.col("w.start").alias("window_start"), "chosen", "rejected", *carry))
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            W.filter_complete(batch).write.mode("overwrite").parquet(
+                os.path.join(out_path, f"batch_id={batch_id}"))
+
+        w = agg.writeStream.outputMode("append").foreachBatch(write)
+    w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return _start(w, candidates.sparkSession, state_partitions)
 
