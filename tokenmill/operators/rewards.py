@@ -76,9 +76,11 @@ def limit_pairs(pairs: DataFrame, n: int | None, order: str) -> DataFrame:
 
 
 # RWD-4 ---------------------------------------------------------------
-def explode_candidates(df: DataFrame, key: str, outputs: str) -> DataFrame:
-    """``n`` completions per prompt as rows with their 0-based index."""
-    return df.select(key, F.posexplode(outputs).alias("cand_idx", "text"))
+def explode_candidates(df: DataFrame, key: str | list[str], outputs: str,
+                       idx: str = "cand_idx") -> DataFrame:
+    """``n`` completions per request as rows with their 0-based index."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.select(*keys, F.posexplode(outputs).alias(idx, "text"))
 
 
 # RWD-5 ---------------------------------------------------------------

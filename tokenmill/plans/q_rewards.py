@@ -83,15 +83,16 @@ def rwd3(spark, sf):
 
 
 @query("rwd4_explode_candidates", """
-SELECT prompt_id, CAST(row_number() OVER (PARTITION BY prompt_id ORDER BY cand_idx) - 1 AS INTEGER) AS cand_idx, text
-FROM candidates""", views=True)
+SELECT prompt_id, cand_idx AS request_idx, CAST(i - 1 AS INTEGER) AS out_idx, t AS text
+FROM (SELECT prompt_id, cand_idx, unnest([text, text || ' (again)', upper(prompt)]) AS t,
+             unnest(range(1, 4)) AS i FROM candidates)""", views=True)
 def rwd4(spark, sf):
-    """Generator output shape (a list of n texts per prompt) -> rows."""
+    """Generator output shape: each request row holds its n = 3 sampled
+    texts (a list bounded by n, built per row) -> one row per text."""
     c = tables.candidates(spark, sf)
-    lists = c.groupBy("prompt_id").agg(F.array_sort(F.collect_list(F.struct("cand_idx", "text")))
-                                       .alias("outs"))
-    lists = lists.select("prompt_id", F.transform("outs", lambda s: s["text"]).alias("outputs"))
-    return W.explode_candidates(lists, "prompt_id", "outputs")
+    outs = c.select("prompt_id", F.col("cand_idx").alias("request_idx"),
+                    F.array("text", F.concat("text", F.lit(" (again)")), F.upper("prompt")).alias("outputs"))
+    return W.explode_candidates(outs, ["prompt_id", "request_idx"], "outputs", idx="out_idx")
 
 
 def _chatml_sql(role: str, content: str) -> str:
