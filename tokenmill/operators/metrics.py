@@ -85,20 +85,22 @@ def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], by: Sequen
     ranked = b.join(F.broadcast(offsets), keys + ["_sub"])
     wr = Window.partitionBy(*keys, "_sub").orderBy("_v")
     ranked = ranked.withColumn("_r", F.col("_off") + F.row_number().over(wr) - 1)
-    want = []
+    # only the rows at the ranks a percentile needs survive (<= 2 per p and
+    # group); one conditional aggregate interpolates every percentile
+    lo = {p: F.floor(F.lit(p) * (F.col("_n") - 1)).cast("bigint") for p in ps}
+    hi = {p: F.ceil(F.lit(p) * (F.col("_n") - 1)).cast("bigint") for p in ps}
+    needed = None
     for p in ps:
-        pos = F.lit(p) * (F.col("_n") - 1)
-        want.append(F.struct(F.lit(p).alias("p"), F.floor(pos).cast("bigint").alias("lo"),
-                             F.ceil(pos).cast("bigint").alias("hi"),
-                             (pos - F.floor(pos)).alias("frac")))
-    picked = ranked.withColumn("_w", F.explode(F.array(*want))).where(
-        (F.col("_r") == F.col("_w.lo")) | (F.col("_r") == F.col("_w.hi")))
-    per_p = picked.groupBy(*keys, F.col("_w.p").alias("p"), F.col("_w.frac").alias("frac")).agg(
-        F.max(F.when(F.col("_r") == F.col("_w.lo"), F.col("_v"))).alias("vlo"),
-        F.max(F.when(F.col("_r") == F.col("_w.hi"), F.col("_v"))).alias("vhi"))
-    per_p = per_p.withColumn("pv", F.col("vlo") + (F.col("vhi") - F.col("vlo")) * F.col("frac"))
-    aggs = [F.max(F.when(F.col("p") == F.lit(p), F.col("pv"))).alias(_pname(p)) for p in ps]
-    out = per_p.groupBy(*keys).agg(*aggs)
+        cond = (F.col("_r") == lo[p]) | (F.col("_r") == hi[p])
+        needed = cond if needed is None else (needed | cond)
+    picked = ranked.where(needed)
+    aggs = []
+    for p in ps:
+        frac = F.lit(p) * (F.max("_n") - 1) - F.floor(F.lit(p) * (F.max("_n") - 1))
+        vlo = F.max(F.when(F.col("_r") == lo[p], F.col("_v")))
+        vhi = F.max(F.when(F.col("_r") == hi[p], F.col("_v")))
+        aggs.append((vlo + (vhi - vlo) * frac).alias(_pname(p)))
+    out = picked.groupBy(*keys).agg(*aggs)
     return out if by else out.drop("_tm_all")
 
 
