@@ -1,0 +1,2 @@
+"""Column functions: ``text`` (strings, regexes, arrays, casts, JSON,
+vectors) and ``chat`` (chat templates)."""

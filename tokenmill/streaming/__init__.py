@@ -1,0 +1,2 @@
+"""Structured Streaming operators: scored completions, running preference
+pairs, event-time latency windows."""
