@@ -67,3 +67,14 @@ def test_exact_split_sizes(spark):
     s = S.split_fraction(df, 0.1, 42, "doc_id")
     counts = {r.split: r["count"] for r in s.groupBy("split").count().collect()}
     assert counts == {"test": 101, "train": 902}
+
+
+def test_first_n_matches_sort(spark):
+    from tokenmill.operators.offsets import first_n
+    rows = [((i * 7919) % 1009, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k long, id long")
+    for n in (0, 1, 137, 1999, 2000, 5000):
+        got = {r.id for r in first_n(df, ["k", "id"], n=n, n_buckets=16).where("_tm_first").collect()}
+        assert got == {i for _, i in sorted(rows)[:n]}
+    got = {r.id for r in first_n(df, ["k", "id"], fraction=0.1, n_buckets=16).where("_tm_first").collect()}
+    assert got == {i for _, i in sorted(rows)[:200]}

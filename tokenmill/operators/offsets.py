@@ -136,6 +136,42 @@ def with_positions(df: DataFrame, order: list[Column | str], *,
     return out.drop(_BUCKET, "_tm_n0", "_tm_sz0")
 
 
+def first_n(df: DataFrame, order: list[Column | str], n: int | None = None,
+            fraction: float | None = None, flag_col: str = "_tm_first",
+            n_buckets: int | None = None) -> DataFrame:
+    """Flag the first ``n`` rows (or the first ``ceil(fraction * count)``)
+    in ``order`` without ranking every row.
+
+    With per-bucket counts and their prefix sums (one tiny table), every
+    bucket lies wholly inside or wholly outside the first ``n`` rows,
+    except one boundary bucket. Only that bucket's rows are shuffled and
+    numbered; all other rows keep their partitions.
+    """
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    n_buckets = n_buckets or default_buckets(df)
+    b = _bucketize(df, order_cols, n_buckets)
+    per_bucket = b.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("_tm_k"))
+    wb = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    prefix = per_bucket.select(
+        _BUCKET, "_tm_k", F.coalesce(F.sum("_tm_k").over(wb), F.lit(0)).alias("_tm_n0"),
+        F.sum("_tm_k").over(Window.partitionBy(F.lit(0))).alias("_tm_total"))
+    if n is not None:
+        target = F.least(F.lit(int(n)).cast("bigint"), F.col("_tm_total"))
+    else:
+        target = F.ceil(F.col("_tm_total") * F.lit(float(fraction))).cast("bigint")
+    prefix = prefix.withColumn("_tm_target", target)
+    j = b.join(F.broadcast(prefix), _BUCKET)
+    decided = F.when(F.col("_tm_n0") + F.col("_tm_k") <= F.col("_tm_target"), F.lit(True)) \
+        .when(F.col("_tm_n0") >= F.col("_tm_target"), F.lit(False))
+    j = j.withColumn(flag_col, decided)
+    settled = j.where(F.col(flag_col).isNotNull())
+    w = Window.partitionBy(_BUCKET).orderBy(*order_cols)
+    boundary = j.where(F.col(flag_col).isNull()).withColumn(
+        flag_col, F.col("_tm_n0") + F.row_number().over(w) - 1 < F.col("_tm_target"))
+    drop = [_BUCKET, "_tm_k", "_tm_n0", "_tm_total", "_tm_target"]
+    return settled.drop(*drop).unionByName(boundary.drop(*drop))
+
+
 def running_offset(df: DataFrame, order: list[Column | str], size: Column | str,
                    col: str = "offset") -> DataFrame:
     """WIN-4: the sum of ``size`` over all rows before this one in

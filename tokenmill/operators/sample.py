@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenmill.operators.offsets import hash_key, with_positions
+from tokenmill.operators.offsets import first_n, hash_key, with_positions
 
 ColumnOrName = Column | str
 
@@ -40,7 +40,7 @@ def head(df: DataFrame, n: int, order_by: list[ColumnOrName], method: str = "aut
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
     if method == "heap" or (method == "auto" and n <= TAKE_ORDERED_MAX):
         return df.orderBy(*cols).limit(n)
-    return with_positions(df, cols, pos_col="_tm_pos").where(F.col("_tm_pos") < n).drop("_tm_pos")
+    return first_n(df, cols, n=n, flag_col="_tm_in").where("_tm_in").drop("_tm_in")
 
 
 # ORD-3 / ORD-4 -------------------------------------------------------
@@ -80,12 +80,15 @@ def test_size(n_rows: Column, test: float | int) -> Column:
 def split_fraction(df: DataFrame, test: float | int, seed: int | str, id_col: str,
                    col: str = "split") -> DataFrame:
     """Exact-size train/test split: the first ``n_test`` rows in md5 order
-    are ``test``; the rest ``train``."""
-    ranked = with_positions(df, [shuffle_key(id_col, seed), F.col(id_col)],
-                            pos_col="_tm_pos", total_col="_tm_total")
-    return ranked.withColumn(
-        col, F.when(F.col("_tm_pos") < test_size(F.col("_tm_total"), test), F.lit("test"))
-        .otherwise(F.lit("train"))).drop("_tm_pos", "_tm_total")
+    are ``test``; the rest ``train``. Only the rows of the one bucket that
+    straddles the cut are ranked (see ``offsets.first_n``)."""
+    order = [shuffle_key(id_col, seed), F.col(id_col)]
+    if isinstance(test, float) and test < 1.0:
+        flagged = first_n(df, order, fraction=test, flag_col="_tm_in")
+    else:
+        flagged = first_n(df, order, n=int(test), flag_col="_tm_in")
+    return flagged.withColumn(col, F.when(F.col("_tm_in"), F.lit("test")).otherwise(F.lit("train"))) \
+        .drop("_tm_in")
 
 
 # SPL-2 ---------------------------------------------------------------
