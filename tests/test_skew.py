@@ -78,3 +78,12 @@ def test_first_n_matches_sort(spark):
         assert got == {i for _, i in sorted(rows)[:n]}
     got = {r.id for r in first_n(df, ["k", "id"], fraction=0.1, n_buckets=16).where("_tm_first").collect()}
     assert got == {i for _, i in sorted(rows)[:200]}
+
+
+def test_rows_at_matches_sort(spark):
+    from tokenmill.operators.offsets import rows_at
+    rows = [((i * 7919) % 1009, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k long, id long")
+    order = sorted(rows)
+    got = {r.row_id: r.id for r in rows_at(df, ["k", "id"], [0, 17, 999, 1999, 2500], n_buckets=16).collect()}
+    assert got == {p: order[p][1] for p in (0, 17, 999, 1999)}

@@ -172,6 +172,29 @@ def first_n(df: DataFrame, order: list[Column | str], n: int | None = None,
     return settled.drop(*drop).unionByName(boundary.drop(*drop))
 
 
+def rows_at(df: DataFrame, order: list[Column | str], positions: list[int],
+            pos_col: str = "row_id", n_buckets: int | None = None) -> DataFrame:
+    """The rows at the given 0-based positions in ``order``; only the
+    buckets containing those positions are shuffled and numbered."""
+    order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
+    n_buckets = n_buckets or default_buckets(df)
+    b = _bucketize(df, order_cols, n_buckets)
+    per_bucket = b.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("_tm_k"))
+    wb = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    prefix = per_bucket.select(_BUCKET, "_tm_k",
+                               F.coalesce(F.sum("_tm_k").over(wb), F.lit(0)).alias("_tm_n0"))
+    wanted = None
+    for p in positions:
+        c = (F.col("_tm_n0") <= p) & (F.lit(p) < F.col("_tm_n0") + F.col("_tm_k"))
+        wanted = c if wanted is None else (wanted | c)
+    prefix = prefix.where(wanted if wanted is not None else F.lit(False))
+    j = b.join(F.broadcast(prefix), _BUCKET)
+    w = Window.partitionBy(_BUCKET).orderBy(*order_cols)
+    out = j.withColumn(pos_col, (F.col("_tm_n0") + F.row_number().over(w) - 1).cast("bigint"))
+    return out.where(F.col(pos_col).isin([int(p) for p in positions])) \
+        .drop(_BUCKET, "_tm_k", "_tm_n0")
+
+
 def running_offset(df: DataFrame, order: list[Column | str], size: Column | str,
                    col: str = "offset") -> DataFrame:
     """WIN-4: the sum of ``size`` over all rows before this one in

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenmill.operators.offsets import first_n, hash_key, with_positions
+from tokenmill.operators.offsets import first_n, hash_key, rows_at, with_positions
 
 ColumnOrName = Column | str
 
@@ -56,7 +56,9 @@ def random_rows(df: DataFrame, n: int, seed: int | str, id_col: str) -> DataFram
 
 # ORD-5 ---------------------------------------------------------------
 def row_at(df: DataFrame, i: int, order_by: list[ColumnOrName]) -> DataFrame:
-    return with_positions(df, order_by, pos_col="row_id").where(F.col("row_id") == i)
+    """Positional access ``ds[i]``: only the bucket holding position ``i``
+    is ranked."""
+    return rows_at(df, order_by, [i], pos_col="row_id")
 
 
 # ORD-6 ---------------------------------------------------------------
