@@ -13,6 +13,10 @@ task. Instead rows are cut into quantile buckets of the ordering key:
 Buckets are balanced by construction, so a hot ordering value range is
 spread over many tasks; the bucket of a row is a pure function of its
 key, so a recomputed (lost) task lands rows in the same bucket again.
+
+``first_n`` and ``rows_at`` need a position for a few rows only: the
+bucket counts settle every bucket but the boundary one(s), which alone
+are ranked.
 """
 
 from __future__ import annotations

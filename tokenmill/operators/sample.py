@@ -34,8 +34,10 @@ def head(df: DataFrame, n: int, order_by: list[ColumnOrName], method: str = "aut
     """First ``n`` rows in ``order_by`` order.
 
     ``method="heap"``: ``orderBy().limit(n)`` (a top-n heap per task, then
-    one merge — bounded by ``n``); ``"rank"``: bucketed positions, any n;
-    ``"auto"`` picks the heap up to ``TAKE_ORDERED_MAX`` rows.
+    one merge of at most ``n`` rows per partition); ``"rank"``: bucket
+    counts decide every bucket but the one straddling ``n``, which alone
+    is ranked (any n); ``"auto"`` picks the heap up to
+    ``TAKE_ORDERED_MAX`` rows.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
     if method == "heap" or (method == "auto" and n <= TAKE_ORDERED_MAX):
