@@ -591,3 +591,15 @@ def src8(spark, sf):
     pats = io.read_list_file(spark, path)
     d = tables.table(spark, sf, "documents").select("doc_id", "source")
     return R.match_any_pattern(d, pats, "source").select("doc_id")
+
+
+@query("src7_read_images", """
+SELECT CAST(count(*) AS BIGINT) AS n_files, CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS n_bytes FROM pages""")
+def src7(spark, sf):
+    """Binary files written from ``pages`` (one file per page) read back
+    with the ``binaryFile`` source: count and total bytes."""
+    path = scratch_path(spark, "pages-files-" + sf.strip("/").replace("/", "_"))
+    tables.table(spark, sf, "pages").select("page_id", F.col("html").alias("value")) \
+        .write.mode("overwrite").partitionBy("page_id").text(path)
+    files = io.read_images(spark, path, "*.txt", recursive=True)
+    return files.agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))

@@ -79,10 +79,13 @@ def read_prepared(spark: SparkSession, path: str, split: str | None = None) -> D
 
 
 # SRC-7 --------------------------------------------------------------
-def read_images(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Binary files (images) as rows ``path, length, content BINARY``."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .load(path).select("path", "length", "content"))
+def read_images(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> DataFrame:
+    """Binary files (images) as rows ``path, length, content BINARY``; the
+    content stays an opaque column (read lazily, only when selected)."""
+    r = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
+    return r.load(path).select("path", "length", "content")
 
 
 # SRC-8 --------------------------------------------------------------
