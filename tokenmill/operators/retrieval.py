@@ -106,17 +106,26 @@ def _stack(vectors) -> np.ndarray:
 
 def score_top_k(queries: DataFrame, corpus: DataFrame, dims: Sequence[int], k: int = 10,
                 q_id: str = "qid", c_id: str = "cid", vec: str = "embedding",
-                broadcast_limit: int = BROADCAST_LIMIT_BYTES, query_block: int = 2048,
-                corpus_buckets: int | None = None, rel_key: str | None = None) -> DataFrame:
+                broadcast_limit: int = BROADCAST_LIMIT_BYTES, query_block: int | None = None,
+                corpus_buckets: int | None = None, rel_key: str | None = None,
+                block_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """Exact top-``k`` corpus rows per query by cosine similarity, for every
     truncation width in ``dims``. Returns ``dim, qid, cid, score, rank``
     (+ ``q_key, c_key`` as strings when ``rel_key`` names a relevance key
     column on both sides: it travels with the vectors, so marking hits
-    relevant needs no join back to either table)."""
+    relevant needs no join back to either table).
+
+    Vectors are cut to the widest width in ``dims`` before anything moves.
+    On the blocked path a query block holds about ``block_bytes`` of
+    vectors (unless ``query_block`` fixes its row count): the corpus is
+    copied once per block, so blocks are as large as memory allows."""
     dims = [int(d) for d in dims]
+    width = max(dims)
     kq = [F.col(rel_key).cast("string").alias("key")] if rel_key else []
-    q = queries.select(F.col(q_id).cast("bigint").alias("qid"), F.col(vec).alias("v"), *kq)
-    c = corpus.select(F.col(c_id).cast("bigint").alias("cid"), F.col(vec).alias("v"), *kq)
+    q = queries.select(F.col(q_id).cast("bigint").alias("qid"), F.slice(vec, 1, width).alias("v"), *kq)
+    c = corpus.select(F.col(c_id).cast("bigint").alias("cid"), F.slice(vec, 1, width).alias("v"), *kq)
+    if query_block is None:
+        query_block = max(1024, block_bytes // (width * 8 + 64))
     if _fits_broadcast(q, max(dims), broadcast_limit):
         partial = _broadcast_path(q, c, dims, k, bool(rel_key))
     else:
