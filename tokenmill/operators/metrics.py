@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.functions import text as X
+from tokenmill.session import BROADCAST_LIMIT_BYTES, broadcast_if_bounded
 
 ColumnOrName = Column | str
 
@@ -68,13 +69,17 @@ def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], by: Sequen
     keys = list(by) or ["_tm_all"]
     base = df.select(*(list(by) or [F.lit(0).alias("_tm_all")]),
                      F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    stats = base.groupBy(*keys).count().agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("g")).first()
+    largest, n_groups = int(stats["m"] or 0), int(stats["g"] or 0)
     if sub_ranges is None:
-        largest = base.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
         sub_ranges = int(min(4096, max(8, -(-largest // rows_per_task))))
+    # per-group tables (cut points, range offsets) are broadcast only when
+    # their proven size (groups x ranges) fits the broadcast limit
+    small = n_groups * sub_ranges * 24 <= BROADCAST_LIMIT_BYTES
     probs = [i / sub_ranges for i in range(1, sub_ranges)]
     # cut points: one small row per group -> joined on the group key
     cuts = base.groupBy(*keys).agg(F.percentile_approx("_v", probs, 10000).alias("_cuts"))
-    b = base.join(F.broadcast(cuts) if len(keys) <= 4 else cuts, keys, "inner")
+    b = base.join(F.broadcast(cuts) if small else cuts, keys, "inner")
     b = b.withColumn("_sub", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))).drop("_cuts")
     counts = b.groupBy(*keys, "_sub").agg(F.count(F.lit(1)).alias("_k"))
     wk = Window.partitionBy(*keys).orderBy("_sub")
@@ -82,7 +87,7 @@ def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], by: Sequen
                             F.coalesce(F.sum("_k").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
                                        F.lit(0)).alias("_off"),
                             F.sum("_k").over(Window.partitionBy(*keys)).alias("_n"))
-    ranked = b.join(F.broadcast(offsets), keys + ["_sub"])
+    ranked = b.join(F.broadcast(offsets) if small else offsets, keys + ["_sub"])
     wr = Window.partitionBy(*keys, "_sub").orderBy("_v")
     ranked = ranked.withColumn("_r", F.col("_off") + F.row_number().over(wr) - 1)
     # only the rows at the ranks a percentile needs survive (<= 2 per p and
@@ -171,10 +176,12 @@ def class_names(df: DataFrame, label: str) -> DataFrame:
                         "name")
 
 
-def label_join(df: DataFrame, label: str, label_map: DataFrame, out: str = "label_id") -> DataFrame:
-    """Attach the id of each row's class name (broadcast of the small map)."""
+def label_join(df: DataFrame, label: str, label_map: DataFrame, out: str = "label_id",
+               max_classes: int = 1_000_000) -> DataFrame:
+    """Attach the id of each row's class name; the map is broadcast when a
+    bounded count proves it small, else joined by shuffle."""
     m = label_map.select(F.col("name").alias(label), F.col("id").alias(out))
-    return df.join(F.broadcast(m), label, "left")
+    return df.join(broadcast_if_bounded(m, max_classes), label, "left")
 
 
 # AGG-10 --------------------------------------------------------------

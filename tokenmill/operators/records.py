@@ -122,17 +122,17 @@ def match_any_pattern(df: DataFrame, patterns: DataFrame, col: str,
     The pattern list is a small file (layer rules): it is read once
     (bounded by ``max_patterns``, checked) and folded into one anchored
     alternation, so the filter is one regex per row and no join. A longer
-    list falls back to a broadcast left-semi join on ``rlike``.
+    list is refused: testing every row against an unbounded list would be
+    a nested-loop join.
     """
     pats = [r[0] for r in patterns.select(pattern_col).limit(max_patterns + 1).collect()
             if r[0] is not None]
-    if len(pats) <= max_patterns:
-        if not pats:
-            return df.limit(0)
-        combined = "(?d)^(?:" + "|".join(f"(?:{p})" for p in pats) + ")"
-        return df.where(F.col(col).rlike(combined))
-    p = patterns.select(F.concat(F.lit("(?d)^(?:"), F.col(pattern_col), F.lit(")")).alias("_tm_pat"))
-    return df.join(F.broadcast(p), F.expr(f"`{col}` rlike _tm_pat"), "left_semi")
+    if len(pats) > max_patterns:
+        raise ValueError(f"more than {max_patterns} patterns; split the list")
+    if not pats:
+        return df.limit(0)
+    combined = "(?d)^(?:" + "|".join(f"(?:{p})" for p in pats) + ")"
+    return df.where(F.col(col).rlike(combined))
 
 
 # FLT-7 ---------------------------------------------------------------

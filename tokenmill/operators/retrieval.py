@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.operators.offsets import with_positions
-from tokenmill.session import BROADCAST_LIMIT_BYTES, materialize, plan_size_bytes
+from tokenmill.session import BROADCAST_LIMIT_BYTES, broadcast_if_bounded, materialize
 
 HITS_SCHEMA = "dim INT, qid BIGINT, cid BIGINT, score DOUBLE"
 KEYED_SCHEMA = HITS_SCHEMA + ", q_key STRING, c_key STRING"
@@ -134,14 +134,10 @@ def score_top_k(queries: DataFrame, corpus: DataFrame, dims: Sequence[int], k: i
 
 
 def _fits_broadcast(q: DataFrame, width: int, limit: int) -> bool:
-    """Proven bound for the query block: the optimizer's estimate when it
-    is already under ``limit``, else a bounded row count (``limit + 1``
-    rows at most) times the bytes of one vector."""
+    """Proven bound for the query block: a bounded row count (at most
+    ``max_rows + 1`` rows are read) times the bytes of one vector."""
     if limit <= 0:
         return False
-    est = plan_size_bytes(q)
-    if est is not None and est <= limit:
-        return True
     max_rows = max(1, limit // (width * 8 + 64))
     return q.limit(max_rows + 1).count() <= max_rows
 
@@ -244,8 +240,7 @@ def ir_metrics(hits: DataFrame, n_relevant: DataFrame, k: int = 10,
         F.max(rel / F.col("rank")).alias("rr"),
         F.sum(rel * F.col("_cum") / F.col("rank")).alias("ap_sum"),
         F.sum(rel).alias("n_hit"))
-    per_q = per_q.join(F.broadcast(n_relevant) if plan_size_bytes(n_relevant) and
-                       plan_size_bytes(n_relevant) <= BROADCAST_LIMIT_BYTES else n_relevant, "qid")
+    per_q = per_q.join(broadcast_if_bounded(n_relevant, 2_000_000, row_bytes=24), "qid")
     ideal = F.when(F.col("n_rel") > 0, F.aggregate(
         F.sequence(F.lit(1), F.least(F.col("n_rel"), F.lit(k)).cast("int")),
         F.lit(0.0), lambda acc, i: acc + 1.0 / F.log2(i + 1))).otherwise(F.lit(0.0))

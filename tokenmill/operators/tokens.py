@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from tokenmill.operators.offsets import hash_key, with_positions
-from tokenmill.session import maybe_broadcast
+from tokenmill.session import broadcast_if_bounded
 
 ColumnOrName = Column | str
 
@@ -60,10 +60,11 @@ def build_vocab(df: DataFrame, tokens: str, max_size: int,
 def vocab_lookup(df: DataFrame, key: str, tokens: str, vocab: DataFrame,
                  unk_id: int = UNK_ID) -> DataFrame:
     """JON-8: one row per token occurrence ``key, pos, token, id`` (left
-    join with the vocabulary; broadcast when its estimate is small)."""
+    join with the vocabulary; broadcast when a bounded count proves it
+    small, else a shuffle join)."""
     exploded = df.select(key, F.posexplode(tokens).alias("pos", "token"))
     v = vocab.select(F.col("token"), F.col("id").alias("_tm_vid"))
-    return exploded.join(maybe_broadcast(v), "token", "left") \
+    return exploded.join(broadcast_if_bounded(v, 1_000_000), "token", "left") \
         .withColumn("id", F.coalesce("_tm_vid", F.lit(unk_id))).drop("_tm_vid")
 
 
@@ -86,7 +87,8 @@ def encode(df: DataFrame, key: str, tokens: str, vocab: DataFrame, out: str = "i
             raise ValueError(f"vocabulary larger than {max_entries} entries")
     exploded = df.select(key, F.posexplode(tokens).alias("_tm_pos", "_tm_token"))
     v = vocab.select(F.col("token").alias("_tm_token"), F.col("id").alias("_tm_vid"))
-    joined = exploded.join(maybe_broadcast(v), "_tm_token", "left")
+    # only reached for vocabularies beyond max_entries: a shuffle join
+    joined = exploded.join(v, "_tm_token", "left")
     packed = joined.groupBy(key).agg(F.array_sort(F.collect_list(
         F.struct("_tm_pos", F.coalesce("_tm_vid", F.lit(unk_id)).alias("id")))).alias("_tm_p"))
     ids = packed.select(key, F.transform("_tm_p", lambda s: s["id"]).alias(out))

@@ -66,23 +66,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
-def plan_size_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of a plan, or None if unknown."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # pragma: no cover - estimate is best effort
-        return None
-
-
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast only when the side's estimated size is under ``limit``.
-
-    Beyond it the frame is returned unchanged so Catalyst/AQE choose a
-    shuffle join.
-    """
-    size = plan_size_bytes(df)
-    if size is not None and size <= limit:
+def broadcast_if_bounded(df: DataFrame, max_rows: int, row_bytes: int = 64,
+                         limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when a bounded count proves it has at most
+    ``max_rows`` rows (and ``max_rows * row_bytes`` fits ``limit``);
+    otherwise return it unchanged for a shuffle join. The check reads at
+    most ``max_rows + 1`` rows."""
+    max_rows = min(max_rows, max(1, limit // max(row_bytes, 1)))
+    if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
 
