@@ -317,8 +317,9 @@ def no_duplicate_batches(df: DataFrame, text: str, order: str, size: int) -> Dat
     occ = materialize(occ)  # read three times below
     laid = with_positions(occ, ["occ", order], pos_col="_tm_g")
     stripe0 = laid.groupBy("occ").agg(F.min("_tm_g").alias("_tm_g0"))
-    # one row per occurrence number: small unless one text repeats very
-    # often, so broadcast only behind a bounded count
-    out = laid.join(broadcast_if_bounded(stripe0, 1_000_000, row_bytes=16), "occ")
+    # one row per occurrence number (max occ + 1 rows, read off the
+    # checkpointed table): broadcast only when that bound is small
+    n_stripes = (occ.agg(F.max("occ")).first()[0] or 0) + 1
+    out = laid.join(F.broadcast(stripe0) if n_stripes <= 1_000_000 else stripe0, "occ")
     return out.withColumn("batch_idx", F.floor((F.col("_tm_g") - F.col("_tm_g0")) / size).cast("bigint")) \
         .drop("_tm_g", "_tm_g0")
