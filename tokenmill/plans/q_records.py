@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,12 @@ ENSURE = ("CASE WHEN m[1].role = 'system' THEN m ELSE "
           "list_concat([{{'role': 'system', 'content': '{sys}'}}], m) END")
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the checkpoint directory for each run, so no
+    query ever overwrites files another query's plan has listed."""
+    return scratch_path(spark, f"{name.rstrip('-')}-{uuid.uuid4().hex[:12]}")
+
+
 def conv(spark: SparkSession, sf: str) -> DataFrame:
     return R.assemble_turns(tables.table(spark, sf, "conversations"))
 
@@ -73,7 +80,7 @@ def src1(spark, sf):
 
 def _prepared(spark, sf) -> str:
     """Write documents with a hash split once per folder (SNK-1)."""
-    path = scratch_path(spark, "prepared-" + sf.strip("/").replace("/", "_"))
+    path = _scratch(spark, "prepared-")
     docs = split_by_hash(tables.table(spark, sf, "documents"), 0.1, 42, "doc_id")
     io.write_prepared(docs.select("doc_id", "lang", "n_chars", "split"), path)
     return path
@@ -135,7 +142,7 @@ def snk5(spark, sf):
 @query("snk2_write_jsonl", "SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(length(html)) AS BIGINT) AS chars FROM pages")
 def snk2(spark, sf):
     """Round trip: pages -> escaped JSON lines -> read back with a schema."""
-    path = scratch_path(spark, "pages-jsonl-" + sf.strip("/").replace("/", "_"))
+    path = _scratch(spark, "pages-jsonl-")
     io.write_jsonl(tables.table(spark, sf, "pages"), path, ascii=True)
     back = io.read_jsonl(spark, path, "page_id BIGINT, url STRING, html STRING")
     return back.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("html")).alias("chars"))
@@ -550,7 +557,7 @@ PAGES_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 
 @query("src3_read_jsonl", "SELECT page_id, url, CAST(length(html) AS INTEGER) AS html_chars FROM pages")
 def src3(spark, sf):
-    path = scratch_path(spark, "pages-jsonl-" + sf.strip("/").replace("/", "_"))
+    path = _scratch(spark, "pages-jsonl-")
     io.write_jsonl(tables.table(spark, sf, "pages"), path, ascii=True)
     back = io.read_jsonl(spark, path, PAGES_SCHEMA)
     return back.select("page_id", "url", F.length("html").alias("html_chars"))
@@ -560,7 +567,7 @@ def src3(spark, sf):
 SELECT 'json' AS kind, CAST(count(*) AS BIGINT) AS n FROM pages
 UNION ALL SELECT 'table', CAST(count(*) AS BIGINT) FROM documents""")
 def src4(spark, sf):
-    path = scratch_path(spark, "pages-json-" + sf.strip("/").replace("/", "_")) + ".json"
+    path = _scratch(spark, "pages-json-") + ".json"
     tables.table(spark, sf, "pages").write.mode("overwrite").json(path)
     a = io.resolve_source(spark, path, schema=PAGES_SCHEMA).agg(F.count(F.lit(1)).alias("n")) \
         .withColumn("kind", F.lit("json"))
@@ -571,7 +578,7 @@ def src4(spark, sf):
 
 @query("src5_read_gzip_shards", "SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(length(html)) AS BIGINT) AS chars FROM pages")
 def src5(spark, sf):
-    path = scratch_path(spark, "pages-gz-" + sf.strip("/").replace("/", "_"))
+    path = _scratch(spark, "pages-gz-")
     io.write_jsonl(tables.table(spark, sf, "pages"), path, compression="gzip")
     back = io.read_jsonl(spark, os.path.join(path, "part-*.json.gz"), PAGES_SCHEMA, min_partitions=8)
     return back.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("html")).alias("chars"))
@@ -583,7 +590,7 @@ WHERE EXISTS (SELECT 1 FROM region WHERE regexp_matches(source, '^(?:src' || CAS
 def src8(spark, sf):
     """A list file (comment + ``- pattern`` lines) written from ``region``,
     read back and used as layer-style name patterns."""
-    path = scratch_path(spark, "patterns-" + sf.strip("/").replace("/", "_"))
+    path = _scratch(spark, "patterns-")
     lines = tables.table(spark, sf, "region").select(
         F.concat(F.lit("- src"), F.col("r_regionkey").cast("string")).alias("value"))
     header = spark.range(1).select(F.lit("# source patterns").alias("value"))
@@ -598,7 +605,7 @@ SELECT CAST(count(*) AS BIGINT) AS n_files, CAST(sum(octet_length(encode(html))
 def src7(spark, sf):
     """Binary files written from ``pages`` (one file per page) read back
     with the ``binaryFile`` source: count and total bytes."""
-    path = scratch_path(spark, "pages-files-" + sf.strip("/").replace("/", "_"))
+    path = _scratch(spark, "pages-files-")
     tables.table(spark, sf, "pages").select("page_id", F.col("html").alias("value")) \
         .write.mode("overwrite").partitionBy("page_id").text(path)
     files = io.read_images(spark, path, "*.txt", recursive=True)
