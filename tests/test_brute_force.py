@@ -203,3 +203,16 @@ def test_equation_reward_matches_model(spark):
     mism = [(c, t, n) for i, c, t, n in rows if got[i] != _equation_model(c, t, n)]
     assert not mism, mism[:5]
     assert sum(got.values()) > 20  # enough positive cases exercised
+
+
+def test_lower_bound_matches_bisect(spark):
+    import bisect
+    from tokenmill.functions import text as X
+    rnd = random.Random(1)
+    rows = []
+    for i in range(400):
+        arr = sorted(rnd.choice([1.0, 2.0, 2.0, 3.5, 5.0, 7.0, 9.0]) for _ in range(rnd.randint(0, 20)))
+        rows.append((i, arr, rnd.choice([0.5, 1.0, 2.0, 2.5, 3.5, 6.0, 9.0, 10.0])))
+    df = spark.createDataFrame(rows, "i int, a array<double>, v double")
+    got = {r.i: r.lb for r in df.select("i", X.lower_bound("a", "v", 20).alias("lb")).collect()}
+    assert all(got[i] == bisect.bisect_left(a, v) for i, a, v in rows)

@@ -186,3 +186,22 @@ def parse_timings(line: ColumnOrName) -> Column:
     ms = F.zip_with(nums, units,
                     lambda n, u: n.try_cast("double") * F.element_at(factor, u))
     return F.map_from_arrays(keys, ms)
+
+
+def lower_bound(sorted_arr: ColumnOrName, v: ColumnOrName, max_len: int) -> Column:
+    """Number of elements of an ascending array that are ``< v``: a binary
+    search as a fixed ``aggregate`` loop of ``ceil(log2(max_len + 1))``
+    steps (arrays up to ``max_len`` long)."""
+    a, x = _c(sorted_arr), _c(v)
+    steps = max(1, int(max_len).bit_length())
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        go_right = (lo < hi) & (F.try_element_at(a, mid + 1) < x)
+        go_left = (lo < hi) & ~go_right
+        return F.struct(F.when(go_right, mid + 1).otherwise(lo).alias("lo"),
+                        F.when(go_left, mid).otherwise(hi).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(a).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step, lambda acc: acc["lo"])
