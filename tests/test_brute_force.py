@@ -216,3 +216,10 @@ def test_lower_bound_matches_bisect(spark):
     df = spark.createDataFrame(rows, "i int, a array<double>, v double")
     got = {r.i: r.lb for r in df.select("i", X.lower_bound("a", "v", 20).alias("lb")).collect()}
     assert all(got[i] == bisect.bisect_left(a, v) for i, a, v in rows)
+
+
+def test_pack_blocks_materialized_input(spark):
+    lists = [[f"t{i}_{j}" for j in range(i % 7)] for i in range(60)]
+    df = spark.createDataFrame([(i, lst) for i, lst in enumerate(lists)], "id int, ids array<string>")
+    got = T.pack_blocks(df, ["id"], ["ids"], 8, materialize_input=True).orderBy("block_id").collect()
+    assert [r.ids for r in got] == _pack_model(lists, 8)

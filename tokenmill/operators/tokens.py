@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from tokenmill.operators.offsets import hash_key, with_positions
-from tokenmill.session import broadcast_if_bounded
+from tokenmill.session import broadcast_if_bounded, materialize
 
 ColumnOrName = Column | str
 
@@ -166,7 +166,8 @@ def supervised_features(df: DataFrame, src_ids: str, tgt_ids: str, max_src: int,
 
 # TOK-9 / TOK-10 / TOK-11 --------------------------------------------
 def pack_blocks(df: DataFrame, order: list[ColumnOrName], cols: list[str], block: int,
-                separator: Column | None = None, labels_from: str | None = None) -> DataFrame:
+                separator: Column | None = None, labels_from: str | None = None,
+                materialize_input: bool = False) -> DataFrame:
     """Concatenate the lists in ``cols`` over all rows in ``order``, cut
     full blocks of ``block`` elements, drop the last partial block.
 
@@ -189,6 +190,10 @@ def pack_blocks(df: DataFrame, order: list[ColumnOrName], cols: list[str], block
     base = df.select(*[_c(o).alias(f"_tm_o{i}") for i, o in enumerate(order)],
                      zipped.alias("_tm_z"))
     base = base.withColumn("_tm_len", F.size("_tm_z").cast("bigint"))
+    if materialize_input:
+        # the offsets read their input twice; checkpoint it so an expensive
+        # upstream (tokenisation) runs once
+        base = materialize(base)
     pos = with_positions(base, [f"_tm_o{i}" for i in range(len(order))], size="_tm_len",
                          start_col="_tm_start", total_size_col="_tm_total", pos_col="_tm_row")
     n_blocks = F.floor(F.col("_tm_total") / F.lit(block)).cast("bigint")
@@ -214,11 +219,12 @@ def pack_blocks(df: DataFrame, order: list[ColumnOrName], cols: list[str], block
 
 
 def pack_texts(df: DataFrame, order: list[ColumnOrName], text_col: str, block: int,
-               separator: str | None = "<eos>") -> DataFrame:
+               separator: str | None = "<eos>", materialize_input: bool = False) -> DataFrame:
     """Whitespace-tokenise a text column and pack it (``packing=True``)."""
     t = df.withColumn("_tm_tokens", tokenize_col(text_col))
     sep = F.lit(separator) if separator is not None else None
-    out = pack_blocks(t, order, ["_tm_tokens"], block, separator=sep)
+    out = pack_blocks(t, order, ["_tm_tokens"], block, separator=sep,
+                      materialize_input=materialize_input)
     return out.select("block_id", F.col("_tm_tokens").alias("input_ids"), "labels")
 
 
