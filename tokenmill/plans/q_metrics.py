@@ -24,8 +24,8 @@ def agg1(spark, sf):
 SELECT lang, CAST(least(max(len(regexp_extract_all(text, {WS}))), 512) AS INTEGER) AS max_length
 FROM documents GROUP BY lang""")
 def agg2(spark, sf):
-    return M.max_length(docs_tokens(spark, sf).join(
-        tables.table(spark, sf, "documents").select("doc_id", "lang"), "doc_id"), "tokens", 512, by="lang")
+    d = T.tokenize(tables.table(spark, sf, "documents").select("lang", "text"), "text")
+    return M.max_length(d, "tokens", 512, by="lang")
 
 
 @query("agg3_length_percentile", rf"""

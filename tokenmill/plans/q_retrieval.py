@@ -80,9 +80,9 @@ def jon2b(spark, sf):
 WITH {TOP} SELECT CAST(dim AS INTEGER) AS dim, qid, cid, CASE WHEN ql = cl THEN 1 ELSE 0 END AS relevant FROM top""")
 def jon1(spark, sf):
     q, c = split_vectors(spark, sf)
-    hits = V.score_top_k(q, c, DIMS, K)
-    hits = hits.join(c.select(F.col("cid").cast("bigint").alias("cid"), "rel_key"), "cid")
-    qrels = q.select(F.col("qid").cast("bigint").alias("qid"), "rel_key")
+    # the corpus key travels with each hit: no join back to the corpus
+    hits = V.score_top_k(q, c, DIMS, K, rel_key="rel_key").withColumnRenamed("c_key", "rel_key")
+    qrels = q.select(F.col("qid").cast("bigint").alias("qid"), F.col("rel_key").cast("string").alias("rel_key"))
     return V.qrels_join(hits, qrels).select("dim", "qid", "cid", F.col("relevant").cast("int").alias("relevant"))
 
 
