@@ -80,8 +80,11 @@ def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], by: Sequen
     # cut points: one small row per group -> joined on the group key
     cuts = base.groupBy(*keys).agg(F.percentile_approx("_v", probs, 10000).alias("_cuts"))
     b = base.join(F.broadcast(cuts) if small else cuts, keys, "inner")
-    # range index = number of cut points below the value (binary search)
-    b = b.withColumn("_sub", X.lower_bound("_cuts", "_v", sub_ranges)).drop("_cuts")
+    # range index = number of cut points below the value: a scan for a few
+    # cut points, a binary search for many
+    below = (F.size(F.filter("_cuts", lambda c: c < F.col("_v"))) if sub_ranges <= 64
+             else X.lower_bound("_cuts", "_v", sub_ranges))
+    b = b.withColumn("_sub", below).drop("_cuts")
     counts = b.groupBy(*keys, "_sub").agg(F.count(F.lit(1)).alias("_k"))
     wk = Window.partitionBy(*keys).orderBy("_sub")
     offsets = counts.select(*keys, "_sub",
