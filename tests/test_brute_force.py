@@ -223,3 +223,15 @@ def test_pack_blocks_materialized_input(spark):
     df = spark.createDataFrame([(i, lst) for i, lst in enumerate(lists)], "id int, ids array<string>")
     got = T.pack_blocks(df, ["id"], ["ids"], 8, materialize_input=True).orderBy("block_id").collect()
     assert [r.ids for r in got] == _pack_model(lists, 8)
+
+
+def test_exact_percentiles_many_ranges_match_numpy(spark):
+    rnd = np.random.default_rng(8)
+    vals = rnd.normal(50, 20, size=4000)
+    df = spark.createDataFrame([(int(i % 2), float(v)) for i, v in enumerate(vals)], "g int, v double")
+    got = {r.g: r for r in M.exact_percentiles(df, "v", (0.05, 0.5, 0.99), ["g"], sub_ranges=100).collect()}
+    for g in (0, 1):
+        x = vals[np.arange(len(vals)) % 2 == g]
+        assert got[g].p5 == pytest.approx(np.percentile(x, 5))
+        assert got[g].p50 == pytest.approx(np.percentile(x, 50))
+        assert got[g].p99 == pytest.approx(np.percentile(x, 99))
