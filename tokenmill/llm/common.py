@@ -7,6 +7,7 @@ definition of the contracts: A-Z lower-cased, split at ASCII white space.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from tokenmill.session import scratch_path
+
 SHINGLE = 5
 SIMILARITY_PCT = 75
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -26,6 +29,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder and
+    read back: later steps read it again without its lineage, and a lost
+    executor re-reads files instead of recomputing."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def arrow_map(df: DataFrame, fn: Callable[..., tuple], schema: str) -> DataFrame:
     """Map every Arrow batch: ``fn`` gets one Python list per column of
     ``df`` and returns one sequence per column of ``schema`` (any number

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill.llm import licenses, secrets
+from tokenmill.llm import licenses, pii, secrets, toxicity
 from tokenmill.llm.common import count_kind, documents, spans_text
 from tokenmill.llm.queries import query
 
@@ -40,3 +40,22 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         # a full template is certain, a bare phrase only likely
         F.when(F.size("matches") > 0, 1.0).when(F.size("places") > 0, 0.6).otherwise(0.0).alias("score"),
         F.size("matches").cast("long").alias("n_matches"))
+
+
+@query("op9_toxicity")
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score_toxicity(documents(spark, sf_dir), labels)
+
+
+# a fixed key keeps registered results comparable; a job passes its own secret
+PII_KEY = b"registered-query-key"
+
+
+@query("op10_pii_pseudonyms")
+def op10_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = pii.scan_pii(documents(spark, sf_dir), PII_KEY)
+    spans = F.col("spans")
+    return d.select("doc_id", *[count_kind(spans, k).alias(f"n_{k}") for k in pii.KINDS],
+                    spans_text(spans).alias("spans"),
+                    F.transform(spans, lambda s: s["pseudonym"]).alias("pseudonyms"), "text")
