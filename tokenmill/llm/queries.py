@@ -21,4 +21,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the query modules (registration happens on import)."""
-    from tokenmill.llm import q_layout, q_models, q_scans  # noqa: F401
+    from tokenmill.llm import q_layout, q_models, q_scans, q_similar  # noqa: F401
