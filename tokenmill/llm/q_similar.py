@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill.llm import decontam, neardup_vectors
+from tokenmill.llm import decontam, neardup_vectors, ngram_join
 from tokenmill.llm.common import documents
 from tokenmill.llm.queries import query
 
@@ -20,3 +20,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_vector_near_dups")
 def op7_vector_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup_vectors.link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op2_ngram_jaccard_join")
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(documents(spark, sf_dir))
