@@ -147,25 +147,30 @@ def learn_lexicon(rows: DataFrame, size: int = LEXICON) -> dict[str, float]:
 
 
 class ToxicityModel:
-    """Lexicon, trees and calibration; ``score`` maps a table of texts."""
+    """Lexicon, trees and calibration; ``with_score`` maps a table of texts."""
 
     def __init__(self, lexicon, trees, steps, constant):
         self.lexicon, self.trees, self.steps, self.constant = lexicon, trees, steps, constant
 
-    def score(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """(doc_id, score) per row; the score is in 0..1."""
-        rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    def with_score(self, df: DataFrame, text_col: str = "text", out: str = "score") -> DataFrame:
+        """All rows and columns of ``df`` and the score (0..1) of each text."""
         if self.trees is None:
-            return rows.select("doc_id", F.lit(self.constant).alias("score"))
-        return self._apply(feature_table(rows, self.lexicon, "doc_id")).select("doc_id", "score")
+            return df.withColumn(out, F.lit(self.constant))
+        lexicon = self.lexicon
 
-    def _apply(self, table: DataFrame) -> DataFrame:
-        raw = with_raw(self.trees, table)
-        if self.steps is None:
-            return raw.withColumn("score", F.col("raw"))
-        out = self.steps.transform(raw)
-        step = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("calibrated")))
-        return out.withColumn("score", (1 - PLATEAU) * step + PLATEAU * F.col("raw"))
+        @F.pandas_udf("array<double>")
+        def dense(texts):
+            return texts.map(lambda t: features(t, lexicon))
+
+        # own columns ride in one struct beside the row, so no name can clash
+        rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), dense(F.col(text_col)).alias("features"))
+        scored = with_raw(self.trees, rows)
+        score = F.col("raw")
+        if self.steps is not None:
+            scored = self.steps.transform(scored)
+            step = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("calibrated")))
+            score = (1 - PLATEAU) * step + PLATEAU * F.col("raw")
+        return scored.select("_row.*", score.alias(out))
 
 
 def with_raw(trees, table: DataFrame) -> DataFrame:
@@ -201,6 +206,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                    **options) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``, learned from ``labels``."""
     modulus, remainder = options.get("modulus", 5), options.get("remainder", 0)
-    scored = train(docs, labels, id_col, text_col, **options).score(docs, id_col, text_col)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    scored = train(docs, labels, id_col, text_col, **options).with_score(rows)
     return scored.select("doc_id", held_out("doc_id", modulus, remainder).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               threshold: float = 0.5, **options) -> DataFrame:
+    """``docs`` (all columns) without the texts that score ``threshold`` or more."""
+    model = train(docs, labels, id_col, text_col, **options)
+    return model.with_score(docs, text_col, "_toxicity").where(F.col("_toxicity") < threshold).drop("_toxicity")
