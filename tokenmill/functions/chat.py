@@ -44,6 +44,12 @@ def message(role: str | Column, content: ColumnOrName) -> Column:
     return F.struct(r.alias("role"), _c(content).cast("string").alias("content"))
 
 
+def _text(x: Column) -> Column:
+    """A message's role or content; NULL renders as the empty text, so the
+    message itself stays in the prompt."""
+    return F.coalesce(x, F.lit(""))
+
+
 def _join(parts: Column) -> Column:
     return F.array_join(parts, "")
 
@@ -62,11 +68,11 @@ def chatml(messages: ColumnOrName, add_generation_prompt: bool = False,
     msgs = _c(messages)
 
     def closed(m):
-        return F.concat(F.lit(IM_START), m["role"], F.lit("\n"), m["content"],
+        return F.concat(F.lit(IM_START), _text(m["role"]), F.lit("\n"), _text(m["content"]),
                         F.lit(IM_END + "\n"))
 
     def opened(m):
-        return F.concat(F.lit(IM_START), m["role"], F.lit("\n"), m["content"])
+        return F.concat(F.lit(IM_START), _text(m["role"]), F.lit("\n"), _text(m["content"]))
 
     body = _last_open(msgs, closed, opened) if continue_final else \
         _join(F.transform(msgs, closed))
@@ -80,11 +86,11 @@ def human_assistant(messages: ColumnOrName, eos: str = EOS,
     """System content bare; user/assistant turns prefixed, ``eos`` after
     each; any other role is skipped."""
     msgs = _c(messages)
-    body = _join(F.transform(msgs, lambda m: F.when(m["role"] == "system", m["content"])
-                             .when(m["role"] == "user",
-                                   F.concat(F.lit(HUMAN_PREFIX), m["content"], F.lit(eos)))
-                             .when(m["role"] == "assistant",
-                                   F.concat(F.lit(ASSISTANT_PREFIX), m["content"], F.lit(eos)))
+    body = _join(F.transform(msgs, lambda m: F.when(_text(m["role"]) == "system", _text(m["content"]))
+                             .when(_text(m["role"]) == "user",
+                                   F.concat(F.lit(HUMAN_PREFIX), _text(m["content"]), F.lit(eos)))
+                             .when(_text(m["role"]) == "assistant",
+                                   F.concat(F.lit(ASSISTANT_PREFIX), _text(m["content"]), F.lit(eos)))
                              .otherwise(F.lit(""))))
     if add_generation_prompt:
         body = F.concat(body, F.lit(ASSISTANT_PREFIX))
@@ -97,8 +103,8 @@ def llama3_header(messages: ColumnOrName, add_generation_prompt: bool = False) -
     msgs = _c(messages)
 
     def render(m, i):
-        body = F.concat(F.lit(LLAMA3_HEADER_START), m["role"], F.lit(LLAMA3_HEADER_END + "\n\n"),
-                        F.regexp_replace(m["content"], r"^\s+|\s+$", ""), F.lit(LLAMA3_EOT))
+        body = F.concat(F.lit(LLAMA3_HEADER_START), _text(m["role"]), F.lit(LLAMA3_HEADER_END + "\n\n"),
+                        F.regexp_replace(_text(m["content"]), r"^\s+|\s+$", ""), F.lit(LLAMA3_EOT))
         return F.when(i == 0, F.concat(F.lit(LLAMA3_BOS), body)).otherwise(body)
 
     out = _join(F.transform(msgs, render))
@@ -122,7 +128,7 @@ def starchat(messages: ColumnOrName, add_generation_prompt: bool = True) -> Colu
     """``<|role|>\\ncontent<|end|>\\n`` per message, open assistant tag."""
     msgs = _c(messages)
     out = _join(F.transform(msgs, lambda m: F.concat(
-        F.lit("<|"), m["role"], F.lit("|>\n"), m["content"], F.lit(STARCHAT_END + "\n"))))
+        F.lit("<|"), _text(m["role"]), F.lit("|>\n"), _text(m["content"]), F.lit(STARCHAT_END + "\n"))))
     if add_generation_prompt:
         out = F.concat(out, F.lit("<|assistant|>"))
     return out
@@ -135,6 +141,12 @@ def idefics(user: ColumnOrName, image_url: ColumnOrName | None = None) -> Column
     return F.concat(F.lit(IDEFICS_USER), img, _c(user), F.lit(IDEFICS_END))
 
 
+def first_content(messages: ColumnOrName, role: str) -> Column:
+    """Content of the first message with ``role`` ('' if there is none)."""
+    found = F.filter(_c(messages), lambda m: m["role"] == F.lit(role))
+    return F.coalesce(F.get(found, 0)["content"], F.lit(""))
+
+
 def render(messages: ColumnOrName, style: str = "chatml", **kw) -> Column:
     """Dispatch on a style name (UDF-4 registry of formatting functions)."""
     if style == "chatml":
@@ -147,4 +159,8 @@ def render(messages: ColumnOrName, style: str = "chatml", **kw) -> Column:
         return gemma_chatml(messages)
     if style == "starchat":
         return starchat(messages, **kw)
+    if style == "llama2_inst":
+        return llama2_inst(first_content(messages, "system"), first_content(messages, "user"))
+    if style == "idefics":
+        return idefics(first_content(messages, "user"), **kw)
     raise ValueError(f"unknown chat style {style!r}; known: {STYLES}")

@@ -9,15 +9,20 @@ by collecting a group's values into one buffer.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.functions import text as X
-from tokenmill.session import BROADCAST_LIMIT_BYTES, broadcast_if_bounded
+from tokenmill.operators.offsets import with_positions
+from tokenmill.session import broadcast_if_bounded
 
 ColumnOrName = Column | str
+_NOT_WORD = re.compile("[^a-z0-9]+")
 
 
 def _c(x: ColumnOrName) -> Column:
@@ -43,71 +48,79 @@ def max_length(df: DataFrame, col: ColumnOrName, cap: int | None = None,
 
 
 # AGG-3 ---------------------------------------------------------------
-def length_percentile(df: DataFrame, lengths: ColumnOrName, p: float,
+def length_percentile(df: DataFrame, lengths: ColumnOrName, p: float | Sequence[float],
                       by: Sequence[str] | str | None = None, out: str = "p_length") -> DataFrame:
     """Exact percentile (linear interpolation) of integer lengths, truncated
-    to int. The aggregate buffer is a value -> count map, bounded by the
-    number of distinct lengths, and merges map-side."""
-    return _group(df, by).agg(F.percentile(_c(lengths), p).cast("int").alias(out))
+    to int; for several ``p`` one column ``p{100p}`` each. The aggregate
+    buffer is a value -> count map, bounded by the number of distinct
+    lengths, and merges map-side."""
+    many = {out: p} if isinstance(p, float) else {_pname(x): x for x in p}
+    return _group(df, by).agg(*[F.percentile(_c(lengths), x).cast("int").alias(name) for name, x in many.items()])
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; the left side's keys stay."""
+    named = right.withColumnsRenamed({k: f"_tm_r_{k}" for k in keys})
+    on = [left[k].eqNullSafe(named[f"_tm_r_{k}"]) for k in keys]
+    return left.join(named, on, how).drop(*[f"_tm_r_{k}" for k in keys])
 
 
 def exact_percentiles(df: DataFrame, value: str, ps: Sequence[float], by: Sequence[str] = (),
                       sub_ranges: int | None = None, rows_per_task: int = 2_000_000) -> DataFrame:
     """Exact percentiles (linear interpolation, as numpy's default) of a
-    continuous column per group, by rank.
-
-    1. approximate cut points per group split each group into
-       ``sub_ranges`` value ranges (a hot group becomes many tasks),
-    2. counts per (group, range) -> prefix offsets (small table),
-    3. rank inside each range + offset = rank in the group,
-    4. only the rows at ranks ``floor/ceil(p * (n - 1))`` are kept and
+    continuous column per group, by rank; a NULL group is a group.
+
+    1. rows are counted per (group, value), so a repeated value is one row,
+    2. approximate cut points per group split each group's distinct values
+       into ``sub_ranges`` ranges (a hot group becomes many tasks),
+    3. counts per (group, range) -> prefix offsets (small table),
+    4. running counts inside each range + offset = ranks of a value,
+    5. only the values at ranks ``floor/ceil(p * (n - 1))`` are kept and
        interpolated.
     Output: ``by`` columns + one ``p{100p}`` column per p (double).
-    Without ``sub_ranges`` the count is sized from the largest group
-    (one small aggregate): about ``rows_per_task`` rows per value range.
+    Without ``sub_ranges`` the count is sized from the group with the most
+    distinct values: about ``rows_per_task`` of them per range.
     """
     keys = list(by) or ["_tm_all"]
-    base = df.select(*(list(by) or [F.lit(0).alias("_tm_all")]),
-                     F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    stats = base.groupBy(*keys).count().agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("g")).first()
-    largest, n_groups = int(stats["m"] or 0), int(stats["g"] or 0)
+    base = (df.select(*(list(by) or [F.lit(0).alias("_tm_all")]), F.col(value).cast("double").alias("_v"))
+            .where(F.col("_v").isNotNull()).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
     if sub_ranges is None:
-        sub_ranges = int(min(4096, max(8, -(-largest // rows_per_task))))
-    # per-group tables (cut points, range offsets) are broadcast only when
-    # their proven size (groups x ranges) fits the broadcast limit
-    small = n_groups * sub_ranges * 24 <= BROADCAST_LIMIT_BYTES
+        most = base.groupBy(*keys).count().agg(F.max("count")).first()[0]
+        sub_ranges = max(8, -(-int(most or 0) // rows_per_task))
     probs = [i / sub_ranges for i in range(1, sub_ranges)]
-    # cut points: one small row per group -> joined on the group key
-    cuts = base.groupBy(*keys).agg(F.percentile_approx("_v", probs, 10000).alias("_cuts"))
-    b = base.join(F.broadcast(cuts) if small else cuts, keys, "inner")
+    cuts = base.groupBy(*keys).agg(F.percentile_approx("_v", probs, max(10000, 4 * sub_ranges)).alias("_cuts"))
+    b = null_safe_join(base, broadcast_if_bounded(cuts, 100_000), keys)
     # range index = number of cut points below the value: a scan for a few
     # cut points, a binary search for many
     below = (F.size(F.filter("_cuts", lambda c: c < F.col("_v"))) if sub_ranges <= 64
              else X.lower_bound("_cuts", "_v", sub_ranges))
     b = b.withColumn("_sub", below).drop("_cuts")
-    counts = b.groupBy(*keys, "_sub").agg(F.count(F.lit(1)).alias("_k"))
+    counts = b.groupBy(*keys, "_sub").agg(F.sum("_c").alias("_k"))
     wk = Window.partitionBy(*keys).orderBy("_sub")
     offsets = counts.select(*keys, "_sub",
                             F.coalesce(F.sum("_k").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
                                        F.lit(0)).alias("_off"),
                             F.sum("_k").over(Window.partitionBy(*keys)).alias("_n"))
-    ranked = b.join(F.broadcast(offsets) if small else offsets, keys + ["_sub"])
-    wr = Window.partitionBy(*keys, "_sub").orderBy("_v")
-    ranked = ranked.withColumn("_r", F.col("_off") + F.row_number().over(wr) - 1)
-    # only the rows at the ranks a percentile needs survive (<= 2 per p and
-    # group); one conditional aggregate interpolates every percentile
+    ranked = null_safe_join(b, broadcast_if_bounded(offsets, 1_000_000), keys + ["_sub"])
+    wr = Window.partitionBy(*keys, "_sub").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    # a value holds the ranks _first .. _first + _c - 1 of its group
+    ranked = ranked.withColumn("_first", F.col("_off") + F.coalesce(F.sum("_c").over(wr), F.lit(0)))
+
+    def holds(rank: Column) -> Column:
+        return (F.col("_first") <= rank) & (rank < F.col("_first") + F.col("_c"))
+
     lo = {p: F.floor(F.lit(p) * (F.col("_n") - 1)).cast("bigint") for p in ps}
     hi = {p: F.ceil(F.lit(p) * (F.col("_n") - 1)).cast("bigint") for p in ps}
     needed = None
     for p in ps:
-        cond = (F.col("_r") == lo[p]) | (F.col("_r") == hi[p])
+        cond = holds(lo[p]) | holds(hi[p])
         needed = cond if needed is None else (needed | cond)
     picked = ranked.where(needed)
     aggs = []
     for p in ps:
         frac = F.lit(p) * (F.max("_n") - 1) - F.floor(F.lit(p) * (F.max("_n") - 1))
-        vlo = F.max(F.when(F.col("_r") == lo[p], F.col("_v")))
-        vhi = F.max(F.when(F.col("_r") == hi[p], F.col("_v")))
+        vlo = F.max(F.when(holds(lo[p]), F.col("_v")))
+        vhi = F.max(F.when(holds(hi[p]), F.col("_v")))
         aggs.append((vlo + (vhi - vlo) * frac).alias(_pname(p)))
     out = picked.groupBy(*keys).agg(*aggs)
     return out if by else out.drop("_tm_all")
@@ -173,11 +186,10 @@ def weighted_f1(df: DataFrame, pred: str, truth: str,
 
 # AGG-9 / JON-6 -------------------------------------------------------
 def class_names(df: DataFrame, label: str) -> DataFrame:
-    """Distinct labels -> dense 0-based ids in sorted name order. The
-    distinct set is small (class names); numbering it is bounded."""
+    """Distinct labels -> dense 0-based ids in sorted name order, numbered
+    by ranges of names (no task needs all of them)."""
     names = df.select(F.col(label).alias("name")).where(F.col("name").isNotNull()).distinct()
-    return names.select((F.dense_rank().over(Window.orderBy("name")) - 1).cast("int").alias("id"),
-                        "name")
+    return with_positions(names, ["name"], pos_col="id").select(F.col("id").cast("int").alias("id"), "name")
 
 
 def label_join(df: DataFrame, label: str, label_map: DataFrame, out: str = "label_id",
@@ -192,10 +204,8 @@ def label_join(df: DataFrame, label: str, label_map: DataFrame, out: str = "labe
 def best_run(metrics: DataFrame, run: str, metric: str, mode: str = "max",
              by: Sequence[str] | str | None = None) -> DataFrame:
     """Best ``run`` by ``metric`` (ties: smallest run)."""
-    key = F.struct(F.col(metric) if mode == "max" else -F.col(metric), -F.col(run)) \
-        if metrics.schema[run].dataType.typeName() in ("integer", "long", "double") else \
-        F.struct(F.col(metric) if mode == "max" else -F.col(metric))
-    best = F.max_by(F.col(run), key)
+    key = F.struct((-F.col(metric) if mode == "max" else F.col(metric)).alias("m"), F.col(run).alias("r"))
+    best = F.min(F.when(F.col(metric).isNotNull(), key))["r"]
     agg = F.max(metric) if mode == "max" else F.min(metric)
     return _group(metrics, by).agg(best.alias(f"best_{run}"), agg.alias(f"best_{metric}"))
 
@@ -211,7 +221,7 @@ def latency_summary(df: DataFrame, value: str, by: Sequence[str],
         aggs.append(F.sum(counter).alias(f"{counter}_sum"))
     simple = df.groupBy(*by).agg(*aggs)
     pcts = exact_percentiles(df, value, ps, by)
-    return simple.join(pcts, list(by), "left")
+    return null_safe_join(simple, pcts, list(by), "left")
 
 
 # AGG-12 --------------------------------------------------------------
@@ -288,24 +298,34 @@ def ngrams(tokens: ColumnOrName, n: int) -> Column:
     return F.transform(zipped, lambda s: F.concat_ws(" ", *[s[f"g{i}"] for i in range(n)]))
 
 
+def _rouge_words(text: str | None) -> list[str]:
+    return _NOT_WORD.sub(" ", (text or "").lower()).split()
+
+
+def _rouge_map(df: DataFrame, key: str, pred: str, ref: str, score, schema: str) -> DataFrame:
+    """Per-row scores of two texts: whole texts, one Arrow batch at a time, no shuffle."""
+    kt = df.schema[key].dataType.simpleString()
+
+    def run(batches):
+        for pdf in batches:
+            rows = [score(p, r) for p, r in zip(pdf[pred], pdf[ref])]
+            out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+            out.insert(0, key, pdf[key].to_numpy())
+            yield out
+
+    return df.select(key, pred, ref).mapInPandas(run, f"{key} {kt}, {schema}")
+
+
 def rouge_n(df: DataFrame, key: str, pred: str, ref: str, n: int = 1) -> DataFrame:
-    """Per-row ROUGE-n precision/recall/F (multiset n-gram overlap).
-
-    n-grams are exploded and counted per (row, n-gram): groups bounded by
-    a row's length; no row is compared with any other."""
-    # tokens first, as columns: a lambda over a computed array would
-    # recompute it per element
-    toks = df.select(key, rouge_tokens(pred).alias("_tp"), rouge_tokens(ref).alias("_tr"))
-    base = toks.select(key, ngrams("_tp", n).alias("_p"), ngrams("_tr", n).alias("_r"))
-    pc = base.select(key, F.explode("_p").alias("g")).groupBy(key, "g").agg(F.count(F.lit(1)).alias("cp"))
-    rc = base.select(key, F.explode("_r").alias("g")).groupBy(key, "g").agg(F.count(F.lit(1)).alias("cr"))
-    ov = pc.join(rc, [key, "g"]).groupBy(key).agg(F.sum(F.least("cp", "cr")).alias("overlap"))
-    sizes = base.select(key, F.size("_p").alias("n_pred"), F.size("_r").alias("n_ref"))
-    out = sizes.join(ov, key, "left").fillna(0, subset=["overlap"])
-    prec = F.when(F.col("n_pred") > 0, F.col("overlap") / F.col("n_pred")).otherwise(0.0)
-    rec = F.when(F.col("n_ref") > 0, F.col("overlap") / F.col("n_ref")).otherwise(0.0)
-    return out.select(key, prec.alias("precision"), rec.alias("recall"),
-                      F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0).alias("fmeasure"))
+    """Per-row ROUGE-n precision/recall/F (multiset n-gram overlap),
+    counted inside the row."""
+    def score(p_text, r_text):
+        p, r = (list(zip(*[_rouge_words(x)[i:] for i in range(n)])) for x in (p_text, r_text))
+        overlap = sum((Counter(p) & Counter(r)).values())
+        prec, rec = (overlap / len(x) if x else 0.0 for x in (p, r))
+        return prec, rec, 2 * prec * rec / (prec + rec) if prec + rec > 0 else 0.0
+
+    return _rouge_map(df, key, pred, ref, score, "precision double, recall double, fmeasure double")
 
 
 def rouge_summary(per_row: DataFrame, name: str) -> DataFrame:
@@ -314,28 +334,27 @@ def rouge_summary(per_row: DataFrame, name: str) -> DataFrame:
 
 
 # MET-7 ---------------------------------------------------------------
+def _lcs_rows(a: list, b: list) -> list[int]:
+    """Bit-parallel LCS: after each token of ``a`` one integer whose zero
+    bits mark where the LCS with a prefix of ``b`` grows."""
+    at: dict = {}
+    for j, t in enumerate(b):
+        at[t] = at.get(t, 0) | (1 << j)
+    full = (1 << len(b)) - 1
+    v, rows = full, []
+    for t in a:
+        u = v & at.get(t, 0)
+        v = ((v + u) | (v - u)) & full
+        rows.append(v)
+    return rows
+
+
 def _lcs_len(a: list, b: list) -> int:
-    import numpy as np
-    if len(a) == 0 or len(b) == 0:
+    if not a or not b:
         return 0
-    if len(a) < len(b):
+    if len(a) > len(b):
         a, b = b, a
-    bi = {}
-    for t in b:
-        bi.setdefault(t, len(bi))
-    bcodes = np.array([bi[t] for t in b])
-    prev = np.zeros(len(b) + 1, dtype=np.int32)
-    for t in a:
-        code = bi.get(t, -1)
-        match = np.concatenate(([False], bcodes == code))
-        cur = np.zeros_like(prev)
-        diag = prev[:-1] + 1
-        cand = np.where(match[1:], diag, 0)
-        # cur[j] = max(cur[j-1], prev[j], cand[j-1]) — prefix max along j
-        base = np.maximum(prev[1:], cand)
-        cur[1:] = np.maximum.accumulate(base)
-        prev = cur
-    return int(prev[-1])
+    return len(b) - _lcs_rows(a, b)[-1].bit_count()
 
 
 def _f(lcs: int, n_pred: int, n_ref: int) -> float:
@@ -349,72 +368,50 @@ def rouge_l(df: DataFrame, key: str, pred: str, ref: str, summary_level: bool =
     """ROUGE-L (LCS F) per row; ``summary_level`` = ROUGE-Lsum: sentences
     on separate lines, union-LCS over the reference lines.
 
-    The dynamic program is per row and runs in an Arrow-batched function
-    (numpy, one vector pass per token of the longer side)."""
-    import pandas as pd
-
-    def tok(s):
-        import re
-        return re.sub(r"[^a-z0-9]+", " ", (s or "").lower()).split()
+    The LCS is bit-parallel (one big-integer step per token)."""
+    def lines(text):
+        return [w for w in map(_rouge_words, (text or "").split("\n")) if w]
 
     def lsum(p_text, r_text):
-        p_lines = [tok(x) for x in (p_text or "").split("\n") if tok(x)]
-        r_lines = [tok(x) for x in (r_text or "").split("\n") if tok(x)]
-        n_p = sum(len(x) for x in p_lines)
-        n_r = sum(len(x) for x in r_lines)
-        if n_p == 0 or n_r == 0:
-            return 0.0
-        p_counts: dict = {}
-        for x in p_lines:
-            for t in x:
-                p_counts[t] = p_counts.get(t, 0) + 1
-        r_counts: dict = {}
-        for x in r_lines:
-            for t in x:
-                r_counts[t] = r_counts.get(t, 0) + 1
+        p_lines, r_lines = lines(p_text), lines(r_text)
+        n_p, n_r = sum(map(len, p_lines)), sum(map(len, r_lines))
+        p_left, r_left = (Counter(t for x in ls for t in x) for ls in (p_lines, r_lines))
         hits = 0
         for r in r_lines:
-            union = set()
-            for p in p_lines:
-                union |= set(_lcs_positions(r, p))
-            for i in sorted(union):
+            for i in sorted(set().union(*[_lcs_positions(r, p) for p in p_lines])):
                 t = r[i]
-                if p_counts.get(t, 0) > 0 and r_counts.get(t, 0) > 0:
+                if p_left[t] > 0 and r_left[t] > 0:
                     hits += 1
-                    p_counts[t] -= 1
-                    r_counts[t] -= 1
-        return _f(hits, n_p, n_r)
+                    p_left[t] -= 1
+                    r_left[t] -= 1
+        return (_f(hits, n_p, n_r),)
 
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for p_text, r_text in zip(pdf[pred], pdf[ref]):
-                if summary_level:
-                    out.append(lsum(p_text, r_text))
-                else:
-                    a, b = tok(p_text), tok(r_text)
-                    out.append(_f(_lcs_len(a, b), len(a), len(b)))
-            yield pd.DataFrame({key: pdf[key].values, "fmeasure": out})
+    def whole(p_text, r_text):
+        p, r = _rouge_words(p_text), _rouge_words(r_text)
+        return (_f(_lcs_len(p, r), len(p), len(r)),)
 
-    kt = df.schema[key].dataType.simpleString()
-    return df.select(key, pred, ref).mapInPandas(run, f"{key} {kt}, fmeasure double")
+    return _rouge_map(df, key, pred, ref, lsum if summary_level else whole, "fmeasure double")
 
 
 def _lcs_positions(r: list, p: list) -> list[int]:
-    """Indices of ``r`` on one longest common subsequence with ``p``."""
-    n, m = len(r), len(p)
-    dp = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n):
-        for j in range(m):
-            dp[i + 1][j + 1] = dp[i][j] + 1 if r[i] == p[j] else max(dp[i][j + 1], dp[i + 1][j])
-    i, j, out = n, m, []
-    while i > 0 and j > 0:
+    """Indices of ``r`` on one longest common subsequence with ``p`` (found
+    from the ends; at a tie a token of ``r`` is left out first)."""
+    if not set(r) & set(p):
+        return []
+    rows = _lcs_rows(r, p)
+    zeros = [0, *rows]  # zeros[i]: bits after i tokens of r; no tokens leave no zero bit
+
+    def length(i: int, j: int) -> int:
+        return 0 if i == 0 else j - (zeros[i] & ((1 << j) - 1)).bit_count()
+
+    i, j, out = len(r), len(p), []
+    here = length(i, j)
+    while i > 0 and j > 0 and here:
         if r[i - 1] == p[j - 1]:
             out.append(i - 1)
-            i -= 1
-            j -= 1
-        elif dp[i - 1][j] >= dp[i][j - 1]:
-            i -= 1
+            i, j, here = i - 1, j - 1, here - 1
+        elif not zeros[i] >> (j - 1) & 1 or length(i - 1, j) == here:
+            i -= 1  # the column grows here, or the row above is as good
         else:
             j -= 1
     return out[::-1]

@@ -10,9 +10,13 @@ task. Instead rows are cut into quantile buckets of the ordering key:
    (one row per bucket: a proven size bound),
 4. inside each bucket a partitioned window numbers rows and sums sizes.
 
+Other key types, descending order and hot first-key values take a range
+partitioning on all keys, written once, in place of steps 1 and 2.
+
 Buckets are balanced by construction, so a hot ordering value range is
 spread over many tasks; the bucket of a row is a pure function of its
-key, so a recomputed (lost) task lands rows in the same bucket again.
+key (or read from the written table), so a recomputed (lost) task lands
+rows in the same bucket again.
 
 ``first_n`` and ``rows_at`` need a position for a few rows only: the
 bucket counts settle every bucket but the boundary one(s), which alone
@@ -22,17 +26,20 @@ are ranked.
 from __future__ import annotations
 
 import math
+import uuid
+from fractions import Fraction
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tokenmill.session import scratch_path
+
 _BUCKET = "_tm_bucket"
 _KEYD = "_tm_keyd"
 
 
 MAX_BUCKETS = 16384
-MAX_SUB_BUCKETS = 256
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -54,46 +61,54 @@ def hash_key(*cols: Column | str, seed: str = "") -> Column:
     return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
 
 
+def hash_cut(fraction: float) -> int:
+    """The ``hash_key`` below which ``fraction`` of all keys lie (60-bit resolution)."""
+    return int(Fraction(fraction) * (1 << 60))
+
+
 def _is_numeric(df: DataFrame, c: Column) -> bool:
     t = df.select(c).schema.fields[0].dataType.typeName()
     return t in ("byte", "short", "integer", "long", "float", "double") or t.startswith("decimal")
 
 
-def _bucketize(df: DataFrame, keys: list[Column], n_buckets: int) -> DataFrame:
-    """Bucket id per row, monotone in the (k1, k2) order.
+def _range_buckets(df: DataFrame, keys: list[Column], n_buckets: int) -> DataFrame:
+    """Bucket id per row from a range partitioning on the whole key list:
+    any types, ascending or descending, nulls included. A value that many
+    rows share is cut by the keys behind it. The rows are written once, so
+    every later step sees the same buckets."""
+    cut = df.repartitionByRange(n_buckets, *keys).withColumn(_BUCKET, F.spark_partition_id().cast("bigint"))
+    path = scratch_path(df.sparkSession, f"ranges-{uuid.uuid4().hex}")
+    cut.write.parquet(path)
+    return df.sparkSession.read.schema(cut.schema).parquet(path)
 
-    Level 1: quantile cut points of k1 and a ``Bucketizer``. A k1 value
-    that fills several quantile slots (a hot value) would put a large
-    share of the rows into one bucket, so level 2 splits the rows holding
-    a hot value by quantile cut points of k2 (one small aggregate).
-    """
+
+def _descends(c: Column) -> bool:
+    return " DESC" in str(c).upper()
+
+
+def _bucketize(df: DataFrame, keys: list[Column], n_buckets: int) -> DataFrame:
+    """Bucket id per row, monotone in the order of ``keys``.
+
+    A numeric ascending first key without hot values takes quantile cut
+    points and a ``Bucketizer`` (no shuffle). Any other order, and a first
+    key with a value that fills several quantile slots, is cut by a range
+    partitioning on all keys."""
+    if _descends(keys[0]) or not _is_numeric(df, keys[0]):
+        return _range_buckets(df, keys, n_buckets)
     with_key = df.withColumn(_KEYD, F.coalesce(keys[0].cast("double"), F.lit(-1.0e308)))
     cuts: list[float] = []
     if n_buckets > 1:
         probs = [i / n_buckets for i in range(1, n_buckets)]
         cuts = with_key.approxQuantile(_KEYD, probs, 1.0 / (4 * n_buckets))
-    finite = [c for c in cuts if math.isfinite(c)]
-    splits = [-math.inf] + sorted(set(finite)) + [math.inf]
+    if len(set(cuts)) < len(cuts) and len(keys) > 1:
+        return _range_buckets(df, keys, n_buckets)
+    splits = [-math.inf] + sorted({c for c in cuts if math.isfinite(c)}) + [math.inf]
     if len(splits) < 3:
         out = with_key.withColumn(_BUCKET, F.lit(0).cast("double"))
     else:
         bz = Bucketizer(splits=splits, inputCol=_KEYD, outputCol=_BUCKET, handleInvalid="keep")
         out = bz.transform(with_key)
-    hot = sorted({c for c in finite if finite.count(c) >= 2})
-    if not hot or len(keys) < 2 or not _is_numeric(df, keys[1]):
-        return out.withColumn(_BUCKET, F.col(_BUCKET).cast("bigint")).drop(_KEYD)
-    k2 = keys[1].cast("double")
-    sub_n = min(n_buckets, MAX_SUB_BUCKETS)
-    probs2 = [i / sub_n for i in range(1, sub_n)]
-    sub_cuts = (out.where(F.col(_KEYD).isin(hot))
-                .groupBy(_KEYD).agg(F.percentile_approx(k2, probs2, 4 * sub_n).alias("c"))
-                .collect())  # one row per hot value (at most n_buckets / 2)
-    sub = F.lit(sub_n)  # rows after the hot value inside its bucket
-    for r in sub_cuts:
-        arr = F.array(*[F.lit(float(x)) for x in sorted(set(r["c"]))])
-        sub = F.when(F.col(_KEYD) == F.lit(r[_KEYD]), F.size(F.filter(arr, lambda c: c < k2))) \
-            .otherwise(sub)
-    return out.withColumn(_BUCKET, (F.col(_BUCKET) * (sub_n + 1) + sub).cast("bigint")).drop(_KEYD)
+    return out.withColumn(_BUCKET, F.col(_BUCKET).cast("bigint")).drop(_KEYD)
 
 
 def with_positions(df: DataFrame, order: list[Column | str], *,
@@ -104,8 +119,8 @@ def with_positions(df: DataFrame, order: list[Column | str], *,
     """Add a dense 0-based position in ``order`` and, if ``size`` is given,
     the running total of ``size`` over all earlier rows (``start_col``).
 
-    ``order[0]`` must be numeric (use :func:`hash_key` for strings); the
-    full ``order`` list must make rows unique for a deterministic result.
+    ``order`` columns may be of any type and direction; the full list must
+    make rows unique for a deterministic result.
     ``total_col`` / ``total_size_col`` add the grand row count / size sum,
     taken from the same per-bucket table (no extra action, no cross join).
     """

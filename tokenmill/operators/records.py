@@ -116,23 +116,18 @@ def filter_min_tokens(df: DataFrame, tokens: str, n: int) -> DataFrame:
 
 # FLT-6 ---------------------------------------------------------------
 def match_any_pattern(df: DataFrame, patterns: DataFrame, col: str,
-                      pattern_col: str = "entry", max_patterns: int = 10_000) -> DataFrame:
+                      pattern_col: str = "entry", block: int = 1_000) -> DataFrame:
     """Rows whose ``col`` matches any regex of ``patterns`` at its start.
 
-    The pattern list is a small file (layer rules): it is read once
-    (bounded by ``max_patterns``, checked) and folded into one anchored
-    alternation, so the filter is one regex per row and no join. A longer
-    list is refused: testing every row against an unbounded list would be
-    a nested-loop join.
-    """
-    pats = [r[0] for r in patterns.select(pattern_col).limit(max_patterns + 1).collect()
-            if r[0] is not None]
-    if len(pats) > max_patterns:
-        raise ValueError(f"more than {max_patterns} patterns; split the list")
+    The pattern list is a file of rules: it is read row by row and folded
+    into anchored alternations of ``block`` patterns, tried one after the
+    other on each row, so the filter is no join and takes a list of any length."""
+    pats = [r[0] for r in patterns.select(pattern_col).toLocalIterator() if r[0] is not None]
     if not pats:
         return df.limit(0)
-    combined = "(?d)^(?:" + "|".join(f"(?:{p})" for p in pats) + ")"
-    return df.where(F.col(col).rlike(combined))
+    hits = [F.col(col).rlike("(?d)^(?:" + "|".join(f"(?:{p})" for p in pats[i:i + block]) + ")")
+            for i in range(0, len(pats), block)]
+    return df.where(F.exists(F.array(*hits), lambda h: h) if len(hits) > 1 else hits[0])
 
 
 # FLT-7 ---------------------------------------------------------------

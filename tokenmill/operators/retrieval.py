@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenmill.operators.offsets import with_positions
+from tokenmill.operators.offsets import hash_key, with_positions
 from tokenmill.session import BROADCAST_LIMIT_BYTES, broadcast_if_bounded, materialize
 
 HITS_SCHEMA = "dim INT, qid BIGINT, cid BIGINT, score DOUBLE"
@@ -98,6 +98,9 @@ class _RunningTopK:
         return {"dim": dim, "qid": qid, "cid": cid, "score": score, "c_key": ckey}
 
 
+BUCKET_BYTES = 64 * 1024 * 1024  # of corpus vectors on the blocked path
+
+
 def _stack(vectors) -> np.ndarray:
     if len(vectors) == 0:
         return np.zeros((0, 0))
@@ -118,12 +121,15 @@ def score_top_k(queries: DataFrame, corpus: DataFrame, dims: Sequence[int], k: i
     Vectors are cut to the widest width in ``dims`` before anything moves.
     On the blocked path a query block holds about ``block_bytes`` of
     vectors (unless ``query_block`` fixes its row count): the corpus is
-    copied once per block, so blocks are as large as memory allows."""
+    copied once per block, so blocks are as large as memory allows.
+    Rows without a vector find nothing and are never found."""
     dims = [int(d) for d in dims]
     width = max(dims)
     kq = [F.col(rel_key).cast("string").alias("key")] if rel_key else []
-    q = queries.select(F.col(q_id).cast("bigint").alias("qid"), F.slice(vec, 1, width).alias("v"), *kq)
-    c = corpus.select(F.col(c_id).cast("bigint").alias("cid"), F.slice(vec, 1, width).alias("v"), *kq)
+    q = queries.select(F.col(q_id).cast("bigint").alias("qid"), F.slice(vec, 1, width).alias("v"), *kq) \
+        .where("v is not null")
+    c = corpus.select(F.col(c_id).cast("bigint").alias("cid"), F.slice(vec, 1, width).alias("v"), *kq) \
+        .where("v is not null")
     if query_block is None:
         query_block = max(1024, block_bytes // (width * 8 + 64))
     if _fits_broadcast(q, max(dims), broadcast_limit):
@@ -171,12 +177,17 @@ def _broadcast_path(q: DataFrame, c: DataFrame, dims, k, keyed: bool) -> DataFra
                          b.column("key").to_pylist() if keyed else None)
         yield pa.RecordBatch.from_pydict(_emit(top.result(), qi, qk, keyed))
 
-    return c.mapInArrow(run, KEYED_SCHEMA if keyed else HITS_SCHEMA)
+    # one partial list per task: input partitions are read in groups, so the
+    # lists follow the session's partition count, not the number of files
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    return c.coalesce(tasks).mapInArrow(run, KEYED_SCHEMA if keyed else HITS_SCHEMA)
 
 
 def _blocked_path(q: DataFrame, c: DataFrame, dims, k, query_block, corpus_buckets,
                   keyed: bool) -> DataFrame:
-    nb = corpus_buckets or max(1, int(q.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
+    # a corpus bucket is held by one task: as many as its rows need
+    nb = corpus_buckets or max(int(q.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")),
+                               -(-c.count() * (max(dims) * 16 + 64) // BUCKET_BYTES))
     qpos = with_positions(q, ["qid"], pos_col="_pos")
     qb = qpos.select("qid", "v", *(["key"] if keyed else []),
                      F.floor(F.col("_pos") / query_block).alias("qblock"))
@@ -225,11 +236,14 @@ def qrels_join(hits: DataFrame, qrels: DataFrame, on: Sequence[str] = ("qid", "r
 def ir_metrics(hits: DataFrame, n_relevant: DataFrame, k: int = 10,
                by: Sequence[str] = ("dim",)) -> DataFrame:
     """NDCG, MRR, MAP, recall, precision and hit rate at ``k`` per group,
-    averaged over all queries (queries without a relevant hit count 0).
+    averaged over all queries of ``n_relevant``: a query without a relevant
+    row, without a relevant hit or without any hit counts 0 in all of them.
 
     ``hits``: ``by…, qid, rank, relevant``; ``n_relevant``: ``qid, n_rel``.
     """
     keys = list(by)
+    n_relevant = materialize(n_relevant)
+    n_queries = n_relevant.count()
     h = hits.where(F.col("rank") <= k)
     rel = F.col("relevant")
     # running count of relevant hits up to each rank (per query: <= k rows)
@@ -240,7 +254,7 @@ def ir_metrics(hits: DataFrame, n_relevant: DataFrame, k: int = 10,
         F.max(rel / F.col("rank")).alias("rr"),
         F.sum(rel * F.col("_cum") / F.col("rank")).alias("ap_sum"),
         F.sum(rel).alias("n_hit"))
-    per_q = per_q.join(broadcast_if_bounded(n_relevant, 2_000_000, row_bytes=24), "qid")
+    per_q = per_q.join(broadcast_if_bounded(n_relevant, 2_000_000), "qid")
     ideal = F.when(F.col("n_rel") > 0, F.aggregate(
         F.sequence(F.lit(1), F.least(F.col("n_rel"), F.lit(k)).cast("int")),
         F.lit(0.0), lambda acc, i: acc + 1.0 / F.log2(i + 1))).otherwise(F.lit(0.0))
@@ -253,17 +267,26 @@ def ir_metrics(hits: DataFrame, n_relevant: DataFrame, k: int = 10,
         (F.col("n_hit") / F.nullif(F.col("n_rel").cast("double"), F.lit(0.0))).alias("recall"),
         (F.col("n_hit") / F.lit(float(k))).alias("precision"),
         (F.col("n_hit") > 0).cast("double").alias("accuracy"))
-    return per_q.groupBy(*keys).agg(*[F.avg(m).alias(f"{m}_at_{k}") for m in
-                                      ("ndcg", "mrr", "map", "recall", "precision", "accuracy")])
+    # one denominator for all metrics
+    return per_q.groupBy(*keys).agg(*[
+        (F.sum(F.coalesce(m, F.lit(0.0))) / F.lit(float(max(1, n_queries)))).alias(f"{m}_at_{k}")
+        for m in ("ndcg", "mrr", "map", "recall", "precision", "accuracy")])
 
 
 def matryoshka_eval(queries: DataFrame, corpus: DataFrame, dims: Sequence[int], k: int = 10,
                     q_id: str = "qid", c_id: str = "cid", vec: str = "embedding",
-                    rel_key: str = "rel_key", **kw) -> DataFrame:
+                    rel_key: str = "rel_key", qrels: DataFrame | None = None, **kw) -> DataFrame:
     """All metrics at every truncation width in one pass over the corpus;
-    ``key`` is the result name ``dim_{d}_cosine_ndcg@{k}``. Relevant =
-    same ``rel_key``; a query's number of relevant rows comes from one
-    count per key on the corpus."""
+    ``key`` is the result name ``dim_{d}_cosine_ndcg@{k}``. Relevant are the
+    pairs of ``qrels(qid, cid)``, or, without it, rows of the same
+    ``rel_key`` (counted once per key on the corpus)."""
+    if qrels is not None:
+        q = F.col("qid").cast("bigint").alias("qid")
+        pairs = qrels.select(q, F.col("cid").cast("bigint").alias("cid")).distinct()
+        marked = qrels_join(score_top_k(queries, corpus, dims, k, q_id, c_id, vec, **kw), pairs, ("qid", "cid"))
+        n_rel = (queries.select(F.col(q_id).cast("bigint").alias("qid")).distinct()
+                 .join(pairs.groupBy("qid").agg(F.count(F.lit(1)).alias("n_rel")), "qid", "left").fillna(0, subset=["n_rel"]))
+        return _named(ir_metrics(marked, n_rel, k), k)
     hits = score_top_k(queries, corpus, dims, k, q_id, c_id, vec, rel_key=rel_key, **kw)
     marked = hits.withColumn("relevant", (F.col("c_key") == F.col("q_key")).cast("int"))
     per_key = corpus.groupBy(F.col(rel_key).cast("string").alias("q_key")) \
@@ -271,7 +294,10 @@ def matryoshka_eval(queries: DataFrame, corpus: DataFrame, dims: Sequence[int],
     q_keys = queries.select(F.col(q_id).cast("bigint").alias("qid"),
                             F.col(rel_key).cast("string").alias("q_key"))
     n_rel = q_keys.join(per_key, "q_key", "left").fillna(0, subset=["n_rel"]).select("qid", "n_rel")
-    m = ir_metrics(marked, n_rel, k)
+    return _named(ir_metrics(marked, n_rel, k), k)
+
+
+def _named(m: DataFrame, k: int) -> DataFrame:
     return m.withColumn("key", F.concat(F.lit("dim_"), F.col("dim").cast("string"),
                                         F.lit(f"_cosine_ndcg@{k}")))
 
@@ -305,15 +331,14 @@ def no_duplicate_batches(df: DataFrame, text: str, order: str, size: int) -> Dat
     (text hash, order) minus the first position of the text: a hot text is
     spread over many buckets instead of one window partition.
     """
-    # rows are numbered in (text hash, order): copies of a text are
+    # rows are numbered in (text hashes, order): copies of a text are
     # consecutive; a hot text is split across buckets by its order values.
-    # (A hash collision only merges two texts' numbering: copies of one
-    # text still get distinct occurrence numbers.)
-    th = F.xxhash64(text)
-    pos = with_positions(df.withColumn("_tm_th", th), ["_tm_th", order], pos_col="_tm_p")
-    first = pos.groupBy("_tm_th").agg(F.min("_tm_p").alias("_tm_p0"))
-    occ = pos.join(first, ["_tm_th"]).withColumn("occ", F.col("_tm_p") - F.col("_tm_p0")) \
-        .drop("_tm_p", "_tm_p0", "_tm_th")
+    # Two hashes (124 bits) stand for the text.
+    named = df.withColumn("_tm_th", F.xxhash64(text)).withColumn("_tm_md", hash_key(F.coalesce(F.col(text), F.lit(""))))
+    pos = with_positions(named, ["_tm_th", "_tm_md", order], pos_col="_tm_p")
+    first = pos.groupBy("_tm_th", "_tm_md").agg(F.min("_tm_p").alias("_tm_p0"))
+    occ = pos.join(first, ["_tm_th", "_tm_md"]).withColumn("occ", F.col("_tm_p") - F.col("_tm_p0")) \
+        .drop("_tm_p", "_tm_p0", "_tm_th", "_tm_md")
     occ = materialize(occ)  # read three times below
     laid = with_positions(occ, ["occ", order], pos_col="_tm_g")
     stripe0 = laid.groupBy("occ").agg(F.min("_tm_g").alias("_tm_g0"))

@@ -2,16 +2,16 @@
 
 Rule-based rewards are native string expressions. The one step that
 needs an arithmetic evaluator (RWD-6) runs in an Arrow-batched function
-on the rows that pass every native gate; it walks Python's own AST with
-a whitelist instead of calling ``eval``.
+on the rows that pass every native gate; a small operator-precedence evaluator
+runs there instead of ``eval``.
 """
 
 from __future__ import annotations
 
-import ast
 import math
 import operator
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from tokenmill.functions import text as X
+from tokenmill.operators.sample import head
 
 ColumnOrName = Column | str
 
@@ -72,7 +73,7 @@ def limit_pairs(pairs: DataFrame, n: int | None, order: str) -> DataFrame:
     ``n`` all pairs."""
     if n is None:
         return pairs
-    return pairs.orderBy(order).limit(n)
+    return head(pairs, n, [order])
 
 
 # RWD-4 ---------------------------------------------------------------
@@ -108,50 +109,101 @@ def format_reward(completion: ColumnOrName) -> Column:
 
 
 # RWD-6 ---------------------------------------------------------------
-_BINOPS: dict[type, Callable] = {
-    ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul,
-    ast.Div: operator.truediv, ast.FloorDiv: operator.floordiv, ast.Pow: operator.pow,
-    ast.Mod: operator.mod,
-}
-_UNOPS: dict[type, Callable] = {ast.UAdd: operator.pos, ast.USub: operator.neg}
-MAX_EXPR_LEN = 1000
-MAX_DEPTH = 100
-MAX_EXPONENT = 64
+_BINARY: dict[str, Callable] = {"+": operator.add, "-": operator.sub, "*": operator.mul, "/": operator.truediv,
+                                "//": operator.floordiv, "%": operator.mod}
+_RANK = {"+": 1, "-": 1, "*": 2, "/": 2, "//": 2, "%": 2, "u+": 3, "u-": 3, "**": 4}
+_LEXEME = re.compile(r"\s*(?:(\d+\.\d*|\.\d+|\d+)|(\*\*|//|[-+*/%()]))", re.ASCII)
+# An integer power whose result would have more bits than this is an error.
+MAX_POWER_BITS = 1 << 22
+
+
+def _power(a, b):
+    if isinstance(a, int) and isinstance(b, int) and b > 0 and a not in (-1, 0, 1) \
+            and a.bit_length() * b > MAX_POWER_BITS:
+        raise OverflowError("power too large")
+    return a ** b
+
+
+def _number(lexeme: str):
+    if "." in lexeme:
+        return float(lexeme)
+    if len(lexeme) > 1 and lexeme[0] == "0" and lexeme.strip("0"):
+        raise ValueError("leading zero")
+    return int(lexeme)
+
+
+def _lexemes(expr: str):
+    at, expr = 0, expr.rstrip()
+    while at < len(expr):
+        m = _LEXEME.match(expr, at)
+        if m is None:
+            raise ValueError("not arithmetic")
+        at = m.end()
+        yield m.group(1), m.group(2)
 
 
 def evaluate_arithmetic(expr: str) -> float | None:
-    """Value of an arithmetic expression made of numbers, ``+ - * / // **``,
-    unary signs and parentheses; None for anything else or any error."""
-    if expr is None or len(expr) > MAX_EXPR_LEN:
-        return None
-    try:
-        tree = ast.parse(expr.strip(), mode="eval")
-    except (SyntaxError, ValueError, MemoryError, RecursionError):
-        return None
+    """Value of an arithmetic expression made of numbers, ``+ - * / // % **``,
+    unary signs and parentheses; None for anything else or any error.
 
-    def walk(node, depth):
-        if depth > MAX_DEPTH:
-            raise ValueError("too deep")
-        if isinstance(node, ast.Expression):
-            return walk(node.body, depth + 1)
-        if isinstance(node, ast.Constant) and type(node.value) in (int, float):
-            return node.value
-        if isinstance(node, ast.UnaryOp) and type(node.op) in _UNOPS:
-            return _UNOPS[type(node.op)](walk(node.operand, depth + 1))
-        if isinstance(node, ast.BinOp) and type(node.op) in _BINOPS:
-            left, right = walk(node.left, depth + 1), walk(node.right, depth + 1)
-            if isinstance(node.op, ast.Pow) and abs(right) > MAX_EXPONENT:
-                raise ValueError("exponent too large")
-            return _BINOPS[type(node.op)](left, right)
-        raise ValueError("not arithmetic")
+    Two explicit stacks, so neither length nor nesting is limited; only an
+    integer power's result is (``MAX_POWER_BITS``)."""
+    if expr is None:
+        return None
+    values, ops = [], []
+
+    def apply():
+        op = ops.pop()
+        right = values.pop()
+        if op == "u-":
+            values.append(-right)
+        elif op == "u+":
+            values.append(+right)
+        elif op == "**":
+            values.append(_power(values.pop(), right))
+        else:
+            values.append(_BINARY[op](values.pop(), right))
 
     try:
-        v = walk(tree, 0)
+        operand = True  # whether an operand comes next
+        for number, sign in _lexemes(expr):
+            if operand:
+                if number is not None:
+                    values.append(_number(number))
+                    operand = False
+                elif sign == "(":
+                    ops.append(sign)
+                elif sign in ("+", "-"):
+                    ops.append("u" + sign)
+                else:
+                    return None
+            elif sign == ")":
+                while ops and ops[-1] != "(":
+                    apply()
+                if not ops:
+                    return None
+                ops.pop()
+            elif sign is None or sign == "(":
+                return None
+            else:
+                # ``**`` groups to the right, the rest to the left
+                while ops and ops[-1] != "(" and (_RANK[ops[-1]] > _RANK[sign]
+                                                  or (_RANK[ops[-1]] == _RANK[sign] and sign != "**")):
+                    apply()
+                ops.append(sign)
+                operand = True
+        if operand:
+            return None
+        while ops:
+            if ops[-1] == "(":
+                return None
+            apply()
+        v = values[0]
         if isinstance(v, complex):
             return None
         v = float(v)
         return v if math.isfinite(v) else None
-    except Exception:
+    except (ArithmeticError, ValueError, TypeError):
         return None
 
 
@@ -191,24 +243,28 @@ def equation_gates(equation: ColumnOrName, nums: ColumnOrName) -> Column:
     return F.coalesce(eq.isNotNull() & no_overflow & same & charset, F.lit(False))
 
 
-def equation_reward(df: DataFrame, completion: str, target: str, nums: str,
-                    out: str = "equation_reward", tol: float = 1e-5) -> DataFrame:
+def equation_value(completion: ColumnOrName, target: ColumnOrName, nums: ColumnOrName, tol: float = 1e-5) -> Column:
     """1.0 when the answer uses each number once and evaluates to the
-    target within ``tol``; else 0.0. Only gated rows reach Python."""
+    target within ``tol``; else 0.0. Only gated rows reach Python: the
+    others send NULL."""
     eq = answer_equation(completion)
-    staged = df.withColumn("_tm_eq", eq).withColumn("_tm_gate", equation_gates("_tm_eq", nums))
-    # rows failing a gate send NULL: the Python side evaluates only the
-    # distinct equations that passed every native check
-    v = _eval_batch(F.when(F.col("_tm_gate"), F.col("_tm_eq")))
-    hit = F.coalesce(F.abs(v - F.col(target).cast("double")) < tol, F.lit(False))
-    return staged.withColumn(out, F.when(F.col("_tm_gate") & hit, 1.0).otherwise(0.0)) \
-        .drop("_tm_eq", "_tm_gate")
+    gate = equation_gates(eq, nums)
+    v = _eval_batch(F.when(gate, eq))
+    return F.when(F.coalesce(F.abs(v - _c(target).cast("double")) < tol, F.lit(False)), 1.0).otherwise(0.0)
+
+
+def equation_reward(df: DataFrame, completion: str, target: str, nums: str,
+                    out: str = "equation_reward", tol: float = 1e-5) -> DataFrame:
+    """``df`` with :func:`equation_value` as column ``out``."""
+    return df.withColumn(out, equation_value(completion, target, nums, tol))
 
 
 # RWD-7 ---------------------------------------------------------------
 def rewards(df: DataFrame, fns: dict[str, Callable[[DataFrame], Column]],
             total: str | None = "reward") -> DataFrame:
-    """Apply several reward functions, one column each, plus their sum."""
+    """Apply several reward functions, one column each, plus their sum.
+    A function gets the frame (completion, target, numbers, ...) and
+    returns a Column."""
     out = df.withColumns({name: fn(df) for name, fn in fns.items()})
     if total:
         out = out.withColumn(total, sum((F.col(n) for n in fns), F.lit(0.0)))
@@ -216,12 +272,14 @@ def rewards(df: DataFrame, fns: dict[str, Callable[[DataFrame], Column]],
 
 
 # UDF-5 ---------------------------------------------------------------
-def reward_udf(fn: Callable[[pd.Series], pd.Series]):
-    """Wrap a user reward over a batch of completions (pandas Series ->
-    Series of floats) as an Arrow-batched Column function."""
+def reward_udf(fn: Callable[..., Sequence[float]], *fields: str):
+    """Wrap a user reward ``fn(completions, **fields)`` over a batch as an
+    Arrow-batched Column function of the completion and the fields'
+    columns, in that order (for example ``target`` and ``nums``). Every
+    argument is a pandas Series."""
     @F.pandas_udf(DoubleType())
-    def run(completions: pd.Series) -> pd.Series:
-        return pd.Series(fn(completions), dtype="float64")
+    def run(*columns: pd.Series) -> pd.Series:
+        return pd.Series(fn(columns[0], **dict(zip(fields, columns[1:], strict=True))), dtype="float64")
 
     return run
 
@@ -235,6 +293,8 @@ def group_advantage(df: DataFrame, key: str, reward: str, eps: float = 1e-4,
     splits a skewed key on the big side), not a window that would put a
     whole group into one task."""
     stats = df.groupBy(key).agg(F.avg(reward).alias("_tm_mu"), F.stddev_samp(reward).alias("_tm_sd"))
-    j = df.join(stats, key)
+    stats = stats.withColumnRenamed(key, "_tm_key")
+    # rows without a key are a group as well
+    j = df.join(stats, df[key].eqNullSafe(stats["_tm_key"])).drop("_tm_key")
     return j.withColumn(out, (F.col(reward) - F.col("_tm_mu")) / (F.col("_tm_sd") + F.lit(eps))) \
         .drop("_tm_mu", "_tm_sd")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenmill.operators.offsets import first_n, hash_key, rows_at, with_positions
+from tokenmill.operators.offsets import first_n, hash_cut, hash_key, rows_at
 
 ColumnOrName = Column | str
 
@@ -36,13 +36,14 @@ def head(df: DataFrame, n: int, order_by: list[ColumnOrName], method: str = "aut
     ``method="heap"``: ``orderBy().limit(n)`` (a top-n heap per task, then
     one merge of at most ``n`` rows per partition); ``"rank"``: bucket
     counts decide every bucket but the one straddling ``n``, which alone
-    is ranked (any n); ``"auto"`` picks the heap up to
-    ``TAKE_ORDERED_MAX`` rows.
+    is ranked, and the ``n`` rows are then sorted (any n); ``"auto"`` picks
+    the heap up to ``TAKE_ORDERED_MAX`` rows. Rows and their order are the
+    same either way.
     """
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
     if method == "heap" or (method == "auto" and n <= TAKE_ORDERED_MAX):
         return df.orderBy(*cols).limit(n)
-    return first_n(df, cols, n=n, flag_col="_tm_in").where("_tm_in").drop("_tm_in")
+    return first_n(df, cols, n=n, flag_col="_tm_in").where("_tm_in").drop("_tm_in").orderBy(*cols)
 
 
 # ORD-3 / ORD-4 -------------------------------------------------------
@@ -64,11 +65,13 @@ def row_at(df: DataFrame, i: int, order_by: list[ColumnOrName]) -> DataFrame:
 
 
 # ORD-6 ---------------------------------------------------------------
-def keep_latest(df: DataFrame, n: int, key: str, order: ColumnOrName) -> DataFrame:
-    """Last ``n`` records per ``key`` by ``order`` (window group limit:
-    each task pre-filters to ``n`` rows per key before the shuffle)."""
+def keep_latest(df: DataFrame, n: int, key: str, order: ColumnOrName,
+                tie: tuple[str, ...] = ()) -> DataFrame:
+    """Last ``n`` records per ``key`` by ``order``, then by the ``tie``
+    columns, largest first (window group limit: each task pre-filters to
+    ``n`` rows per key before the shuffle)."""
     o = F.col(order) if isinstance(order, str) else order
-    w = Window.partitionBy(key).orderBy(o.desc())
+    w = Window.partitionBy(key).orderBy(o.desc(), *[F.desc(t) for t in tie])
     return df.withColumn("_tm_rn", F.row_number().over(w)).where(F.col("_tm_rn") <= n) \
         .drop("_tm_rn")
 
@@ -99,8 +102,7 @@ def split_fraction(df: DataFrame, test: float | int, seed: int | str, id_col: st
 def split_by_hash(df: DataFrame, test: float, seed: int | str, id_col: str,
                   col: str = "split") -> DataFrame:
     """Approximate-size split, stable under appends and in streams."""
-    bucket = F.pmod(shuffle_key(id_col, seed), F.lit(1_000_000))
-    return df.withColumn(col, F.when(bucket < F.lit(int(round(test * 1_000_000))), "test")
+    return df.withColumn(col, F.when(shuffle_key(id_col, seed) < F.lit(hash_cut(test)), "test")
                          .otherwise("train"))
 
 

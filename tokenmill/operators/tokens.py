@@ -10,13 +10,16 @@ block length.
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from tokenmill.operators.offsets import hash_key, with_positions
-from tokenmill.session import broadcast_if_bounded, materialize
+from tokenmill.operators.sample import TAKE_ORDERED_MAX, head
+from tokenmill.session import BROADCAST_LIMIT_BYTES, bounded_size, broadcast_if_bounded, materialize
 
 ColumnOrName = Column | str
 
@@ -49,10 +52,13 @@ def build_vocab(df: DataFrame, tokens: str, max_size: int,
     counts = (df.select(F.explode(tokens).alias("token"))
               .where(~F.col("token").isin(list(specials)))
               .groupBy("token").agg(F.count(F.lit(1)).alias("freq")))
-    top = counts.orderBy(F.desc("freq"), "token").limit(max_size)
-    # at most max_size rows: a single-partition window is bounded
-    ranked = top.select("token", (F.row_number().over(Window.orderBy(F.desc("freq"), "token"))
-                                  - 1 + len(specials)).cast("int").alias("id"))
+    order = [F.desc("freq"), F.col("token")]
+    top = head(counts, max_size, order)
+    if max_size <= TAKE_ORDERED_MAX:  # few rows: one window is bounded
+        ranked = top.withColumn("pos", F.row_number().over(Window.orderBy(*order)) - 1)
+    else:
+        ranked = with_positions(top, order, pos_col="pos")
+    ranked = ranked.select("token", (F.col("pos") + len(specials)).cast("int").alias("id"))
     spec = df.sparkSession.createDataFrame([(t, i) for i, t in enumerate(specials)], "token string, id int")
     return spec.unionByName(ranked)
 
@@ -70,39 +76,48 @@ def vocab_lookup(df: DataFrame, key: str, tokens: str, vocab: DataFrame,
 
 def encode(df: DataFrame, key: str, tokens: str, vocab: DataFrame, out: str = "input_ids",
            unk_id: int = UNK_ID, method: str = "auto", max_entries: int = 1_000_000) -> DataFrame:
-    """Token list -> id list.
+    """Token list -> id list; a NULL list stays NULL.
 
-    ``"broadcast"`` (default when the vocabulary has at most
-    ``max_entries`` rows — checked by a bounded ``limit``): the table is
-    broadcast once and every row is mapped in Arrow batches; no shuffle,
-    other columns untouched.
+    ``"broadcast"`` (default when a bounded read proves that the vocabulary
+    has at most ``max_entries`` rows and fits the broadcast limit): the
+    table is broadcast once and every row is mapped in Arrow batches; no
+    shuffle, other columns untouched.
     ``"join"``: tokens are exploded with their position, joined with the
-    vocabulary and put back in order per ``key`` (shuffles, any size).
+    vocabulary and put back in order per row (shuffles, any size). Rows
+    are told apart by a number written with them, so ``key`` may repeat.
     """
     if method in ("auto", "broadcast"):
-        entries = vocab.select("token", "id").limit(max_entries + 1).collect()
-        if len(entries) <= max_entries:
-            return _encode_broadcast(df, tokens, entries, out, unk_id)
+        rows, size = bounded_size(vocab.select("token", "id"), max_entries)
+        if rows <= max_entries and size <= BROADCAST_LIMIT_BYTES:
+            return _encode_broadcast(df, tokens, vocab.select("token", "id").collect(), out, unk_id)
         if method == "broadcast":
-            raise ValueError(f"vocabulary larger than {max_entries} entries")
-    exploded = df.select(key, F.posexplode(tokens).alias("_tm_pos", "_tm_token"))
+            raise ValueError(f"vocabulary larger than {max_entries} entries or {BROADCAST_LIMIT_BYTES} bytes")
+    df = materialize(df.withColumn("_tm_row", F.monotonically_increasing_id()))
+    exploded = df.select("_tm_row", F.posexplode(tokens).alias("_tm_pos", "_tm_token"))
     v = vocab.select(F.col("token").alias("_tm_token"), F.col("id").alias("_tm_vid"))
-    # only reached for vocabularies beyond max_entries: a shuffle join
+    # only reached for large vocabularies: a shuffle join; AQE splits the
+    # partitions of very common tokens
     joined = exploded.join(v, "_tm_token", "left")
-    packed = joined.groupBy(key).agg(F.array_sort(F.collect_list(
+    packed = joined.groupBy("_tm_row").agg(F.array_sort(F.collect_list(
         F.struct("_tm_pos", F.coalesce("_tm_vid", F.lit(unk_id)).alias("id")))).alias("_tm_p"))
-    ids = packed.select(key, F.transform("_tm_p", lambda s: s["id"]).alias(out))
-    return df.join(ids, key, "left").withColumn(
-        out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+    ids = packed.select("_tm_row", F.transform("_tm_p", lambda s: s["id"]).alias(out))
+    found = F.coalesce(F.col(out), F.array().cast("array<int>"))
+    return df.join(ids, "_tm_row", "left").withColumn(out, F.when(F.col(tokens).isNotNull(), found)).drop("_tm_row")
 
 
 def _encode_broadcast(df: DataFrame, tokens: str, entries, out: str, unk_id: int) -> DataFrame:
-    table = df.sparkSession.sparkContext.broadcast({r["token"]: int(r["id"]) for r in entries})
-
-    @F.pandas_udf(ArrayType(IntegerType()))
-    def lookup(lists: pd.Series) -> pd.Series:
-        d = table.value
-        return pd.Series([None if t is None else [d.get(x, unk_id) for x in t] for t in lists])
+    table = df.sparkSession.sparkContext.broadcast(
+        (pa.array([r["token"] for r in entries], pa.string()), np.array([int(r["id"]) for r in entries], np.int32)))
+
+    @F.arrow_udf(ArrayType(IntegerType()))
+    def lookup(lists: pa.Array) -> pa.Array:
+        # all tokens of the batch at once: one hash table, one look-up pass
+        words, ids = table.value
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        at = pc.fill_null(pc.index_in(lists.flatten(), value_set=words), -1).to_numpy(zero_copy_only=False)
+        found = np.where(at >= 0, ids[np.maximum(at, 0)] if len(ids) else unk_id, unk_id).astype(np.int32)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(found), mask=lists.is_null())
 
     return df.withColumn(out, lookup(F.col(tokens)))
 

@@ -36,8 +36,7 @@ SELECT lang,
 FROM documents GROUP BY lang""")
 def agg3(spark, sf):
     d = tables.table(spark, sf, "documents").select("lang", F.size(T.tokenize_col("text")).alias("n"))
-    return d.groupBy("lang").agg(*[F.percentile("n", p).cast("int").alias(f"p{int(p * 100)}")
-                                   for p in (0.85, 0.90, 0.95)])
+    return M.length_percentile(d, "n", (0.85, 0.90, 0.95), "lang")
 
 
 @query("agg3_exact_percentiles", """
@@ -94,10 +93,11 @@ def agg6(spark, sf):
 
 
 @query("agg7_nonpad_length", f"""
-WITH {VOCAB} SELECT round(avg(least(len(ids), 48)), 6) AS gen_len FROM enc""")
+WITH {VOCAB} SELECT round(avg(len(ids)), 6) AS gen_len FROM enc""")
 def agg7(spark, sf):
     d = docs_ids(spark, sf)
-    padded = T.pad(T.truncate("input_ids", 48), 48)
+    # padded to the next multiple of 64 of each document's own length
+    padded = T.pad("input_ids", X.round_up_to(F.size("input_ids"), 64).cast("int"))
     return d.agg(r6(F.avg(M.nonpad_length(padded))).alias("gen_len"))
 
 
@@ -210,28 +210,34 @@ def agg16(spark, sf):
 
 # MET -------------------------------------------------------------------------------
 def summaries(spark, sf):
-    """pred = first paragraph of a document, ref = its second one ('' if none)."""
+    """pred = the first half of a document's lines, ref = the other lines ('' if none)."""
     d = tables.table(spark, sf, "documents")
-    parts = F.split("text", "\n")
-    return d.select("doc_id", F.get(parts, 0).alias("pred"),
-                    F.coalesce(F.get(parts, 1), F.lit("")).alias("ref"))
+    lines = F.split("text", "\n")
+    half = F.ceil(F.size("l") / 2).cast("int")
+    return d.select("doc_id", lines.alias("l")).select(
+        "doc_id", F.array_join(F.slice("l", F.lit(1), half), "\n").alias("pred"),
+        F.array_join(F.slice("l", half + 1, F.size("l")), "\n").alias("ref"))
 
 
-SUMM = """s AS (SELECT doc_id, coalesce(string_split(text, chr(10))[1], '') AS pred,
-                 coalesce(string_split(text, chr(10))[2], '') AS ref FROM documents)"""
-RTOK = "list_filter(string_split(trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g')), ' '), lambda t: t <> '')"
+def RTOK(x: str) -> str:
+    return f"list_filter(string_split(trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g')), ' '), lambda t: t <> '')"
+
+
+SUMM = f"""l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+s AS (SELECT doc_id, array_to_string(l[1:CAST(ceil(len(l) / 2) AS INTEGER)], chr(10)) AS pred,
+             array_to_string(l[CAST(ceil(len(l) / 2) AS INTEGER) + 1:], chr(10)) AS ref FROM l),
+w AS (SELECT doc_id, {RTOK('pred')} AS pw, {RTOK('ref')} AS rw FROM s)"""
 
 
 def NGR(x: str, n: int) -> str:
-    t = RTOK.format(x=x)
-    return (f"CASE WHEN len({t}) >= {n} THEN list_transform(range(len({t}) - {n} + 1), "
-            f"lambda i: array_to_string(list_slice({t}, i + 1, i + {n}), ' ')) ELSE [] END")
+    return (f"CASE WHEN len({x}) >= {n} THEN list_transform(range(len({x}) - {n} + 1), "
+            f"lambda i: array_to_string(list_slice({x}, i + 1, i + {n}), ' ')) ELSE [] END")
 
 
 def ROUGE_SQL(n: int, name: str) -> str:
     return f"""
 WITH {SUMM},
-g AS (SELECT doc_id, {NGR('pred', n)} AS p, {NGR('ref', n)} AS r FROM s),
+g AS (SELECT doc_id, {NGR('pw', n)} AS p, {NGR('rw', n)} AS r FROM w),
 pc AS (SELECT doc_id, g, count(*) AS cp FROM (SELECT doc_id, unnest(p) AS g FROM g) GROUP BY ALL),
 rc AS (SELECT doc_id, g, count(*) AS cr FROM (SELECT doc_id, unnest(r) AS g FROM g) GROUP BY ALL),
 ov AS (SELECT doc_id, sum(least(cp, cr)) AS overlap FROM pc JOIN rc USING (doc_id, g) GROUP BY doc_id),

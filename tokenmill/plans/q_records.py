@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenmill.functions import chat, text
 from tokenmill.operators import records as R
 from tokenmill.operators import tokens as T
-from tokenmill.operators.offsets import hash_key
+from tokenmill.operators.offsets import hash_cut, hash_key
 from tokenmill.operators.sample import split_by_hash
 from tokenmill.plans import tables
 from tokenmill.plans.registry import msgs_text, query
@@ -30,7 +30,8 @@ CONV = r"""conv AS (SELECT conv_id, list({'role': role, 'content': text} ORDER B
 MSGS = "array_to_string(list_transform({m}, lambda x: x.role || ':' || x.content), '|')"
 CHATML = ("array_to_string(list_transform({m}, lambda x: '<|im_start|>' || x.role || chr(10) "
           "|| x.content || '<|im_end|>' || chr(10)), '')")
-HSPLIT = "CASE WHEN ('0x' || substr(md5('{seed}-' || CAST({id} AS VARCHAR)), 1, 15))::BIGINT % 1000000 < {thr} THEN 'test' ELSE 'train' END"
+TENTH = hash_cut(0.1)
+HSPLIT = "CASE WHEN ('0x' || substr(md5('{seed}-' || CAST({id} AS VARCHAR)), 1, 15))::BIGINT < {thr} THEN 'test' ELSE 'train' END"
 ENSURE = ("CASE WHEN m[1].role = 'system' THEN m ELSE "
           "list_concat([{{'role': 'system', 'content': '{sys}'}}], m) END")
 
@@ -87,7 +88,7 @@ def _prepared(spark, sf) -> str:
 
 
 @query("src2_read_splits", rf"""
-SELECT {HSPLIT.format(seed=42, id='doc_id', thr=100000)} AS split,
+SELECT {HSPLIT.format(seed=42, id='doc_id', thr=TENTH)} AS split,
        CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(n_chars) AS BIGINT) AS total_chars
 FROM documents GROUP BY 1""")
 def src2(spark, sf):
@@ -98,13 +99,13 @@ def src2(spark, sf):
 
 @query("src6_read_prepared", rf"""
 SELECT doc_id, lang FROM documents
-WHERE {HSPLIT.format(seed=42, id='doc_id', thr=100000)} = 'test'""")
+WHERE {HSPLIT.format(seed=42, id='doc_id', thr=TENTH)} = 'test'""")
 def src6(spark, sf):
     return io.read_prepared(spark, _prepared(spark, sf), split="test").select("doc_id", "lang")
 
 
 @query("snk1_write_prepared", rf"""
-SELECT {HSPLIT.format(seed=42, id='doc_id', thr=100000)} AS split, CAST(count(*) AS BIGINT) AS n
+SELECT {HSPLIT.format(seed=42, id='doc_id', thr=TENTH)} AS split, CAST(count(*) AS BIGINT) AS n
 FROM documents GROUP BY 1""")
 def snk1(spark, sf):
     path = _prepared(spark, sf)
@@ -124,7 +125,7 @@ def snk3(spark, sf):
 
 @query("snk4_sample_log", r"""
 SELECT prompt_id, cand_idx FROM candidates
-WHERE ('0x' || substr(md5('log-' || CAST(prompt_id AS VARCHAR) || '-' || CAST(cand_idx AS VARCHAR)), 1, 15))::BIGINT % 1000000 < 100000
+WHERE ('0x' || substr(md5('log-' || CAST(prompt_id AS VARCHAR) || '-' || CAST(cand_idx AS VARCHAR)), 1, 15))::BIGINT < 115292150460684704
 """, views=True)
 def snk4(spark, sf):
     c = tables.candidates(spark, sf)
@@ -133,7 +134,7 @@ def snk4(spark, sf):
 
 @query("snk5_run_metrics", rf"""
 SELECT CAST(count(*) AS BIGINT) AS train_samples, 'docs-sft' AS run_name FROM documents
-WHERE {HSPLIT.format(seed=42, id='doc_id', thr=100000)} = 'train'""")
+WHERE {HSPLIT.format(seed=42, id='doc_id', thr=TENTH)} = 'train'""")
 def snk5(spark, sf):
     d = split_by_hash(tables.table(spark, sf, "documents"), 0.1, 42, "doc_id")
     return io.run_metrics(d.where(F.col("split") == "train"), run_name="docs-sft")

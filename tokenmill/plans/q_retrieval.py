@@ -13,6 +13,8 @@ from tokenmill.plans import tables
 from tokenmill.plans.registry import arr_text, query, r6
 from tokenmill.session import materialize
 
+# every seventh id, as a query, has no relevant row
+NO_MATCH = "CASE WHEN vec_id % 7 = 0 THEN -1 ELSE label END"
 DIMS = (64, 32, 16, 8)
 K = 10
 
@@ -20,7 +22,7 @@ K = 10
 SPLIT = """s AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, label,
               row_number() OVER (ORDER BY substr(md5('42-' || CAST(vec_id AS VARCHAR)), 1, 15), vec_id) - 1
                 < CAST(ceil(0.1 * count(*) OVER ()) AS BIGINT) AS is_q FROM embeddings),
-q AS (SELECT vec_id AS qid, v AS qv, label AS ql FROM s WHERE is_q),
+q AS (SELECT vec_id AS qid, v AS qv, CASE WHEN vec_id % 7 = 0 THEN -1 ELSE label END AS ql FROM s WHERE is_q),
 c AS (SELECT vec_id AS cid, v AS cv, label AS cl FROM s WHERE NOT is_q)"""
 TOP = SPLIT + """,
 d AS (SELECT unnest([64, 32, 16, 8]) AS dim),
@@ -40,7 +42,7 @@ m AS (SELECT dim, pq.qid, dcg / nullif(CASE WHEN n_rel > 0 THEN list_sum(list_tr
              rr AS mrr, ap / nullif(least(n_rel, 10), 0) AS map, n_hit / nullif(n_rel, 0) AS recall,
              n_hit / 10.0 AS precision, CASE WHEN n_hit > 0 THEN 1.0 ELSE 0.0 END AS accuracy
       FROM pq JOIN nr USING (qid)),
-agg AS (SELECT dim, avg(ndcg) AS ndcg_at_10, avg(mrr) AS mrr_at_10, avg(map) AS map_at_10, avg(recall) AS recall_at_10,
+agg AS (SELECT dim, avg(coalesce(ndcg, 0)) AS ndcg_at_10, avg(mrr) AS mrr_at_10, avg(coalesce(map, 0)) AS map_at_10, avg(coalesce(recall, 0)) AS recall_at_10,
                avg(precision) AS precision_at_10, avg(accuracy) AS accuracy_at_10 FROM m GROUP BY dim)"""
 
 
@@ -49,7 +51,7 @@ def split_vectors(spark, sf):
     # the split feeds the query block, the scoring and the relevance counts
     s = materialize(split_fraction(e, 0.1, 42, "vec_id"))
     q = s.where(F.col("split") == "test").select(F.col("vec_id").alias("qid"), "embedding",
-                                                  F.col("label").alias("rel_key"))
+                                                  F.expr(NO_MATCH).alias("rel_key"))
     c = s.where(F.col("split") == "train").select(F.col("vec_id").alias("cid"), "embedding",
                                                    F.col("label").alias("rel_key"))
     return q, c
@@ -123,6 +125,26 @@ def met5(spark, sf):
                     r6("mrr_at_10").alias("mrr_at_10"), r6("map_at_10").alias("map_at_10"))
 
 
+QRELS = METRICS.replace(
+    "h AS (SELECT dim, qid, rank, CASE WHEN ql = cl THEN 1 ELSE 0 END AS rel FROM top)",
+    "h AS (SELECT dim, qid, rank, CASE WHEN ql = cl AND (qid + cid) % 3 = 0 THEN 1 ELSE 0 END AS rel FROM top)").replace(
+    "nr AS (SELECT qid, coalesce(n, 0) AS n_rel FROM q LEFT JOIN (SELECT cl, count(*) AS n FROM c GROUP BY cl) x ON x.cl = q.ql)",
+    "nr AS (SELECT qid, count(cid) AS n_rel FROM q LEFT JOIN c ON cl = ql AND (qid + cid) % 3 = 0 GROUP BY qid)")
+
+
+@query("met5_qrels_eval", f"""
+WITH {QRELS} SELECT CAST(dim AS INTEGER) AS dim, round(ndcg_at_10, 6) AS ndcg_at_10, round(mrr_at_10, 6) AS mrr_at_10,
+       round(map_at_10, 6) AS map_at_10, round(recall_at_10, 6) AS recall_at_10 FROM agg""")
+def met5b(spark, sf):
+    """Relevance from a table of pairs (a third of the rows with the query's label)."""
+    q, c = split_vectors(spark, sf)
+    pairs = (q.select("qid", "rel_key").join(c.select("cid", "rel_key"), "rel_key")
+             .where((F.col("qid") + F.col("cid")) % 3 == 0).select("qid", "cid"))
+    m = V.matryoshka_eval(q, c, DIMS, K, qrels=pairs)
+    return m.select(F.col("dim").cast("int").alias("dim"), *[r6(x).alias(x) for x in
+                    ("ndcg_at_10", "mrr_at_10", "map_at_10", "recall_at_10")])
+
+
 @query("run5_retention", f"""
 WITH {METRICS} SELECT CAST(dim AS INTEGER) AS dim, round(ndcg_at_10 / max(ndcg_at_10) FILTER (WHERE dim = 64) OVER (), 6) AS retention
 FROM agg""")

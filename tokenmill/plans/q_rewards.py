@@ -139,9 +139,8 @@ WITH {EQ_SQL} SELECT task_id, gen_idx, format_reward, equation_reward, format_re
        views=True)
 def rwd7(spark, sf):
     c = tables.countdown(spark, sf)
-    c = W.equation_reward(c, "completion", "target", "nums")
-    out = W.rewards(c, {"format_reward": lambda d: W.format_reward("completion")})
-    out = out.withColumn("reward", F.col("format_reward") + F.col("equation_reward"))
+    out = W.rewards(c, {"format_reward": lambda d: W.format_reward("completion"),
+                        "equation_reward": lambda d: W.equation_value("completion", "target", "nums")})
     return out.select("task_id", "gen_idx", "format_reward", "equation_reward", "reward")
 
 

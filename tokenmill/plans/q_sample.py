@@ -8,6 +8,7 @@ from tokenmill.operators import sample as S
 from tokenmill.operators.offsets import with_positions
 from tokenmill.plans import tables
 from tokenmill.plans.registry import query
+from tokenmill.session import materialize
 
 HORD = "substr(md5('{seed}-' || CAST({id} AS VARCHAR)), 1, 15), {id}"
 
@@ -17,9 +18,9 @@ SELECT doc_id, CAST(row_number() OVER (ORDER BY {HORD.format(seed=42, id='doc_id
 FROM documents""")
 def ord1(spark, sf):
     d = tables.table(spark, sf, "documents").select("doc_id")
-    shuffled = S.shuffle(d, 42, "doc_id")
-    # the position in the shuffled order, computed without a global window
-    return with_positions(shuffled, [S.shuffle_key("doc_id", 42), "doc_id"], pos_col="pos")
+    # the order in which the sorted rows come out, as written
+    shuffled = materialize(S.shuffle(d, 42, "doc_id").withColumn("_at", F.monotonically_increasing_id()))
+    return with_positions(shuffled, ["_at"], pos_col="pos").drop("_at")
 
 
 @query("ord2_head", "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 700")
@@ -44,6 +45,17 @@ def ord3b(spark, sf):
     return S.sample_n(li, 12500, 7, "k", method="rank").select("l_orderkey", "l_linenumber")
 
 
+@query("ord2_head_strings_large", """
+SELECT CAST(row_number() OVER (ORDER BY text, conv_id, turn) - 1 AS BIGINT) AS pos, conv_id, turn FROM conversations
+ORDER BY text, conv_id, turn LIMIT 300""")
+def ord2b(spark, sf):
+    """A string key and the ranked form; the order of the result counts."""
+    c = tables.table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    top = S.head(c, 300, ["text", "conv_id", "turn"], method="rank")
+    top = materialize(top.withColumn("_at", F.monotonically_increasing_id()))
+    return with_positions(top, ["_at"], pos_col="pos").select("pos", "conv_id", "turn")
+
+
 @query("ord4_random_rows", f"""
 SELECT doc_id, source FROM documents ORDER BY {HORD.format(seed=3, id='doc_id')} LIMIT 2""")
 def ord4(spark, sf):
@@ -58,10 +70,10 @@ def ord5(spark, sf):
 
 @query("ord6_keep_latest", """
 SELECT event_id, user_id FROM events
-QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) <= 2""")
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 2""")
 def ord6(spark, sf):
     e = tables.table(spark, sf, "events").select("event_id", "user_id", "ts")
-    return S.keep_latest(e, 2, "user_id", "ts").select("event_id", "user_id")
+    return S.keep_latest(e, 2, "user_id", "ts", tie=("event_id",)).select("event_id", "user_id")
 
 
 SPLIT_SQL = """
@@ -86,7 +98,7 @@ def spl1b(spark, sf):
 
 
 @query("spl2_split_by_hash", """
-SELECT doc_id, CASE WHEN ('0x' || substr(md5('7-' || CAST(doc_id AS VARCHAR)), 1, 15))::BIGINT % 1000000 < 100000
+SELECT doc_id, CASE WHEN ('0x' || substr(md5('7-' || CAST(doc_id AS VARCHAR)), 1, 15))::BIGINT < 115292150460684704
                     THEN 'test' ELSE 'train' END AS split FROM documents""")
 def spl2(spark, sf):
     d = tables.table(spark, sf, "documents").select("doc_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tokenmill.functions import text as X
 from tokenmill.operators import records as R
 from tokenmill.operators import tokens as T
 from tokenmill.operators.offsets import hash_key
@@ -41,6 +42,14 @@ def MASK(expr: str, n: str) -> str:
             f"list_transform(range(greatest({n} - len({expr}), 0)), lambda x: 0))")
 
 
+WIDTH = "CAST(((len(ids) + 63) // 64) * 64 AS INTEGER)"
+
+
+def width(ids: str):
+    """A document's own padded length: the next multiple of 64."""
+    return X.round_up_to(F.size(ids), 64).cast("int")
+
+
 def docs_tokens(spark, sf):
     return T.tokenize(tables.table(spark, sf, "documents").select("doc_id", "text"), "text")
 
@@ -66,6 +75,15 @@ def tok2(spark, sf):
     return T.build_vocab(docs_tokens(spark, sf), "tokens", VOCAB_SIZE)
 
 
+@query("tok2_encode_join", f"WITH {VOCAB} SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN NULL ELSE {L('ids')} END AS input_ids FROM enc")
+def tok2c(spark, sf):
+    """The shuffle form, with NULL token lists."""
+    d = docs_tokens(spark, sf)
+    vocab = T.build_vocab(d, "tokens", VOCAB_SIZE)
+    d = d.withColumn("tokens", F.when(F.col("doc_id") % 9 != 0, F.col("tokens")))
+    return T.encode(d, "doc_id", "tokens", vocab, method="join").select("doc_id", arr_text("input_ids").alias("input_ids"))
+
+
 @query("tok2_encode", f"WITH {VOCAB} SELECT doc_id, {L('ids')} AS input_ids FROM enc")
 def tok2b(spark, sf):
     return docs_ids(spark, sf).select("doc_id", arr_text("input_ids").alias("input_ids"))
@@ -84,28 +102,28 @@ def tok3(spark, sf):
 
 # TOK-4 -------------------------------------------------------------------------
 @query("tok4_pad", f"""
-WITH {VOCAB}, c AS (SELECT doc_id, list_slice(ids, 1, 48) AS s FROM enc)
-SELECT doc_id, {L(PAD('s', '48'))} AS input_ids, {L(MASK('s', '48'))} AS attention_mask,
-       {L("list_concat(list_transform(range(greatest(48 - len(s), 0)), lambda x: 0), s)")} AS left_padded
+WITH {VOCAB}, c AS (SELECT doc_id, ids AS s, {WIDTH} AS n FROM enc)
+SELECT doc_id, {L(PAD('s', 'n'))} AS input_ids, {L(MASK('s', 'n'))} AS attention_mask,
+       {L("list_concat(list_transform(range(greatest(n - len(s), 0)), lambda x: 0), s)")} AS left_padded
 FROM c""")
 def tok4(spark, sf):
-    d = docs_ids(spark, sf).withColumn("s", T.truncate("input_ids", 48))
-    return d.select("doc_id", arr_text(T.pad("s", 48)).alias("input_ids"),
-                    arr_text(T.attention_mask("s", 48)).alias("attention_mask"),
-                    arr_text(T.pad("s", 48, side="left")).alias("left_padded"))
+    d = docs_ids(spark, sf).withColumn("n", width("input_ids"))
+    return d.select("doc_id", arr_text(T.pad("input_ids", F.col("n"))).alias("input_ids"),
+                    arr_text(T.attention_mask("input_ids", F.col("n"))).alias("attention_mask"),
+                    arr_text(T.pad("input_ids", F.col("n"), side="left")).alias("left_padded"))
 
 
 # TOK-5 -------------------------------------------------------------------------
 @query("tok5_pad_to_multiple", f"""
 WITH {VOCAB},
-b AS (SELECT doc_id, list_slice(ids, 1, 100) AS s,
+b AS (SELECT doc_id, ids AS s,
              (row_number() OVER (ORDER BY substr(md5('42-' || CAST(doc_id AS VARCHAR)), 1, 15), doc_id) - 1) // 16 AS batch
       FROM enc),
 m AS (SELECT *, CAST(((max(len(s)) OVER (PARTITION BY batch) + 7) // 8) * 8 AS INTEGER) AS target FROM b)
 SELECT doc_id, CAST(batch AS BIGINT) AS batch, {L(PAD('s', 'target'))} AS padded, {L(MASK('s', 'target'))} AS attention_mask
 FROM m""")
 def tok5(spark, sf):
-    d = docs_ids(spark, sf).withColumn("s", T.truncate("input_ids", 100))
+    d = docs_ids(spark, sf).withColumnRenamed("input_ids", "s")
     b = R.assign_batches(d, 16, [hash_key("doc_id", seed="42"), "doc_id"])
     out = T.pad_to_multiple(b, "batch", "s", m=8)
     return out.select("doc_id", "batch", arr_text("padded").alias("padded"),
@@ -113,21 +131,21 @@ def tok5(spark, sf):
 
 
 # TOK-6 / TOK-7 -----------------------------------------------------------------
-MASKED = f"list_transform({PAD('list_slice(ids, 1, 48)', '48')}, lambda x: CASE WHEN x = 0 THEN -100 ELSE x END)"
+MASKED = f"list_transform({PAD('ids', 'n')}, lambda x: CASE WHEN x = 0 THEN -100 ELSE x END)"
 
 
-@query("tok6_mask_labels", f"WITH {VOCAB} SELECT doc_id, {L(MASKED)} AS labels FROM enc")
+@query("tok6_mask_labels", f"WITH {VOCAB} SELECT doc_id, {L(MASKED)} AS labels FROM (SELECT *, {WIDTH} AS n FROM enc)")
 def tok6(spark, sf):
     d = docs_ids(spark, sf)
-    return d.select("doc_id", arr_text(T.mask_labels(T.pad(T.truncate("input_ids", 48), 48))).alias("labels"))
+    return d.select("doc_id", arr_text(T.mask_labels(T.pad("input_ids", width("input_ids")))).alias("labels"))
 
 
 @query("tok7_unmask_labels", f"""
 WITH {VOCAB} SELECT doc_id, {L(f'list_transform({MASKED}, lambda x: CASE WHEN x = -100 THEN 0 ELSE x END)')} AS ids
-FROM enc""")
+FROM (SELECT *, {WIDTH} AS n FROM enc)""")
 def tok7(spark, sf):
     d = docs_ids(spark, sf)
-    masked = T.mask_labels(T.pad(T.truncate("input_ids", 48), 48))
+    masked = T.mask_labels(T.pad("input_ids", width("input_ids")))
     return d.select("doc_id", arr_text(T.unmask_labels(masked)).alias("ids"))
 
 

@@ -42,8 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (tests, local runs) a scratch
-    folder is created and registered.
+    used as is. Where it is unset, a local session gets a scratch folder,
+    and any other master an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -51,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="tokenmill-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return conf_dir
@@ -66,16 +68,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int, row_bytes: int = 64,
-                         limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when a bounded count proves it has at most
-    ``max_rows`` rows (and ``max_rows * row_bytes`` fits ``limit``);
-    otherwise return it unchanged for a shuffle join. The check reads at
-    most ``max_rows + 1`` rows."""
-    max_rows = min(max_rows, max(1, limit // max(row_bytes, 1)))
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def bounded_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, bytes) of the first ``max_rows + 1`` rows of ``df``: 16 bytes a
+    value, plus the length of strings and binaries, plus 8 bytes an array element."""
+    size = F.lit(16 * len(df.columns))
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        c = F.col(f"`{f.name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind in ("array", "map"):
+            size = size + 8 * F.coalesce(F.size(c), F.lit(0))
+        elif kind == "struct":
+            size = size + F.octet_length(F.to_json(c))
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
+    return int(r[0]), int(r[1])
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when a bounded read proves that it has at most
+    ``max_rows`` rows whose summed sizes fit ``limit``; otherwise return it
+    unchanged for a shuffle join. The check reads at most ``max_rows + 1`` rows."""
+    rows, size = bounded_size(df, max_rows)
+    return F.broadcast(df) if rows <= max_rows and size <= limit else df
 
 
 def materialize(df: DataFrame) -> DataFrame:

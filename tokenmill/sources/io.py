@@ -13,23 +13,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tokenmill.operators.offsets import hash_key
+from tokenmill.operators.offsets import hash_cut, hash_key
 
 
-def _path(name: str, root: str | None) -> str:
+LOG_SEPARATOR = "\n\n==============\n"  # Fixed value: written before every logged text.
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of the file system that holds it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+
+
+def _path(spark: SparkSession, name: str, root: str | None) -> str:
     if root is None or os.path.isabs(name) or "://" in name:
         return name
     p = os.path.join(root, name)
-    if os.path.exists(p + ".parquet"):
-        return p + ".parquet"
-    return p
+    return p + ".parquet" if exists(spark, p + ".parquet") else p
 
 
 # SRC-1 --------------------------------------------------------------
 def read_table(spark: SparkSession, name: str, split: str | None = None,
                root: str | None = None) -> DataFrame:
     """Load a named dataset; with ``split`` only that partition is read."""
-    df = spark.read.parquet(_path(name, root))
+    df = spark.read.parquet(_path(spark, name, root))
     if split is not None:
         df = df.where(F.col("split") == F.lit(split))
     return df
@@ -40,7 +47,7 @@ def read_splits(spark: SparkSession, name: str, config: str | None = None,
                 root: str | None = None) -> DataFrame:
     """Every split of a dataset as one frame with a ``split`` column;
     ``config`` selects a named sub-folder (dataset configuration)."""
-    base = _path(name, root)
+    base = _path(spark, name, root)
     if config:
         base = os.path.join(base, config)
     return spark.read.option("basePath", base).parquet(base)
@@ -141,15 +148,14 @@ def publish(df: DataFrame, root: str, generator: str, source: str,
 def sample_fraction(df: DataFrame, fraction: float, seed: str, *key: str) -> DataFrame:
     """Reproducible Bernoulli-like sample: rows whose md5 bucket is below
     ``fraction`` (same rows in any engine, on any recomputation)."""
-    bucket = F.pmod(hash_key(*key, seed=seed), F.lit(1_000_000))
-    return df.where(bucket < F.lit(int(round(fraction * 1_000_000))))
+    return df.where(hash_key(*key, seed=seed) < F.lit(hash_cut(fraction)))
 
 
 def sample_log(df: DataFrame, path: str, text_col: str, fraction: float, seed: str,
                *key: str) -> None:
     """Append ~``fraction`` of the texts to a log folder."""
     (sample_fraction(df, fraction, seed, *key)
-     .select(F.concat(F.lit("\n\n==============\n"), F.col(text_col)).alias("value"))
+     .select(F.concat(F.lit(LOG_SEPARATOR), F.col(text_col)).alias("value"))
      .write.mode("append").text(path))
 
 

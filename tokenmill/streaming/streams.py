@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.operators import rewards as W
 from tokenmill.sources import io
+from tokenmill.sources.io import LOG_SEPARATOR
 
 
 def _start(writer, spark: SparkSession, state_partitions: int | None):
@@ -49,24 +50,27 @@ def file_stream(spark: SparkSession, folder: str, pattern: str, schema,
 # STR-1 ---------------------------------------------------------------
 def score_stream(completions: DataFrame, out_path: str, checkpoint: str, log_path: str | None = None,
                  log_fraction: float = 0.1, key: tuple[str, ...] = ("task_id", "gen_idx"),
-                 available_now: bool = True):
-    """Score arriving completions (format + equation reward) and append
-    them; ``log_fraction`` of all completions and, separately, of the
-    successes go to two text logs."""
+                 available_now: bool = True, reward_fns: dict | None = None, success: str = "equation_reward"):
+    """Score arriving completions and append them; ``log_fraction`` of all
+    completions and, separately, of the successes go to two text logs.
+
+    ``reward_fns`` are functions as for ``rewards.rewards`` (format and
+    equation reward by default); a reward ``success`` of 1 is a success."""
+    fns = reward_fns or {"format_reward": lambda d: W.format_reward("completion"),
+                         "equation_reward": lambda d: W.equation_value("completion", "target", "nums")}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        scored = batch.withColumn("format_reward", W.format_reward("completion"))
-        scored = W.equation_reward(scored, "completion", "target", "nums")
+        scored = W.rewards(batch, fns, total=None)
         scored = scored.withColumn("batch_id", F.lit(batch_id))
         # three sinks read the micro-batch: score it once (a lost block is
         # recomputed from the batch's own input)
         scored = scored.persist()
         scored.write.mode("overwrite").parquet(os.path.join(out_path, f"batch_id={batch_id}"))
         if log_path:
-            text = F.concat(F.lit("\n\n==============\n<think>"), F.col("completion")).alias("value")
+            text = F.concat(F.lit(LOG_SEPARATOR + "<think>"), F.col("completion")).alias("value")
             io.sample_fraction(scored, log_fraction, "completion", *key).select(text) \
                 .write.mode("overwrite").text(os.path.join(log_path, "completion_samples", f"batch_id={batch_id}"))
-            good = scored.where(F.col("equation_reward") >= 1.0)
+            good = scored.where(F.col(success) >= 1.0)
             io.sample_fraction(good, log_fraction, "success", *key).select(text) \
                 .write.mode("overwrite").text(os.path.join(log_path, "success_completion_samples",
                                                            f"batch_id={batch_id}"))
