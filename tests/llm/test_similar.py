@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import corpus
 from tokenmill.llm import decontam, idfilter, neardup_vectors, ngram_join, queries
+from tokenmill.llm.common import shingle_sets
 from tokenmill.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -46,6 +47,15 @@ def test_join_of_empty_and_blank_tables(spark):
     assert [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in sorted(got)] == [(0, 0, 0), (1, 0, 1), (2, 0, 2)]
 
 
+def test_sketches_bound_the_difference_from_below():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        x, y = (rng.choice(1 << 12, int(rng.integers(1, 900)), replace=False).astype(np.uint64) << np.uint64(18) for _ in range(2))
+        x, y = np.unique(x), np.unique(y)
+        d = ngram_join.sketch_distance(ngram_join.sketch(x), ngram_join.sketch(y))
+        assert d <= len(np.setxor1d(x, y)) and ngram_join.sketch_distance(ngram_join.sketch(x), ngram_join.sketch(x)) == 0
+
+
 def _pairs_with_similarity(rng, n):
     """A random set and one that differs in about the largest number of members allowed."""
     x = rng.choice(1 << 40, n, replace=False).astype(np.uint64)
@@ -84,10 +94,10 @@ def test_short_sets_are_found_by_deletions_and_blocks(spark):
     """The last steps on their own: every class counts as short."""
     texts = corpus.odd_texts()[8:60]
     docs = corpus.frame(spark, texts).select("doc_id", "text", F.xxhash64("text").alias("ref"))
-    sets = [ngram_join.shingle_set(t) for t in texts]
+    sets = shingle_sets(texts)
     sids = [ngram_join.class_id(s, 0)[0] for s in sets]
-    classes = spark.createDataFrame(list(dict.fromkeys((s, r["ref"]) for s, r in zip(
-        sids, docs.orderBy("doc_id").collect(), strict=True))), "sid long, ref long").dropDuplicates(["sid"])
+    classes = spark.createDataFrame([(i, r["ref"], len(s), bytearray(ngram_join.sketch(s))) for i, s, r in zip(
+        sids, sets, docs.orderBy("doc_id").collect(), strict=True)], "sid long, ref long, n long, sketch binary").dropDuplicates(["sid"])
     names = list(dict.fromkeys(sids))
     want = {r: s for r, s in zip(names, corpus.linked([frozenset(sets[sids.index(n)].tolist()) for n in names]), strict=True)}
 
