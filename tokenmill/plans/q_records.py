@@ -422,10 +422,10 @@ def fmt12(spark, sf):
     return conv(spark, sf).select("conv_id", chat.chatml("messages", continue_final=True).alias("prompt"))
 
 
-def _r1_sql() -> str:
+def _r1_sql(user_text: str = R.R1_USER) -> str:
     def lit(s):
         return "'" + s.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
-    user = R.R1_USER.split("{nums}")
+    user = user_text.split("{nums}")
     u2 = user[1].split("{target}")
     user_sql = (lit(user[0]) + " || '[' || array_to_string(list_transform(nums, lambda x: CAST(x AS VARCHAR)), ', ') || ']' || "
                 + lit(u2[0]) + " || CAST(target AS VARCHAR) || " + lit(u2[1]))
@@ -440,6 +440,32 @@ def fmt13(spark, sf):
     return c.select("task_id", "gen_idx", R.r1_prompt("nums", "target").alias("prompt"))
 
 
+@query("fmt13_r1_prompt_notebook", _r1_sql(R.R1_USER_NOTEBOOK), views=True)
+def fmt13b(spark, sf):
+    c = tables.countdown(spark, sf)
+    return c.select("task_id", "gen_idx", R.r1_prompt("nums", "target", wording="notebook").alias("prompt"))
+
+
+STYLE_SQL = {
+    "chatml": CHATML.format(m="m"),
+    "gemma_chatml": "'<bos>' || " + CHATML.format(m="m") + " || chr(10) || '<eos>'",
+    "starchat": "array_to_string(list_transform(m, lambda x: '<|' || x.role || '|>' || chr(10) || x.content || '<|end|>' || chr(10)), '') || '<|assistant|>'",
+    "llama2_inst": "'[INST] <<SYS>>' || chr(10) || coalesce(list_filter(m, lambda x: x.role = 'system')[1].content, '') || chr(10) || '<</SYS>>' || chr(10) || chr(10) || coalesce(list_filter(m, lambda x: x.role = 'user')[1].content, '') || ' [/INST]'",
+}
+
+
+@query("udf4_render_styles", f"WITH {CONV} " + " UNION ALL ".join(
+    f"SELECT conv_id, '{k}' AS style, {v} AS prompt FROM conv" for k, v in STYLE_SQL.items()))
+def udf4(spark, sf):
+    """The formatting registry by name."""
+    c = conv(spark, sf)
+    parts = [c.select("conv_id", F.lit(k).alias("style"), chat.render("messages", k).alias("prompt")) for k in STYLE_SQL]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 INSTR = ("SELECT doc_id, 'Summarize document ' || CAST(doc_id AS VARCHAR) AS instruction, "
          "CASE WHEN lang = 'en' THEN source ELSE '' END AS context, text AS response FROM documents")
 

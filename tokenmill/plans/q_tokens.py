@@ -9,6 +9,7 @@ from tokenmill.functions import text as X
 from tokenmill.operators import records as R
 from tokenmill.operators import tokens as T
 from tokenmill.operators.offsets import hash_key
+from tokenmill.operators.runs import source_dispatch
 from tokenmill.plans import tables
 from tokenmill.plans.q_records import FMT15_EXPR, INSTR, instr_records
 from tokenmill.plans.registry import arr_text, query
@@ -237,6 +238,36 @@ def cal1(spark, sf):
     return cal_corpus(spark, sf).select("piece_idx", "n_chars", "n_tokens", "token_start", "total_tokens")
 
 
+CAL_SOURCES = {"math": ("pair_colon", "source", "text"), "medical": ("pair_space", "lang", "text"),
+               "code": ("lines", "text", None), "wikitext": ("concat", "text", None), "german": ("middle_part", "text", None)}
+CAL_PIECES = {"math": "source || ': ' || text || chr(10)", "medical": "lang || ' ' || text || chr(10)", "code": "text || chr(10)",
+              "wikitext": "CASE WHEN text = '' THEN ' ' || chr(10) ELSE text END",
+              "german": "regexp_replace(CASE WHEN len(string_split(text, '===')) >= 3 THEN string_split(text, '===')[3] ELSE text END, '^\\s+|\\s+$', '', 'g') || chr(10)"}
+
+
+@query("cal4_source_dispatch", " UNION ALL ".join(f"""
+SELECT '{k}' AS source_name, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS piece_idx,
+       md5(piece) AS piece_md5, CAST(length(piece) AS BIGINT) AS n_chars
+FROM (SELECT doc_id, {v} AS piece FROM (SELECT doc_id, lang, source, CASE WHEN doc_id % 5 = 0 THEN 'a===b=== ' || text ELSE text END AS text FROM documents)
+      ORDER BY doc_id LIMIT 300)""" for k, v in CAL_PIECES.items()))
+def cal4(spark, sf):
+    """All five kinds of calibration text, chosen by the name of their source."""
+    d = tables.table(spark, sf, "documents").select("doc_id", "lang", "source", F.when(
+        F.col("doc_id") % 5 == 0, F.concat(F.lit("a===b=== "), "text")).otherwise(F.col("text")).alias("text"))
+
+    def builder(kind, a, b):
+        return lambda: T.calibration_corpus(d, kind, 300, ["doc_id"], a, b)
+
+    builders = {k: builder(*v) for k, v in CAL_SOURCES.items()}
+    out = None
+    for name in ("maths", "medical", "evol-instruct-code", "wikitext", "germanquad"):
+        build = source_dispatch(name, builders, {"maths": "math", "evol-instruct-code": "code", "germanquad": "german"})
+        real = {"maths": "math", "evol-instruct-code": "code", "germanquad": "german"}.get(name, name)
+        part = build().select(F.lit(real).alias("source_name"), "piece_idx", F.md5("piece").alias("piece_md5"), "n_chars")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("cal2_random_windows", f"""
 WITH {CAL1_CTE},
 w AS (SELECT window_id, ('0x' || substr(md5('crop0-' || CAST(window_id AS VARCHAR)), 1, 15))::BIGINT
