@@ -21,17 +21,9 @@ QUERY_FRACTION = 0.1
 DIMS = (64, 32, 16, 8)
 
 
-REBALANCE_CONF = "tokenmill.input.rebalance"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. With ``tokenmill.input.rebalance = n`` the scan is
-    spread over ``n`` partitions: the test files are single row groups
-    (one reading task); cluster-scale inputs split on their own and leave
-    the setting off."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    n = int(spark.conf.get(REBALANCE_CONF, "0") or 0)
-    return df.repartition(n) if n > 0 else df
+    """A driver table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 # --- candidates: several completions per prompt ------------------------
