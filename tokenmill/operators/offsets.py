@@ -76,7 +76,8 @@ def _range_buckets(df: DataFrame, keys: list[Column], n_buckets: int) -> DataFra
     any types, ascending or descending, nulls included. A value that many
     rows share is cut by the keys behind it. The rows are written once, so
     every later step sees the same buckets."""
-    cut = df.repartitionByRange(n_buckets, *keys).withColumn(_BUCKET, F.spark_partition_id().cast("bigint"))
+    # sampled ranges are less even than quantile cuts: twice as many of them
+    cut = df.repartitionByRange(2 * n_buckets, *keys).withColumn(_BUCKET, F.spark_partition_id().cast("bigint"))
     path = scratch_path(df.sparkSession, f"ranges-{uuid.uuid4().hex}")
     cut.write.parquet(path)
     return df.sparkSession.read.schema(cut.schema).parquet(path)
