@@ -38,10 +38,10 @@ from pyspark.sql.types import _parse_datatype_string
 from tokenmill.llm.common import held_out, mix, word_hashes, words, written
 
 BYTES_PER_BUCKET = 32 << 20
-TOKENS_PER_FLUSH = 2_000_000
+TOKENS_PER_FLUSH = 2_000_000  # of a task's share when counting; half of it when scoring
 HOT_WORDS = 1 << 17
 BASES = {1: 1.2, 2: 1.5}  # quantisation base of unigram and bigram counts
-BITS_PER_ENTRY, PROBES = 10, 5
+BITS_PER_ENTRY, PROBES = 8, 4
 FOLDS = 16  # slices can be halved so many times
 MAX_FILTER_BYTES = 512 << 20
 BIGRAM_WEIGHT = 0.25
@@ -78,6 +78,10 @@ def unpack40(data: bytes) -> np.ndarray:
 
 def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, positions) for every bucket that occurs."""
+    if not len(bucket):
+        return
+    if bucket.max() < 1 << 16:
+        bucket = bucket.astype(np.uint16)  # sorted by digits
     order = np.argsort(bucket, kind="stable")
     names, first = np.unique(bucket[order], return_index=True)
     for name, at in zip(names, np.split(order, first[1:]), strict=True):
@@ -194,17 +198,23 @@ def fold(bits: bytes, times: int) -> bytes:
 class LogFrequencyFilter:
     """The gathered filter: slices one behind the other, probed by bucket."""
 
-    def __init__(self, slices: list[bytes], tokens: int, vocabulary: int):
-        self.bits = np.frombuffer(b"".join(slices), np.uint8)
+    def __init__(self, slices: list[bytes]):
+        # kept apart until the first look-up, so that the driver holds the filter once
+        self.slices: list[bytes] | None = slices
         self.size = np.array([8 * len(s) for s in slices], np.uint64)
-        self.first = np.concatenate([[0], np.cumsum(self.size)[:-1]]).astype(np.uint64) if slices else self.size
-        self.tokens, self.vocabulary = tokens, vocabulary
+
+    def _join(self) -> None:
+        if self.slices is not None:
+            self.bits = np.frombuffer(b"".join(self.slices), np.uint8)
+            self.first = np.cumsum(self.size, dtype=np.uint64) - self.size
+            self.slices = None
 
     def count(self, grams: np.ndarray, n: int) -> np.ndarray:
         """Quantised counts of n-gram hashes, by one membership probe after another."""
         out = np.zeros(len(grams), np.int64)
         if not len(self.size):
             return value(out, n)
+        self._join()
         slot = bucket_of(n, grams, len(self.size)).astype(np.int64)
         h = grams & _LOW40 if n == 2 else grams
         left, j = np.arange(len(grams)), 0
@@ -227,8 +237,9 @@ class LogFrequencyFilter:
 class LanguageModel:
     """Filter, exact counts by bucket (written), and the frequent words' counts."""
 
-    def __init__(self, spark, lm: LogFrequencyFilter, counts: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int):
-        self.tokens, self.vocabulary, self.buckets, self.counts = lm.tokens, lm.vocabulary, buckets, counts
+    def __init__(self, spark, lm: LogFrequencyFilter, tokens: int, vocabulary: int, counts: DataFrame,
+                 hot: tuple[np.ndarray, np.ndarray], buckets: int):
+        self.tokens, self.vocabulary, self.buckets, self.counts = tokens, vocabulary, buckets, counts
         self.filter = spark.sparkContext.broadcast(lm)
         self.hot = spark.sparkContext.broadcast(hot)
 
@@ -269,9 +280,9 @@ def train(docs: DataFrame, buckets: int) -> LanguageModel:
     # at most MAX_FILTER_BYTES, by the folding above
     slices = {r["bucket"]: bytes(r["bits"]) for r in table.select("bucket", "bits").mapInArrow(
         folded, "bucket long, bits binary").toLocalIterator()}
-    lm = LogFrequencyFilter([slices.get(b, b"\0" * 8) for b in range(buckets)], tokens, vocabulary)
+    lm = LogFrequencyFilter([slices.get(b, b"\0" * 8) for b in range(buckets)])
     counts = table.select("bucket", "hashes", "counts")
-    return LanguageModel(spark, lm, counts, frequent(table), buckets)
+    return LanguageModel(spark, lm, tokens, vocabulary, counts, frequent(table), buckets)
 
 
 def frequent(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -347,7 +358,7 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     asked = batches_of(docs.select("doc_id", "text"), share, (
         f"bucket long, ids array<{kind}>, keys array<long>, n_tokens array<long>, known array<long>, "
-        "base array<double>, score array<double>, hashes binary, docs binary, times binary"))
+        "base array<double>, score array<double>, hashes binary, docs binary, times binary"), TOKENS_PER_FLUSH // 2)
 
     def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         known_h = np.frombuffer(right["hashes"].iloc[0], "<u8") if len(right) else np.empty(0, "<u8")
