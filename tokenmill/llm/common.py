@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,24 +81,42 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_hashes(ws: list[bytes], width: int = SHINGLE) -> np.ndarray:
-    """64-bit hashes of consecutive ``width``-word shingles in text order;
-    a shorter text is one shingle of all its words, no words give none."""
-    if not ws:
-        return np.empty(0, np.uint64)
-    h = word_hashes(ws)
-    w = min(width, len(ws))
-    n = len(h) - w + 1
-    out = np.full(n, w, np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingle_lists(texts: list[str | None], width: int = SHINGLE) -> list[np.ndarray]:
+    """Per text the 64-bit hashes of its consecutive ``width``-word shingles
+    in text order; a shorter text is one shingle of all its words, a text
+    without words has none. All texts are hashed in one pass."""
+    split = [words(t) for t in texts]
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    total = int(sizes.sum())
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(split)), np.uint64, total)
+    ends = np.cumsum(sizes)
     with np.errstate(over="ignore"):
-        for i in range(w):
-            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n])
+        rolled = np.full(max(0, total - width + 1), width, np.uint64)
+        for i in range(width):
+            rolled = rolled * _STEP + h[i:i + len(rolled)]
+        rolled = mix(rolled)
+        out = []
+        for n, end in zip(sizes.tolist(), ends.tolist(), strict=True):
+            if n >= width:
+                out.append(rolled[end - n:end - width + 1])
+            else:
+                one = np.full(min(n, 1), n, np.uint64)
+                for x in h[end - n:end]:
+                    one = one * _STEP + x
+                out.append(mix(one))
     return out
 
 
+def shingle_sets(texts: list[str | None], width: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of every text."""
+    return [np.unique(x) for x in shingle_lists(texts, width)]
+
+
 def shingle_set(text: str | None, width: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
-    return np.unique(shingle_hashes(words(text), width))
+    return shingle_sets([text], width)[0]
 
 
 def spans_text(spans: Column) -> Column:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.llm.common import SHINGLE, SIMILARITY_PCT, arrow_map, shingle_hashes, shingle_set, words
+from tokenmill.llm.common import SHINGLE, SIMILARITY_PCT, arrow_map, shingle_lists, shingle_sets
 
 PERMUTATIONS = 64
 BLOCK_BYTES = 16 << 20  # of item shingles sent to the workers at once
@@ -105,9 +105,10 @@ def contained(texts: list[str | None], index: ItemIndex, pct: int, width: int) -
     while at < len(texts):
         seqs, total, first = [], 0, at
         while at < len(texts) and (not seqs or total < SLICE_SHINGLES):
-            seqs.append(shingle_hashes(words(texts[at]), width))
-            total += len(seqs[-1])
-            at += 1
+            new = shingle_lists(texts[at:at + 50], width)
+            seqs += new
+            total += sum(map(len, new))
+            at += len(new)
         sizes = np.array([len(s) for s in seqs])
         if not total:
             continue
@@ -134,7 +135,7 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, width: int):
     kind = cols.schema["item_id"].dataType.simpleString()
 
     def run(ids, texts):
-        sets = [shingle_set(t, width) for t in texts]
+        sets = shingle_sets(texts, width)
         return ids, [s.tobytes() for s in sets]
 
     sets = arrow_map(cols, run, f"item_id {kind}, shingles binary").where(F.octet_length("shingles") > 0)

@@ -37,7 +37,7 @@ class KeyFilter:
             yield pa.RecordBatch.from_pydict({"bits": pa.array([np.packbits(flags, bitorder="little").tobytes()])})
 
         # TASKS constant-size bit sets, whatever the number of keys
-        parts = keys.coalesce(TASKS).mapInArrow(mark, "bits binary").toLocalIterator()
+        parts = keys.coalesce(TASKS).mapInArrow(mark, "bits binary").collect()
         bits = np.zeros(FILTER_BITS // 8, np.uint8)
         for r in parts:
             bits |= np.frombuffer(r[0], np.uint8)

@@ -21,7 +21,8 @@ after all of that, which the block comparison rules out.
 Large groups are met by stars, never by all pairs: members are compared
 with the group's pivot, then with other pivots while some are not yet
 connected to it; tasks collapse their own part of a large group before the
-shuffle. Candidates are verified exactly on the whole sets.
+shuffle. Candidates whose sizes or parity sketches (a bit per member) rule a
+link out are dropped, the others are verified exactly on the whole sets.
 
 Equal sets form one class from the start. Hashes are 64-bit; class ids are
 checked for collisions and drawn anew if there is one.
@@ -44,16 +45,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.llm.common import SHINGLE, SIMILARITY_PCT, arrow_map, mix, shingle_set, written
+from tokenmill.llm.common import SHINGLE, SIMILARITY_PCT, arrow_map, mix, shingle_sets, written
 from tokenmill.llm.components import components
-from tokenmill.llm.idfilter import matching
+from tokenmill.llm.idfilter import KeyFilter, without
 from tokenmill.llm.lm import by_bucket
 
 LIST = 32  # sets that a group may hold before it is met by stars
 SEGMENTS_PER_MEMBER, SPARE_SEGMENTS = 0.33, 8
-UNIT_SHINGLES, UNIT_DOCS = 2_000_000, 30_000
-BYTES_PER_BUCKET = 32 << 20
-SEEN = 500_000  # classes a task remembers, to send copies once
+UNIT_SHINGLES, UNIT_DOCS = 800_000, 30_000  # a task's share that is held at once
+BYTES_PER_BUCKET = 20 << 20
+SEEN = 200_000  # classes a task remembers, to send copies once
 STAR_ROUNDS = 3
 COMPARE_BLOCK = 256
 
@@ -64,6 +65,26 @@ def class_id(members: np.ndarray, seed: int) -> tuple[int, int]:
     return (h >> 64) - (1 << 63), (h & ((1 << 64) - 1)) - (1 << 63)
 
 
+def sketch(members: np.ndarray) -> bytes:
+    """Parity of the members in each of 2^k slots, 2^k at least the set's
+    size: two sketches differ in at most as many bits as the sets in members."""
+    slots = max(64, 1 << int(len(members) - 1).bit_length())
+    at = (members >> np.uint64(20)) & np.uint64(slots - 1)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=slots) & 1).astype(bool), bitorder="little").tobytes()
+
+
+def sketch_distance(a: bytes, b: bytes) -> int:
+    """Lower bound of the number of members in which two sets differ."""
+    if len(a) < len(b):
+        a, b = b, a
+    x = int.from_bytes(a, "little")
+    for half in (8 * len(a) >> s for s in range(1, 64)):
+        if half < 8 * len(b):
+            break
+        x = (x >> half) ^ (x & ((1 << half) - 1))
+    return (x ^ int.from_bytes(b, "little")).bit_count()
+
+
 def band(n: np.ndarray) -> np.ndarray:
     """The b for which ``2**(b-1) < n <= 2**b``."""
     return np.ceil(np.log2(np.maximum(n, 1)) - 1e-12).astype(np.int64)
@@ -89,7 +110,7 @@ def parts(sets: list[np.ndarray], bands: np.ndarray) -> tuple[np.ndarray, ...]:
         place = mix(e + np.uint64(0x51ED270B5D2C9A17))
         seg = ((place >> np.uint64(32)) * segments(bands)[owner].astype(np.uint64)) >> np.uint64(32)
         key = (owner.astype(np.uint64) << np.uint64(32)) | seg
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key = key[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         member = mix(place)[order]
@@ -99,10 +120,10 @@ def parts(sets: list[np.ndarray], bands: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def signature(b: np.ndarray, seg: np.ndarray, count: np.ndarray, total: np.ndarray) -> np.ndarray:
-    """Hash of a sub-set of a segment."""
+    """48-bit hash of a sub-set of a segment."""
     with np.errstate(over="ignore"):
         at = mix((b.astype(np.uint64) << np.uint64(40)) + seg)
-        return mix(total + at + count.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return mix(total + at + count.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16)
 
 
 def roles(sizes: np.ndarray, pct: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
@@ -112,6 +133,16 @@ def roles(sizes: np.ndarray, pct: int) -> list[tuple[int, np.ndarray, np.ndarray
     return [(0, np.arange(len(sizes)), own), (1, up, own[up] + 1)]
 
 
+def pack48(h: np.ndarray) -> bytes:
+    return np.ascontiguousarray(h).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpack48(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
 def unit_rows(sids: list[int], sets: list[np.ndarray], buckets: int, pct: int):
     """Rows of one task's share (see ``group_signatures``)."""
     names = np.array(sids, np.int64)
@@ -120,16 +151,17 @@ def unit_rows(sids: list[int], sets: list[np.ndarray], buckets: int, pct: int):
     for role, members, bands in roles(sizes, pct):
         if not len(members):
             continue
-        owner, seg, count, total, _, _ = parts([sets[i] for i in members], bands)
+        owner, seg, count, total = parts([sets[i] for i in members], bands)[:4]
         sig.append(signature(bands[owner], seg, count, total))
-        who.append(members[owner] * 2 + role)
+        who.append((members[owner] * 2 + role).astype(np.uint16))
         full = np.bincount(owner, minlength=len(members))
         short = members[full < needed(sizes[members], bands, pct)]
         if len(short):
             yield "short", -1, None, None, names[short].astype("<i8").tobytes(), bytes([role]) * len(short), None
     sig, who = np.concatenate(sig), np.concatenate(who)
-    order = np.argsort(sig, kind="stable")
+    order = np.argsort(sig)
     sig, who = sig[order], who[order]
+    del order
     first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     sizes_here = np.diff(np.append(first, len(sig)))
     keep = np.ones(len(sig), bool)
@@ -146,14 +178,14 @@ def unit_rows(sids: list[int], sets: list[np.ndarray], buckets: int, pct: int):
     for b, at in by_bucket((sig >> np.uint64(24)) % np.uint64(buckets)):
         used, local = np.unique(who[at] >> 1, return_inverse=True)
         packed = (local.astype(np.uint16) * 2 + (who[at] & 1).astype(np.uint16)).astype("<u2").tobytes()
-        yield "entries", -1, None, b, names[used].astype("<i8").tobytes(), packed, sig[at].astype("<u8").tobytes()
+        yield "entries", -1, None, b, names[used].astype("<i8").tobytes(), packed, pack48(sig[at])
 
 
 def group_rows(pdf: pd.DataFrame):
     """Groups of one bucket: lists of at most ``LIST`` sets, and stars of larger groups."""
     own = pdf[pdf["kind"] == "entries"]
     hot = pdf[pdf["kind"] == "pivot"]
-    sig = [np.frombuffer(x, "<u8") for x in own["sigs"]] + [hot["sig"].to_numpy(np.int64).view(np.uint64)]
+    sig = [unpack48(x) for x in own["sigs"]] + [hot["sig"].to_numpy(np.int64).view(np.uint64)]
     sid, role = [], []
     for ids, packed in zip(own["members"], own["roles"], strict=True):
         p = np.frombuffer(packed, "<u2")
@@ -162,11 +194,17 @@ def group_rows(pdf: pd.DataFrame):
     sid.append(hot["pivot"].to_numpy(np.int64))
     role.append(np.array([x[0] for x in hot["roles"]], np.uint8))
     sig, sid, role = np.concatenate(sig), np.concatenate(sid), np.concatenate(role)
+    order = np.argsort(sig)
+    sig, sid, role = sig[order], sid[order], role[order]
+    large = np.unique(hot["sig"].to_numpy(np.int64).view(np.uint64))
+    same = sig[1:] == sig[:-1]
+    keep = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(sig) else np.zeros(0, bool)
+    keep |= np.isin(sig, large)
+    sig, sid, role = sig[keep], sid[keep], role[keep]  # most signatures occur once
     order = np.lexsort((sid, sig))
     sig, sid, role = sig[order], sid[order], role[order]
     new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (sid[1:] != sid[:-1])]) if len(sig) else np.zeros(0, bool)
     sig, sid, role = sig[new], sid[new], role[new]  # copies sent by several tasks
-    large = np.unique(hot["sig"].to_numpy(np.int64).view(np.uint64))
     first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
     size = np.diff(np.append(first, len(sig)))
     is_hot = (size > LIST) | np.isin(sig[first], large)
@@ -182,26 +220,25 @@ def group_rows(pdf: pd.DataFrame):
         yield "list", None, None, x, None
 
 
-def distinct_sets(df: DataFrame, seed: int, width: int) -> DataFrame:
-    """Per task the classes of its rows, each at most once (or again after
-    ``SEEN`` others): (sid, shingles)."""
-    def run(batches):
-        seen: set[int] = set()
-        for b in batches:
-            for at in range(0, b.num_rows, 200):
-                sids, sets = [], []
-                for t in b.column(0).slice(at, 200).to_pylist():
-                    s = shingle_set(t, width)
-                    if len(s) and (sid := class_id(s, seed)[0]) not in seen:
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen.add(sid)
-                        sids.append(sid)
-                        sets.append(s.tobytes())
-                yield pa.RecordBatch.from_pydict({"sid": pa.array(sids, pa.int64()),
-                                                  "shingles": pa.array(sets, pa.binary())})
-
-    return df.select("text").mapInArrow(run, "sid long, shingles binary")
+def task_classes(batches, seed: int, width: int, keys: KeyFilter | None = None):
+    """The classes of a task's rows ``(ref, text)``, each at most once (or
+    again after ``SEEN`` others): lists of ids and of sets, some rows at a
+    time. With ``keys``, only rows whose ``ref`` may be among them."""
+    seen: set[int] = set()
+    for b in batches:
+        texts = b.column(1)
+        if keys is not None:
+            texts = texts.filter(pa.array(keys.hits(b.column(0))))
+        for at in range(0, len(texts), 200):
+            sids, sets = [], []
+            for s in shingle_sets(texts.slice(at, 200).to_pylist(), width):
+                if len(s) and (sid := class_id(s, seed)[0]) not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(sid)
+                    sids.append(sid)
+                    sets.append(s)
+            yield sids, sets
 
 
 _GROUPED = "kind string, sig long, pivot long, members binary, roles binary"
@@ -228,11 +265,11 @@ def group_signatures(docs: DataFrame, buckets: int, seed: int, pct: int, width:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
                                               ["kind", "sig", "pivot", "bucket", "members", "roles", "sigs"])
 
-        for b in batches:
-            for sid, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+        for new, their_sets in task_classes(batches, seed, width):
+            for sid, members in zip(new, their_sets, strict=True):
                 sids.append(sid)
-                sets.append(np.frombuffer(data, np.uint64))
-                total += len(sets[-1])
+                sets.append(members)
+                total += len(members)
                 if total >= UNIT_SHINGLES or len(sids) >= UNIT_DOCS:
                     yield flush()
                     sids, sets, total = [], [], 0
@@ -244,7 +281,7 @@ def group_signatures(docs: DataFrame, buckets: int, seed: int, pct: int, width:
         out = pd.DataFrame(rows, columns=["kind", "sig", "pivot", "members", "roles"])
         return out.astype({"sig": "Int64", "pivot": "Int64"})
 
-    return distinct_sets(docs, seed, width).mapInArrow(run, sent).groupBy("bucket").applyInPandas(merge, _GROUPED)
+    return docs.select("ref", "text").mapInArrow(run, sent).groupBy("bucket").applyInPandas(merge, _GROUPED)
 
 
 class Join:
@@ -259,14 +296,22 @@ class Join:
         """(sid, shingles) of the classes in ``sids(sid)``: only texts picked
         by the hash of one text of each class are read as sets again."""
         refs = sids.join(self.classes.select("sid", "ref"), "sid").select("ref")
-        texts = matching(self.docs.select("ref", "text"), "ref", refs)
-        found = distinct_sets(texts, self.seed, self.width)
+        seed, width = self.seed, self.width
+        keys = self.docs.sparkSession.sparkContext.broadcast(KeyFilter.build(refs))
+
+        def run(batches):
+            for names, sets in task_classes(batches, seed, width, keys.value):
+                yield pa.RecordBatch.from_pydict({"sid": pa.array(names, pa.int64()), "shingles": pa.array(
+                    [s.tobytes() for s in sets], pa.binary())})
+
+        found = self.docs.select("ref", "text").mapInArrow(run, "sid long, shingles binary")
         return written(found.join(sids, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
 
     def verify(self, pairs: DataFrame) -> None:
         """Add the linked pairs among ``pairs(a, b)`` and renew the components."""
         pairs = written(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                         .distinct(), "pairs")
+        pairs = self.plausible(pairs)
         sets = self.sets(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct())
         pct = self.pct
 
@@ -289,6 +334,22 @@ class Join:
         whole = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "set_a", "set_b")
         self.add(arrow_map(whole, check, "a long, b long"))
 
+    def plausible(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose sizes and sketches do not rule a link out."""
+        pct = self.pct
+
+        def check(a, b, x, y, n, m):
+            keep = [(p, q) for p, q, s, t, i, j in zip(a, b, x, y, n, m, strict=True)
+                    if 100 * min(i, j) >= pct * max(i, j)
+                    and sketch_distance(s, t) * (100 + pct) <= (i + j) * (100 - pct)]
+            return tuple(zip(*keep)) if keep else ((), ())
+
+        def side(end):
+            return self.classes.select(F.col("sid").alias(end), F.col("sketch").alias(f"x_{end}"), F.col("n").alias(f"n_{end}"))
+
+        known = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "x_a", "x_b", "n_a", "n_b")
+        return written(arrow_map(known, check, "a long, b long"), "plausible")
+
     def add(self, links: DataFrame) -> None:
         links = written(links, "links")
         self.links = links if self.links is None else self.links.union(links)
@@ -453,14 +514,15 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     seed = 0
     while True:
         def identify(ids, texts, refs, seed=seed):
-            sets = [shingle_set(t, width) for t in texts]
-            named = [class_id(s, seed) if len(s) else (None, None) for s in sets]
-            return ids, refs, list(map(len, sets)), [x[0] for x in named], [x[1] for x in named]
+            rows = [(len(s), *class_id(s, seed), sketch(s)) if len(s) else (0, None, None, None)
+                    for at in range(0, len(texts), 200) for s in shingle_sets(texts[at:at + 200], width)]
+            return ids, refs, *(zip(*rows) if rows else ((),) * 4)
 
-        rows = written(arrow_map(docs, identify, f"doc_id {kind}, ref long, n_shingles long, sid long, check long"), "classes")
+        rows = written(arrow_map(docs, identify, f"doc_id {kind}, ref long, n_shingles long, sid long, check long, "
+                                                 "sketch binary"), "rows")
         classes = written(rows.where("sid is not null").groupBy("sid").agg(
             F.min("doc_id").alias("least"), F.min("ref").alias("ref"), F.min("check").alias("low"),
-            F.max("check").alias("high")), "classes")
+            F.max("check").alias("high"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
         if classes.where("low <> high").isEmpty():
             break
         seed += 1
@@ -484,8 +546,6 @@ def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``df`` (all columns) without the documents that have a linked document
     of smaller id. Rows that repeat an id stay or go together; rows without
     an id stay. Ids are whole numbers."""
-    from tokenmill.llm.idfilter import without
-
     linked = link_documents(df, id_col, text_col, **options)
     gone = written(linked.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct(), "gone")
     return without(df, id_col, gone)
