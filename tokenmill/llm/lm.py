@@ -38,7 +38,7 @@ from pyspark.sql.types import _parse_datatype_string
 from tokenmill.llm.common import held_out, mix, word_hashes, words, written
 
 BYTES_PER_BUCKET = 32 << 20
-TOKENS_PER_FLUSH = 2_000_000  # of a task's share when counting; half of it when scoring
+TOKENS_PER_FLUSH = 1_200_000  # of a task's share when counting; half of it when scoring
 HOT_WORDS = 1 << 17
 BASES = {1: 1.2, 2: 1.5}  # quantisation base of unigram and bigram counts
 BITS_PER_ENTRY, PROBES = 8, 4
