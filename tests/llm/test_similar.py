@@ -124,6 +124,19 @@ def test_short_sets_are_found_by_deletions_and_blocks(spark):
     assert partition(join) == truth
 
 
+@pytest.mark.parametrize("template,own,n", [(13, 3, 400), (25, 7, 300)])
+def test_extensions_of_one_template_all_link(spark, template, own, n):
+    """Each text links with the template only, at the threshold; the group is larger than any list."""
+    base = " ".join(f"t{i}" for i in range(template))
+    texts = [base] + [f"{base} " + " ".join(f"own{i}x{j}" for j in range(own)) for i in range(n)]
+    sets = [corpus.shingles(t) for t in texts]
+    assert all(100 * len(sets[0] & s) >= 75 * len(sets[0] | s) for s in sets)
+    assert 100 * len(sets[1] & sets[2]) < 75 * len(sets[1] | sets[2])
+    # the template's id is the largest: it is no pivot by its id
+    ids = [n, *range(n)]
+    check_links(ngram_join.link_documents(corpus.frame(spark, texts, ids=ids)).collect(), ids, texts)
+
+
 def test_one_document_of_each_group_stays(spark):
     texts = corpus.odd_texts()
     ids = [None, *range(1, len(texts))]

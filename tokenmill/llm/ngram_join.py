@@ -13,8 +13,9 @@ Allocation by cost. A segment counts 0, 1 or 2 towards the H + 1 that a set
 needs. Empty segments count 0. A segment whose group holds more than
 ``LIST`` sets that are not known to be connected is costly: it counts 0 as
 well. All others count 1 (they must agree). Where that leaves a set short,
-its one-deletion neighbourhoods are indexed as well, and a segment counts 2
-(it may differ by one member). Sets that are still short are compared with
+its one-deletion neighbourhoods are indexed as well, and a segment of two or
+more members counts 2 (it may differ by one member; an emptied segment is
+not indexed, so one member still counts 1). Sets that are still short are compared with
 each other block by block. A pair is lost only if both sides are short
 after all of that, which the block comparison rules out.
 
@@ -447,12 +448,14 @@ def deletion_round(join: Join, lost: DataFrame) -> DataFrame:
             with np.errstate(over="ignore"):
                 less = signature(np.repeat(b, len(of)), seg[of], count[of] - 1, total[of] - member)
             less, of = less[count[of] > 1], of[count[of] > 1]  # an emptied segment matches nothing
-            out += [(sid, int(b[0]), need, int(g), int(h), True) for g, h in zip(seg, full.astype(np.int64), strict=True)]
-            out += [(sid, int(b[0]), need, int(seg[g]), int(h), False) for g, h in zip(of, less.astype(np.int64), strict=True)]
-        return tuple(zip(*out)) if out else ((),) * 6
+            out += [(sid, int(b[0]), need, int(g), int(h), True, int(c))
+                    for g, h, c in zip(seg, full.astype(np.int64), count, strict=True)]
+            out += [(sid, int(b[0]), need, int(seg[g]), int(h), False, int(count[g]))
+                    for g, h in zip(of, less.astype(np.int64), strict=True)]
+        return tuple(zip(*out)) if out else ((),) * 7
 
     index = written(arrow_map(lost.join(sets, "sid").select("sid", "role", "lost", "shingles"), run,
-                              "sid long, band int, need long, seg long, sig long, whole boolean"), "deletions")
+                              "sid long, band int, need long, seg long, sig long, whole boolean, members long"), "deletions")
     if index.isEmpty():
         return index.select("sid", "band")
     counts = index.select("sig", "sid").distinct().groupBy("sig").count().where("count > 1")
@@ -463,9 +466,11 @@ def deletion_round(join: Join, lost: DataFrame) -> DataFrame:
     hot = index.join(counts.where(F.col("count") > LIST).select("sig", F.lit(True).alias("hot")), "sig", "left")
     worth = hot.groupBy("sid", "band", "need", "seg").agg(
         F.max(F.coalesce("hot", F.lit(False)) & F.col("whole")).alias("hot_whole"),
-        F.max(F.coalesce("hot", F.lit(False)) & ~F.col("whole")).alias("hot_less"))
+        F.max(F.coalesce("hot", F.lit(False)) & ~F.col("whole")).alias("hot_less"),
+        F.max("members").alias("members"))
+    # one member: a partner without any in the segment differs by one and shares no signature
     worth = worth.groupBy("sid", "band", "need").agg(F.sum(
-        F.when(F.col("hot_whole"), 0).when(F.col("hot_less"), 1).otherwise(2)).alias("worth"))
+        F.when(F.col("hot_whole"), 0).when(F.col("hot_less") | (F.col("members") < 2), 1).otherwise(2)).alias("worth"))
     return written(worth.where("worth < need").select("sid", "band"), "still")
 
 
