@@ -217,3 +217,34 @@ def test_toxicity_of_odd_rows(spark):
         assert [r["score"] for r in got] == [0.0]
     assert toxicity.score_toxicity(d.limit(0), labels).count() == 0
     assert toxicity.drop_toxic(d, labels.limit(0)).columns == d.columns
+
+
+def test_numbers_followed_by_digits_or_capitals_are_replaced():
+    card, iban = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
+    amex = "3782 822463 1000" + str(pii.luhn("37828224631000"))
+    for text, value in ((f"{card} 12/25", card), (f"{card} 123", card), (f"{card.replace(' ', '')} 99", card.replace(" ", "")),
+                        (f"no 12 {card} ok", card), (f"{amex} 1234", amex), (f"{iban} EUR 50", iban),
+                        (f"{iban} COBADEFFXXX", iban), (f"{iban.replace(' ', '')} EUR", iban.replace(" ", "")),
+                        ("GB82 WEST 1234 5698 7654 32 BIC X", "GB82 WEST 1234 5698 7654 32")):
+        assert value in {text[s:e] for _, s, e in pii.find_pii(text)}, text
+        assert value not in pii.replace_pii(text, b"key")
+
+
+def test_numbers_in_a_row_can_be_undone():
+    rng = random.Random(11)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card():
+        body = "4" + digits(14)
+        c = body + str(pii.luhn(body))
+        return " ".join(c[i:i + 4] for i in range(0, 16, 4)) if rng.random() < 0.7 else c
+
+    found = 0
+    for _ in range(1500):
+        bits = [rng.choice([card, lambda: digits(rng.randrange(1, 5)), lambda: "DE89 3704 0044 0532 0130 00", lambda: "EUR",
+                            lambda: "12/25", lambda: "123-45-6789", lambda: "555 123 4567", lambda: "paid,"])()
+                for _ in range(rng.randrange(2, 6))]
+        text = " ".join(bits)
+        found += len(pii.find_pii(text))
+        assert pii.replace_pii(pii.replace_pii(text, b"key"), b"key", undo=True) == text, text
+    assert found > 1000

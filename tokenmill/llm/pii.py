@@ -7,7 +7,10 @@ Feistel network over the value's own domain (digit strings of that
 length, days of the calendar range, 32-bit addresses), with cycle walking
 where a domain is not a square or a result would be invalid. So equal
 values get equal pseudonyms in every document, different values stay
-different, and the holder of the key can undo it.
+different, and the holder of the key can undo it. Where digits or capitals
+stand next to a value, a replacement that would read as another number
+together with them is walked on (it then differs from that of the same
+value elsewhere, for the text could not be undone otherwise).
 
 Separators, letter case and date layout of the original are kept. Mail
 addresses are permuted by the same network over their local part (letters
@@ -219,6 +222,50 @@ _RULES = (("card", _CARD, valid_card, swap_card), ("iban", _IBAN, valid_iban, sw
 _SWAP = {k: swap for k, _, _, swap in _RULES}
 
 
+_IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29,
+    "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29,
+    "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28,
+    "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20,
+    "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19,
+    "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24,
+    "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+    "YE": 30}
+
+
+def _ends(kind: str, s: str) -> list[int]:
+    """Where a candidate may end, longest first: whole, or where a group ends (a separator
+    follows). An IBAN of a known country ends first where its country's length says."""
+    ends = [len(s)] + [i for i in range(len(s) - 1, 0, -1) if s[i] in " -" and s[i - 1] not in " -"]
+    if kind == "iban" and (n := _IBAN_LENGTH.get(s[:2])):
+        at = [i + 1 for i, c in enumerate(s) if c != " "]
+        ends = [e for e in ends if n <= len(at) and e == at[n - 1]] + [e for e in ends if n > len(at) or e != at[n - 1]]
+    return ends
+
+
+def _accepted(kind: str, pattern: re.Pattern, valid, text: str):
+    """(start, end) of the valid values of a pattern. Cards and IBANs may be followed by further
+    digits or capitals: the longest candidate is shortened to the ends of its groups, and the
+    scan goes on behind the accepted end, or at the next group if none is valid."""
+    if kind not in ("card", "iban"):
+        for m in pattern.finditer(text):
+            if valid(m.group()):
+                yield m.span()
+        return
+    at = 0
+    while m := pattern.search(text, at):
+        s = m.group()
+        for e in _ends(kind, s):
+            if valid(s[:e]):
+                yield m.start(), m.start() + e
+                at = m.start() + e
+                break
+        else:
+            gap = next((i for i, c in enumerate(s) if c in " -"), len(s))
+            at = m.start() + gap
+
+
 def find_pii(text: str | None) -> list[tuple[str, int, int]]:
     """Validated values of a text as (kind, start, end), not overlapping, in order."""
     if not text:
@@ -227,7 +274,7 @@ def find_pii(text: str | None) -> list[tuple[str, int, int]]:
     for i, (kind, pattern, valid, _) in enumerate(_RULES):
         if kind == "email" and "@" not in text:
             continue
-        found += [(m.start(), -m.end(), i, kind) for m in pattern.finditer(text) if valid(m.group())]
+        found += [(s, -e, i, kind) for s, e in _accepted(kind, pattern, valid, text)]
     out, at = [], 0
     for s, e, _, kind in sorted(found):
         if s >= at:
@@ -242,13 +289,51 @@ def pseudonym(kind: str, value: str, key: bytes, undo: bool = False) -> str:
     return _SWAP[kind](value, key, undo)
 
 
-def replace_pii(text: str | None, key: bytes, undo: bool = False) -> str | None:
+_REACH = 100  # characters; longer than any card or IBAN candidate
+_BEFORE, _AFTER = re.compile(r"[A-Z0-9][ -]\Z"), re.compile(r"[ -][A-Z0-9]")
+
+
+def _numbers(left: str, value: str, right: str) -> list[tuple[str, int, int]]:
+    """Cards and IBANs of ``left + value + right`` but those within the value, which it hides;
+    places behind ``left`` count from the end."""
+    text, n, end = left + value + right, len(left), len(left) + len(value)
+    return [(kind, s if s <= n else s - len(text), e if e <= n else e - len(text))
+            for kind, pattern, valid, _ in _RULES[:2] for s, e in _accepted(kind, pattern, valid, text)
+            if s <= n or e > end]
+
+
+def swaps(text: str, key: bytes, undo: bool = False) -> list[tuple[str, int, int, str]]:
+    """(kind, start, end, replacement) of all values. A value next to other digits or capitals is
+    walked on until the same numbers are found around it, from the first to the last value (and
+    back from the last to the first), so that the replaced text can be undone."""
     spans = find_pii(text)
-    if not spans:
+    out, side = [], ""  # side: what was replaced so far
+    bounds = [0, *[e for _, _, e in spans], len(text)]
+    for i in range(len(spans) - 1, -1, -1) if undo else range(len(spans)):
+        kind, s, e = spans[i]
+        value = text[s:e]
+        new = pseudonym(kind, value, key, undo)
+        if undo:
+            left, right = text[max(0, s - _REACH):s], text[e:(spans[i + 1][1] if i + 1 < len(spans) else len(text))] + side
+        else:
+            left, right = side + text[bounds[i]:s], text[e:e + _REACH]
+        left, right = left[-_REACH:], right[:_REACH]
+        if _BEFORE.search(left) or _AFTER.match(right):
+            want = _numbers(left, value, right)
+            while _numbers(left, new, right) != want:
+                new = pseudonym(kind, new, key, undo)
+        side = new + right if undo else left + new
+        out.append((kind, s, e, new))
+    return out[::-1] if undo else out
+
+
+def replace_pii(text: str | None, key: bytes, undo: bool = False) -> str | None:
+    found = swaps(text, key, undo) if text else []
+    if not found:
         return text
     out, at = [], 0
-    for kind, s, e in spans:
-        out += [text[at:s], pseudonym(kind, text[s:e], key, undo)]
+    for _, s, e, new in found:
+        out += [text[at:s], new]
         at = e
     return "".join([*out, text[at:]])
 
@@ -263,7 +348,7 @@ def scan_pii(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str =
     def run(ids, texts):
         spans, new = [], []
         for t in texts:
-            found = [(k, s, e, pseudonym(k, t[s:e], key)) for k, s, e in find_pii(t)]
+            found = swaps(t, key) if t else []
             spans.append([{"kind": k, "start": s, "end": e, "pseudonym": p} for k, s, e, p in found])
             parts, at = [], 0
             for _, s, e, p in found:
