@@ -248,3 +248,24 @@ def test_numbers_in_a_row_can_be_undone():
         found += len(pii.find_pii(text))
         assert pii.replace_pii(pii.replace_pii(text, b"key"), b"key", undo=True) == text, text
     assert found > 1000
+
+
+@pytest.mark.parametrize("kind,blob", [("rsa_key", _rsa()), ("ec_key", _ec()), ("pkcs8_key", _pkcs8()), ("openssh_key", _ssh())])
+def test_keys_in_other_layouts_are_found(kind, blob):
+    b64 = base64.b64encode(blob).decode()
+    lines = [b64[i:i + 64] for i in range(0, len(b64), 64)]
+    bare = b64.rstrip("=")
+    begin, end = "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+    for text, value in ((f"{bare}\nThe next line", bare), (f"{bare} and more words", bare),
+                        ("key: |\n    " + "\n    ".join(lines) + "\nnext: x", "\n    ".join(lines)),
+                        ("> " + "\n> ".join(lines) + "\n> Regards", "\n> ".join(lines)),
+                        ("x " + " ".join(lines) + " tail", " ".join(lines)),
+                        (f"{begin}{b64}{end}", f"{begin}{b64}{end}"), (f"a {begin}{bare}{end} b", f"{begin}{bare}{end}"),
+                        (f"{begin}\n  " + "\n  ".join(lines) + f"\n  {end}", None),
+                        (f"{'word' * 12}\n{b64}\nthe end", b64)):
+        found = [(k, text[s:e]) for k, s, e in secrets.find_spans(text) if k in secrets.METHOD_KINDS]
+        assert found == [(kind, text if value is None else value)], text
+    bad = bytearray(blob)
+    bad[1 if blob[0] == 0x30 else 18] ^= 1
+    text = base64.b64encode(bytes(bad)).decode() + "\nThe next line"
+    assert kind not in {s[0] for s in secrets.find_spans(text)}

@@ -10,6 +10,8 @@ reported only when the structure holds:
   SEC 1 or DSA keys;
 * OpenSSH private keys: magic, then length-prefixed fields that nest
   and end exactly at the end of the blob;
+* keys whose lines are indented, quoted, joined by blanks or followed by
+  other text: as many characters are read as the key's own header says;
 * signed tokens: the first part decodes to a JSON object with a known
   ``alg``, the second to a JSON object, and the third has that
   algorithm's signature length.
@@ -52,6 +54,11 @@ _ALLHEX = re.compile(r"(?:[0-9A-Fa-f]{2})+\Z")
 _HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 _ARMOUR = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}KEY-----(?:\s|\\n)*\Z")
 _ARMOUR_END = re.compile(r"(?:\s|\\n)*-----END [A-Z0-9 ]{0,40}KEY-----")
+_KEY_START = re.compile(r"M[A-P]|b3BlbnNzaC1rZXkt|30")  # DER sequence, OpenSSH magic; DER in hex
+_INNER_START = re.compile(r"-----(?=M[A-P]|b3BlbnNzaC1rZXkt|30)")
+_PIECE = re.compile(r"(?:(?!-----)[A-Za-z0-9+/_-])+")
+_HEX_PIECE = re.compile(r"[0-9A-Fa-f]+")
+_BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t>|]*|[ \t]")  # a new line, indented or quoted, or one blank
 _SIGNATURE_BYTES = {"HS256": {32}, "HS384": {48}, "HS512": {64}, "ES256": {64}, "ES384": {96},
                     "ES512": {132}, "EdDSA": {64, 114}}
 _RSA_ALGS = {f"{p}{n}" for p in ("RS", "PS") for n in (256, 384, 512)}
@@ -181,6 +188,95 @@ def confirmed(run: str) -> str | None:
     return None
 
 
+class _Encoded:
+    """The bytes encoded from ``at`` on, over line breaks, indentation and single blanks, read as far as asked."""
+
+    def __init__(self, text: str, at: int, in_hex: bool):
+        self.text, self.at, self.in_hex = text, at, in_hex
+        self.pieces: list[tuple[int, str]] = []
+        self.chars, self.more = 0, True
+
+    def take(self, size: int) -> tuple[bytes, int] | None:
+        """(the first ``size`` bytes, where their characters end), None if there are fewer."""
+        n = 2 * size if self.in_hex else -(-4 * size // 3)
+        if n > self.chars + len(self.text) - self.at:
+            return None
+        while self.chars < n and self.more:
+            start = self.at
+            if self.pieces:
+                gap = _BREAK.match(self.text, start)
+                start = gap.end() if gap else len(self.text)
+            m = (_HEX_PIECE if self.in_hex else _PIECE).match(self.text, start)
+            if m is None:
+                self.more = False
+                break
+            self.pieces.append((start, m.group()))
+            self.chars, self.at = self.chars + len(m.group()), m.end()
+        if self.chars < n:
+            return None
+        out, left = [], n
+        for start, piece in self.pieces:
+            out.append(piece[:left])
+            if len(piece) >= left:
+                end = start + left
+                break
+            left -= len(piece)
+        run = "".join(out)
+        if self.in_hex:
+            return bytes.fromhex(run), end
+        run = run.replace("-", "+").replace("_", "/")
+        return base64.b64decode(run + "=" * (-n % 4)), end
+
+
+def _openssh_size(data: bytes) -> int:
+    """Bytes of the container as far as the fields in ``data`` tell (more than there are: read on)."""
+    at, count = 15, 3
+    while count:
+        if at + 4 > len(data):
+            return at + 4
+        at, count = at + 4 + int.from_bytes(data[at:at + 4], "big"), count - 1
+    if at + 4 > len(data):
+        return at + 4
+    count, at = int.from_bytes(data[at:at + 4], "big"), at + 4
+    if not 1 <= count <= 64:
+        return 0
+    for _ in range(count + 1):
+        if at + 4 > len(data):
+            return at + 4
+        at += 4 + int.from_bytes(data[at:at + 4], "big")
+    return at
+
+
+def key_at(text: str, at: int) -> tuple[str, int] | None:
+    """(kind, end) of the private key whose encoding starts at ``at``: its own header tells how much is read."""
+    for in_hex in (False, True):
+        run = _Encoded(text, at, in_hex)
+        head = run.take(6)
+        if head is None:
+            continue
+        if head[0][0] == 0x30:
+            n, k = head[0][1], 0
+            if n & 0x80:
+                k = n & 0x7F
+                if not 1 <= k <= 4:
+                    continue
+                n = int.from_bytes(head[0][2:2 + k], "big")
+            got = run.take(2 + k + n)
+            kind = der_key(got[0]) if got else None
+        elif head[0] == b"openss" and (got := run.take(15)) and got[0] == b"openssh-key-v1\0":
+            while got and (size := _openssh_size(got[0])) > len(got[0]):
+                got = run.take(size)
+            kind = "openssh_key" if got and openssh_key(got[0]) else None
+        else:
+            continue
+        if kind:
+            end = got[1]
+            while not in_hex and end < got[1] + 2 and text[end:end + 1] == "=":
+                end += 1
+            return kind, end
+    return None
+
+
 def find_spans(text: str | None) -> list[tuple[str, int, int]]:
     """All spans of a text as (kind, start, end), ordered by start, then kind."""
     if not text:
@@ -190,24 +286,35 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
         out += [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 6]
     out += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 20]
     out += [("jwt", m.start(), m.end()) for m in _TOKEN.finditer(text) if signed_token(m.group())]
-    done = 0
-    for run in _RUN.finditer(text):
-        out += [("hex", m.start(), m.end()) for m in _HEX.finditer(text, run.start(), run.end())]
-        m = _BLOB.match(text, run.start()) if run.start() >= done else None
-        if m is None:  # too short, or a later line of a blob already read
-            continue
-        done = m.end()
-        s, e, kind = m.start(), m.end(), confirmed(m.group())
-        if kind is None:  # a hex key inside a longer run of word characters
-            for x in _HEX_RUN.finditer(m.group()):
-                if inner := confirmed(x.group()):
-                    out.append((inner, s + x.start(), s + x.end()))
-            continue
+    done = taken = 0
+
+    def report(kind: str, s: int, e: int) -> int:
         if head := _ARMOUR.search(text, max(0, s - 80), s):
             s = head.start()
             if tail := _ARMOUR_END.match(text, e):
                 e = tail.end()
         out.append((kind, s, e))
+        return e
+
+    for run in _RUN.finditer(text):
+        out += [("hex", m.start(), m.end()) for m in _HEX.finditer(text, run.start(), run.end())]
+        m = _BLOB.match(text, run.start()) if run.start() >= done else None
+        if m is not None:  # else too short, or a later line of a blob already read
+            done = m.end()
+            s, e, kind = m.start(), m.end(), confirmed(m.group())
+            if kind is not None:
+                taken = report(kind, s, e)
+                continue
+        # other readings: as many characters as the key's header says, from here or behind an armour line
+        starts = [run.start()] if _KEY_START.match(text, run.start()) else []
+        starts += [x.end() for x in _INNER_START.finditer(text, run.start(), run.end())]
+        for at in starts:
+            if at >= taken and (key := key_at(text, at)):
+                taken = report(key[0], at, key[1])
+        if m is not None:  # a hex key inside a longer run of word characters
+            for x in _HEX_RUN.finditer(m.group()):
+                if s + x.start() >= taken and (inner := confirmed(x.group())):
+                    out.append((inner, s + x.start(), s + x.end()))
     return sorted(out, key=lambda x: (x[1], _ORDER[x[0]], x[2]))
 
 
