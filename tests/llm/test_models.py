@@ -92,3 +92,17 @@ def test_counts_meet_over_many_shares_and_buckets(spark):
     h, starts = lm.token_stream([" ".join(t.split()) for t in texts])
     seen, n = np.unique(lm.bigrams(h, starts), return_counts=True)
     assert sorted(n.tolist()) == sorted(pairs.values())
+
+
+def test_summaries_of_shares_with_common_words_spread(monkeypatch):
+    """Equal texts (so equal words) in all shares: no bucket gets many of the documents, no row many of a share."""
+    monkeypatch.setattr(lm, "SUMMARY_DOCS", 100)
+    got, rows = collections.Counter(), []
+    for share in range(200):
+        ids = list(range(share * 250, share * 250 + 250))
+        rows += list(lm.summary_rows(ids, [7] * 250, [ids], 16))
+    for bucket, ids, keys, column in rows:
+        assert len(ids) == len(keys) <= 100 and ids == column
+        got[bucket] += len(ids)
+    assert sorted(i for r in rows for i in r[1]) == list(range(50_000))
+    assert len(got) == 16 and max(got.values()) < 2 * 50_000 / 16

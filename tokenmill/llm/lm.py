@@ -47,6 +47,7 @@ MAX_FILTER_BYTES = 512 << 20
 BIGRAM_WEIGHT = 0.25
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\0end"))
 _LOW40 = np.uint64((1 << 40) - 1)
+SUMMARY_DOCS = 2_000  # of a share, in one row
 _LEVEL = 1.1  # classes of the count-of-counts histogram
 
 
@@ -315,6 +316,15 @@ def text_key(text: str | None) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63) if text else 0
 
 
+def summary_rows(ids: list, keys: list[int], columns: list[list], buckets: int):
+    """Rows (bucket, ids, keys, *columns) of a share's documents, some at a time. They may go to any
+    bucket; it is drawn from the documents' names, so that shares with words in common spread."""
+    for at in range(0, len(ids), SUMMARY_DOCS):
+        part = slice(at, at + SUMMARY_DOCS)
+        name = xxhash.xxh3_64_intdigest(repr((ids[part], keys[part])))
+        yield name % buckets, ids[part], keys[part], *[c[part] for c in columns]
+
+
 def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) for every row of ``docs(doc_id, text)``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -322,7 +332,7 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     scale = float(model.tokens + model.vocabulary + 1)
 
     def share(ids, texts):
-        """One row for the texts, and per bucket one with their infrequent words."""
+        """Rows for the texts, and per bucket one with their infrequent words."""
         f, (hot, hot_count) = lm.value, hot_words.value
         h, starts = token_stream(texts)
         doc = np.repeat(np.arange(len(texts)), np.diff(np.append(starts, len(h))))
@@ -345,8 +355,8 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
         sums = [np.add.reduceat(x, starts) for x in (logs[at], np.log10(p), is_hot[at].astype(np.int64))]
         keys = [text_key(t) for t in texts]
         sizes = np.diff(np.append(starts, len(h)))
-        yield (int(seen[0] % np.uint64(buckets)), ids, keys, sizes.tolist(), sums[2].tolist(), sums[0].tolist(),
-               sums[1].tolist(), None, None, None)
+        for row in summary_rows(ids, keys, [x.tolist() for x in (sizes, sums[2], sums[0], sums[1])], buckets):
+            yield *row, None, None, None
         cold = np.flatnonzero(~is_hot[at])
         word_doc, times = np.unique(at[cold].astype(np.int64) * len(texts) + doc[cold], return_counts=True)
         words_at, docs_at = np.divmod(word_doc, max(1, len(texts)))
