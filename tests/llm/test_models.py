@@ -106,3 +106,19 @@ def test_summaries_of_shares_with_common_words_spread(monkeypatch):
         got[bucket] += len(ids)
     assert sorted(i for r in rows for i in r[1]) == list(range(50_000))
     assert len(got) == 16 and max(got.values()) < 2 * 50_000 / 16
+
+
+def test_scores_do_not_depend_on_the_size_of_the_filter(spark, monkeypatch):
+    texts = corpus.odd_texts()
+    d = corpus.frame(spark, texts + texts[:12], ids=[None, *range(1, len(texts)), None, *range(1, 12)])
+
+    def scores():
+        return sorted((-1 if g["doc_id"] is None else g["doc_id"], g["n_tokens"], g["n_known"], round(g["base_score"], 6),
+                       round(g["score"], 6)) for g in lm.score_documents(d).collect())
+
+    gathered = scores()
+    monkeypatch.setattr(lm, "MAX_FILTER_BYTES", 1)  # any filter is larger
+    assert scores() == gathered
+    held = spark.createDataFrame([(i, "a b") for i in range(60)], "doc_id long, text string").where(
+        F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+    assert all((g["n_known"], g["base_score"]) == (0, 0.0) for g in lm.score_documents(held).collect())

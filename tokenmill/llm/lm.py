@@ -5,9 +5,10 @@ count their own tokens first, and hashed n-grams with their counts meet in
 buckets whose number follows the size of the corpus. Each bucket then
 quantises its counts (level = 1 + floor(log_base count)) and enters every
 n-gram once per level, from 1 up to its own, into its slice of one Bloom
-filter. The slices are folded until the filter fits ``MAX_FILTER_BYTES``
-(folding keeps every member and raises the false-positive rate), gathered
-and broadcast. A count is read back by asking for level 1, 2, ... until a
+filter, at ``BITS_PER_ENTRY`` whatever its size. A filter of at most
+``MAX_FILTER_BYTES`` is gathered and broadcast; with a larger one, the
+n-grams of the texts go to the buckets that hold their slices and the counts
+come back by share of texts. The scores are the same. A count is read back by asking for level 1, 2, ... until a
 probe fails. The text's probability is the bigram frequency interpolated
 with the add-one unigram estimate, both from such probes.
 
@@ -24,6 +25,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -238,10 +240,12 @@ class LogFrequencyFilter:
 class LanguageModel:
     """Filter, exact counts by bucket (written), and the frequent words' counts."""
 
-    def __init__(self, spark, lm: LogFrequencyFilter, tokens: int, vocabulary: int, counts: DataFrame,
-                 hot: tuple[np.ndarray, np.ndarray], buckets: int):
+    def __init__(self, spark, lm: LogFrequencyFilter | None, slices: DataFrame, tokens: int, vocabulary: int,
+                 counts: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int):
         self.tokens, self.vocabulary, self.buckets, self.counts = tokens, vocabulary, buckets, counts
-        self.filter = spark.sparkContext.broadcast(lm)
+        self.slices = slices
+        # none: too large to be gathered
+        self.filter = None if lm is None else spark.sparkContext.broadcast(lm)
         self.hot = spark.sparkContext.broadcast(hot)
 
 
@@ -268,22 +272,13 @@ def train(docs: DataFrame, buckets: int) -> LanguageModel:
     zero = F.lit(0).cast("long")
     tokens, vocabulary, size = table.agg(*[F.coalesce(F.sum(x), zero) for x in (
         "tokens", "vocabulary", F.octet_length("bits"))]).first()
-    times = 0
-    while size >> times > MAX_FILTER_BYTES and times < FOLDS:
-        times += 1
-
-    def folded(batches):
-        for b in batches:
-            cols = b.to_pydict()
-            yield pa.RecordBatch.from_pydict({"bucket": cols["bucket"], "bits": pa.array(
-                [fold(x, times) for x in cols["bits"]], pa.binary())})
-
-    # at most MAX_FILTER_BYTES, by the folding above
-    slices = {r["bucket"]: bytes(r["bits"]) for r in table.select("bucket", "bits").mapInArrow(
-        folded, "bucket long, bits binary").toLocalIterator()}
-    lm = LogFrequencyFilter([slices.get(b, b"\0" * 8) for b in range(buckets)])
+    bits = table.select("bucket", "bits")
+    lm = None
+    if size <= MAX_FILTER_BYTES:
+        slices = {r["bucket"]: bytes(r["bits"]) for r in bits.toLocalIterator()}
+        lm = LogFrequencyFilter([slices.get(b, b"\0" * 8) for b in range(buckets)])
     counts = table.select("bucket", "hashes", "counts")
-    return LanguageModel(spark, lm, tokens, vocabulary, counts, frequent(table), buckets)
+    return LanguageModel(spark, lm, bits, tokens, vocabulary, counts, frequent(table), buckets)
 
 
 def frequent(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -325,20 +320,76 @@ def summary_rows(ids: list, keys: list[int], columns: list[list], buckets: int):
         yield name % buckets, ids[part], keys[part], *[c[part] for c in columns]
 
 
+def exchanged(docs: DataFrame, slices: DataFrame, buckets: int, fn, schema: str) -> DataFrame:
+    """Rows of ``fn(ids, texts, unigram counts, bigram counts)`` for shares of
+    the texts. The counts, of the share's distinct n-grams in order, are read
+    in the buckets that hold their slices."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    target = to_arrow_schema(_parse_datatype_string(schema))
+
+    def name(ids, texts):
+        yield uuid.uuid4().int >> 65, ids, texts
+
+    # written, so that a share keeps its name
+    shares = written(batches_of(docs.select("doc_id", "text"), name, f"share long, ids array<{kind}>, texts array<string>",
+                                TOKENS_PER_FLUSH // 2), "shares")
+
+    def ask(batches):
+        for b in batches:
+            for share, texts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                h, starts = token_stream(texts)
+                rows = []
+                for n, grams in ((1, h), (2, bigrams(h, starts))):
+                    seen = np.unique(grams)
+                    rows += [(g, share, n, seen[at].astype("<u8").tobytes())
+                             for g, at in by_bucket(bucket_of(n, seen, buckets))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                    zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["bucket", "share", "n", "grams"])
+
+    def probe(left: pa.Table, right: pa.Table) -> pa.Table:
+        bits = right.column("bits").to_pylist()
+        f = LogFrequencyFilter([bits[0] if bits else b"\0" * 8])
+        cols = left.select(["share", "n", "grams"]).to_pydict()
+        counts = [f.count(np.frombuffer(g, "<u8").astype(np.uint64), n).astype("<f8").tobytes()
+                  for g, n in zip(cols["grams"], cols["n"], strict=True)]
+        return pa.table({"share": pa.array(cols["share"], pa.int64()), "n": pa.array(cols["n"], pa.int32()),
+                         "grams": pa.array(cols["grams"], pa.binary()), "counts": pa.array(counts, pa.binary())})
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = {}
+        cols = right.to_pydict()
+        for n in (1, 2):
+            own = [i for i, x in enumerate(cols["n"]) if x == n]
+            grams = np.frombuffer(b"".join(cols["grams"][i] for i in own), "<u8")
+            found[n] = np.frombuffer(b"".join(cols["counts"][i] for i in own), "<f8")[np.argsort(grams)]
+        out = []
+        for ids, texts in zip(left.column("ids").to_pylist(), left.column("texts").to_pylist(), strict=True):
+            out += fn(ids, texts, found[1], found[2])
+        cols = list(zip(*out)) if out else [()] * len(target)
+        return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, target, strict=True)], schema=target)
+
+    asks = shares.select("share", "texts").mapInArrow(ask, "bucket long, share long, n int, grams binary")
+    counts = asks.groupBy("bucket").cogroup(slices.groupBy("bucket")).applyInArrow(
+        probe, "share long, n int, grams binary, counts binary")
+    return shares.groupBy("share").cogroup(counts.groupBy("share")).applyInArrow(answer, schema)
+
+
 def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) for every row of ``docs(doc_id, text)``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     lm, hot_words, buckets = model.filter, model.hot, model.buckets
     scale = float(model.tokens + model.vocabulary + 1)
 
-    def share(ids, texts):
+    def share(ids, texts, of_words=None, of_pairs=None):
         """Rows for the texts, and per bucket one with their infrequent words."""
-        f, (hot, hot_count) = lm.value, hot_words.value
+        hot, hot_count = hot_words.value
         h, starts = token_stream(texts)
         doc = np.repeat(np.arange(len(texts)), np.diff(np.append(starts, len(h))))
         seen, at = np.unique(h, return_inverse=True)
         pairs, pair_at = np.unique(bigrams(h, starts), return_inverse=True)
-        c1, c2 = f.count(seen, 1), f.count(pairs, 2)[pair_at]
+        if of_words is None:
+            of_words, of_pairs = lm.value.count(seen, 1), lm.value.count(pairs, 2)
+        c1, c2 = of_words, of_pairs[pair_at]
         end = c1[np.searchsorted(seen, END)]
         before = np.empty(len(h))
         before[1:] = c1[at][:-1]
@@ -366,9 +417,12 @@ def score(docs: DataFrame, model: LanguageModel) -> DataFrame:
                    seen[words_at[rows]].astype("<u8").tobytes(), local.astype("<u4").tobytes(),
                    times[rows].astype("<u4").tobytes())
 
-    asked = batches_of(docs.select("doc_id", "text"), share, (
-        f"bucket long, ids array<{kind}>, keys array<long>, n_tokens array<long>, known array<long>, "
-        "base array<double>, score array<double>, hashes binary, docs binary, times binary"), TOKENS_PER_FLUSH // 2)
+    rows = (f"bucket long, ids array<{kind}>, keys array<long>, n_tokens array<long>, known array<long>, "
+            "base array<double>, score array<double>, hashes binary, docs binary, times binary")
+    if lm is None:
+        asked = exchanged(docs, model.slices, buckets, share, rows)
+    else:
+        asked = batches_of(docs.select("doc_id", "text"), share, rows, TOKENS_PER_FLUSH // 2)
 
     def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         known_h = np.frombuffer(right["hashes"].iloc[0], "<u8") if len(right) else np.empty(0, "<u8")
