@@ -40,15 +40,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+SLICE_BYTES = 4 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows of at most ``limit`` bytes (a longer
+    row alone): Python objects are made of one run at a time."""
+    for b in batches:
+        todo = [b]
+        while todo:
+            part = todo.pop()
+            if part.num_rows > 1 and part.nbytes > limit:
+                half = part.num_rows // 2
+                todo += [part.slice(half), part.slice(0, half)]
+            else:
+                yield part
+
+
 def arrow_map(df: DataFrame, fn: Callable[..., tuple], schema: str) -> DataFrame:
-    """Map every Arrow batch: ``fn`` gets one Python list per column of
-    ``df`` and returns one sequence per column of ``schema`` (any number
-    of rows). Empty batches give empty output."""
+    """Map runs of rows (see ``slices``): ``fn`` gets one Python list per
+    column of ``df`` and returns one sequence per column of ``schema`` (any
+    number of rows). Empty runs give empty output."""
     st = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
     target = to_arrow_schema(st)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             cols = fn(*[c.to_pylist() for c in b.columns])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=f.type) for c, f in zip(cols, target, strict=True)], schema=target)
