@@ -273,15 +273,21 @@ def test_vectors_link_like_brute_force(spark):
         nulls).collect()) == [(0, 0, 0, False), (0, 1, 3, False), (3, 1, 3, True)]
 
 
-def test_vector_query_recall(spark):
-    rows = spark.read.parquet("/root/testdata/check_h/embeddings.parquet").orderBy("vec_id").limit(2500).collect()
-    d = spark.createDataFrame([(r["vec_id"], r["embedding"]) for r in rows], "vec_id long, embedding array<float>")
-    x = np.array([r["embedding"] for r in rows], float)
+def test_vector_recall_on_given_embeddings(spark):
+    """All vectors of a given table and planted groups at cosines on both sides of the threshold."""
+    given = np.array([r["embedding"] for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy(
+        "vec_id").collect()], float)
+    rng = np.random.default_rng(31)
+    group = np.repeat(given[:80], 8, axis=0)
+    far = rng.uniform(0.0, 0.4, (len(group), 1)) * np.linalg.norm(group, axis=1, keepdims=True)
+    noise = rng.standard_normal(group.shape)
+    x = np.concatenate([given, group + far * noise / np.linalg.norm(noise, axis=1, keepdims=True)])
+    d = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
     x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
     want = (x @ x.T >= 0.95).sum(axis=1) - 1
     got = {r["vec_id"]: r["n_links"] for r in neardup_vectors.link_vectors(d).collect()}
-    have = np.array([got[r["vec_id"]] for r in rows])
-    assert (have <= want).all() and have.sum() >= 0.98 * want.sum() > 0
+    have = np.array([got[i] for i in range(len(x))])
+    assert (have <= want).all() and have.sum() >= 0.98 * want.sum() > 1000
 
 
 @pytest.mark.parametrize("n", [2, 10**4, 10**9])
@@ -289,3 +295,21 @@ def test_table_plan_keeps_recall_at_the_threshold(n):
     k, tables = neardup_vectors.table_plan(n)
     p = neardup_vectors.collision(math.sqrt(0.1))
     assert 1 - (1 - p ** k) ** tables >= 0.99
+
+
+def test_pairs_that_only_meet_beside_a_pivot(spark):
+    """Sets that link with each other but not with the pivot of their lists, and
+    texts that share a passage with many others and link with a few of them."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(30):
+        base = corpus.words(rng, 100)
+        texts.append(" ".join(base[:60] + corpus.words(rng, 20)))  # shares segments with the next two
+        texts += [" ".join(base + corpus.words(rng, 6)) for _ in range(2)]
+    passage = corpus.words(rng, 40)
+    for _ in range(60):
+        own = corpus.words(rng, 30)
+        texts += [" ".join(own + passage), " ".join(passage + own[:rng.randrange(20, 30)])]
+    rng.shuffle(texts)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.link_documents(corpus.frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == corpus.linked([corpus.shingles(t) for t in texts])

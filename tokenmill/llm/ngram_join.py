@@ -19,11 +19,14 @@ not indexed, so one member still counts 1). Sets that are still short are compar
 each other block by block. A pair is lost only if both sides are short
 after all of that, which the block comparison rules out.
 
-Large groups are met by stars, never by all pairs: members are compared
-with the group's pivot, then with other pivots while some are not yet
-connected to it; tasks collapse their own part of a large group before the
-shuffle. Candidates whose sizes or parity sketches (a bit per member) rule a
-link out are dropped, the others are verified exactly on the whole sets.
+Groups are met by stars first: members are compared with the group's pivot.
+In small groups, the other pairs of different components are candidates if
+they agree in as many segments as linked sets of their kind must (a set has
+more non-empty segments than it needs, and all but H of them agree). Large
+groups get other pivots while some members are not yet connected; tasks
+collapse their own part of a large group before the shuffle. Candidates
+whose sizes or parity sketches (a bit per member) rule a link out are
+dropped, the others are verified exactly on the whole sets.
 
 Equal sets form one class from the start. Hashes are 64-bit; class ids are
 checked for collisions and drawn anew if there is one.
@@ -37,6 +40,7 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -56,7 +60,7 @@ SEGMENTS_PER_MEMBER, SPARE_SEGMENTS = 0.33, 8
 UNIT_SHINGLES, UNIT_DOCS = 800_000, 30_000  # a task's share that is held at once
 BYTES_PER_BUCKET = 20 << 20
 SEEN = 200_000  # classes a task remembers, to send copies once
-STAR_ROUNDS = 3
+STAR_ROUNDS, STAR_YIELD = 3, 0.01  # rounds of other pivots, while this share of their pairs is linked
 COMPARE_BLOCK = 256
 
 
@@ -155,10 +159,8 @@ def unit_rows(sids: list[int], sets: list[np.ndarray], buckets: int, pct: int):
         owner, seg, count, total = parts([sets[i] for i in members], bands)[:4]
         sig.append(signature(bands[owner], seg, count, total))
         who.append((members[owner] * 2 + role).astype(np.uint16))
-        full = np.bincount(owner, minlength=len(members))
-        short = members[full < needed(sizes[members], bands, pct)]
-        if len(short):
-            yield "short", -1, None, None, names[short].astype("<i8").tobytes(), bytes([role]) * len(short), None
+        slack = np.bincount(owner, minlength=len(members)) - needed(sizes[members], bands, pct)
+        yield "slack", -1, None, None, names[members].astype("<i8").tobytes(), (slack * 2 + role).astype("<i4").tobytes(), None
     sig, who = np.concatenate(sig), np.concatenate(who)
     order = np.argsort(sig)
     sig, who = sig[order], who[order]
@@ -209,16 +211,16 @@ def group_rows(pdf: pd.DataFrame):
     first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
     size = np.diff(np.append(first, len(sig)))
     is_hot = (size > LIST) | np.isin(sig[first], large)
-    lists = set()
+    lists: Counter[bytes] = Counter()
     for g in np.flatnonzero((size > 1) | is_hot):
         at = slice(first[g], first[g] + size[g])
         if is_hot[g]:
             yield "star", int(sig[first[g]].astype(np.int64)), int(sid[first[g]]), sid[at].astype("<i8").tobytes(), \
-                role[at].tobytes()
+                role[at].tobytes(), 1
         else:
-            lists.add(sid[at].astype("<i8").tobytes())
-    for x in sorted(lists):
-        yield "list", None, None, x, None
+            lists[sid[at].astype("<i8").tobytes()] += 1
+    for x, n in sorted(lists.items()):
+        yield "list", None, None, x, None, n
 
 
 def task_classes(batches, seed: int, width: int, keys: KeyFilter | None = None):
@@ -242,15 +244,16 @@ def task_classes(batches, seed: int, width: int, keys: KeyFilter | None = None):
             yield sids, sets
 
 
-_GROUPED = "kind string, sig long, pivot long, members binary, roles binary"
+_GROUPED = "kind string, sig long, pivot long, members binary, roles binary, n long"
 
 
 def group_signatures(docs: DataFrame, buckets: int, seed: int, pct: int, width: int) -> DataFrame:
     """Groups of sets that share a signature.
 
-    Rows ``kind, sig, pivot, members, roles``: a ``list`` holds up to
-    ``LIST`` class ids, a ``star`` the members of (one task's part of) a
-    larger group with its pivot, ``short`` sets with too few segments."""
+    Rows ``kind, sig, pivot, members, roles, n``: a ``list`` holds up to
+    ``LIST`` class ids that share ``n`` signatures, a ``star`` the members of
+    (one task's part of) a larger group with its pivot, ``slack`` how many
+    more segments than it needs each set has."""
     sent = "kind string, sig long, pivot long, bucket long, members binary, roles binary, sigs binary"
 
     def run(batches):
@@ -258,8 +261,8 @@ def group_signatures(docs: DataFrame, buckets: int, seed: int, pct: int, width:
 
         def flush():
             rows = list(unit_rows(sids, sets, buckets, pct)) if sids else []
-            # stars and short sets only pass through: any bucket will do
-            rows = [(k, s, p, (hash((s, i)) % buckets if b is None or k == "short" else b), m, r, x)
+            # stars and slacks only pass through: any bucket will do
+            rows = [(k, s, p, (hash((s, i)) % buckets if b is None else b), m, r, x)
                     for i, (k, s, p, b, m, r, x) in enumerate(rows)]
             cols = list(zip(*rows)) if rows else [()] * 7
             types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
@@ -277,9 +280,9 @@ def group_signatures(docs: DataFrame, buckets: int, seed: int, pct: int, width:
         yield flush()
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        through = pdf[pdf["kind"].isin(["star", "short"])]
-        rows = list(zip(*[through[c] for c in ("kind", "sig", "pivot", "members", "roles")])) + list(group_rows(pdf))
-        out = pd.DataFrame(rows, columns=["kind", "sig", "pivot", "members", "roles"])
+        through = pdf[pdf["kind"].isin(["star", "slack"])]
+        rows = [(*x, 1) for x in zip(*[through[c] for c in ("kind", "sig", "pivot", "members", "roles")])] + list(group_rows(pdf))
+        out = pd.DataFrame(rows, columns=["kind", "sig", "pivot", "members", "roles", "n"])
         return out.astype({"sig": "Int64", "pivot": "Int64"})
 
     return docs.select("ref", "text").mapInArrow(run, sent).groupBy("bucket").applyInPandas(merge, _GROUPED)
@@ -308,10 +311,11 @@ class Join:
         found = self.docs.select("ref", "text").mapInArrow(run, "sid long, shingles binary")
         return written(found.join(sids, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
 
-    def verify(self, pairs: DataFrame) -> None:
-        """Add the linked pairs among ``pairs(a, b)`` and renew the components."""
+    def verify(self, pairs: DataFrame) -> float:
+        """Add the linked pairs among ``pairs(a, b)`` and renew the components; the share that is linked."""
         pairs = written(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                         .distinct(), "pairs")
+        asked = pairs.count()
         pairs = self.plausible(pairs)
         sets = self.sets(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct())
         pct = self.pct
@@ -333,7 +337,7 @@ class Join:
             return sets.select(F.col("sid").alias(end), F.col("shingles").alias(f"set_{end}"))
 
         whole = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "set_a", "set_b")
-        self.add(arrow_map(whole, check, "a long, b long"))
+        return self.add(arrow_map(whole, check, "a long, b long")) / max(1, asked)
 
     def plausible(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose sizes and sketches do not rule a link out."""
@@ -351,10 +355,13 @@ class Join:
         known = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "x_a", "x_b", "n_a", "n_b")
         return written(arrow_map(known, check, "a long, b long"), "plausible")
 
-    def add(self, links: DataFrame) -> None:
+    def add(self, links: DataFrame) -> int:
         links = written(links, "links")
-        self.links = links if self.links is None else self.links.union(links)
-        self.roots = components(self.links)
+        n = links.count()
+        if n or self.links is None:
+            self.links = links if self.links is None else self.links.union(links)
+            self.roots = components(self.links)
+        return n
 
     def rooted(self, df: DataFrame, column: str, out: str) -> DataFrame:
         """``df`` with the component of the class in ``column``."""
@@ -362,19 +369,37 @@ class Join:
         return df.join(named, column, "left").withColumn(out, F.coalesce(out, column))
 
 
-def members_of(df: DataFrame) -> DataFrame:
-    """One row per member of the lists or stars in ``df``."""
+def members_of(stars: DataFrame) -> DataFrame:
+    """One row per member of the stars."""
     def run(sigs, pivots, members, its_roles):
+        out = [(s, p, i, x) for s, p, m, r in zip(sigs, pivots, members, its_roles, strict=True)
+               for i, x in zip(np.frombuffer(m, "<i8").tolist(), r, strict=True)]
+        return tuple(zip(*out)) if out else ((),) * 4
+
+    return arrow_map(stars.select("sig", "pivot", "members", "roles"), run, "sig long, pivot long, member long, role int")
+
+
+def list_members(lists: DataFrame) -> DataFrame:
+    """One row per member of the lists; the first is the pivot of the others."""
+    def run(members, counts):
         out = []
-        for s, p, m, r in zip(sigs, pivots, members, its_roles, strict=True):
-            ids = np.frombuffer(m, "<i8").tolist()
-            first = ids[0] if p is None else p
-            own = r if r is not None else bytes(len(ids))
-            label = xxhash.xxh3_64_intdigest(m) - (1 << 63) if s is None else s
-            out += [(label, first, i, x) for i, x in zip(ids, own, strict=True)]
+        for m, n in zip(members, counts, strict=True):
+            ids, label = np.frombuffer(m, "<i8").tolist(), xxhash.xxh3_64_intdigest(m) - (1 << 63)
+            out += [(label, ids[0], i, n) for i in ids]
         return tuple(zip(*out)) if out else ((),) * 4
 
-    return arrow_map(df.select("sig", "pivot", "members", "roles"), run, "sig long, pivot long, member long, role int")
+    return arrow_map(lists.select("members", "n"), run, "sig long, pivot long, member long, n long")
+
+
+def slacks(groups: DataFrame) -> DataFrame:
+    """(sid, role, slack): non-empty segments of a set less those it needs."""
+    def run(members, packed):
+        ids = np.concatenate([np.frombuffer(m, "<i8") for m in members] or [np.empty(0, np.int64)])
+        both = np.concatenate([np.frombuffer(x, "<i4") for x in packed] or [np.empty(0, np.int32)])
+        return ids, both & 1, both >> 1
+
+    return arrow_map(groups.where("kind = 'slack'").select("members", "roles"), run,
+                     "sid long, role int, slack int").distinct()
 
 
 def cross_pairs(groups: DataFrame) -> DataFrame:
@@ -387,16 +412,39 @@ def cross_pairs(groups: DataFrame) -> DataFrame:
     return arrow_map(groups.select("ids", "tops"), run, "a long, b long")
 
 
-def finish_lists(join: Join, lists: DataFrame) -> None:
+def agreeing_pairs(groups: DataFrame, pct: int) -> DataFrame:
+    """Pairs of the open lists that agree in as many segments as a linked
+    pair must. ``groups(pivot, n, each)``: ``each`` holds (member, top,
+    needs, size) of at most ``LIST`` members. Pairs with a pivot were decided
+    in its star, so all signatures of the others are counted here."""
+    def run(pivots, counts, each):
+        out = []
+        for p, n, members in zip(pivots, counts, each, strict=True):
+            rest = sorted((m["member"], m["top"], m["needs"], m["size"]) for m in members if m["member"] != p)
+            out += [(a, b, n, max(s, t)) for (a, x, s, k), (b, y, t, m) in combinations(rest, 2)
+                    if x != y and 100 * min(k, m) >= pct * max(k, m)]
+        return tuple(zip(*out)) if out else ((),) * 4
+
+    met = arrow_map(groups.select("pivot", "n", "each"), run, "a long, b long, n long, needs long")
+    return met.groupBy("a", "b").agg(F.sum("n").alias("met"), F.max("needs").alias("needs")).where("met >= needs").select("a", "b")
+
+
+def finish_lists(join: Join, lists: DataFrame, stars: DataFrame, slack: DataFrame) -> None:
     """Compare what a list's star left open: members of different components
-    (the star's own pairs were decided already)."""
+    (the star's own pairs were decided already).
+
+    Linked sets differ in fewer segments than they need, so they agree in at
+    least ``slack + 1`` non-empty ones; those in large groups are not in lists."""
+    hot = stars.groupBy(F.col("member").alias("sid"), "role").agg(F.count(F.lit(1)).alias("hot"))
+    needs = slack.join(hot, ["sid", "role"], "left").groupBy("sid").agg(
+        F.min(F.col("slack") + 1 - F.coalesce("hot", F.lit(0))).alias("needs"))
+    known = join.classes.select("sid", F.col("n").alias("size")).join(needs, "sid").withColumnRenamed("sid", "member")
     rest = lists.where(F.octet_length("members") > 16)  # two members: the star was the pair
-    each = join.rooted(members_of(rest), "member", "top")
-    open_ = each.groupBy("sig").agg(F.collect_list("member").alias("ids"), F.collect_list("top").alias("tops"),
-                                    F.first("pivot").alias("pivot"))
-    open_ = open_.where(F.size(F.array_distinct("tops")) > 1)
-    pairs = written(cross_pairs(open_), "open")
-    # pairs with the pivot were compared in the star
+    each = join.rooted(list_members(rest), "member", "top").join(known, "member")
+    open_ = each.groupBy("sig").agg(F.collect_list(F.struct("member", "top", "needs", "size")).alias("each"),
+                                    F.first("pivot").alias("pivot"), F.first("n").alias("n"))
+    open_ = open_.where(F.size(F.array_distinct(F.transform("each", lambda m: m["top"]))) > 1)
+    pairs = written(agreeing_pairs(open_, join.pct), "open")
     if not pairs.isEmpty():
         join.verify(pairs)
 
@@ -407,20 +455,24 @@ def open_stars(join: Join, stars: DataFrame) -> DataFrame:
     return both.join(both.where("top <> pivot_top").select("sig").distinct(), "sig", "left_semi")
 
 
-def finish_stars(join: Join, stars: DataFrame, short: DataFrame) -> None:
+def finish_stars(join: Join, stars: DataFrame, slack: DataFrame) -> None:
     """Give the sets of large open groups other pivots, then deletions, then each other."""
     for attempt in range(STAR_ROUNDS):
         left = written(open_stars(join, stars), "stars")
         if left.isEmpty():
             break
-        pivots = left.groupBy("sig").agg(
-            F.min_by(F.struct("member", "top"), F.xxhash64("sig", "member", F.lit(attempt))).alias("p"))
-        join.verify(left.join(pivots, "sig").where(F.col("top") != F.col("p.top"))
-                    .select(F.col("member").alias("a"), F.col("p.member").alias("b")))
-    left = open_stars(join, stars).select(F.col("member").alias("sid"), "role", "sig").distinct()
-    lost = written(left.groupBy("sid", "role").count().withColumnRenamed("count", "lost")
-                   .unionByName(short.select(F.col("member").alias("sid"), "role").distinct().withColumn("lost", F.lit(0).cast("long")))
-                   .groupBy("sid", "role").agg(F.max("lost").alias("lost")), "lost")
+        # a member of the group's largest component, in an order that all groups
+        # share: only sets outside that component are compared, mostly with the same pivots
+        order = F.struct(F.xxhash64("member", F.lit(attempt)), "member")
+        tops = left.groupBy("sig", "top").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
+        pivots = tops.groupBy("sig").agg(F.min(F.struct(-F.col("n"), "first", "top")).alias("p")).select(
+            "sig", F.col("p.first.member").alias("b"), F.col("p.top").alias("p_top"))
+        compared = left.join(pivots, "sig").where("top <> p_top").select(F.col("member").alias("a"), "b")
+        if join.verify(compared) < STAR_YIELD:
+            break
+    lost = open_stars(join, stars).groupBy(F.col("member").alias("sid"), "role").agg(F.countDistinct("sig").alias("lost"))
+    lost = written(slack.join(lost, ["sid", "role"], "left").withColumn("lost", F.coalesce("lost", F.lit(0).cast("long")))
+                   .where("slack < lost").select("sid", "role", "lost"), "lost")
     if lost.isEmpty():
         return
     still = deletion_round(join, lost)
@@ -533,13 +585,14 @@ def link_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         seed += 1
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     groups = written(group_signatures(docs, max(8, -(-size // BYTES_PER_BUCKET)), seed, pct, width), "groups")
-    lists = written(groups.where("kind = 'list'").dropDuplicates(["members"]), "lists")
+    lists = written(groups.where("kind = 'list'").groupBy("members").agg(F.sum("n").alias("n")), "lists")
     stars = written(members_of(groups.where("kind = 'star'")), "stars")
-    short = members_of(groups.where("kind = 'short'"))
+    slack = written(slacks(groups), "slack")
     join = Join(docs, classes, seed, pct, width)
-    join.verify(members_of(lists).union(stars).select(F.col("pivot").alias("a"), F.col("member").alias("b")))
-    finish_lists(join, lists)
-    finish_stars(join, stars, short)
+    own = ["pivot", "member"]
+    join.verify(list_members(lists).select(*own).union(stars.select(*own)).toDF("a", "b"))
+    finish_lists(join, lists, stars, slack)
+    finish_stars(join, stars, slack)
     known = join.rooted(classes.select("sid", "least"), "sid", "root")
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
     known = known.join(least, "root").select("sid", "component_id")
