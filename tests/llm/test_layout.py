@@ -106,7 +106,7 @@ def test_token_ids_equal_the_tokenizer_library(spark):
     tok = packing.text_tokenizer(default_tokenizer())
     texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(300).collect()]
     texts += ["a  b\n\n c \t d\x1ce ", " ", "tail  ", "<|endoftext|>", "a  <|endoftext|>  b", "don't we'LL 3.14", "\x85\xa0é你好\U0001f600"]
-    plain = tok.tok.encode_batch(texts, add_special_tokens=False)
+    plain = tok.library.encode_batch(texts, add_special_tokens=False)
     assert tok.fast is not None
     assert [tok.ids(t) for t in texts] == [np.asarray(e.ids, "<u4").tobytes() for e in plain]
 

@@ -7,6 +7,7 @@ definition of the contracts: A-Z lower-cased, split at ASCII white space.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -41,6 +42,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 SLICE_BYTES = 4 << 20
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give freed memory back at a task's end: a worker process lives on and
+    runs tasks of later stages beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -69,6 +79,8 @@ def arrow_map(df: DataFrame, fn: Callable[..., tuple], schema: str) -> DataFrame
             cols = fn(*[c.to_pylist() for c in b.columns])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, type=f.type) for c, f in zip(cols, target, strict=True)], schema=target)
+            del cols
+        release()
 
     return df.mapInArrow(run, st)
 

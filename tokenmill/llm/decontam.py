@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.llm.common import SHINGLE, SIMILARITY_PCT, arrow_map, shingle_lists, shingle_sets
+from tokenmill.llm.common import SHINGLE, SIMILARITY_PCT, arrow_map, release, shingle_lists, shingle_sets, slices
 
 PERMUTATIONS = 64
 BLOCK_BYTES = 16 << 20  # of item shingles sent to the workers at once
@@ -179,9 +179,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):
-            for b in batches:
+            for b in slices(batches):
                 hits = contained(b.column(at).to_pylist(), shared.value, pct, width)
                 yield b.filter(pa.array([not h for h in hits], pa.bool_()))
+            release()
 
         docs = docs.mapInArrow(run, schema)
     return docs

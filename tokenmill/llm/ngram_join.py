@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.llm.common import SHINGLE, SIMILARITY_PCT, arrow_map, mix, shingle_sets, written
+from tokenmill.llm.common import SHINGLE, SIMILARITY_PCT, arrow_map, mix, release, shingle_sets, written
 from tokenmill.llm.components import components
 from tokenmill.llm.idfilter import KeyFilter, without
 from tokenmill.llm.lm import by_bucket
@@ -61,6 +61,7 @@ UNIT_SHINGLES, UNIT_DOCS = 800_000, 30_000  # a task's share that is held at onc
 BYTES_PER_BUCKET = 20 << 20
 SEEN = 200_000  # classes a task remembers, to send copies once
 STAR_ROUNDS, STAR_YIELD = 3, 0.01  # rounds of other pivots, while this share of their pairs is linked
+STAR_ASKS = 4  # groups in which a set is compared with the pivot in a round
 COMPARE_BLOCK = 256
 
 
@@ -278,11 +279,14 @@ def group_signatures(docs: DataFrame, buckets: int, seed: int, pct: int, width:
                     yield flush()
                     sids, sets, total = [], [], 0
         yield flush()
+        sids, sets = [], []
+        release()
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         through = pdf[pdf["kind"].isin(["star", "slack"])]
         rows = [(*x, 1) for x in zip(*[through[c] for c in ("kind", "sig", "pivot", "members", "roles")])] + list(group_rows(pdf))
         out = pd.DataFrame(rows, columns=["kind", "sig", "pivot", "members", "roles", "n"])
+        release()
         return out.astype({"sig": "Int64", "pivot": "Int64"})
 
     return docs.select("ref", "text").mapInArrow(run, sent).groupBy("bucket").applyInPandas(merge, _GROUPED)
@@ -467,7 +471,12 @@ def finish_stars(join: Join, stars: DataFrame, slack: DataFrame) -> None:
         tops = left.groupBy("sig", "top").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
         pivots = tops.groupBy("sig").agg(F.min(F.struct(-F.col("n"), "first", "top")).alias("p")).select(
             "sig", F.col("p.first.member").alias("b"), F.col("p.top").alias("p_top"))
-        compared = left.join(pivots, "sig").where("top <> p_top").select(F.col("member").alias("a"), "b")
+        # a set asks in a few of its groups, in an order that near copies share; a round need not settle all
+        asks = left.groupBy("member", "top").agg(F.array_sort(F.collect_set(
+            F.struct(F.xxhash64("sig", F.lit(attempt)).alias("order"), "sig"))).alias("sigs"))
+        asks = asks.select("member", "top", F.explode(F.slice("sigs", 1, STAR_ASKS)).alias("ask"))
+        compared = (asks.select("member", "top", "ask.sig").join(pivots, "sig").where("top <> p_top")
+                    .select(F.col("member").alias("a"), "b"))
         if join.verify(compared) < STAR_YIELD:
             break
     lost = open_stars(join, stars).groupBy(F.col("member").alias("sid"), "role").agg(F.countDistinct("sig").alias("lost"))

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import bisect
 import json
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -51,18 +51,25 @@ class TextTokenizer:
     other file, and texts with special strings, by ``tokenizers`` itself."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.fast = self._ranked(path)
+        self.path = path
+        tok = self.library
+        self.special = [t.content for t in tok.get_added_tokens_decoder().values()]
+        self.fast = self._ranked(path, tok)
         if self.fast and any(self.fast.encode_ordinary(t) != self._plain(t) for t in _SAMPLE):
             self.fast = None
+        if self.fast:
+            del self.library  # loaded again where a text needs it
+
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
-    def _ranked(self, path: str):
+    def _ranked(self, path: str, tok):
         import tiktoken
 
-        spec = json.loads(self.tok.to_str())
+        spec = json.loads(tok.to_str())
         cutter = spec["pre_tokenizer"] or {}
         if (spec["model"]["type"] != "BPE" or spec["normalizer"] or cutter.get("type") != "ByteLevel"
                 or cutter.get("add_prefix_space") or not cutter.get("use_regex", True) or spec["model"].get("ignore_merges")):
@@ -76,7 +83,7 @@ class TextTokenizer:
         return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def _plain(self, text: str) -> list[int]:
-        return self.tok.encode(text, add_special_tokens=False).ids
+        return self.library.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids of the text."""

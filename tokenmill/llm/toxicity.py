@@ -21,14 +21,16 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.llm.common import arrow_map, held_out, written
+from tokenmill.llm.common import arrow_map, held_out, release, written
 
 MAX_TRAIN = 20_000
 LEXICON = 1_000
@@ -159,8 +161,10 @@ class ToxicityModel:
         lexicon = self.lexicon
 
         @F.pandas_udf("array<double>")
-        def dense(texts):
-            return texts.map(lambda t: features(t, lexicon))
+        def dense(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in parts:
+                yield texts.map(lambda t: features(t, lexicon))
+            release()
 
         # own columns ride in one struct beside the row, so no name can clash
         rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), dense(F.col(text_col)).alias("features"))
