@@ -63,6 +63,7 @@ def load_all() -> None:
     from tokenmill.plans import (  # noqa: F401
         q_functions,
         q_metrics,
+        q_ranges,
         q_records,
         q_retrieval,
         q_rewards,
