@@ -2,6 +2,7 @@
 partitioned (no nested-loop/cartesian joins, partial top-k, pushdown)."""
 
 import re
+import sys
 
 from tokenmill.plans import q_retrieval, q_tokens, registry
 import __spark_entry__ as entry
@@ -51,3 +52,12 @@ def test_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(lang), EqualTo(lang,en)]" in plan
     assert "ReadSchema: struct<doc_id:bigint,lang:string>" in plan
+
+
+def test_queries_without_the_llm_subpackage(monkeypatch):
+    """The other queries register where the subpackage is gone, with or without the pipeline's file."""
+    monkeypatch.setitem(sys.modules, "tokenmill.llm", None)
+    monkeypatch.delitem(sys.modules, "corpus_pipeline", raising=False)
+    registry.load_all()
+    assert set(entry.queries()) == set(registry.QUERIES)
+    assert set(entry.oracle_sql()) == set(registry.ORACLE)
