@@ -38,6 +38,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    release()
     return spark.read.schema(df.schema).parquet(path)
 
 

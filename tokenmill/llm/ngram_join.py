@@ -297,7 +297,6 @@ class Join:
 
     def __init__(self, docs: DataFrame, classes: DataFrame, seed: int, pct: int, width: int):
         self.docs, self.classes, self.seed, self.pct, self.width = docs, classes, seed, pct, width
-        self.links: DataFrame | None = None
         self.roots: DataFrame | None = None
 
     def sets(self, sids: DataFrame) -> DataFrame:
@@ -313,7 +312,9 @@ class Join:
                     [s.tobytes() for s in sets], pa.binary())})
 
         found = self.docs.select("ref", "text").mapInArrow(run, "sid long, shingles binary")
-        return written(found.join(sids, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
+        made = written(found.join(sids, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
+        keys.destroy()  # the table is there; nothing runs this again
+        return made
 
     def verify(self, pairs: DataFrame) -> float:
         """Add the linked pairs among ``pairs(a, b)`` and renew the components; the share that is linked."""
@@ -362,9 +363,14 @@ class Join:
     def add(self, links: DataFrame) -> int:
         links = written(links, "links")
         n = links.count()
-        if n or self.links is None:
-            self.links = links if self.links is None else self.links.union(links)
-            self.roots = components(self.links)
+        if self.roots is None:
+            self.roots = components(links)
+        elif n:
+            # only the components that the new links touch change
+            met = components(self.rooted(self.rooted(links, "a", "x"), "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b")))
+            to = met.select(F.col("node").alias("root"), F.col("root").alias("_to"))
+            known = self.roots.join(to, "root", "left").select("node", F.coalesce("_to", "root").alias("root"))
+            self.roots = written(known.union(met.join(self.roots, "node", "left_anti").select("node", "root")), "roots")
         return n
 
     def rooted(self, df: DataFrame, column: str, out: str) -> DataFrame:
