@@ -137,8 +137,9 @@ def link_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         once = a < b if i == j else np.ones(len(a), bool)
         a, b = a[once], b[once]
         first = ~(marks[a, :table] == marks[b, :table]).any(axis=1) if table else np.ones(len(a), bool)
-        np.add.at(links, a[first], n[b[first]])
-        np.add.at(links, b[first], n[a[first]])
+        a, b = a[first], b[first]  # the others were counted and joined in an earlier table
+        np.add.at(links, a, n[b])
+        np.add.at(links, b, n[a])
         for p, q in zip(a.tolist(), b.tolist(), strict=True):
             p, q = find(p), find(q)
             if p != q:
