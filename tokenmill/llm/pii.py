@@ -7,10 +7,12 @@ Feistel network over the value's own domain (digit strings of that
 length, days of the calendar range, 32-bit addresses), with cycle walking
 where a domain is not a square or a result would be invalid. So equal
 values get equal pseudonyms in every document, different values stay
-different, and the holder of the key can undo it. Where digits or capitals
-stand next to a value, a replacement that would read as another number
-together with them is walked on (it then differs from that of the same
-value elsewhere, for the text could not be undone otherwise).
+different, and the holder of the key can undo it. Which numbers a text
+holds depends on what stands next to them, so a pseudonym followed by other
+digits may read as another number. Every replaced text is therefore read
+back at once; where that does not give the original, its values are put
+between marks (``MARK``, the kind's number, the value, ``MARK``), and marked
+places are undone as they stand. A ``MARK`` of the original is doubled.
 
 Separators, letter case and date layout of the original are kept. Mail
 addresses are permuted by the same network over their local part (letters
@@ -144,9 +146,9 @@ def valid_phone(s: str) -> bool:
 
 def swap_phone(s: str, key: bytes, undo: bool) -> str:
     d = "".join(_DIGIT.findall(s))
-    # the country code (or, without one, nothing) is kept
+    # the country code (or, without one, nothing) is kept; +1 may be left out, so it makes no other number
     keep = len(d) - 10 if s.startswith("+1") else 2 if s.startswith("+") else 0
-    return _fill(s, d[:keep] + _digits(d[keep:], key, "phone" + d[:keep], undo))
+    return _fill(s, d[:keep] + _digits(d[keep:], key, "phone" + ("" if s.startswith("+1") else d[:keep]), undo))
 
 
 def valid_ipv4(s: str) -> bool:
@@ -289,53 +291,48 @@ def pseudonym(kind: str, value: str, key: bytes, undo: bool = False) -> str:
     return _SWAP[kind](value, key, undo)
 
 
-_REACH = 100  # characters; longer than any card or IBAN candidate
-_BEFORE, _AFTER = re.compile(r"[A-Z0-9][ -]\Z"), re.compile(r"[ -][A-Z0-9]")
+MARK = "\ue000"
+_MARKED = re.compile(f"{MARK}{MARK}|{MARK}([0-9])([^{MARK}]*){MARK}")
 
 
-def _numbers(left: str, value: str, right: str) -> list[tuple[str, int, int]]:
-    """Cards and IBANs of ``left + value + right`` but those within the value, which it hides;
-    places behind ``left`` count from the end."""
-    text, n, end = left + value + right, len(left), len(left) + len(value)
-    return [(kind, s if s <= n else s - len(text), e if e <= n else e - len(text))
-            for kind, pattern, valid, _ in _RULES[:2] for s, e in _accepted(kind, pattern, valid, text)
-            if s <= n or e > end]
+def swaps(text: str, key: bytes, undo: bool = False) -> list[tuple[str, int, int, str]]:
+    """(kind, start, end, replacement) of the values found in a text; a replacement depends on
+    kind and value alone."""
+    return [(kind, s, e, pseudonym(kind, text[s:e], key, undo)) for kind, s, e in find_pii(text)]
 
 
-def swaps(text: str, key: bytes, undo: bool = False) -> list[tuple[str, int, int, str]]:
-    """(kind, start, end, replacement) of all values. A value next to other digits or capitals is
-    walked on until the same numbers are found around it, from the first to the last value (and
-    back from the last to the first), so that the replaced text can be undone."""
-    spans = find_pii(text)
-    out, side = [], ""  # side: what was replaced so far
-    bounds = [0, *[e for _, _, e in spans], len(text)]
-    for i in range(len(spans) - 1, -1, -1) if undo else range(len(spans)):
-        kind, s, e = spans[i]
-        value = text[s:e]
-        new = pseudonym(kind, value, key, undo)
-        if undo:
-            left, right = text[max(0, s - _REACH):s], text[e:(spans[i + 1][1] if i + 1 < len(spans) else len(text))] + side
-        else:
-            left, right = side + text[bounds[i]:s], text[e:e + _REACH]
-        left, right = left[-_REACH:], right[:_REACH]
-        if _BEFORE.search(left) or _AFTER.match(right):
-            want = _numbers(left, value, right)
-            while _numbers(left, new, right) != want:
-                new = pseudonym(kind, new, key, undo)
-        side = new + right if undo else left + new
-        out.append((kind, s, e, new))
-    return out[::-1] if undo else out
+def _joined(text: str, found: list[tuple[str, int, int, str]], show, gap) -> str:
+    """``text`` with its values shown by ``show(kind, replacement)`` and what lies between by ``gap``."""
+    out, at = [], 0
+    for kind, s, e, new in found:
+        out += [gap(text[at:s]), show(kind, new)]
+        at = e
+    return "".join([*out, gap(text[at:])])
+
+
+def _hidden(text: str, found: list[tuple[str, int, int, str]], key: bytes) -> str:
+    """``text`` with the values found in it replaced, marked where it would not read back."""
+    def gap(t):
+        return t.replace(MARK, MARK * 2)
+
+    new = _joined(text, found, lambda kind, p: p, gap)
+    if not found or _restored(new, key) == text:
+        return new
+    return _joined(text, found, lambda kind, p: f"{MARK}{KINDS.index(kind)}{p}{MARK}", gap)
+
+
+def _restored(text: str, key: bytes) -> str:
+    """The original of a replaced text."""
+    if any(m.group(1) for m in _MARKED.finditer(text)):
+        return _MARKED.sub(lambda m: pseudonym(KINDS[int(m.group(1))], m.group(2), key, True) if m.group(1) else MARK, text)
+    return _joined(text, swaps(text, key, True), lambda kind, p: p, lambda t: t.replace(MARK * 2, MARK))
 
 
 def replace_pii(text: str | None, key: bytes, undo: bool = False) -> str | None:
-    found = swaps(text, key, undo) if text else []
-    if not found:
+    """The text with its values replaced or, with ``undo``, the original of such a text."""
+    if not text:
         return text
-    out, at = [], 0
-    for _, s, e, new in found:
-        out += [text[at:s], new]
-        at = e
-    return "".join([*out, text[at:]])
+    return _restored(text, key) if undo else _hidden(text, swaps(text, key), key)
 
 
 def scan_pii(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -350,11 +347,7 @@ def scan_pii(df: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str =
         for t in texts:
             found = swaps(t, key) if t else []
             spans.append([{"kind": k, "start": s, "end": e, "pseudonym": p} for k, s, e, p in found])
-            parts, at = [], 0
-            for _, s, e, p in found:
-                parts += [t[at:s], p]
-                at = e
-            new.append("".join([*parts, t[at:]]) if found else t)
+            new.append(_hidden(t, found, key) if t else t)
         return ids, spans, new
 
     return arrow_map(cols, run, f"doc_id {id_type}, spans array<struct<kind string, start long, end long, "
