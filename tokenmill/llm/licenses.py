@@ -51,7 +51,7 @@ TEMPLATES = {
     "mpl-notice": (
         "MPL-2.0",
         "this source code form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
-        "was not distributed with this file, you can obtain one at"),
+        "was not distributed with this file, you can obtain one at [[http]] [[https]] [[www]] mozilla.org/MPL/2.0/"),
     "mit-text": (
         "MIT",
         "permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -66,20 +66,52 @@ TEMPLATES = {
         "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE"),
     "isc-text": (
         "ISC",
-        "permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+        "permission to use, copy, modify, [[and]] [[and/or]] distribute this software for any purpose with or without fee "
+        "is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND {{holders:8}} DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL {{holders:8}} BE LIABLE FOR "
+        "ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, "
+        "DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE"),
     "bsd-text": (
         "BSD",
         "redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met: [[1.]] redistributions of source code must retain the above "
-        "copyright notice, this list of conditions and the following disclaimer [[.]] [[2.]] redistributions in "
+        "copyright notice, this list of conditions and the following disclaimer. [[2.]] redistributions in "
         "binary form must reproduce the above copyright notice, this list of conditions and the following "
-        "disclaimer in the documentation and/or other materials provided with the distribution"),
-    "unlicense-text": ("Unlicense", "this is free and unencumbered software released into the public domain"),
+        "disclaimer in the documentation and/or other materials provided with the distribution. "
+        "[[ [[3.]] neither the name of {{holder:12}} nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission. ]] "
+        "THIS SOFTWARE IS PROVIDED BY {{holders:12}} \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+        "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO "
+        "EVENT SHALL {{holders:12}} BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+        "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR "
+        "PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+        "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN "
+        "IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"),
+    "unlicense-text": (
+        "Unlicense",
+        "this is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+        "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+        "purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the "
+        "author or authors of this software dedicate any and all copyright interest in the software to the public domain. "
+        "We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. "
+        "We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to "
+        "this software under copyright law. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR "
+        "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+        "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR "
+        "OTHER DEALINGS IN THE SOFTWARE"),
     "zlib-text": (
         "Zlib",
         "this software is provided as-is, without any express or implied warranty. In no event will the authors be "
-        "held liable for any damages arising from the use of this software"),
+        "held liable for any damages arising from the use of this software. Permission is granted to anyone to use this "
+        "software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject "
+        "to the following restrictions: [[1.]] the origin of this software must not be misrepresented; you must not claim "
+        "that you wrote the original software. If you use this software in a product, an [[acknowledgment]] "
+        "[[acknowledgement]] in the product documentation would be appreciated but is not required. [[2.]] altered source "
+        "versions must be plainly marked as such, and must not be misrepresented as being the original software. [[3.]] "
+        "this notice may not be removed or altered from any source distribution"),
     "cc-by-nc-sa": ("CC-BY-NC-SA", "CC BY NC SA [[{{version:2}}]]"),
     "cc-by-nc": ("CC-BY-NC", "licensed under [[a]] [[the]] CC BY NC [[{{version:2}}]]"),
     "cc-by-sa": ("CC-BY-SA", "licensed under [[a]] [[the]] CC BY SA [[{{version:2}}]]"),
@@ -166,7 +198,6 @@ AUTOMATA = {name: (label, Automaton(markup)) for name, (label, markup) in TEMPLA
 _RARE = ("hereby", "redistribution", "redistribute", "unencumbered", "warranty", "spdx", "mozilla", "cc0", "creative",
          "apache", "mit", "lesser", "affero", "general", "cc", "license")
 _ANCHOR = {name: next(r.encode() for r in _RARE if r.encode() in a.required) for name, (_, a) in AUTOMATA.items()}
-_PHRASE_BYTES = (b"license", b"licen", *{a for a in _ANCHOR.values()})
 
 
 def scan(text: str | None) -> tuple[int, list[tuple[int, str]], list[tuple[str, str, int, int]]]:
