@@ -9,6 +9,8 @@ import re
 import zlib
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.llm import corpus
@@ -269,3 +271,120 @@ def test_keys_in_other_layouts_are_found(kind, blob):
     bad[1 if blob[0] == 0x30 else 18] ^= 1
     text = base64.b64encode(bytes(bad)).decode() + "\nThe next line"
     assert kind not in {s[0] for s in secrets.find_spans(text)}
+
+
+def surroundings(rng: random.Random):
+    """Fifty places for a value: other numbers, capitals, marks and words next to it."""
+    near = [str(rng.randrange(10 ** n)).zfill(n) for n in (1, 2, 3, 4, 3, 3)] + ["EUR 50", "12/25", "é,", pii.MARK, "X", "(", "a."]
+    return [(a, b) for a in ("", "x ", f"{rng.randrange(100)} ", "é(", f"{pii.MARK} ") for b in near[:10]]
+
+
+def test_one_value_has_one_pseudonym_in_every_text():
+    rng = random.Random(21)
+    checked = 0
+    for _ in range(60):
+        body = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        card = body + str(pii.luhn(body))
+        for value in (card, " ".join(card[i:i + 4] for i in range(0, 16, 4)), "DE89 3704 0044 0532 0130 00"):
+            kind = "iban" if value[0] == "D" else "card"
+            alone = pii.pseudonym(kind, value, b"key")
+            for before, after in surroundings(rng):
+                text = f"{before}{value} {after}"
+                for k, s, e, new in pii.swaps(text, b"key"):
+                    if text[s:e] == value:
+                        assert (k, new) == (kind, alone), text
+                        checked += 1
+                hidden = pii.replace_pii(text, b"key")
+                assert pii.replace_pii(hidden, b"key", undo=True) == text, text
+                if value in {text[s:e] for _, s, e in pii.find_pii(text)}:
+                    assert alone in hidden and value not in hidden
+    assert checked > 6000
+
+
+def test_phones_with_and_without_the_country_code_stay_linked():
+    digits = lambda s: re.sub(r"\D", "", s)
+    a, b = (pii.pseudonym("phone", v, b"key") for v in ("+1 415-555-0134", "415-555-0134"))
+    assert digits(a) == "1" + digits(b) and digits(b) != "4155550134"
+    assert pii.pseudonym("phone", a, b"key", undo=True) == "+1 415-555-0134"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from([pii.MARK, pii.MARK * 2, "4111 1111 1111 1111", "4111111111111111", "a.4@x.org", "1.2.3.4",
+                                 "415 555 0134", "+49 30 1234567", "2001-02-28", "123-45-6789", "GB82 WEST 1234 5698 7654 32",
+                                 "7", "00", "123", " ", "-", ".", "X", "é", "0"]), max_size=9))
+def test_any_text_can_be_undone(bits):
+    text = "".join(bits)
+    assert pii.replace_pii(pii.replace_pii(text, b"key"), b"key", undo=True) == text
+
+
+def template_pattern(markup: str) -> re.Pattern:
+    """Brute force: the template as one backtracking expression over words that end in a blank."""
+    out = ""
+    for part in re.split(r"(\[\[|\]\]|\{\{[^}]*\}\})", markup):
+        if part == "[[":
+            out += "(?:"
+        elif part == "]]":
+            out += ")?"
+        elif part.startswith("{{"):
+            out += rf"(?:\S+ ){{0,{int(part[2:-2].partition(':')[2] or 12)}}}"
+        else:
+            out += "".join(re.escape(w.decode()) + " " for w in licenses.license_words(part))
+    return re.compile(r"(?<!\S)" + out)
+
+
+def wording(markup: str, rng: random.Random) -> list[tuple[str, bool]]:
+    """(word, whether it is mandatory) of one text that the template stands for."""
+    out, depth, shown = [], 0, True
+    for part in re.split(r"(\[\[|\]\]|\{\{[^}]*\}\})", markup):
+        if part == "[[":
+            depth += 1
+            shown = shown and rng.random() < 0.5
+        elif part == "]]":
+            depth -= 1
+            shown = shown if depth else True
+        elif shown and part.startswith("{{"):
+            out += [(f"holder{i}", False) for i in range(rng.randrange(int(part[2:-2].partition(":")[2] or 12) + 1))]
+        elif shown:
+            out += [(w.decode(), not depth) for w in licenses.license_words(part)]
+    return out
+
+
+@pytest.mark.parametrize("name", sorted(licenses.TEMPLATES))
+def test_each_mandatory_word_of_a_template_counts(name):
+    """A text made from the template is accepted, and no longer when one mandatory word is changed or gone,
+    or when a word is put between two mandatory ones; all as the brute-force expression says."""
+    markup, rng = licenses.TEMPLATES[name][1], random.Random(name)
+    pattern = template_pattern(markup)
+
+    def found(ws):
+        text = " ".join(["before", *ws, "after"])
+        got = name in {t for _, t, _, _ in licenses.scan(text)[2]}
+        assert got == (pattern.search(text + " ") is not None), text
+        return got
+
+    for _ in range(3):
+        ws = wording(markup, rng)
+        assert found([w for w, _ in ws])
+    plain = [w for w, _ in ws]
+    for i, (_, mandatory) in enumerate(ws):
+        changed = found([*plain[:i], "zebra", *plain[i + 1:]])
+        gone = found(plain[:i] + plain[i + 1:])
+        if mandatory and len(ws) > 12 and "{{" not in markup and "[[" not in markup:
+            assert not changed and not gone
+        if mandatory and i and ws[i - 1][1]:
+            found([*plain[:i], "except", "on", "mondays", *plain[i:]])
+
+
+def test_full_texts_are_needed():
+    isc = licenses.TEMPLATES["isc-text"][1].replace("[[and]]", "").replace("[[and/or]]", "and/or").replace("{{holders:8}}", "ACME")
+    assert "ISC" in {m[0] for m in licenses.scan(isc)[2]}
+    cut = isc.index("THE SOFTWARE IS")
+    for text in (isc[:cut], isc[:cut] + "EXCEPT on Mondays. " + isc[cut:], isc.replace("NEGLIGENCE", "MISCHANCE")):
+        assert not licenses.scan(text)[2]
+    for name in ("bsd-text", "zlib-text", "unlicense-text", "mit-text", "isc-text", "apache-notice", "gpl-notice"):
+        markup = licenses.TEMPLATES[name][1]
+        words = [w.decode() for w in licenses.AUTOMATA[name][1].required]
+        full = [w for w, _ in wording(markup, random.Random(1))]
+        for i, w in enumerate(full):
+            if w in words and full.count(w) == words.count(w):  # a mandatory word at each of its places
+                assert name not in {m[1] for m in licenses.scan(" ".join([*full[:i], "zebra", *full[i + 1:]]))[2]}, (name, i)

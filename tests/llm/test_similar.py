@@ -313,3 +313,22 @@ def test_pairs_that_only_meet_beside_a_pivot(spark):
     rng.shuffle(texts)
     got = {r["doc_id"]: r["component_id"] for r in ngram_join.link_documents(corpus.frame(spark, texts)).collect()}
     assert [got[i] for i in range(len(texts))] == corpus.linked([corpus.shingles(t) for t in texts])
+
+
+def test_items_of_equal_sets_are_searched_once(spark, monkeypatch):
+    """A third of the items are one text; many small blocks give the same rows as one."""
+    rng = random.Random(40)
+    passages = [" ".join(corpus.words(rng, 20)) for _ in range(40)]
+    items = [(i, passages[0] if i % 3 == 0 else passages[i % 40]) for i in range(300)] + [(None, passages[0]), (301, None), (302, "")]
+    texts = [" ".join([*corpus.words(rng, 200), p, *corpus.words(rng, 50)]) for p in passages[:12]] + corpus.odd_texts()
+    want = sorted(((d, i if i is not None else -1) for d, i, _, _ in contained_model(texts, items)))
+    frame = spark.createDataFrame(items, "item_id int, text string")
+    sets = decontam.item_sets(frame, "item_id", "text", 5)
+    assert sum(len(b.ids) for b in decontam.item_blocks(sets)) == sets.select("set_key").distinct().count() <= 40
+    for size in (decontam.BLOCK_BYTES, 1000):
+        monkeypatch.setattr(decontam, "BLOCK_BYTES", size)
+        got = decontam.find_contained(corpus.frame(spark, texts), frame).collect()
+        assert sorted((r["doc_id"], r["item_id"] if r["item_id"] is not None else -1) for r in got) == want
+    assert {d for d, _ in want} >= set(range(12))
+    kept = decontam.decontaminate(corpus.frame(spark, texts), frame)
+    assert {r["doc_id"] for r in kept.collect()} == set(range(len(texts))) - {d for d, _ in want}

@@ -10,8 +10,9 @@ windows are minima of smaller ones. A candidate is kept when the whole
 document holds at least ``pct`` percent of the item's distinct shingles,
 checked exactly.
 
-Items go to the workers in blocks of bounded size, and every block meets
-all documents; documents are never shuffled. An item or document of fewer
+Distinct item sets go to the workers in blocks of bounded size, and every
+block meets all documents; documents are never shuffled. The ids of items
+with equal sets are joined to the hits afterwards. An item or document of fewer
 words than a shingle is one shingle of all its words. Edge cases: null and
 empty texts hold nothing and are held by nothing; repeated rows give
 repeated results; items without an id are reported with a null id; an
@@ -129,8 +130,8 @@ def contained(texts: list[str | None], index: ItemIndex, pct: int, width: int) -
     return out
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, width: int):
-    """Indexes of all items with words, in blocks of bounded size."""
+def item_sets(items: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(item_id, set_key, shingles) of the items with words; equal sets have equal keys."""
     cols = items.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"))
     kind = cols.schema["item_id"].dataType.simpleString()
 
@@ -138,11 +139,17 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, width: int):
         sets = shingle_sets(texts, width)
         return ids, [s.tobytes() for s in sets]
 
-    sets = arrow_map(cols, run, f"item_id {kind}, shingles binary").where(F.octet_length("shingles") > 0)
-    size = sets.agg(F.coalesce(F.sum(F.octet_length("shingles")), F.lit(0))).first()[0]
+    return (arrow_map(cols, run, f"item_id {kind}, shingles binary").where(F.octet_length("shingles") > 0)
+            .withColumn("set_key", F.sha2("shingles", 256)))
+
+
+def item_blocks(sets: DataFrame):
+    """Indexes of the distinct sets, in blocks of bounded size (an item of many copies is there once)."""
+    once = sets.groupBy("set_key").agg(F.any_value("shingles").alias("shingles"))
+    size = once.agg(F.coalesce(F.sum(F.octet_length("shingles")), F.lit(0))).first()[0]
     blocks = -(-size // BLOCK_BYTES)
     for b in range(blocks):
-        part = sets if blocks == 1 else sets.where(F.pmod(F.xxhash64("shingles"), F.lit(blocks)) == b)
+        part = once if blocks == 1 else once.where(F.pmod(F.xxhash64("set_key"), F.lit(blocks)) == b)
         rows = part.collect()  # about BLOCK_BYTES
         yield ItemIndex.build([r[0] for r in rows], [np.frombuffer(r[1], np.uint64) for r in rows])
 
@@ -154,9 +161,10 @@ def find_contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     holds to at least ``pct`` percent of the item's distinct shingles."""
     cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kinds = (cols.schema["doc_id"].dataType.simpleString(), items.schema[item_id].dataType.simpleString())
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, n_item long, n_shared long"
+    sets = item_sets(items, item_id, item_text, width)
+    schema = f"doc_id {kinds[0]}, set_key string, n_item long, n_shared long"
     found = None
-    for index in item_blocks(items, item_id, item_text, width):
+    for index in item_blocks(sets):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(ids, texts, shared=shared):
@@ -167,7 +175,10 @@ def find_contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
 
         part = arrow_map(cols, run, schema)
         found = part if found is None else found.unionByName(part)
-    return docs.sparkSession.createDataFrame([], schema) if found is None else found
+    if found is None:
+        return docs.sparkSession.createDataFrame([], f"doc_id {kinds[0]}, item_id {kinds[1]}, n_item long, n_shared long")
+    return (found.join(sets.select("item_id", "set_key").hint("merge"), "set_key")
+            .select("doc_id", "item_id", "n_item", "n_shared"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
@@ -175,7 +186,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     """``docs`` (all columns) without the documents that hold a test item."""
     at = docs.columns.index(text_col)
     schema = docs.schema
-    for index in item_blocks(items, item_id, item_text, width):
+    for index in item_blocks(item_sets(items, item_id, item_text, width)):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):
