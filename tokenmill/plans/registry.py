@@ -69,6 +69,7 @@ def load_all() -> None:
         q_rewards,
         q_runs,
         q_sample,
+        q_sets,
         q_streams,
         q_tokens,
     )
