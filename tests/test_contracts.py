@@ -1,6 +1,7 @@
 """Contracts that hold at any size: no caps, no lost rows, one order, one result per path."""
 
 import random
+import re
 from fractions import Fraction
 
 import pytest
@@ -79,6 +80,25 @@ def test_any_number_of_patterns(spark):
     assert sorted(r[0] for r in R.match_any_pattern(d, pats, "name").collect()) == ["layer.17.w", "p2500"]
 
 
+def test_a_long_list_of_patterns_is_matched_in_blocks(spark):
+    """Beyond the bound on rules or bytes: the rows of the other path, a third of them one value."""
+    names = ["hot" if i % 3 == 0 else f"layer.{i % 50}.w" if i % 3 == 1 else ["", None, "p7x", "x\ny", "(z"][i % 5] for i in range(600)]
+    d = spark.createDataFrame([(i, n, "x", 1) for i, n in enumerate(names)], "id int, name string, _v string, _block int")
+    rules = [f"p{i}$" for i in range(400)] + ["layer\\.1\\d", "ho", "ho", "\\(z", "x$", None]
+    for more in ([], [""]):
+        pats = spark.createDataFrame([(r,) for r in rules + more], "entry string")
+        want = sorted(r[0] for r in R.match_any_pattern(d, pats, "name").select("id").collect())
+        kept = [i for i, n in enumerate(names) if n is not None and any(
+            re.match(r.replace("$", r"(?=\n?\Z)"), n) for r in rules + more if r is not None)]
+        assert want == kept and len(kept) > 200
+        for limits in ({"max_patterns": 20}, {"max_bytes": 100}):
+            out = R.match_any_pattern(d, pats, "name", block=30, buckets=5, **limits)
+            assert out.columns == d.columns and sorted(r["id"] for r in out.collect()) == want
+    none = spark.createDataFrame([(None,)] * 30, "entry string")
+    assert R.match_any_pattern(d, none, "name", max_patterns=3).count() == 0
+    assert R.match_any_pattern(d.limit(0), pats, "name", max_patterns=3).count() == 0
+
+
 def test_null_groups_and_repeated_values_in_percentiles(spark):
     rng = random.Random(3)
     rows = [(g, rng.choice([0.0, 0.0, rng.random()])) for g in ("a", None, "b") for _ in range(301)] + [("c", None)]

@@ -1,7 +1,8 @@
 """Record shaping: projections (PRJ), filters (FLT) and formatting (FMT).
 
 All functions map DataFrame -> DataFrame with native expressions; they
-never collect and add no shuffle except where noted (FMT-4 groups turns).
+never collect and add no shuffle except where noted (FMT-4 groups turns,
+FLT-6 reads a bounded list of rules or joins a longer one in blocks).
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql.types import StructType
 
 from tokenmill.functions import chat, text
 from tokenmill.operators.offsets import with_positions
+from tokenmill.session import bounded_size
 
 ColumnOrName = Column | str
 
@@ -116,13 +118,22 @@ def filter_min_tokens(df: DataFrame, tokens: str, n: int) -> DataFrame:
 
 # FLT-6 ---------------------------------------------------------------
 def match_any_pattern(df: DataFrame, patterns: DataFrame, col: str,
-                      pattern_col: str = "entry", block: int = 1_000) -> DataFrame:
+                      pattern_col: str = "entry", block: int = 1_000, max_patterns: int = 100_000,
+                      max_bytes: int = 16 << 20, buckets: int | None = None) -> DataFrame:
     """Rows whose ``col`` matches any regex of ``patterns`` at its start.
 
-    The pattern list is a file of rules: it is read row by row and folded
-    into anchored alternations of ``block`` patterns, tried one after the
-    other on each row, so the filter is no join and takes a list of any length."""
-    pats = [r[0] for r in patterns.select(pattern_col).toLocalIterator() if r[0] is not None]
+    The pattern list is a file of rules: where a bounded read proves that it
+    has at most ``max_patterns`` rules of ``max_bytes`` in all, they are folded into
+    anchored alternations of ``block`` patterns, tried one after the other on each
+    row, so the filter is no join. A longer list never reaches the driver: its rules are folded
+    in blocks by Spark, and the different values of ``col``, in ``buckets``
+    (the session's shuffle partitions), meet every block; the rows then take
+    the values that matched."""
+    rules = patterns.select(F.col(pattern_col).alias("_p")).where("_p IS NOT NULL")
+    rows, size = bounded_size(rules, max_patterns)
+    if rows > max_patterns or size > max_bytes:
+        return _match_in_blocks(df, rules, col, block, buckets)
+    pats = [r[0] for r in rules.collect()]
     if not pats:
         return df.limit(0)
     hits = [F.col(col).rlike("(?d)^(?:" + "|".join(f"(?:{p})" for p in pats[i:i + block]) + ")")
@@ -130,6 +141,25 @@ def match_any_pattern(df: DataFrame, patterns: DataFrame, col: str,
     return df.where(F.exists(F.array(*hits), lambda h: h) if len(hits) > 1 else hits[0])
 
 
+def _match_in_blocks(df: DataFrame, patterns: DataFrame, col: str, block: int, buckets: int | None) -> DataFrame:
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = patterns.distinct()
+    blocks = -(-once.count() // block) or 1
+    dealt = once.groupBy(F.pmod(F.xxhash64("_p"), F.lit(blocks)).alias("_block"))
+    folded = dealt.agg(F.concat(F.lit("(?d)^(?:"), F.array_join(F.collect_list(F.concat(F.lit("(?:"), "_p", F.lit(")"))), "|"),
+                                F.lit(")")).alias("_re"))
+    rules = folded.withColumn("_bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
+    values = df.select(F.col(col).alias("_v")).where("_v IS NOT NULL").distinct()
+    asked = values.select("_v", F.pmod(F.xxhash64("_v"), F.lit(buckets)).alias("_bucket"),
+                          F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_block"))
+    # rows arrive in order of block, and regexp_instr keeps the last expression it compiled
+    met = asked.join(rules.hint("merge"), ["_block", "_bucket"]).where(F.regexp_instr(F.col("_v"), F.col("_re")) > 0)
+    name = "_v"
+    while name in df.columns:
+        name += "_"
+    return df.join(met.select(F.col("_v").alias(name)).distinct().hint("merge"), df[col] == F.col(name), "left_semi")
+
+
 # FLT-7 ---------------------------------------------------------------
 def has_role(messages: ColumnOrName, pos: int, role: str) -> Column:
     m = F.try_element_at(_c(messages), F.lit(pos + 1 if pos >= 0 else pos))
