@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import corpus
+from tests.llm.test_similar import contained_model
 from tokenmill.llm import packing, queries, secrets, sharding
 from tokenmill.llm.q_layout import default_tokenizer
 
@@ -159,6 +160,7 @@ def test_pipeline_stages_decide_and_keep_columns(spark):
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
     labels = spark.read.parquet(f"{SF}/labels.parquet")
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     kept, before = docs, docs
     for name in list(stages)[:-1]:
         kept = stages[name](spark, before, SF).cache()
@@ -170,6 +172,10 @@ def test_pipeline_stages_decide_and_keep_columns(spark):
             rows = before.select("doc_id", "text").orderBy("doc_id").collect()
             roots = corpus.linked([corpus.shingles(r["text"]) for r in rows])
             assert {r["doc_id"] for r in gone.collect()} == {rows[i]["doc_id"] for i, r in enumerate(roots) if r != i}
+        if name == "decontamination":
+            rows = before.select("doc_id", "text").orderBy("doc_id").collect()
+            held = {rows[d]["doc_id"] for d, _, _, _ in contained_model([r["text"] for r in rows], items)}
+            assert {r["doc_id"] for r in gone.collect()} == held and held
         if name == "secrets":
             assert gone.count() == 0
             assert not any(secrets.find_spans(r["text"]) for r in kept.collect())
@@ -181,6 +187,21 @@ def test_pipeline_stages_decide_and_keep_columns(spark):
     spark.catalog.clearCache()
 
 
+def test_pipeline_run_equals_the_chained_models(spark):
+    """All pieces of ``run`` are those of the documents that plain models keep of each other's
+    results; only the learned score is taken from the operator (held to held-out labels elsewhere)."""
+    calm = dict(corpus_pipeline.STAGES)["toxicity"](spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    rows = sorted((r["doc_id"], r["text"]) for r in calm.select("doc_id", "text").collect())
+    roots = corpus.linked([corpus.shingles(t) for _, t in rows])
+    rows = [rows[i] for i, r in enumerate(roots) if r == i]
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    held = {d for d, _, _, _ in contained_model([t for _, t in rows], items)}
+    rows = [(i, secrets.redact(t)) for d, (i, t) in enumerate(rows) if d not in held]
+    assert 0 < len(rows) < calm.count()
+    n, least = check_pieces(corpus_pipeline.run(spark, SF).collect(), [t for _, t in rows], [i for i, _ in rows])
+    assert n <= least * 1.01 + 1
+
+
 def test_pipeline_on_odd_and_empty_tables(spark):
     for texts in (corpus.odd_texts()[:12], []):
         docs = corpus.frame(spark, texts, ids=[None, *range(1, len(texts))] if texts else [])
