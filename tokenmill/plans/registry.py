@@ -61,6 +61,7 @@ def msgs_text(c: Column | str) -> Column:
 def load_all() -> None:
     """Import every query module (registration happens on import)."""
     from tokenmill.plans import (  # noqa: F401
+        q_exact,
         q_functions,
         q_metrics,
         q_ranges,
