@@ -1,4 +1,5 @@
-"""Structured Streaming forms of three batch loops (STR-1…3).
+"""Structured Streaming forms of three batch loops (STR-1…3), and sessions,
+judged completions and deduplication with state that expires (STR-4…6).
 
 * ``score_stream``: stateless — rewards over arriving completions; each
   micro-batch is written under its own ``batch_id`` folder (overwrite, so
@@ -144,3 +145,113 @@ def latency_windows(samples: DataFrame, out_path: str, checkpoint: str, window:
         .option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return _start(w, samples.sparkSession, state_partitions)
+
+
+def _timestamp(df: DataFrame, ts: str) -> DataFrame:
+    """``ts`` as the time-zone type that watermarks take."""
+    return df.withColumn(ts, F.col(ts).cast("timestamp")) if df.schema[ts].dataType.typeName() == "timestamp_ntz" else df
+
+
+def _append(df: DataFrame, out_path: str, checkpoint: str, available_now: bool, state_partitions: int | None):
+    w = df.writeStream.outputMode("append").format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return _start(w, df.sparkSession, state_partitions)
+
+
+# STR-4 ---------------------------------------------------------------
+def sessions_stream(events: DataFrame, out_path: str, checkpoint: str, by: tuple[str, ...] = ("user_id",), ts: str = "ts",
+                    gap: str = "30 minutes", delay: str = "10 minutes", value: str | None = None,
+                    available_now: bool = True, state_partitions: int | None = None):
+    """Sessions of each key: rows less than ``gap`` apart. A session is state
+    until the watermark passes its last row by ``gap``; then it is appended
+    once (``session_start``, ``session_end`` = last row + ``gap``, ``n``, and
+    the sum and maximum of ``value``) and its state is dropped. State is one
+    row per open session. NULL keys are a key; rows without a time are dropped."""
+    e = _timestamp(events, ts).withWatermark(ts, delay)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if value:
+        aggs += [F.sum(value).alias("total"), F.max(value).alias("highest")]
+    s = e.groupBy(*by, F.session_window(ts, gap).alias("w")).agg(*aggs)
+    s = s.select(*by, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *s.columns[len(by) + 1:])
+    # rows of a task are merged before the shuffle, so a hot key sends sessions, not rows
+    conf, key = events.sparkSession.conf, "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    old = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return _append(s, out_path, checkpoint, available_now, state_partitions)
+    finally:
+        conf.set(key, old)
+
+
+# STR-5 ---------------------------------------------------------------
+def judged_stream(left: DataFrame, right: DataFrame, out_path: str, checkpoint: str, key: str, left_ts: str, right_ts: str,
+                  within: str = "10 minutes", left_delay: str = "5 minutes", right_delay: str = "5 minutes",
+                  available_now: bool = True, state_partitions: int | None = None):
+    """Each left row with every right row of its key that follows it by 0 to
+    ``within``; a left row without one is appended with NULLs once the
+    watermark shows that none can come. Both sides' state is bounded in time:
+    a right row is kept until no left row can precede it, a left row until
+    ``within`` behind it has passed. Rows whose key is NULL match nothing.
+    Columns of the two sides must have different names, the key's apart."""
+    l = _timestamp(left, left_ts).withWatermark(left_ts, left_delay)
+    r = _timestamp(right, right_ts).withWatermark(right_ts, right_delay).withColumnRenamed(key, "_key")
+    on = (F.col(key) == F.col("_key")) & (F.col(right_ts) >= F.col(left_ts)) \
+        & (F.col(right_ts) <= F.col(left_ts) + F.expr(f"INTERVAL {within}"))
+    return _append(l.join(r, on, "left_outer").drop("_key"), out_path, checkpoint, available_now, state_partitions)
+
+
+# STR-6 ---------------------------------------------------------------
+def dedup_stream(events: DataFrame, out_path: str, checkpoint: str, keys: tuple[str, ...], ts: str = "ts",
+                 order: tuple[str, ...] = (), delay: str = "1 hour", available_now: bool = True,
+                 state_partitions: int | None = None):
+    """First row of each key within the watermark, and a side output of what
+    the watermark drops.
+
+    A batch's watermark is the largest ``ts`` of the batches before it, less
+    ``delay``. Rows older than it, or without a time, go to
+    ``late/batch_id=<n>``. Of the others, the first of each key by (``ts``,
+    ``order``, other columns) goes to ``kept/batch_id=<n>``, unless an earlier
+    batch kept that key in a row which the watermark has not passed by
+    ``delay``. Further rows of a key are dropped. NULL keys are equal.
+
+    The kept rows are the state: a batch reads their keys and times, of those
+    batches only that hold rows within the bound. Every folder is overwritten
+    by a retry of its batch, which reads earlier batches only, so a restart
+    gives the same rows. ``clock`` holds the largest time of every batch."""
+    spark = events.sparkSession
+    bound = F.expr(f"INTERVAL {delay}")
+    at = lambda kind, n: os.path.join(out_path, kind, f"batch_id={n}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        mark, live = None, []
+        if io.exists(session, os.path.join(out_path, "clock")):
+            clock = session.read.schema("latest timestamp, batch_id long").parquet(os.path.join(out_path, "clock"))
+            before = clock.where(F.col("batch_id") < batch_id)
+            # as microseconds, which no time zone of the driver changes
+            mark = before.agg(F.unix_micros(F.max("latest") - bound)).first()[0]
+        if mark is not None:
+            mark = F.timestamp_micros(F.lit(mark))
+            # ids of the batches within two delays, one row each
+            live = [r[0] for r in before.where(F.col("latest") + bound >= mark).select("batch_id").collect()]
+        # three sinks read the micro-batch
+        rows = batch.persist()
+        late = F.col(ts).isNull() if mark is None else F.col(ts).isNull() | (F.col(ts) < mark)
+        rows.where(late).write.mode("overwrite").parquet(at("late", batch_id))
+        others = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString() and f.name not in (ts, *order)]
+        rank = F.struct(*[F.col(f"`{c}`") for c in (ts, *order, *others)])
+        whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+        values = [F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]
+        kept = rows.where(~late).groupBy(*values).agg(F.min_by(whole, rank).alias("_row"))
+        if live:
+            seen = session.read.schema(rows.schema).parquet(*[at("kept", n) for n in sorted(live)])
+            seen = seen.where(F.col(ts) + bound >= mark).select(*[F.col(f"`{k}`").alias(f"_s{i}") for i, k in enumerate(keys)])
+            kept = kept.join(seen, [F.col(f"_k{i}").eqNullSafe(F.col(f"_s{i}")) for i in range(len(keys))], "left_anti")
+        kept = kept.select("_row.*")
+        kept.write.mode("overwrite").parquet(at("kept", batch_id))
+        rows.agg(F.max(ts).alias("latest")).where(F.col("latest").isNotNull()).write.mode("overwrite").parquet(at("clock", batch_id))
+        rows.unpersist()
+
+    w = _timestamp(events, ts).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return _start(w, spark, state_partitions)
