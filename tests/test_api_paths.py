@@ -66,3 +66,24 @@ def test_grid_folder_and_max_length(spark):
     df = spark.createDataFrame([([1, 2, 3],), ([1],)], "ids array<int>")
     assert M.max_length(df, "ids").first().max_length == 3
     assert M.max_length(df, "ids", cap=2).first().max_length == 2
+
+
+def test_spread_deals_small_scans_only(spark):
+    from tokenmill.sources import io
+
+    df = spark.range(0, 1000, 1, 2).selectExpr("id", "id % 2 AS k")
+    wide = io.spread(df, 6)
+    assert wide.rdd.getNumPartitions() == 6 and wide.orderBy("id").collect() == df.orderBy("id").collect()
+    assert io.spread(df, 2) is df and io.spread(df.limit(0), 3).count() == 0
+
+
+def test_equation_is_read_once(spark):
+    """The answer's pattern stands once in the plan of the reward."""
+    from tokenmill.operators import rewards as W
+
+    df = spark.createDataFrame([(" a</think>\n<answer>3 + 4</answer>", 7, [4, 3]), ("<answer>3+4</answer>", 7, None),
+                                (None, 7, [3, 4]), ("<answer>99999999999999999999</answer>", 7, [3])],
+                               "c string, t long, n array<long>")
+    out = W.equation_reward(df, "c", "t", "n")
+    assert [r.equation_reward for r in out.collect()] == [1.0, 0.0, 0.0, 0.0]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("<answer>") == 1

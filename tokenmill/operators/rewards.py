@@ -221,14 +221,18 @@ def _eval_batch(exprs: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once a row, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def answer_equation(completion: ColumnOrName) -> Column:
     """Stripped text of the first ``<answer>…</answer>`` on one line
     (after prefixing the think tag), NULL when there is none."""
     s = F.concat(F.lit(THINK_OPEN), _c(completion))
     # one regex pass: the first whole match (NULL when none), tags cut off
     m = F.regexp_substr(s, F.lit(X.py_regex(r"<answer>.*?</answer>")))
-    inner = F.substring(m, len(ANSWER_OPEN) + 1, F.length(m) - len(ANSWER_OPEN) - len(ANSWER_CLOSE))
-    return X.strip(inner)
+    return _bound(m, lambda x: X.strip(F.substring(x, len(ANSWER_OPEN) + 1, F.length(x) - len(ANSWER_OPEN) - len(ANSWER_CLOSE))))
 
 
 def equation_gates(equation: ColumnOrName, nums: ColumnOrName) -> Column:
@@ -236,20 +240,18 @@ def equation_gates(equation: ColumnOrName, nums: ColumnOrName) -> Column:
     ``nums`` (as a multiset) and only digits, operators, parentheses, dots
     and blanks occur."""
     eq = _c(equation)
+    wanted = F.array_sort(_c(nums).cast("array<bigint>"))
     used = F.transform(X.find_all(eq, r"\d+"), lambda d: d.try_cast("bigint"))
-    no_overflow = F.size(F.filter(used, lambda u: u.isNull())) == 0
-    same = F.array_sort(used) == F.array_sort(_c(nums).cast("array<bigint>"))
+    same = _bound(used, lambda u: F.forall(u, lambda n: n.isNotNull()) & (F.array_sort(u) == wanted))
     charset = eq.rlike(r"(?d)^[\d+\-*/().\s]+$")
-    return F.coalesce(eq.isNotNull() & no_overflow & same & charset, F.lit(False))
+    return F.coalesce(eq.isNotNull() & charset & same, F.lit(False))
 
 
 def equation_value(completion: ColumnOrName, target: ColumnOrName, nums: ColumnOrName, tol: float = 1e-5) -> Column:
     """1.0 when the answer uses each number once and evaluates to the
     target within ``tol``; else 0.0. Only gated rows reach Python: the
     others send NULL."""
-    eq = answer_equation(completion)
-    gate = equation_gates(eq, nums)
-    v = _eval_batch(F.when(gate, eq))
+    v = _eval_batch(_bound(answer_equation(completion), lambda eq: F.when(equation_gates(eq, nums), eq)))
     return F.when(F.coalesce(F.abs(v - _c(target).cast("double")) < tol, F.lit(False)), 1.0).otherwise(0.0)
 
 

@@ -87,9 +87,11 @@ def encode(df: DataFrame, key: str, tokens: str, vocab: DataFrame, out: str = "i
     are told apart by a number written with them, so ``key`` may repeat.
     """
     if method in ("auto", "broadcast"):
-        rows, size = bounded_size(vocab.select("token", "id"), max_entries)
+        # read twice, or joined: what it was counted from is not counted again
+        vocab = materialize(vocab.select("token", "id"))
+        rows, size = bounded_size(vocab, max_entries)
         if rows <= max_entries and size <= BROADCAST_LIMIT_BYTES:
-            return _encode_broadcast(df, tokens, vocab.select("token", "id").collect(), out, unk_id)
+            return _encode_broadcast(df, tokens, vocab.collect(), out, unk_id)
         if method == "broadcast":
             raise ValueError(f"vocabulary larger than {max_entries} entries or {BROADCAST_LIMIT_BYTES} bytes")
     df = materialize(df.withColumn("_tm_row", F.monotonically_increasing_id()))

@@ -471,7 +471,7 @@ INSTR = ("SELECT doc_id, 'Summarize document ' || CAST(doc_id AS VARCHAR) AS ins
 
 
 def instr_records(spark, sf) -> DataFrame:
-    d = tables.table(spark, sf, "documents")
+    d = tables.spread_table(spark, sf, "documents", "doc_id", "lang", "source", "text")
     return d.select("doc_id",
                     F.concat(F.lit("Summarize document "), F.col("doc_id").cast("string")).alias("instruction"),
                     F.when(F.col("lang") == "en", F.col("source")).otherwise(F.lit("")).alias("context"),

@@ -52,7 +52,7 @@ def width(ids: str):
 
 
 def docs_tokens(spark, sf):
-    return T.tokenize(tables.table(spark, sf, "documents").select("doc_id", "text"), "text")
+    return T.tokenize(tables.spread_table(spark, sf, "documents", "doc_id", "text"), "text")
 
 
 def docs_ids(spark, sf):

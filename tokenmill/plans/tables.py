@@ -12,6 +12,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenmill.sources import io
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -26,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a driver table for heavy work per row: at least as many partitions as cores."""
+    return io.spread(table(spark, sf_dir, name).select(*columns), spark.sparkContext.defaultParallelism)
+
+
 # --- candidates: several completions per prompt ------------------------
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidates_from(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
@@ -81,7 +88,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 
 # --- countdown tasks with one completion each ---------------------------
 def countdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return countdown_from(table(spark, sf_dir, "lineitem"))
+    return countdown_from(spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey"))
 
 
 def countdown_from(lineitem: DataFrame) -> DataFrame:

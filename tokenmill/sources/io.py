@@ -42,6 +42,15 @@ def read_table(spark: SparkSession, name: str, split: str | None = None,
     return df
 
 
+def spread(df: DataFrame, min_partitions: int) -> DataFrame:
+    """``df``, dealt over ``min_partitions`` where its scan has fewer splits.
+
+    A file of one row group is one task, and so is all per-row work behind
+    it. A large table has more splits than that and stays as it is, without
+    a shuffle; columns and filters are still pruned in the scan."""
+    return df.repartition(min_partitions) if df.rdd.getNumPartitions() < min_partitions else df
+
+
 # SRC-2 --------------------------------------------------------------
 def read_splits(spark: SparkSession, name: str, config: str | None = None,
                 root: str | None = None) -> DataFrame:
