@@ -87,3 +87,11 @@ def test_equation_is_read_once(spark):
     out = W.equation_reward(df, "c", "t", "n")
     assert [r.equation_reward for r in out.collect()] == [1.0, 0.0, 0.0, 0.0]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("<answer>") == 1
+
+
+def test_powers_beyond_the_default_limit_on_request(spark):
+    from tokenmill.operators import rewards as W
+
+    df = spark.createDataFrame([("<answer>2**5000000//2**4999999</answer>", 2, [2, 5000000, 2, 4999999])], "c string, t long, n array<long>")
+    assert W.equation_reward(df, "c", "t", "n").first().equation_reward == 0.0
+    assert W.equation_reward(df, "c", "t", "n", max_power_bits=None).first().equation_reward == 1.0

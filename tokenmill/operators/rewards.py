@@ -113,13 +113,13 @@ _BINARY: dict[str, Callable] = {"+": operator.add, "-": operator.sub, "*": opera
                                 "//": operator.floordiv, "%": operator.mod}
 _RANK = {"+": 1, "-": 1, "*": 2, "/": 2, "//": 2, "%": 2, "u+": 3, "u-": 3, "**": 4}
 _LEXEME = re.compile(r"\s*(?:(\d+\.\d*|\.\d+|\d+)|(\*\*|//|[-+*/%()]))", re.ASCII)
-# An integer power whose result would have more bits than this is an error.
+# By default, an integer power whose result would have more bits than this is an error.
 MAX_POWER_BITS = 1 << 22
 
 
-def _power(a, b):
-    if isinstance(a, int) and isinstance(b, int) and b > 0 and a not in (-1, 0, 1) \
-            and a.bit_length() * b > MAX_POWER_BITS:
+def _power(a, b, max_bits: int | None):
+    if max_bits is not None and isinstance(a, int) and isinstance(b, int) and b > 0 and a not in (-1, 0, 1) \
+            and a.bit_length() * b > max_bits:
         raise OverflowError("power too large")
     return a ** b
 
@@ -142,12 +142,13 @@ def _lexemes(expr: str):
         yield m.group(1), m.group(2)
 
 
-def evaluate_arithmetic(expr: str) -> float | None:
+def evaluate_arithmetic(expr: str, max_power_bits: int | None = MAX_POWER_BITS) -> float | None:
     """Value of an arithmetic expression made of numbers, ``+ - * / // % **``,
     unary signs and parentheses; None for anything else or any error.
 
     Two explicit stacks, so neither length nor nesting is limited; only an
-    integer power's result is (``MAX_POWER_BITS``)."""
+    integer power's result is (``max_power_bits``; None evaluates every
+    power exactly, in time and memory of its size)."""
     if expr is None:
         return None
     values, ops = [], []
@@ -160,7 +161,7 @@ def evaluate_arithmetic(expr: str) -> float | None:
         elif op == "u+":
             values.append(+right)
         elif op == "**":
-            values.append(_power(values.pop(), right))
+            values.append(_power(values.pop(), right, max_power_bits))
         else:
             values.append(_BINARY[op](values.pop(), right))
 
@@ -207,18 +208,15 @@ def evaluate_arithmetic(expr: str) -> float | None:
         return None
 
 
-@F.pandas_udf(DoubleType())
-def _eval_batch(exprs: pd.Series) -> pd.Series:
-    cache: dict[str, float | None] = {}
-    out = []
-    for e in exprs:
-        if e is None:
-            out.append(None)
-            continue
-        if e not in cache:
-            cache[e] = evaluate_arithmetic(e)
-        out.append(cache[e])
-    return pd.Series(out, dtype="float64")
+def _evaluated(equation: Column, max_power_bits: int | None) -> Column:
+    @F.pandas_udf(DoubleType())
+    def run(exprs: pd.Series) -> pd.Series:
+        cache: dict[str, float | None] = {None: None}
+        for e in exprs.unique():
+            cache[e] = evaluate_arithmetic(e, max_power_bits)
+        return pd.Series([cache[e] for e in exprs], dtype="float64")
+
+    return run(equation)
 
 
 def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -247,18 +245,20 @@ def equation_gates(equation: ColumnOrName, nums: ColumnOrName) -> Column:
     return F.coalesce(eq.isNotNull() & charset & same, F.lit(False))
 
 
-def equation_value(completion: ColumnOrName, target: ColumnOrName, nums: ColumnOrName, tol: float = 1e-5) -> Column:
+def equation_value(completion: ColumnOrName, target: ColumnOrName, nums: ColumnOrName, tol: float = 1e-5,
+                   max_power_bits: int | None = MAX_POWER_BITS) -> Column:
     """1.0 when the answer uses each number once and evaluates to the
     target within ``tol``; else 0.0. Only gated rows reach Python: the
-    others send NULL."""
-    v = _eval_batch(_bound(answer_equation(completion), lambda eq: F.when(equation_gates(eq, nums), eq)))
+    others send NULL. ``max_power_bits`` as in :func:`evaluate_arithmetic`."""
+    v = _evaluated(_bound(answer_equation(completion), lambda eq: F.when(equation_gates(eq, nums), eq)), max_power_bits)
     return F.when(F.coalesce(F.abs(v - _c(target).cast("double")) < tol, F.lit(False)), 1.0).otherwise(0.0)
 
 
 def equation_reward(df: DataFrame, completion: str, target: str, nums: str,
-                    out: str = "equation_reward", tol: float = 1e-5) -> DataFrame:
+                    out: str = "equation_reward", tol: float = 1e-5,
+                    max_power_bits: int | None = MAX_POWER_BITS) -> DataFrame:
     """``df`` with :func:`equation_value` as column ``out``."""
-    return df.withColumn(out, equation_value(completion, target, nums, tol))
+    return df.withColumn(out, equation_value(completion, target, nums, tol, max_power_bits))
 
 
 # RWD-7 ---------------------------------------------------------------
