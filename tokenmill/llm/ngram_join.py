@@ -22,8 +22,9 @@ after all of that, which the block comparison rules out.
 Groups are met by stars first: members are compared with the group's pivot.
 In small groups, the other pairs of different components are candidates if
 they agree in as many segments as linked sets of their kind must (a set has
-more non-empty segments than it needs, and all but H of them agree). Large
-groups get other pivots while some members are not yet connected; tasks
+more non-empty segments than it needs, and all but H of them agree). Sets
+with more spare segments than large groups are settled there. The others of
+a large group get other pivots while they are not yet connected; tasks
 collapse their own part of a large group before the shuffle. Candidates
 whose sizes or parity sketches (a bit per member) rule a link out are
 dropped, the others are verified exactly on the whole sets.
@@ -459,14 +460,28 @@ def finish_lists(join: Join, lists: DataFrame, stars: DataFrame, slack: DataFram
         join.verify(pairs)
 
 
+def short_members(stars: DataFrame, slack: DataFrame) -> DataFrame:
+    """Members ``(sig, member, role)`` of the large groups that have no more
+    spare segments than large groups.
+
+    Any other set agrees with a linked one in a small group too, where the
+    pair was decided, so only pairs of two short sets are open."""
+    members = stars.select("sig", "member", "role").distinct()
+    hot = members.groupBy(F.col("member").alias("sid"), "role").agg(F.count(F.lit(1)).alias("hot"))
+    short = slack.join(hot, ["sid", "role"]).where("slack < hot").select(F.col("sid").alias("member"), "role")
+    return written(members.join(short, ["member", "role"], "left_semi"), "short")
+
+
 def open_stars(join: Join, stars: DataFrame) -> DataFrame:
     """Members of the large groups that are not within one component."""
-    both = join.rooted(join.rooted(stars, "member", "top"), "pivot", "pivot_top")
-    return both.join(both.where("top <> pivot_top").select("sig").distinct(), "sig", "left_semi")
+    both = join.rooted(stars, "member", "top")
+    tops = both.groupBy("sig").agg(F.min("top").alias("low"), F.max("top").alias("high"))
+    return both.join(tops.where("low <> high").select("sig"), "sig", "left_semi")
 
 
 def finish_stars(join: Join, stars: DataFrame, slack: DataFrame) -> None:
-    """Give the sets of large open groups other pivots, then deletions, then each other."""
+    """Give the short sets of large open groups other pivots, then deletions, then each other."""
+    stars = short_members(stars, slack)
     for attempt in range(STAR_ROUNDS):
         left = written(open_stars(join, stars), "stars")
         if left.isEmpty():
