@@ -334,12 +334,18 @@ def rouge_summary(per_row: DataFrame, name: str) -> DataFrame:
 
 
 # MET-7 ---------------------------------------------------------------
-def _lcs_rows(a: list, b: list) -> list[int]:
-    """Bit-parallel LCS: after each token of ``a`` one integer whose zero
-    bits mark where the LCS with a prefix of ``b`` grows."""
+def _places(b: Sequence) -> dict:
+    """For each token of ``b`` one integer with a bit for every place."""
     at: dict = {}
     for j, t in enumerate(b):
         at[t] = at.get(t, 0) | (1 << j)
+    return at
+
+
+def _lcs_rows(a: Sequence, b: Sequence, at: dict | None = None) -> list[int]:
+    """Bit-parallel LCS: after each token of ``a`` one integer whose zero
+    bits mark where the LCS with a prefix of ``b`` grows."""
+    at = _places(b) if at is None else at
     full = (1 << len(b)) - 1
     v, rows = full, []
     for t in a:
@@ -377,8 +383,12 @@ def rouge_l(df: DataFrame, key: str, pred: str, ref: str, summary_level: bool =
         n_p, n_r = sum(map(len, p_lines)), sum(map(len, r_lines))
         p_left, r_left = (Counter(t for x in ls for t in x) for ls in (p_lines, r_lines))
         hits = 0
-        for r in r_lines:
-            for i in sorted(set().union(*[_lcs_positions(r, p) for p in p_lines])):
+        placed = [(p, _places(p)) for p in dict.fromkeys(map(tuple, p_lines))]
+        found: dict = {}  # lines may repeat
+        for r in map(tuple, r_lines):
+            if r not in found:
+                found[r] = _union_positions(r, placed)
+            for i in found[r]:
                 t = r[i]
                 if p_left[t] > 0 and r_left[t] > 0:
                     hits += 1
@@ -393,12 +403,23 @@ def rouge_l(df: DataFrame, key: str, pred: str, ref: str, summary_level: bool =
     return _rouge_map(df, key, pred, ref, lsum if summary_level else whole, "fmeasure double")
 
 
-def _lcs_positions(r: list, p: list) -> list[int]:
+def _union_positions(r: Sequence, placed: list[tuple[Sequence, dict]]) -> list[int]:
+    """Indices of ``r`` on its longest common subsequence with any of the lines.
+    A line whose tokens cover no further place of ``r`` is left out."""
+    out: set[int] = set()
+    for p, at in placed:
+        if any(t in at and i not in out for i, t in enumerate(r)):
+            out.update(_lcs_positions(r, p, at))
+    return sorted(out)
+
+
+def _lcs_positions(r: Sequence, p: Sequence, at: dict) -> list[int]:
     """Indices of ``r`` on one longest common subsequence with ``p`` (found
-    from the ends; at a tie a token of ``r`` is left out first)."""
-    if not set(r) & set(p):
-        return []
-    rows = _lcs_rows(r, p)
+    from the ends; at a tie a token of ``r`` is left out first), whose
+    tokens have the places ``at``."""
+    kept = [i for i, t in enumerate(r) if t in at]  # other tokens are on none
+    r = [r[i] for i in kept]
+    rows = _lcs_rows(r, p, at)
     zeros = [0, *rows]  # zeros[i]: bits after i tokens of r; no tokens leave no zero bit
 
     def length(i: int, j: int) -> int:
@@ -408,7 +429,7 @@ def _lcs_positions(r: list, p: list) -> list[int]:
     here = length(i, j)
     while i > 0 and j > 0 and here:
         if r[i - 1] == p[j - 1]:
-            out.append(i - 1)
+            out.append(kept[i - 1])
             i, j, here = i - 1, j - 1, here - 1
         elif not zeros[i] >> (j - 1) & 1 or length(i - 1, j) == here:
             i -= 1  # the column grows here, or the row above is as good

@@ -211,7 +211,7 @@ def agg16(spark, sf):
 # MET -------------------------------------------------------------------------------
 def summaries(spark, sf):
     """pred = the first half of a document's lines, ref = the other lines ('' if none)."""
-    d = tables.table(spark, sf, "documents")
+    d = tables.spread_table(spark, sf, "documents", "doc_id", "text")
     lines = F.split("text", "\n")
     half = F.ceil(F.size("l") / 2).cast("int")
     return d.select("doc_id", lines.alias("l")).select(
