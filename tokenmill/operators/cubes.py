@@ -1,13 +1,15 @@
 """Grouping sets, cubes and rollups with exact distinct counts (AGG-14).
 
 Rows are reduced before they are expanded. One aggregation by all keys
-keeps the additive states, and beside them one row for each (keys, measure,
-distinct value); only these are copied into the grouping sets. A second
-aggregation by (set, keys, measure, value) removes values that meet again
-in a coarser set, and a last one counts them. The values spread a hot group
-(the grand total above all) over all tasks, and what reaches its last
-aggregation are partial counts, one row a task. So no task holds the values of a
-group, and no group's size matters.
+keeps the additive states. The distinct values, as rows (keys, measure,
+value), are dealt by value to as many tasks as their number asks for and
+reduced, first with a value in up to ``SALTS`` tasks, then in one; only what
+is left is copied into the grouping sets. An aggregation by (set, keys,
+measure, value) in the same task removes values that meet again in a coarser
+set, and a last one counts them. The values spread a hot group (the grand
+total above all) over all tasks, and what reaches its last aggregation are
+partial counts, one row a task. So no task holds the values of a group, no
+group's size matters, and a task's share is the same whatever the table's size.
 
 ``grouping_id`` is SQL's: one bit a key, the first key highest, set where
 the key is rolled up; it tells a rolled-up key from a null one. A null is
@@ -25,6 +27,9 @@ from pyspark.sql import functions as F
 
 Sets = list[tuple[str, ...]]
 
+TASK_VALUES = 500_000  # rows (keys, measure, value) of a task
+SALTS = 8  # tasks that a value's rows are dealt to at first
+
 # how partial states of an additive measure merge
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
@@ -45,6 +50,14 @@ def _state(kind: str, col: Column | None) -> Column:
     return col
 
 
+def value_tasks(df: DataFrame, measures: int) -> int:
+    """Tasks for the distinct values of ``df``: no more than the session's
+    partitions while a tenth of ``TASK_VALUES`` is a task's share."""
+    n = df.count() * measures
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    return max(1, min(parts, -(-10 * n // TASK_VALUES)), -(-n // TASK_VALUES))
+
+
 def grouping_sets(df: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[str]],
                   measures: Mapping[str, tuple[str, str | Column | None]],
                   distinct: Mapping[str, str | Column | Sequence[str | Column]]) -> DataFrame:
@@ -76,21 +89,15 @@ def grouping_sets(df: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[st
                         for (kind, c), a in zip(measures.values(), m, strict=True)],
                       *[value(c).alias(a) for c, a in zip(distinct.values(), v, strict=True)])
 
-    # a row for the additive states (part -1) and one for each distinct value that is known
     kinds = {f.name: f.dataType for f in plain.schema.fields}
 
+    def merged(by, frame):
+        return frame.groupBy(*by).agg(*([f(a).alias(a) for f, a in zip(merge, m, strict=True)] or [F.lit(1).alias("_one")]))
+
     def part(i: int) -> Column:
         return F.struct(F.lit(i).alias("_part"),
-                        *[(F.col(a) if i < 0 else F.lit(None).cast(kinds[a])).alias(a) for a in m],
                         *[(F.col(a) if i == j else F.lit(None).cast(kinds[a])).alias(a) for j, a in enumerate(v)])
 
-    parts = [part(-1)] + [F.when(F.col(a).isNotNull(), part(i)) for i, a in enumerate(v)]
-    rows = plain.select(*k, F.explode(F.filter(F.array(*parts), lambda p: p.isNotNull())).alias("_p")).select(*k, "_p.*")
-
-    def merged(by, frame):
-        return frame.groupBy(*by).agg(*([f(a).alias(a) for f, a in zip(merge, m, strict=True)] or [F.first("_part").alias("_one")]))
-
-    finest = merged([*k, "_part", *v], rows)
     wanted = {}
     for s in sets:
         if unknown := set(s) - set(keys):
@@ -99,8 +106,23 @@ def grouping_sets(df: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[st
     copies = F.explode(F.array(*[F.struct(F.lit(g).cast("long").alias("_g"), *[
         (F.col(a) if c in s else F.lit(None).cast(kinds[a])).alias(a) for c, a in zip(keys, k, strict=True)])
         for g, s in wanted.items()]))
-    spread = finest.select(copies.alias("_c"), "_part", *m, *v).select("_c.*", "_part", *m, *v)
-    once = merged(["_g", *k, "_part", *v], spread).select("_g", *k, "_part", *m)
+
+    def spread(frame, *rest):
+        return frame.select(copies.alias("_c"), *rest).select("_c.*", *rest)
+
+    # the additive states (part -1), and a row for each distinct value that is known
+    once = merged(["_g", *k], spread(merged(k, plain), *m)).select("_g", *k, F.lit(-1).alias("_part"), *m)
+    if v:
+        parts = [F.when(F.col(a).isNotNull(), part(i)) for i, a in enumerate(v)]
+        rows = plain.select(*k, F.explode(F.filter(F.array(*parts), lambda p: p.isNotNull())).alias("_p")).select(
+            *k, "_p.*", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("_salt"))
+        n = value_tasks(df, len(v))
+        # dealt before they are reduced, so no task reduces more than its share
+        some = rows.repartition(n, "_part", *v, "_salt").groupBy(*k, "_part", *v, "_salt").agg(F.lit(1).alias("_one"))
+        finest = some.repartition(n, "_part", *v).groupBy(*k, "_part", *v).agg(F.lit(1).alias("_one"))
+        values = spread(finest, "_part", *v).groupBy("_g", *k, "_part", *v).agg(F.lit(1).alias("_one"))
+        once = once.unionByName(values.select("_g", *k, "_part", *[
+            F.lit(None).cast(once.schema[a].dataType).alias(a) for a in m]))
     total = (1 << len(keys)) - 1
     if total in wanted:  # the empty set has a row of its own, whatever the table holds
         ground = df.sparkSession.range(1).select(F.lit(total).cast("long").alias("_g"), *[F.lit(None).cast(kinds[a]).alias(a) for a in k],
