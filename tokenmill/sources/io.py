@@ -104,6 +104,14 @@ def read_images(spark: SparkSession, path: str, glob: str = "*", recursive: bool
     return r.load(path).select("path", "length", "content")
 
 
+def write_files(df: DataFrame, path: str) -> None:
+    """One text file for each row of ``df`` (one string column), all in one
+    folder. Tasks move their own files into place: the driver would move
+    them one by one."""
+    (df.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+     .text(path))
+
+
 # SRC-8 --------------------------------------------------------------
 def list_lines(lines: DataFrame, col: str = "value", prefix: str = "- ") -> DataFrame:
     """Keep lines starting with ``prefix``; take the text after it."""
