@@ -28,6 +28,7 @@ IGNORE_INDEX = -100
 # Reserved vocabulary entries (id = position).
 SPECIALS = ("<pad>", "<eos>", "<unk>")
 PAD_ID, EOS_ID, UNK_ID = 0, 1, 2
+LOOKUP_TOKENS = 1 << 18  # looked up at once; a longer row alone
 
 
 def _c(x: ColumnOrName) -> Column:
@@ -113,12 +114,20 @@ def _encode_broadcast(df: DataFrame, tokens: str, entries, out: str, unk_id: int
 
     @F.arrow_udf(ArrayType(IntegerType()))
     def lookup(lists: pa.Array) -> pa.Array:
-        # all tokens of the batch at once: one hash table, one look-up pass
+        # all tokens of some rows at once: one hash table, one look-up pass
         words, ids = table.value
         sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        at = pc.fill_null(pc.index_in(lists.flatten(), value_set=words), -1).to_numpy(zero_copy_only=False)
-        found = np.where(at >= 0, ids[np.maximum(at, 0)] if len(ids) else unk_id, unk_id).astype(np.int32)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        found = np.empty(int(sizes.sum()), np.int32)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        lo = 0
+        while lo < len(lists):
+            first = int(ends[lo] - sizes[lo])
+            hi = max(lo + 1, int(np.searchsorted(ends, first + LOOKUP_TOKENS, "right")))
+            at = pc.index_in(lists.slice(lo, hi - lo).flatten(), value_set=words)
+            at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False)
+            found[first:int(ends[hi - 1])] = np.where(at >= 0, ids[np.maximum(at, 0)] if len(ids) else unk_id, unk_id)
+            lo = hi
+        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
         return pa.ListArray.from_arrays(offsets, pa.array(found), mask=lists.is_null())
 
     return df.withColumn(out, lookup(F.col(tokens)))
