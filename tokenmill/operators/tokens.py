@@ -208,10 +208,11 @@ def pack_blocks(df: DataFrame, order: list[ColumnOrName], cols: list[str], block
     flatten.
     """
     first = cols[0]
-    zipped = F.arrays_zip(*[F.col(c).alias(c) for c in cols]) if len(cols) > 1 else \
-        F.transform(first, lambda x: F.struct(x.alias(first)))
+    # one list travels as it is: a struct for each element would be many times as large
+    single = len(cols) == 1
+    zipped = _c(first) if single else F.arrays_zip(*[F.col(c).alias(c) for c in cols])
     if separator is not None:
-        sep = F.struct(*[separator.alias(c) for c in cols])
+        sep = separator if single else F.struct(*[separator.alias(c) for c in cols])
         zipped = F.concat(zipped, F.array(sep))
     base = df.select(*[_c(o).alias(f"_tm_o{i}") for i, o in enumerate(order)],
                      zipped.alias("_tm_z"))
@@ -239,7 +240,7 @@ def pack_blocks(df: DataFrame, order: list[ColumnOrName], cols: list[str], block
     def field(name):
         return lambda e: e[name]
 
-    outs = [F.transform("_tm_f", field(c)).alias(c) for c in cols]
+    outs = [F.col("_tm_f").alias(first)] if single else [F.transform("_tm_f", field(c)).alias(c) for c in cols]
     res = flat.select("block_id", *outs)
     return res.withColumn("labels", F.col(labels_from or first))
 
