@@ -22,14 +22,17 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.operators.offsets import hash_key, with_positions
-from tokenmill.session import BROADCAST_LIMIT_BYTES, broadcast_if_bounded, materialize
+from tokenmill.session import BROADCAST_LIMIT_BYTES, bounded_size, broadcast_if_bounded, materialize
 
 HITS_SCHEMA = "dim INT, qid BIGINT, cid BIGINT, score DOUBLE"
 KEYED_SCHEMA = HITS_SCHEMA + ", q_key STRING, c_key STRING"
+PAIRS_PER_TASK = 1_000_000  # relevant pairs that a task holds at once
+MAX_ASKED = 2_000_000  # hits that are broadcast to the relevant pairs
 
 
 def _unit_prefix(mat: np.ndarray, dim: int) -> np.ndarray:
@@ -41,31 +44,36 @@ def _unit_prefix(mat: np.ndarray, dim: int) -> np.ndarray:
 
 class _RunningTopK:
     """Per query the best ``k`` (score desc, cid asc) seen so far, fed with
-    corpus batches; memory is ``queries x k`` plus one score block. An
-    optional key per corpus row travels with its id."""
+    corpus batches; memory is the queries, ``queries x k`` and one score
+    block of ``Q_CHUNK x C_CHUNK``. An optional key per corpus row travels
+    with its id."""
 
-    Q_CHUNK = 1024
+    Q_CHUNK, C_CHUNK = 512, 2048
+    OUT_CHUNK = 4096  # queries of an output batch
 
-    def __init__(self, q_ids: np.ndarray, q_mat: np.ndarray, dims, k: int):
-        self.q_ids, self.dims, self.k = q_ids, list(dims), k
-        self.q_unit = {d: _unit_prefix(q_mat, d) for d in self.dims}
+    def __init__(self, q_ids: np.ndarray, q_mat: np.ndarray, dims, k: int, keyed: bool = True):
+        self.q_ids, self.q_mat, self.dims, self.k = q_ids, q_mat, list(dims), k
         nq = len(q_ids)
         # empty slots: score -inf, id max (sorted last, dropped at the end)
         self.best_s = {d: np.full((nq, k), -np.inf) for d in self.dims}
         self.best_c = {d: np.full((nq, k), np.iinfo(np.int64).max, dtype=np.int64)
                        for d in self.dims}
-        self.best_k = {d: np.full((nq, k), None, dtype=object) for d in self.dims}
+        self.best_k = {d: np.full((nq, k), None, dtype=object) for d in self.dims} if keyed else None
 
     def feed(self, c_ids: np.ndarray, c_mat: np.ndarray, c_keys=None) -> None:
         if len(c_ids) == 0 or len(self.q_ids) == 0:
             return
-        keys = np.asarray(c_keys if c_keys is not None else [None] * len(c_ids), dtype=object)
-        for d in self.dims:
-            cu = _unit_prefix(c_mat, d)
-            for lo in range(0, len(self.q_ids), self.Q_CHUNK):
-                hi = min(lo + self.Q_CHUNK, len(self.q_ids))
-                s = np.round(self.q_unit[d][lo:hi] @ cu.T, 12)
-                self._merge(d, lo, hi, s, c_ids, keys)
+        keys = np.asarray(c_keys if c_keys is not None else [None] * len(c_ids), dtype=object) \
+            if self.best_k is not None else None
+        for at in range(0, len(c_ids), self.C_CHUNK):
+            part = slice(at, at + self.C_CHUNK)
+            for d in self.dims:
+                cu = _unit_prefix(c_mat[part], d)
+                for lo in range(0, len(self.q_ids), self.Q_CHUNK):
+                    hi = min(lo + self.Q_CHUNK, len(self.q_ids))
+                    s = _unit_prefix(self.q_mat[lo:hi], d) @ cu.T
+                    np.round(s, 12, out=s)
+                    self._merge(d, lo, hi, s, c_ids[part], None if keys is None else keys[part])
 
     def _merge(self, d, lo, hi, s, c_ids, keys):
         k = self.k
@@ -79,23 +87,26 @@ class _RunningTopK:
             cols = np.broadcast_to(np.arange(s.shape[1]), s.shape)
         all_s = np.concatenate([self.best_s[d][lo:hi], np.take_along_axis(s, cols, 1)], axis=1)
         all_c = np.concatenate([self.best_c[d][lo:hi], c_ids[cols]], axis=1)
-        all_k = np.concatenate([self.best_k[d][lo:hi], keys[cols]], axis=1)
         order = np.lexsort((all_c, -all_s), axis=1)[:, :k]
         self.best_s[d][lo:hi] = np.take_along_axis(all_s, order, 1)
         self.best_c[d][lo:hi] = np.take_along_axis(all_c, order, 1)
-        self.best_k[d][lo:hi] = np.take_along_axis(all_k, order, 1)
+        if keys is not None:
+            all_k = np.concatenate([self.best_k[d][lo:hi], keys[cols]], axis=1)
+            self.best_k[d][lo:hi] = np.take_along_axis(all_k, order, 1)
 
-    def result(self) -> dict:
-        dim, qid, cid, score, ckey = [], [], [], [], []
+    def batches(self, q_keys=None):
+        """The hits as record batches, some queries at a time."""
         for d in self.dims:
-            bs, bc, bk = self.best_s[d], self.best_c[d], self.best_k[d]
-            rows, cols = np.nonzero(np.isfinite(bs))
-            dim.extend([d] * len(rows))
-            qid.extend(self.q_ids[rows].tolist())
-            cid.extend(bc[rows, cols].tolist())
-            score.extend(bs[rows, cols].tolist())
-            ckey.extend(bk[rows, cols].tolist())
-        return {"dim": dim, "qid": qid, "cid": cid, "score": score, "c_key": ckey}
+            for lo in range(0, len(self.q_ids), self.OUT_CHUNK):
+                at = slice(lo, lo + self.OUT_CHUNK)
+                bs = self.best_s[d][at]
+                rows, cols = np.nonzero(np.isfinite(bs))
+                out = {"dim": pa.array(np.full(len(rows), d, np.int32)), "qid": pa.array(self.q_ids[at][rows]),
+                       "cid": pa.array(self.best_c[d][at][rows, cols]), "score": pa.array(bs[rows, cols])}
+                if self.best_k is not None:
+                    out["q_key"] = pa.array([q_keys[lo + r] for r in rows.tolist()], pa.string())
+                    out["c_key"] = pa.array(self.best_k[d][at][rows, cols].tolist(), pa.string())
+                yield pa.RecordBatch.from_pydict(out)
 
 
 BUCKET_BYTES = 64 * 1024 * 1024  # of corpus vectors on the blocked path
@@ -107,6 +118,16 @@ def _stack(vectors) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
+def _matrix(vectors) -> np.ndarray:
+    """An Arrow column of vectors as a matrix, without Python numbers."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    sizes = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    if len(sizes) and sizes[0] > 0 and (sizes == sizes[0]).all():
+        return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(sizes), -1)
+    return _stack(vectors.to_pylist())
+
+
 def score_top_k(queries: DataFrame, corpus: DataFrame, dims: Sequence[int], k: int = 10,
                 q_id: str = "qid", c_id: str = "cid", vec: str = "embedding",
                 broadcast_limit: int = BROADCAST_LIMIT_BYTES, query_block: int | None = None,
@@ -148,34 +169,23 @@ def _fits_broadcast(q: DataFrame, width: int, limit: int) -> bool:
     return q.limit(max_rows + 1).count() <= max_rows
 
 
-def _emit(r: dict, q_ids: np.ndarray, q_keys, keyed: bool) -> dict:
-    cols = {"dim": pa.array(r["dim"], pa.int32()), "qid": pa.array(r["qid"], pa.int64()),
-            "cid": pa.array(r["cid"], pa.int64()), "score": pa.array(r["score"], pa.float64())}
-    if keyed:
-        qk = dict(zip(q_ids.tolist(), q_keys))
-        cols["q_key"] = pa.array([qk.get(q) for q in r["qid"]], pa.string())
-        cols["c_key"] = pa.array(r.get("c_key", [None] * len(r["cid"])), pa.string())
-    return cols
-
-
 def _broadcast_path(q: DataFrame, c: DataFrame, dims, k, keyed: bool) -> DataFrame:
     spark = q.sparkSession
     # size-checked above; the query block travels once per executor
     rows = q.toArrow() if hasattr(q, "toArrow") else pa.Table.from_pandas(q.toPandas())
     q_ids = np.asarray(rows.column("qid").to_pylist(), dtype=np.int64)
-    q_mat = _stack(rows.column("v").to_pylist())
+    q_mat = _matrix(rows.column("v"))
     q_keys = rows.column("key").to_pylist() if keyed else None
     bq = spark.sparkContext.broadcast((q_ids, q_mat, q_keys))
 
     def run(batches):
         qi, qm, qk = bq.value
-        top = _RunningTopK(qi, qm, dims, k)
+        top = _RunningTopK(qi, qm, dims, k, keyed)
         for b in batches:
             if b.num_rows:
-                top.feed(np.asarray(b.column("cid").to_pylist(), dtype=np.int64),
-                         _stack(b.column("v").to_pylist()),
+                top.feed(np.asarray(b.column("cid").to_pylist(), dtype=np.int64), _matrix(b.column("v")),
                          b.column("key").to_pylist() if keyed else None)
-        yield pa.RecordBatch.from_pydict(_emit(top.result(), qi, qk, keyed))
+        yield from top.batches(qk)
 
     # one partial list per task: input partitions are read in groups, so the
     # lists follow the session's partition count, not the number of files
@@ -200,13 +210,15 @@ def _blocked_path(q: DataFrame, c: DataFrame, dims, k, query_block, corpus_bucke
 
     def run(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
         qi = qpdf["qid"].to_numpy(np.int64)
-        top = _RunningTopK(qi, _stack(list(qpdf["v"])), dims, k)
+        top = _RunningTopK(qi, _stack(list(qpdf["v"])), dims, k, keyed)
         cids = cpdf["cid"].to_numpy(np.int64)
         for lo in range(0, len(cids), 8192):
             top.feed(cids[lo:lo + 8192], _stack(list(cpdf["v"].iloc[lo:lo + 8192])),
                      list(cpdf["key"].iloc[lo:lo + 8192]) if keyed else None)
-        cols = _emit(top.result(), qi, list(qpdf["key"]) if keyed else None, keyed)
-        return pa.Table.from_pydict(cols).to_pandas()
+        hits = list(top.batches(list(qpdf["key"]) if keyed else None))
+        if not hits:
+            return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
+        return pa.Table.from_batches(hits).to_pandas()
 
     return (q_rep.groupBy("qblock", "cbucket")
             .cogroup(c_rep.groupBy("qblock", "cbucket"))
@@ -282,8 +294,18 @@ def matryoshka_eval(queries: DataFrame, corpus: DataFrame, dims: Sequence[int],
     ``rel_key`` (counted once per key on the corpus)."""
     if qrels is not None:
         q = F.col("qid").cast("bigint").alias("qid")
-        pairs = qrels.select(q, F.col("cid").cast("bigint").alias("cid")).distinct()
-        marked = qrels_join(score_top_k(queries, corpus, dims, k, q_id, c_id, vec, **kw), pairs, ("qid", "cid"))
+        pairs = qrels.select(q, F.col("cid").cast("bigint").alias("cid"))
+        # dealt before repeats go: a task holds its share of the pairs, however many there are
+        n_tasks = max(1, -(-pairs.count() // PAIRS_PER_TASK))
+        dealt = pairs.repartition(n_tasks, "qid", "cid")
+        hits = materialize(score_top_k(queries, corpus, dims, k, q_id, c_id, vec, **kw))
+        asked = hits.select("qid", "cid").distinct()
+        rows, size = bounded_size(asked, MAX_ASKED)
+        # only pairs that were hit are marks
+        met = (pairs.join(F.broadcast(asked), ["qid", "cid"], "left_semi") if rows <= MAX_ASKED and size <= BROADCAST_LIMIT_BYTES
+               else dealt.join(asked, ["qid", "cid"], "left_semi"))
+        marked = qrels_join(hits, met, ("qid", "cid"))
+        pairs = dealt.distinct()
         n_rel = (queries.select(F.col(q_id).cast("bigint").alias("qid")).distinct()
                  .join(pairs.groupBy("qid").agg(F.count(F.lit(1)).alias("n_rel")), "qid", "left").fillna(0, subset=["n_rel"]))
         return _named(ir_metrics(marked, n_rel, k), k)

@@ -11,7 +11,8 @@ from tokenmill.operators import records as R
 from tokenmill.operators.sample import split_fraction
 from tokenmill.plans import tables
 from tokenmill.plans.registry import arr_text, query, r6
-from tokenmill.session import materialize
+from tokenmill.session import broadcast_if_bounded, materialize
+from tokenmill.sources.io import spread
 
 # every seventh id, as a query, has no relevant row
 NO_MATCH = "CASE WHEN vec_id % 7 = 0 THEN -1 ELSE label END"
@@ -138,8 +139,10 @@ WITH {QRELS} SELECT CAST(dim AS INTEGER) AS dim, round(ndcg_at_10, 6) AS ndcg_at
 def met5b(spark, sf):
     """Relevance from a table of pairs (a third of the rows with the query's label)."""
     q, c = split_vectors(spark, sf)
-    pairs = (q.select("qid", "rel_key").join(c.select("cid", "rel_key"), "rel_key")
-             .where((F.col("qid") + F.col("cid")) % 3 == 0).select("qid", "cid"))
+    # (qid + cid) % 3 = 0 as a key; few labels hold all rows, so the larger side stays spread over its tasks
+    asks = broadcast_if_bounded(q.select("qid", "rel_key", F.pmod(-F.col("qid"), F.lit(3)).alias("rest")), 2_000_000)
+    rows = spread(c.select("cid", "rel_key", F.pmod("cid", F.lit(3)).alias("rest")), spark.sparkContext.defaultParallelism)
+    pairs = rows.join(asks, ["rel_key", "rest"]).select("qid", "cid")
     m = V.matryoshka_eval(q, c, DIMS, K, qrels=pairs)
     return m.select(F.col("dim").cast("int").alias("dim"), *[r6(x).alias(x) for x in
                     ("ndcg_at_10", "mrr_at_10", "map_at_10", "recall_at_10")])
