@@ -332,3 +332,11 @@ def test_items_of_equal_sets_are_searched_once(spark, monkeypatch):
     assert {d for d, _ in want} >= set(range(12))
     kept = decontam.decontaminate(corpus.frame(spark, texts), frame)
     assert {r["doc_id"] for r in kept.collect()} == set(range(len(texts))) - {d for d, _ in want}
+
+
+def test_sets_with_spare_segments_take_no_part_in_star_rounds(spark):
+    stars = spark.createDataFrame([(1, 10, 10, 0), (1, 10, 11, 0), (1, 10, 12, 0), (2, 10, 10, 0), (2, 10, 11, 0), (1, 11, 11, 0)],
+                                  "sig long, pivot long, member long, role int")
+    slack = spark.createDataFrame([(10, 0, 5), (11, 0, 1), (12, 0, 0), (12, 1, 9), (13, 0, -1)], "sid long, role int, slack int")
+    got = ngram_join.short_members(stars, slack).collect()
+    assert sorted((r["sig"], r["member"], r["role"]) for r in got) == [(1, 11, 0), (1, 12, 0), (2, 11, 0)]
