@@ -15,7 +15,7 @@ from compare import TABLES, rows_of  # noqa: E402
 SF = "/root/testdata/sf0.001"
 # Spark simple type names -> DuckDB type names of equal values
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-         "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+         "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "date": "DATE"}
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
 
