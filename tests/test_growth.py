@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tokenmill.operators import cubes as C
@@ -81,6 +82,63 @@ def test_hits_leave_a_task_some_queries_at_a_time(monkeypatch):
         assert {(r["qid"], r["cid"], r["q_key"], r["c_key"]) for r in rows} == want
 
 
+def _vectors(spark, n, name, seed):
+    rnd = np.random.default_rng(seed)
+    return spark.createDataFrame([(i, rnd.normal(size=8).tolist(), f"k{i % 7}") for i in range(n)],
+                                 f"{name} long, embedding array<double>, rel_key string")
+
+
+def _shuffled_rows(plan):
+    """Rows that the exchanges of a plan that has run have written."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _shuffled_rows(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return _shuffled_rows(plan.plan())
+    written = plan.metrics().get("shuffleRecordsWritten")
+    rows = written.get().value() if name == "Exchange" and written.isDefined() else 0
+    return rows + sum(_shuffled_rows(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_small_query_blocks_share_a_copy_of_the_corpus(spark):
+    q, c = _vectors(spark, 300, "qid", 3), _vectors(spark, 300, "cid", 4)
+    hits = V.score_top_k(q, c, (8, 4), 2, broadcast_limit=0, query_block=1, corpus_buckets=2)
+    assert len(hits.collect()) == 300 * 2 * 2
+    assert 300 < _shuffled_rows(hits._jdf.queryExecution().executedPlan()) < 300 * 300 / 2
+
+
+@pytest.mark.parametrize("kw", [{"query_block": 3, "corpus_buckets": 3}, {"block_bytes": 1}, {"query_block": 2, "block_bytes": 4000}])
+def test_every_query_block_meets_every_bucket_on_many_partitions(spark, kw):
+    """Blocked hits are those of the broadcast path, also when no shuffle is put together again."""
+    q, c = _vectors(spark, 70, "qid", 5), _vectors(spark, 90, "cid", 6)
+    q, c = q.union(q.where("qid < 4")), c.union(c.where("cid < 9")).union(c.where("cid = 1").selectExpr("100", "null", "'k'"))
+    conf = "spark.sql.adaptive.coalescePartitions.enabled"
+    was = spark.conf.get(conf)
+    spark.conf.set(conf, "false")
+    try:
+        want, got = (sorted((r.dim, r.qid, r["rank"], r.cid, round(r.score, 9), r.q_key, r.c_key) for r in V.score_top_k(
+            q, c, (8, 4), 5, rel_key="rel_key", **path).collect()) for path in ({}, {"broadcast_limit": 0, **kw}))
+    finally:
+        spark.conf.set(conf, was)
+    assert len(want) == 70 * 2 * 5 and got == want
+    for a, b in ((q.limit(0), c), (q, c.limit(0))):
+        assert V.score_top_k(a, b, (8, 4), 5, broadcast_limit=0, **kw).count() == 0
+
+
+def test_columns_below_every_queries_hits_are_skipped():
+    """Fed in any order and in pieces, with ties, the hits are those of one sort."""
+    rnd = np.random.default_rng(8)
+    q, c = rnd.integers(-2, 3, size=(6, 3)).astype(float), rnd.integers(-2, 3, size=(400, 3)).astype(float)
+    for ids in (np.arange(400), rnd.permutation(400)):
+        top = V._RunningTopK(np.arange(6), q, (3,), 4, keyed=False)
+        for lo in range(0, 400, 60):
+            top.feed(ids[lo:lo + 60], c[lo:lo + 60])
+        s = np.round(V._unit_prefix(q, 3) @ V._unit_prefix(c, 3).T, 12)
+        want = [sorted(zip(-s[i], ids, strict=True))[:4] for i in range(6)]
+        got = [r for b in top.batches() for r in b.to_pylist()]
+        assert [(r["qid"], r["cid"]) for r in got] == [(i, x) for i in range(6) for _, x in want[i]]
+
+
 def test_repeated_relevant_pairs_count_once_on_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(V, "PAIRS_PER_TASK", 5)
     rnd = np.random.default_rng(2)

@@ -8,8 +8,10 @@ query per task) are merged with a window-group limit.
 
 * queries small enough (estimated size checked) -> broadcast to every
   corpus task (``mapInArrow``);
-* otherwise queries are cut into blocks and corpus rows into buckets;
-  ``cogroup`` on (block, bucket) gives each task one block × one bucket.
+* otherwise queries are cut into blocks, blocks are dealt to stripes and
+  corpus rows to buckets; a (stripe, bucket) is a group, sorted so that its
+  queries come first and the corpus rows stream past them. The corpus is
+  copied once per stripe, and stripes are as few as memory and cores allow.
 
 Relevance is a key equality (``rel_key``): a query's relevant documents
 are the corpus rows with its key, so qrels never become a pair list.
@@ -20,7 +22,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -77,12 +78,18 @@ class _RunningTopK:
 
     def _merge(self, d, lo, hi, s, c_ids, keys):
         k = self.k
+        # columns below the k-th best of every query change nothing
+        near = np.flatnonzero((s >= self.best_s[d][lo:hi, k - 1:]).any(axis=0))
+        if len(near) == 0:
+            return
+        if len(near) < s.shape[1]:
+            s, c_ids, keys = s[:, near], c_ids[near], None if keys is None else keys[near]
         if s.shape[1] > k:
             # keep every column tied with the k-th best so ties resolve by cid
             part = np.argpartition(-s, k - 1, axis=1)[:, :k]
             thr = np.take_along_axis(s, part, 1).min(axis=1, keepdims=True)
             width = int((s >= thr).sum(axis=1).max())
-            cols = np.argsort(-s, axis=1, kind="stable")[:, :width] if width > k else part
+            cols = np.argpartition(-s, width - 1, axis=1)[:, :width] if width > k else part
         else:
             cols = np.broadcast_to(np.arange(s.shape[1]), s.shape)
         all_s = np.concatenate([self.best_s[d][lo:hi], np.take_along_axis(s, cols, 1)], axis=1)
@@ -109,9 +116,6 @@ class _RunningTopK:
                 yield pa.RecordBatch.from_pydict(out)
 
 
-BUCKET_BYTES = 64 * 1024 * 1024  # of corpus vectors on the blocked path
-
-
 def _stack(vectors) -> np.ndarray:
     if len(vectors) == 0:
         return np.zeros((0, 0))
@@ -128,6 +132,10 @@ def _matrix(vectors) -> np.ndarray:
     return _stack(vectors.to_pylist())
 
 
+def _ids(column) -> np.ndarray:
+    return column.fill_null(np.iinfo(np.int64).min).to_numpy()
+
+
 def score_top_k(queries: DataFrame, corpus: DataFrame, dims: Sequence[int], k: int = 10,
                 q_id: str = "qid", c_id: str = "cid", vec: str = "embedding",
                 broadcast_limit: int = BROADCAST_LIMIT_BYTES, query_block: int | None = None,
@@ -141,8 +149,11 @@ def score_top_k(queries: DataFrame, corpus: DataFrame, dims: Sequence[int], k: i
 
     Vectors are cut to the widest width in ``dims`` before anything moves.
     On the blocked path a query block holds about ``block_bytes`` of
-    vectors (unless ``query_block`` fixes its row count): the corpus is
-    copied once per block, so blocks are as large as memory allows.
+    vectors and hits (unless ``query_block`` fixes its row count). Small
+    blocks share a stripe of about ``block_bytes``: the corpus is copied once
+    per stripe, so the shuffle grows with the rows of both sides until a
+    stripe is full. Corpus rows are dealt to ``corpus_buckets`` (else one per
+    core), which are streamed and never held.
     Rows without a vector find nothing and are never found."""
     dims = [int(d) for d in dims]
     width = max(dims)
@@ -151,12 +162,10 @@ def score_top_k(queries: DataFrame, corpus: DataFrame, dims: Sequence[int], k: i
         .where("v is not null")
     c = corpus.select(F.col(c_id).cast("bigint").alias("cid"), F.slice(vec, 1, width).alias("v"), *kq) \
         .where("v is not null")
-    if query_block is None:
-        query_block = max(1024, block_bytes // (width * 8 + 64))
     if _fits_broadcast(q, max(dims), broadcast_limit):
         partial = _broadcast_path(q, c, dims, k, bool(rel_key))
     else:
-        partial = _blocked_path(q, c, dims, k, query_block, corpus_buckets, bool(rel_key))
+        partial = _blocked_path(q, c, dims, k, query_block, corpus_buckets, bool(rel_key), block_bytes)
     return top_k_per_key(partial, ["dim", "qid"], "score", k, tiebreak="cid")
 
 
@@ -194,35 +203,58 @@ def _broadcast_path(q: DataFrame, c: DataFrame, dims, k, keyed: bool) -> DataFra
 
 
 def _blocked_path(q: DataFrame, c: DataFrame, dims, k, query_block, corpus_buckets,
-                  keyed: bool) -> DataFrame:
-    # a corpus bucket is held by one task: as many as its rows need
-    nb = corpus_buckets or max(int(q.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")),
-                               -(-c.count() * (max(dims) * 16 + 64) // BUCKET_BYTES))
+                  keyed: bool, block_bytes: int) -> DataFrame:
+    # a query in a task: its vector, and its best k of every width
+    query_bytes = max(dims) * 8 + 64 + len(dims) * k * (24 if keyed else 16)
+    query_block = query_block or max(1024, block_bytes // query_bytes)
+    cores = q.sparkSession.sparkContext.defaultParallelism
+    # by the cores, not the data: every bucket gives k hits of a query
+    nb = corpus_buckets or cores
     qpos = with_positions(q, ["qid"], pos_col="_pos")
     qb = qpos.select("qid", "v", *(["key"] if keyed else []),
                      F.floor(F.col("_pos") / query_block).alias("qblock"))
     n_blocks = qb.agg(F.max("qblock")).first()[0]
     n_blocks = 0 if n_blocks is None else int(n_blocks) + 1
-    q_rep = qb.withColumn("cbucket", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-    c_rep = c.withColumn("cbucket", F.pmod(F.xxhash64("cid"), F.lit(nb))) \
-        .withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(max(n_blocks - 1, 0)))))
-    schema = KEYED_SCHEMA if keyed else HITS_SCHEMA
-
-    def run(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        qi = qpdf["qid"].to_numpy(np.int64)
-        top = _RunningTopK(qi, _stack(list(qpdf["v"])), dims, k, keyed)
-        cids = cpdf["cid"].to_numpy(np.int64)
-        for lo in range(0, len(cids), 8192):
-            top.feed(cids[lo:lo + 8192], _stack(list(cpdf["v"].iloc[lo:lo + 8192])),
-                     list(cpdf["key"].iloc[lo:lo + 8192]) if keyed else None)
-        hits = list(top.batches(list(qpdf["key"]) if keyed else None))
-        if not hits:
-            return pd.DataFrame({c.split()[0]: [] for c in schema.split(", ")})
-        return pa.Table.from_batches(hits).to_pandas()
-
-    return (q_rep.groupBy("qblock", "cbucket")
-            .cogroup(c_rep.groupBy("qblock", "cbucket"))
-            .applyInPandas(run, schema))
+    full = max(1, block_bytes // (query_bytes * query_block))  # blocks of a stripe
+    stripes = max(1, min(n_blocks, max(-(-2 * cores // nb), -(-n_blocks // full))))
+    groups = stripes * nb
+    q_rep = qb.withColumn("stripe", F.pmod("qblock", F.lit(stripes))).drop("qblock") \
+        .withColumn("cbucket", F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))).withColumn("corpus", F.lit(False))
+    c_rep = c.withColumnRenamed("cid", "qid").withColumn("cbucket", F.pmod(F.xxhash64("qid"), F.lit(nb))) \
+        .withColumn("stripe", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1)))).withColumn("corpus", F.lit(True))
+    at = (F.col("stripe") * nb + F.col("cbucket")).alias("at")
+    rows = q_rep.unionByName(c_rep).select(at, "corpus", F.col("qid").alias("id"), "v", *(["key"] if keyed else []))
+
+    def run(batches):
+        group, queries, top, q_keys = None, [], None, None
+        for b in batches:
+            ats = b.column("at").to_numpy()
+            sides = b.column("corpus").to_numpy(zero_copy_only=False)
+            turns = np.flatnonzero((ats[1:] != ats[:-1]) | (sides[1:] != sides[:-1])) + 1
+            for lo, hi in zip([0, *turns.tolist()], [*turns.tolist(), len(ats)], strict=True):
+                if hi == lo:
+                    continue
+                if ats[lo] != group:
+                    if top is not None:
+                        yield from top.batches(q_keys)
+                    group, queries, top = ats[lo], [], None
+                part = b.slice(lo, hi - lo)
+                if not sides[lo]:
+                    queries.append(part)
+                elif queries or top is not None:
+                    if top is None:
+                        held = pa.Table.from_batches(queries)
+                        q_keys = held.column("key").to_pylist() if keyed else None
+                        top = _RunningTopK(_ids(held.column("id")), _matrix(held.column("v")), dims, k, keyed)
+                        queries = []
+                    top.feed(_ids(part.column("id")), _matrix(part.column("v")),
+                             part.column("key").to_pylist() if keyed else None)
+        if top is not None:
+            yield from top.batches(q_keys)
+
+    # more ranges than groups, so that each group is a range and a task
+    return (rows.repartitionByRange(4 * groups, "at").sortWithinPartitions("at", "corpus")
+            .mapInArrow(run, KEYED_SCHEMA if keyed else HITS_SCHEMA))
 
 
 # WIN-2 ---------------------------------------------------------------
